@@ -35,7 +35,7 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epoc
     capped = F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     open_weight = F.sum("weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     df = df.withColumn("level", (F.col("total") - capped) / open_weight)
-    level = F.min(F.when(F.col("full_at") >= F.col("level"), F.col("level"))).over(every)
+    level = F.max(F.when(F.col("full_at") >= F.col("level"), F.col("level"))).over(every)
     return df.select("source", "source_size", F.least("cap", F.coalesce(level, F.lit(0.0)) * F.col("weight")).alias("target"))
 
 

@@ -94,7 +94,7 @@ def find_secrets(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     df = df.withColumn("candidate", F.filter("candidate", suspicious))
     df = df.withColumn("entropy", F.expr(f"filter(transform(candidate, c -> {_entropy(window)}), x -> x is not null)"))
     kinds = [
-        F.transform(kind, lambda c, k=kind, r=rank: F.struct(c["start"].alias("start"), F.lit(r).alias("rank"), F.lit(k).alias("kind"), c["end"].alias("end")))
+        F.expr(f"transform({kind}, c -> struct(c.start as start, {rank} as rank, '{kind}' as kind, c.end as end))")
         for rank, kind in enumerate(("assign", "access", "hex", "entropy"))
     ]
     return df.select("doc_id", F.sort_array(F.concat(*kinds)).alias("found"))
