@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ALNUM, Words, passes
+from .shared import ALNUM, Words, keep_rows, passes
 
 SAMPLE = 8
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -210,13 +210,10 @@ def decontaminate(
     """
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text_col).cast("string").alias("text"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // (2 * block_words)))  # a word and its separator take two bytes at least
-    found = None
-    for k in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
-        one = scan(rows, Phrases([tuple(r) for r in part.collect()], window))
-        found = one if found is None else found.union(one)
+    found, blocks = None, 0
+    for phrases in _blocks(items, window, block_words):
+        one = scan(rows, phrases)
+        found, blocks = one if found is None else found.union(one), blocks + 1
     if blocks > 1:
         found = _merge(found.drop("text"), rows)
     return found.select(
@@ -226,6 +223,31 @@ def decontaminate(
     )
 
 
+def _blocks(items: DataFrame, window: int, block_words: int) -> Iterator[Phrases]:
+    """The benchmark's ``items(item, text)`` in blocks of bounded size; one block for a small benchmark."""
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-total // (2 * block_words)))  # a word and its separator take two bytes at least
+    for k in range(blocks):
+        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
+        yield Phrases([tuple(r) for r in part.collect()], window)
+
+
+def drop_contaminated(
+    documents: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+    window: int = 10, block_words: int = 2_000_000,
+) -> DataFrame:
+    """The rows of ``documents`` without any occurrence of a window, with all columns; nothing is shuffled."""
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text_col).cast("string").alias("text"))
+    for phrases in _blocks(items, window, block_words):
+
+        def clean(words: Words, phrases: Phrases = phrases) -> np.ndarray:
+            hits = np.concatenate([[0], np.cumsum(hits_in(words, phrases)[0])])
+            return hits[words.first[1:]] == hits[words.first[:-1]]
+
+        documents = keep_rows(documents, text_col, ALNUM, clean)
+    return documents
+
+
 def _merge(found: DataFrame, rows: DataFrame) -> DataFrame:
     """Join what several blocks found of one document."""
 

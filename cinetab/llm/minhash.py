@@ -188,3 +188,10 @@ def near_duplicates(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def drop_near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``documents`` that near_duplicates keeps, with all columns: the smallest id of each group."""
+    judged = near_duplicates(documents, id_col, text_col, **options)
+    gone = materialize(judged.where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "duplicates")
+    return documents.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")

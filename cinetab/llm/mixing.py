@@ -47,7 +47,7 @@ def mix(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: tuple[float, ...] = (1, 2, 3), max_epochs: float = 3.0, seed: int = 17, buckets: int = 1024,
 ) -> DataFrame:
-    """(doc_id, source, size, source_size, target, times, part, taken) for every row.
+    """(doc_id, draw, source, size, source_size, target, times, part, taken) for every row.
 
     ``size``: words ``[^\\x20\\x09-\\x0D]+`` of the text (null: 0). The mix takes the document ``times`` times whole
     and ``part`` further words (only one document of a source has a part); ``taken`` is the words in all, so a
@@ -83,6 +83,20 @@ def mix(
     full = (F.col("extra") == F.col("size")) & (F.col("size") > 0)
     times = F.col("whole") + F.when(full, 1).otherwise(0)
     return df.select(
-        "doc_id", "source", "size", "source_size", "target", times.cast("int").alias("times"),
+        "doc_id", "draw", "source", "size", "source_size", "target", times.cast("int").alias("times"),
         F.when(full, 0).otherwise(F.col("extra")).cast("long").alias("part"), (F.col("whole") * F.col("size") + F.col("extra")).cast("long").alias("taken"),
     )
+
+
+def repeat_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, **options) -> DataFrame:
+    """``documents`` as the mix takes them: each row as often as ``mix`` says, with all columns.
+
+    A document that is taken in part is taken once more if that is half of it at least. Rows that repeat
+    both id and text take the same number of copies each, rounded up.
+    """
+    draw = F.xxhash64(F.lit(seed), F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    plan = mix(documents, id_col, text_col, source_col, seed=seed, **options)
+    copies = (F.col("times") + F.when(2 * F.col("part") >= F.greatest("size", F.lit(1)), 1).otherwise(0)).cast("int")
+    plan = plan.groupBy(F.col("draw").alias("_draw")).agg(F.ceil(F.avg(copies)).cast("int").alias("_copies")).where("_copies > 0")
+    taken = documents.withColumn("_draw", draw).join(plan, "_draw")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import LOWERED, Words, materialize, ngram_hashes, passes
+from .shared import LOWERED, Words, keep_rows, materialize, ngram_hashes, passes
 
 STATISTICS = (
     "log_words", "log_word_bytes", "upper", "symbols", "marks", "digits", "wide", "variety", "adjacent", "lines", "phrases", "top",
@@ -163,8 +163,7 @@ def classify(
     label every score is 0.5. Null and repeated ids stay row by row. Empty table: empty result.
     """
     described = materialize(describe(documents, id_col, text_col).withColumn("held_out", held_out("doc_id")), "statistics")
-    marks = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("long").alias("label")).where("label in (0, 1)").distinct()
-    model = fit(described.where("not held_out").join(marks, "doc_id"))
+    model = _fitted(described, labels, id_col, label_col)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,3 +171,20 @@ def classify(
 
     scored = described.select("doc_id", "held_out", "x").mapInArrow(work, "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
+
+
+def _fitted(described: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> Discriminant:
+    marks = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("long").alias("label")).where("label in (0, 1)").distinct()
+    return fit(described.where("not held_out").join(marks, "doc_id"))
+
+
+def keep_good(
+    documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = 0.3
+) -> DataFrame:
+    """The rows of ``documents`` that ``classify`` predicts as 1, with all columns.
+
+    Only the narrow statistics are written and shuffled; texts are read twice instead.
+    """
+    described = materialize(describe(documents, id_col, text_col).withColumn("held_out", held_out("doc_id")), "statistics")
+    model = _fitted(described, labels, id_col, label_col)
+    return keep_rows(documents, text_col, LOWERED, lambda words: model.score(statistics(words)) >= threshold)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -132,3 +132,15 @@ def ngram_hashes(words: np.ndarray, size: int, seed: int = 1) -> np.ndarray:
 def binaries(parts: list[np.ndarray]) -> pa.Array:
     """A binary column of the bytes of each array."""
     return pa.array([x.tobytes() for x in parts], pa.binary())
+
+
+def keep_rows(documents: DataFrame, text_col: str, table: np.ndarray, test: Callable[[Words], np.ndarray]) -> DataFrame:
+    """The rows of ``documents``, with all their columns, whose whole texts pass ``test``; nothing is shuffled."""
+    at = documents.columns.index(text_col)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, end, data, bounds in passes(batch.column(at)):
+                yield batch.slice(row, end - row).filter(pa.array(test(Words(data, bounds, table)), pa.bool_()))
+
+    return documents.mapInArrow(work, documents.schema)
