@@ -6,7 +6,6 @@ block with part (range of ids), block, start (ids of the part before it), doc_id
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -23,8 +22,6 @@ from .shared import scratch_folder
 #: Words whose ids a task keeps at most; beyond that it starts anew. Results do not depend on it.
 CACHE = 800_000
 BLOCK_TOKENS = 1 << 18
-#: Blanks beside each other (or at the end): the tokenizer's pieces may then reach over a space.
-_BLANKS = re.compile(r"\s\s|^\s|\s$")
 _MARK = "\r"
 
 
@@ -40,7 +37,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, bytes | None] = {}
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         ids = self.ids(_MARK + " a" + _MARK + "a")
         self.mark = int(ids[0]) if len(ids) == 4 and ids[0] == ids[2] else None
@@ -52,22 +49,24 @@ class WordTokenizer:
         """The ids of each text, as bytes of ``kind``."""
         if len(self.cache) > CACHE:
             self.cache.clear()
-        words: list[list[str] | None] = []
-        for text in texts:
-            if self.mark is None or _MARK in text or "<|" in text or _BLANKS.search(text) or not text:
-                words.append(None)
-            else:
-                first, *rest = text.split(" ")
-                words.append([first, *map(" ".__add__, rest)])
-        new = {w for line in words if line for w in line if w not in self.cache}
-        if new:
-            ordered = list(new)
-            ids = self.ids("".join([_MARK + w for w in ordered]))
+        lines = [text.split(" ") if self.mark is not None and _MARK not in text and "<|" not in text else [""] for text in texts]
+        for line in lines:
+            line[0] = _MARK + line[0]  # tells a first word from the others, which have a space before them
+        new = set().union(*lines).difference(self.cache)
+        # Blanks at a word's edges, or none between two spaces: pieces may reach over the space.
+        unsafe = {w for w in new if w in ("", _MARK) or w[-1].isspace() or w.removeprefix(_MARK)[0].isspace()}
+        self.cache.update(dict.fromkeys(unsafe))
+        if ordered := list(new - unsafe):
+            ids = self.ids("".join([w if w[0] == _MARK else f"{_MARK} {w}" for w in ordered]))
             cuts = np.flatnonzero(ids == self.mark)
-            for w, a, b in zip(ordered, cuts + 1, [*cuts[1:], len(ids)], strict=True):
-                self.cache[w] = ids[a:b].tobytes()
-        get = self.cache.__getitem__
-        return [b"".join(map(get, line)) if line else self.ids(text).tobytes() for line, text in zip(words, texts, strict=True)]
+            raw, width = ids.tobytes(), ids.itemsize
+            ends = [*(cuts[1:] * width).tolist(), len(raw)]
+            self.cache.update(zip(ordered, [raw[a:b] for a, b in zip(((cuts + 1) * width).tolist(), ends, strict=True)], strict=True))
+        get, out = self.cache.__getitem__, []
+        for line, text in zip(lines, texts, strict=True):
+            words = list(map(get, line))
+            out.append(self.ids(text).tobytes() if None in words else b"".join(words))
+        return out
 
 
 def tokenize(documents: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2) -> DataFrame:
