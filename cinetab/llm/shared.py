@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one numpy pass works on; a longer text forms a pass of its own.
-PASS_BYTES = 2_000_000
+PASS_BYTES = 1_000_000
 
 WORD_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 

@@ -19,17 +19,27 @@ from pyspark.sql import functions as F
 from . import rans
 from .shared import scratch_folder
 
-#: Words whose ids a task keeps at most; beyond that it starts anew. Results do not depend on it.
-CACHE = 800_000
+#: Words whose ids a worker keeps at most (some 200 bytes each); beyond that it starts anew. Results do not depend on it.
+CACHE = 1_500_000
 BLOCK_TOKENS = 1 << 18
 _MARK = "\r"
 
 
+class _Known(dict):
+    """Word -> its ids as bytes; a word that is asked for and not there is noted in ``new`` and gives None."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> None:
+        self.new.append(word)
+
+
 class WordTokenizer:
     """Encodes texts word by word with a tokenizers file whose pieces never reach over a single space.
 
     Byte-level BPE cuts a text into pieces first and " word" begins one; so the ids of a text are those of
-    its words, each with the space before it. Words are encoded once per task, all new ones of a batch
+    its words, each with the space before it. Words are encoded once per worker, all new ones of a batch
     in one call, parted by a character whose single id is known. Texts with other blanks go whole.
     """
 
@@ -37,7 +47,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes | None] = {}
+        self.cache = _Known()
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         ids = self.ids(_MARK + " a" + _MARK + "a")
         self.mark = int(ids[0]) if len(ids) == 4 and ids[0] == ids[2] else None
@@ -48,25 +58,51 @@ class WordTokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of ``kind``."""
         if len(self.cache) > CACHE:
-            self.cache.clear()
-        lines = [text.split(" ") if self.mark is not None and _MARK not in text and "<|" not in text else [""] for text in texts]
-        for line in lines:
+            self.cache = _Known()
+        get, new = self.cache.__getitem__, self.cache.new
+        lines, found, open_lines = [], [], []
+        for text in texts:
+            if not text or self.mark is None or _MARK in text or "<|" in text:
+                lines.append([])
+                found.append([b""])
+                continue
+            line = text.split(" ")
             line[0] = _MARK + line[0]  # tells a first word from the others, which have a space before them
-        new = set().union(*lines).difference(self.cache)
-        # Blanks at a word's edges, or none between two spaces: pieces may reach over the space.
+            before = len(new)
+            lines.append(line)
+            found.append(list(map(get, line)))
+            if len(new) > before:
+                open_lines.append(len(lines) - 1)
+        self._learn()
+        for k in open_lines:
+            line, words, at = lines[k], found[k], -1
+            for _ in range(words.count(None)):
+                at = words.index(None, at + 1)
+                words[at] = get(line[at])
+        return [self.ids(text).tobytes() if b"" in words else b"".join(words) for words, text in zip(found, texts, strict=True)]
+
+    def _learn(self) -> None:
+        """Encode the new words. Those with blanks at an edge get no ids: pieces may reach over the space beside them."""
+        new = set(self.cache.new)
+        self.cache.new.clear()
         unsafe = {w for w in new if w in ("", _MARK) or w[-1].isspace() or w.removeprefix(_MARK)[0].isspace()}
-        self.cache.update(dict.fromkeys(unsafe))
+        self.cache.update(dict.fromkeys(unsafe, b""))
         if ordered := list(new - unsafe):
             ids = self.ids("".join([w if w[0] == _MARK else f"{_MARK} {w}" for w in ordered]))
             cuts = np.flatnonzero(ids == self.mark)
             raw, width = ids.tobytes(), ids.itemsize
             ends = [*(cuts[1:] * width).tolist(), len(raw)]
             self.cache.update(zip(ordered, [raw[a:b] for a, b in zip(((cuts + 1) * width).tolist(), ends, strict=True)], strict=True))
-        get, out = self.cache.__getitem__, []
-        for line, text in zip(lines, texts, strict=True):
-            words = list(map(get, line))
-            out.append(self.ids(text).tobytes() if None in words else b"".join(words))
-        return out
+
+
+_CODERS: dict[str, WordTokenizer] = {}
+
+
+def _coder(path: str) -> WordTokenizer:
+    """One per Python worker, so that its words last from task to task."""
+    if path not in _CODERS:
+        _CODERS[path] = WordTokenizer(path)
+    return _CODERS[path]
 
 
 def tokenize(documents: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2) -> DataFrame:
@@ -76,7 +112,7 @@ def tokenize(documents: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordTokenizer(tokenizer)
+        coder = _coder(tokenizer)
         end = np.array([end_id], coder.kind).tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
@@ -115,9 +151,8 @@ def write_tokens(
     between documents. An empty table writes a dataset without blocks. Other columns are not read.
     """
     spark = documents.sparkSession
-    coder = WordTokenizer(tokenizer)
+    coder = _coder(tokenizer)
     kind, size = coder.kind, max(coder.tokenizer.get_vocab_size(), end_id + 1)
-    del coder
     staged = f"{scratch_folder(spark)}/tokens-{uuid.uuid4().hex}"
     tokenize(documents, tokenizer, id_col, text_col, end_id).write.option("compression", "zstd").parquet(staged)
     tokens = spark.read.schema("doc_id long, ids binary").parquet(staged)
