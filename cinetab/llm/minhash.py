@@ -1,6 +1,6 @@
 """MinHash near-duplicate detection by a forest of sorted signature orders.
 
-Every distinct shingle set gets one signature of 96 minimum hashes. A tree of the forest sorts all
+Every distinct shingle set gets one signature of 128 minimum hashes. A tree of the forest sorts all
 signatures from another starting value on; rows that stand next to each other there share the
 longest prefixes, so each row's next neighbours are its candidates. How deep a prefix a candidate
 pair shares follows from the region: where signatures are sparse, anything that shares ``min_depth``
@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 from .graph import connected_components
 from .shared import LOWERED, Words, binaries, materialize, mix64, ngram_hashes, passes
 
-VALUES = 96
+VALUES = 128
 #: A tree starts so many values after the one before and is ordered by DEPTH values.
-STRIDE, DEPTH = 4, 16
+STRIDE, DEPTH = 4, 32
+#: Of a tree's DEPTH values so many must agree (at a similarity of 0.85, 28 do on average).
+AGREE = 24
 _MULTIPLIERS = np.random.default_rng(20_240).integers(1, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -67,8 +69,10 @@ def signatures(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.mapInArrow(work, "doc_id long, n_shingles long, set_a long, set_b long, signature binary")
 
 
-def forest_candidates(signed: DataFrame, trees: int = 24, min_depth: int = 4, reach: int = 8) -> DataFrame:
-    """Distinct pairs (a < b) that are within ``reach`` places in one tree and share ``min_depth`` values there.
+def forest_candidates(signed: DataFrame, trees: int = 32, min_depth: int = 4, reach: int = 8) -> DataFrame:
+    """Distinct pairs (a < b) within ``reach`` places in one tree that share the first ``min_depth`` values there.
+
+    Of all the values that the tree is ordered by, AGREE must be equal too.
 
     ``signed``: (id, signature). Each order is one global sort by range, which cuts hot regions anywhere;
     rows on both sides of a cut are neighbours in the other trees. A row meets at most ``reach`` rows
@@ -86,7 +90,7 @@ def forest_candidates(signed: DataFrame, trees: int = 24, min_depth: int = 4, re
             if not batch.num_rows:
                 continue
             tree = batch.column(0).to_numpy()
-            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u2").reshape(-1, DEPTH)[:, :min_depth]
+            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u2").reshape(-1, DEPTH)
             ids = batch.column(2).to_numpy()
             if held is not None:
                 tree, keys, ids = (np.concatenate(x) for x in zip(held, (tree, keys, ids), strict=True))
@@ -94,8 +98,9 @@ def forest_candidates(signed: DataFrame, trees: int = 24, min_depth: int = 4, re
             pairs = []
             for step in range(1, min(reach, len(ids) - 1) + 1):
                 lo = np.arange(max(0, len(ids) - new - step), len(ids) - step)
-                near = (tree[lo] == tree[lo + step]) & (keys[lo] == keys[lo + step]).all(axis=1)
-                lo = lo[near]
+                lo = lo[tree[lo] == tree[lo + step]]
+                same = keys[lo] == keys[lo + step]
+                lo = lo[same[:, :min_depth].all(axis=1) & (same.sum(axis=1) >= AGREE)]
                 pairs.append((ids[lo], ids[lo + step]))
             held = tree[-reach:], keys[-reach:], ids[-reach:]
             if pairs:
@@ -145,7 +150,8 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> Data
             yield pa.RecordBatch.from_arrays([x.filter(pa.array(keep, pa.bool_())) for x in batch.columns[:2]], ["a", "b"])
 
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    full = materialize(texts.join(wanted, "id", "left_semi").select("id", "text").mapInArrow(sets, "id long, set binary"), "shingle-sets")
+    # Always a merge join: whether the ids would fit in a broadcast must not change the plan with the size.
+    full = materialize(texts.join(wanted.hint("merge"), "id", "left_semi").select("id", "text").mapInArrow(sets, "id long, set binary"), "shingle-sets")
     left = full.select(F.col("id").alias("a"), F.col("set").alias("set_a"))
     right = full.select(F.col("id").alias("b"), F.col("set").alias("set_b"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long")
@@ -153,7 +159,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> Data
 
 def near_duplicates(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, size: int = 5,
-    trees: int = 24, min_depth: int = 4, reach: int = 8,
+    trees: int = 32, min_depth: int = 4, reach: int = 8,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links, kept) for every row of ``documents``.
 
@@ -172,7 +178,7 @@ def near_duplicates(
     )
     tree_rows = sets.groupBy("id").agg(F.min("signature").alias("signature"))
     pairs = materialize(forest_candidates(tree_rows, trees, min_depth, reach), "candidates")
-    likely = materialize(similar_signatures(pairs, tree_rows, max(0.0, percent / 100 - 0.25)), "likely")
+    likely = materialize(similar_signatures(pairs, tree_rows, max(0.0, percent / 100 - 0.17)), "likely")
     texts = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     links = materialize(confirm(likely, texts, percent, size).distinct(), "links")
     parts = connected_components(links)
