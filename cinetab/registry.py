@@ -1,15 +1,838 @@
-"""Every registered query of the reference's operators, with DuckDB SQL for the same rows."""
+"""Every registered query of the video operators over tables derived from the test data, with DuckDB SQL for the same rows."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import fixtures
+from .functions import expr
+from .operators import checks, evidence, export, faces, joins, segments, timeline
+from .sources import io
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_ORACLES: dict[str, str] = {}
+
+
+class Tables:
+    """Derived tables by name, as attributes."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return fixtures.table(self.spark, self.sf_dir, name)
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    def detections(self) -> DataFrame:
+        """Kept detections with vectors."""
+        n = self.n_vecs
+        f = self.faces.join(n, F.lit(True)).withColumn("vec_id", F.col("det_id") % F.col("n")).drop("n")
+        return f.join(self.read("embeddings").select("vec_id", "embedding"), "vec_id").drop("vec_id")
+
+
+def query(sql: str = "", views: tuple[str, ...] = ()):
+    """Register a function of Tables under its name, with its oracle."""
+
+    def add(f: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+        _QUERIES[f.__name__] = lambda spark, sf_dir: _plain(f(Tables(spark, sf_dir)))
+        if sql:
+            _ORACLES[f.__name__] = (fixtures.with_sql(views, fixtures.DUCK_T) if views else "") + sql
+        return f
+
+    return add
+
+
+def _plain(df: DataFrame) -> DataFrame:
+    """Columns that SQL has reserved words for get the oracles' names; doubles are rounded."""
+    df = df.withColumnsRenamed({"start": "start_s", "end": "end_s", "group": "grp", "order": "ord"})
+    return df.withColumns({c: F.round(c, 6) for c, t in df.dtypes if t in ("double", "float")})
+
+
+# --- time lines -----------------------------------------------------------------------------------
+@query(
+    """, hot AS (SELECT video_id, frame_idx, frame_idx - row_number() OVER (PARTITION BY video_id ORDER BY frame_idx) AS i FROM frame_probs WHERE prob > 0.5),
+    r AS (SELECT video_id, min(frame_idx) AS a, max(frame_idx) AS b FROM hot GROUP BY video_id, i)
+    SELECT video_id, CAST(round_even((a + b) / 2.0, 0) + 1 AS BIGINT) AS frame, round((round_even((a + b) / 2.0, 0) + 1) / 25.0, 6) AS boundary FROM r""",
+    ("frame_probs",),
+)
+def transition_boundaries(t):
+    return timeline.transition_boundaries(t.frame_probs, t.fvideos)
+
+
+@query(
+    """, hot AS (SELECT video_id, frame_idx, frame_idx - row_number() OVER (PARTITION BY video_id ORDER BY frame_idx) AS i FROM frame_probs WHERE prob > 0.5),
+    r AS (SELECT video_id, (round_even((min(frame_idx) + max(frame_idx)) / 2.0, 0) + 1) / 25.0 AS b FROM hot GROUP BY video_id, i),
+    st AS (SELECT DISTINCT r.video_id, round(b, 4) AS start_s FROM r JOIN fvideos v ON r.video_id = v.video_id WHERE b > 0 AND b < duration UNION SELECT video_id, 0.0 FROM fvideos)
+    SELECT st.video_id, row_number() OVER w - 1 AS id, round(start_s, 6) AS start_s, round(coalesce(lead(start_s) OVER w, duration), 6) AS end_s
+    FROM st JOIN fvideos v ON st.video_id = v.video_id WINDOW w AS (PARTITION BY st.video_id ORDER BY start_s)""",
+    ("fvideos",),
+)
+def shots_from_boundaries(t):
+    return timeline.shots_from_boundaries(timeline.transition_boundaries(t.frame_probs, t.fvideos), t.fvideos)
+
+
+@query(
+    """, k AS (SELECT s.video_id, s.id AS shot_id, u.k, least(s.start_s + (s.end_s - s.start_s) * u.share, v.duration - 1.5 / v.fps) AS t
+      FROM shots s JOIN videos v ON s.video_id = v.video_id JOIN (VALUES (0, 0.5, 1), (0, 0.25, 0), (1, 0.5, 0), (2, 0.75, 0)) u(k, share, short)
+      ON u.short = CASE WHEN s.end_s - s.start_s < 1.0 THEN 1 ELSE 0 END)
+    SELECT video_id, shot_id, k, round(t, 6) AS t FROM (SELECT *, row_number() OVER (PARTITION BY video_id, t ORDER BY shot_id DESC, k DESC) AS n FROM k) q WHERE n = 1""",
+    ("shots", "videos"),
+)
+def keyframe_times(t):
+    return timeline.keyframe_times(t.shots, t.videos)
+
+
+@query(
+    """, g AS (SELECT video_id, CAST(range AS DOUBLE) AS t FROM videos, range(0, 2160) WHERE range < duration - 1.5 / fps),
+    m AS (SELECT s.video_id, round(least((s.start_s + s.end_s) / 2, v.duration - 1.5 / v.fps) + 1e-9, 2) AS t FROM shots s JOIN videos v ON s.video_id = v.video_id
+      WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.video_id = s.video_id AND g.t >= s.start_s AND g.t < s.end_s))
+    SELECT video_id, round(t, 6) AS t FROM g UNION SELECT video_id, round(t, 6) AS t FROM m WHERE abs(t - round_even(t, 0)) >= 0.1""",
+    ("shots", "videos"),
+)
+def sample_times(t):
+    return timeline.sample_times(t.shots, t.videos)
+
+
+@query(
+    """SELECT d.det_id, d.video_id, coalesce((SELECT max(id) FROM shots s WHERE s.video_id = d.video_id AND s.start_s <= d.ts), 0) AS shot_id FROM raw_dets d""",
+    ("raw_dets", "shots"),
+)
+def assign_shot(t):
+    return joins.asof_shot(t.raw_dets.select("video_id", "det_id", "ts"), t.shots).select("det_id", "video_id", "shot_id")
+
+
+@query("SELECT video_id, id, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s, first_shot, last_shot FROM scenes", ("scenes",))
+def scenes_from_cuts(t):
+    return timeline.scenes_from_cuts(t.shots, t.cuts)
+
+
+@query(
+    """SELECT video_id, count(*) AS n, round(median(end_s - start_s), 6) AS median_s, round(min(end_s - start_s), 6) AS min_s, round(max(end_s - start_s), 6) AS max_s FROM shots GROUP BY video_id""",
+    ("shots",),
+)
+def interval_summary(t):
+    return timeline.interval_summary(t.shots)
+
+
+@query(
+    r"""SELECT video_id, count(*) AS segments, CAST(sum(len(regexp_split_to_array(trim(text), '\s+'))) AS BIGINT) AS words FROM segments GROUP BY video_id""",
+    ("segments",),
+)
+def transcript_summary(t):
+    return timeline.transcript_summary(t.segments)
+
+
+@query(
+    """SELECT s.video_id, s.id AS shot_id, count(f.frame_idx) AS n_frames FROM shots s LEFT JOIN (SELECT DISTINCT video_id, frame_idx FROM frame_probs) f
+    ON s.video_id = f.video_id AND f.frame_idx = CAST(round_even(least((s.start_s + s.end_s) / 2, 2160 - 1.5 / 25), 0) AS BIGINT) GROUP BY s.video_id, s.id""",
+    ("shots", "frame_probs"),
+)
+def keyframe_coverage(t):
+    times = t.shots.select("video_id", F.col("id").alias("shot_id"), F.rint(F.least((F.col("start") + F.col("end")) / 2, F.lit(2160 - 1.5 / 25))).alias("t"))
+    return timeline.keyframe_coverage(times, t.frame_probs.select("video_id", F.col("frame_idx").cast("double").alias("t")), t.shots)
+
+
+@query(
+    """SELECT s.video_id, round(s.start_s, 6) AS t, f.frame_idx FROM shots s JOIN frame_probs f ON s.video_id = f.video_id AND f.frame_idx = CAST(round_even(s.start_s * 25, 0) AS BIGINT)""",
+    ("shots", "frame_probs"),
+)
+def frame_lookup(t):
+    return timeline.frame_lookup(t.shots.select("video_id", F.col("start").alias("t")), t.frame_probs, t.videos)
+
+
+# --- scalar expressions ---------------------------------------------------------------------------
+@query(
+    """SELECT video_id, id, printf('%02d:%02d:%05.2f', CAST(floor(start_s / 3600) AS INT), CAST(floor((start_s % 3600) / 60) AS INT), start_s % 60) AS hms FROM shots""",
+    ("shots",),
+)
+def hms(t):
+    return t.shots.select("video_id", "id", expr.hms(F.col("start")).alias("hms"))
+
+
+@query(
+    """SELECT det_id, CASE WHEN det_score < 0.5 OR least(x2 - x1, y2 - y1) < 32 THEN NULL WHEN det_score >= 0.65 AND least(x2 - x1, y2 - y1) >= 48 AND sharpness >= 50 AND yaw_ratio <= 0.5
+    THEN 'anchor' ELSE 'weak' END AS tier, round(det_score * least(greatest(sharpness / 200, 0.1), 1.0) + 1e-12, 6) AS quality FROM raw_dets""",
+    ("raw_dets",),
+)
+def face_quality_tier(t):
+    c = F.col
+    tier = expr.face_tier(c("det_score"), c("x2") - c("x1"), c("y2") - c("y1"), c("sharpness"), c("yaw_ratio"))
+    return t.raw_dets.select("det_id", tier.alias("tier"), expr.detection_quality(c("det_score"), c("sharpness")).alias("quality"))
+
+
+@query(
+    """SELECT det_id, round(abs((x1 + 5) - (x1 + x2) / 2) / greatest(sqrt((x2 - x1) * (x2 - x1) + 9), 1.0), 6) AS yaw FROM raw_dets""",
+    ("raw_dets",),
+)
+def yaw_ratio(t):
+    c = F.col
+    return t.raw_dets.select("det_id", expr.yaw_ratio((c("x1"), c("y1")), (c("x2"), c("y1") + 3), (c("x1") + 5, c("y2"))).alias("yaw"))
+
+
+@query(
+    """, b AS (SELECT det_id, CAST(trunc(greatest(x1 - 0.25 * (x2 - x1), 0)) AS INT) AS l, CAST(trunc(greatest(y1 - 0.25 * (y2 - y1), 0)) AS INT) AS tp,
+      CAST(trunc(least(x2 + 0.25 * (x2 - x1), 1000)) AS INT) AS r, CAST(trunc(least(y2 + 0.25 * (y2 - y1), 600)) AS INT) AS bt FROM raw_dets),
+    s AS (SELECT *, least(1.0::DOUBLE, 100.0::DOUBLE / greatest(r - l, bt - tp)) AS f FROM b)
+    SELECT det_id, l AS left_px, tp AS top_px, r AS right_px, bt AS bottom_px, CAST(round_even((r - l) * f, 0) AS INT) AS out_w, CAST(round_even((bt - tp) * f, 0) AS INT) AS out_h FROM s""",
+    ("raw_dets",),
+)
+def crop_box(t):
+    c = F.col
+    box = expr.crop_box(c("x1"), c("y1"), c("x2"), c("y2"), F.lit(1000.0), F.lit(600.0), longest=100)
+    df = t.raw_dets.where("x1 < 1000 and y1 < 600").select("det_id", box.alias("b"))
+    names = {"left": "left_px", "top": "top_px", "right": "right_px", "bottom": "bottom_px", "out_width": "out_w", "out_height": "out_h"}
+    return df.select("det_id", *[F.col(f"b.{k}").alias(v) for k, v in names.items()])
+
+
+@query(
+    """SELECT p_partkey, CAST(round_even((p_size * 100) * least(1.0::DOUBLE, 512.0::DOUBLE / greatest(p_size * 100, 300)), 0) AS INT) AS width,
+    CAST(round_even(300 * least(1.0::DOUBLE, 512.0::DOUBLE / greatest(p_size * 100, 300)), 0) AS INT) AS height FROM part"""
+)
+def frame_size(t):
+    return t.read("part").select("p_partkey", expr.frame_size(F.col("p_size") * 100, F.lit(300), 512).alias("s")).select("p_partkey", "s.width", "s.height")
+
+
+@query(
+    """SELECT conv_id, turn, CASE WHEN length(text) <= 40 THEN text ELSE substr(text, 1, 40) || '...' END AS head, CASE WHEN length(text) <= 40 THEN text ELSE '...' || right(text, 40) END AS tail FROM conversations"""
+)
+def clip_text(t):
+    text = F.col("text")
+    return t.read("conversations").select("conv_id", "turn", expr.clip_text(text, 40).alias("head"), expr.clip_text(text, 40, tail=True).alias("tail"))
+
+
+@query(
+    r"""SELECT event_id, CASE WHEN regexp_matches(label, '(?i)group\s*_?(\d+)') THEN 'group' || CAST(CAST(regexp_extract(label, '(?i)group\s*_?(\d+)', 1) AS BIGINT) AS VARCHAR) END AS grp
+    FROM (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'Group_0' || CAST(user_id AS VARCHAR) WHEN 1 THEN 'the group ' || CAST(user_id AS VARCHAR) || ' (left)' WHEN 2 THEN 'nobody' END AS label FROM events) q"""
+)
+def normalise_group(t):
+    n = F.col("user_id").cast("string")
+    k = F.col("event_id") % 4
+    label = F.when(k == 0, F.concat(F.lit("Group_0"), n)).when(k == 1, F.concat(F.lit("the group "), n, F.lit(" (left)"))).when(k == 2, "nobody")
+    return t.read("events").select("event_id", expr.normalise_group(label).alias("group"))
+
+
+# --- joins and signals ----------------------------------------------------------------------------
+@query(
+    """SELECT f.det_id, s.id AS scene_id FROM faces f JOIN scenes s ON f.video_id = s.video_id AND f.ts >= s.start_s AND f.ts < s.end_s""",
+    ("faces", "scenes"),
+)
+def interval_join(t):
+    return joins.interval_join(t.faces, t.scenes).select("det_id", "scene_id")
+
+
+@query(
+    """SELECT DISTINCT a.video_id, a.grp AS a, b.grp AS b FROM faces a JOIN faces b ON a.video_id = b.video_id AND a.ts = b.ts AND a.grp < b.grp""",
+    ("faces",),
+)
+def same_frame_pairs(t):
+    return joins.same_frame_pairs(t.faces.select("video_id", "ts", F.col("group").alias("track_id")))
+
+
+VISUAL = """, p AS (SELECT a.video_id, a.shot_id AS i, b.shot_id AS j, list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS sim FROM shot_vecs a JOIN shot_vecs b ON a.video_id = b.video_id AND b.shot_id > a.shot_id AND b.shot_id <= a.shot_id + 11)
+    SELECT b.video_id, b.shot_id, round(max(p.sim), 6) AS sim_v FROM bounds b JOIN p ON p.video_id = b.video_id AND p.i >= b.shot_id - 6 AND p.i < b.shot_id AND p.j >= b.shot_id AND p.j < b.shot_id + 6 GROUP BY b.video_id, b.shot_id"""
+
+
+@query(VISUAL, ("shot_vecs", "bounds"))
+def visual_link(t):
+    return segments.visual_link(t.shot_vecs)
+
+
+PEOPLE = """, pv AS (SELECT b.video_id, b.shot_id, f.grp, count(*) FILTER (WHERE f.ts < b.time) AS left_n, count(*) FILTER (WHERE f.ts >= b.time) AS right_n
+    FROM bounds b JOIN faces f ON f.video_id = b.video_id AND f.ts >= b.time - 60 AND f.ts < b.time + 60 AND f.grp > 0 GROUP BY b.video_id, b.shot_id, f.grp) """
+
+
+@query(PEOPLE + "SELECT * FROM pv", ("bounds", "faces"))
+def people_vectors(t):
+    return segments.people_vectors(t.faces, t.bounds)
+
+
+@query(
+    PEOPLE + """SELECT video_id, shot_id, CASE WHEN sum(left_n * left_n) > 0 AND sum(right_n * right_n) > 0 THEN round(sum(left_n * right_n) / sqrt(sum(left_n * left_n) * sum(right_n * right_n)), 6) END AS sim_p FROM pv GROUP BY video_id, shot_id""",
+    ("bounds", "faces"),
+)
+def people_similarity(t):
+    return segments.people_similarity(segments.people_vectors(t.faces, t.bounds))
+
+
+TEXTS = """, bt AS (SELECT b.video_id, b.shot_id,
+    coalesce(string_agg(s.text, ' ' ORDER BY s.seg_no) FILTER (WHERE (s.start_s + s.end_s) / 2 < b.time), '') AS left_text,
+    coalesce(string_agg(s.text, ' ' ORDER BY s.seg_no) FILTER (WHERE (s.start_s + s.end_s) / 2 >= b.time), '') AS right_text
+    FROM bounds b LEFT JOIN segments s ON s.video_id = b.video_id AND (s.start_s + s.end_s) / 2 >= b.time - 60 AND (s.start_s + s.end_s) / 2 < b.time + 60 GROUP BY b.video_id, b.shot_id) """
+
+
+@query(TEXTS + "SELECT * FROM bt", ("bounds", "segments"))
+def boundary_text(t):
+    return segments.boundary_text(t.segments, t.bounds)
+
+
+def _text_vectors(t, texts):
+    """A stand-in encoder: the vector of a text is chosen by its length."""
+    n = t.read("embeddings").count()
+    distinct = texts.select(F.explode(F.array("left_text", "right_text")).alias("text")).where("text <> ''").distinct()
+    return distinct.withColumn("vec_id", F.length("text") % n).join(t.read("embeddings").select("vec_id", "embedding"), "vec_id").select("text", "embedding")
+
+
+@query(
+    TEXTS + """, tv AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
+    SELECT bt.video_id, bt.shot_id, CASE WHEN left_text <> '' AND right_text <> '' THEN round(list_cosine_similarity(a.e, b.e), 6) END AS sim_t
+    FROM bt, n_vecs c, tv a, tv b WHERE a.vec_id = length(left_text) % c.n AND b.vec_id = length(right_text) % c.n""",
+    ("bounds", "segments", "n_vecs"),
+)
+def text_similarity(t):
+    texts = segments.boundary_text(t.segments, t.bounds)
+    return segments.text_similarity(texts, _text_vectors(t, texts))
+
+
+@query(
+    """, v AS (SELECT video_id, shot_id, CASE WHEN shot_id % 7 = 0 THEN NULL ELSE sim END AS sim FROM boundaries)
+    SELECT video_id, shot_id, CASE WHEN sim IS NULL THEN NULL WHEN count(sim) OVER w < 2 OR stddev_pop(sim) OVER w = 0 THEN 0.0 ELSE round((sim - avg(sim) OVER w) / stddev_pop(sim) OVER w, 6) END AS z
+    FROM v WINDOW w AS (PARTITION BY video_id)""",
+    ("boundaries",),
+)
+def zscore(t):
+    df = t.boundaries.select("video_id", "shot_id", F.when(F.col("shot_id") % 7 != 0, F.col("sim")).alias("sim"))
+    return segments.zscore(df, "sim", "z").select("video_id", "shot_id", "z")
+
+
+@query(
+    """SELECT video_id, shot_id, CASE WHEN shot_id % 3 = 0 AND shot_id % 2 = 0 THEN 0.0 ELSE round(
+      (CASE WHEN shot_id % 3 <> 0 THEN 0.35 * sim + 0.2 * (1 - sim) ELSE 0 END + CASE WHEN shot_id % 2 <> 0 THEN 0.45 * sim * sim ELSE 0 END)
+      / (CASE WHEN shot_id % 3 <> 0 THEN 0.55 ELSE 0 END + CASE WHEN shot_id % 2 <> 0 THEN 0.45 ELSE 0 END), 6) END AS combined FROM boundaries""",
+    ("boundaries",),
+)
+def combine_signals(t):
+    s = F.col("sim")
+    third, half = F.col("shot_id") % 3 != 0, F.col("shot_id") % 2 != 0
+    df = t.boundaries.select("video_id", "shot_id", F.when(third, s).alias("sim_v"), F.when(half, s * s).alias("sim_t"), F.when(third, 1 - s).alias("sim_p"))
+    return segments.combine_signals(df, out="combined").select("video_id", "shot_id", "combined")
+
+
+DEPTH = """, n AS (SELECT *, CASE WHEN lag(sim) OVER w IS NULL OR lag(sim) OVER w < sim THEN sim END AS l, CASE WHEN lead(sim) OVER w IS NULL OR lead(sim) OVER w < sim THEN sim END AS r FROM boundaries WINDOW w AS (PARTITION BY video_id ORDER BY shot_id)),
+    d AS (SELECT video_id, shot_id, time, sim, last_value(l IGNORE NULLS) OVER (PARTITION BY video_id ORDER BY shot_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - sim
+      + first_value(r IGNORE NULLS) OVER (PARTITION BY video_id ORDER BY shot_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) - sim AS depth FROM n) """
+
+
+@query(DEPTH + "SELECT video_id, shot_id, round(depth, 6) AS depth FROM d", ("boundaries",))
+def depth_score(t):
+    return segments.depth_score(t.boundaries).select("video_id", "shot_id", "depth")
+
+
+@query()
+def select_cuts(t):
+    return segments.select_cuts(segments.depth_score(t.boundaries), t.videos, t.chapters)
+
+
+@query()
+def refine_candidates(t):
+    depth = segments.depth_score(t.boundaries)
+    return segments.refine_candidates(depth, segments.select_cuts(depth, t.videos, t.chapters))
+
+
+@query()
+def enforce_min_scene(t):
+    return segments.enforce_min_scene(segments.depth_score(t.boundaries).where("shot_id % 11 = 0"), t.videos)
+
+
+@query("SELECT video_id, id AS cid FROM shots WHERE id % 5 = 0 AND id < 100", ("shots",))
+def kept_candidates(t):
+    answers = t.shots.where("id % 5 = 0").groupBy("video_id").agg(F.concat(F.collect_list(F.col("id").cast("int")), F.array(F.lit(5), F.lit(999999))).alias("keep"))
+    return segments.kept_candidates(t.shots.where("id < 100").select("video_id", F.col("id").cast("int").alias("cid")), answers)
+
+
+@query("SELECT video_id, CASE WHEN video_id % 2 = 0 AND max(id) >= 1 THEN 'refined' ELSE 'local' END AS method FROM scenes GROUP BY video_id", ("scenes",))
+def scene_method(t):
+    refined = t.scenes.where("video_id % 2 = 1 or id <> 1")
+    return segments.scene_method(t.scenes, refined)
+
+
+@query()
+def shot_vectors(t):
+    n = t.read("embeddings").count()
+    k = t.shots.select("video_id", F.col("id").alias("shot_id"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k")).where("shot_id % 9 <> 0")
+    k = k.withColumn("vec_id", (F.col("video_id") * 97 + F.col("shot_id") * 3 + F.col("k")) % n).join(t.read("embeddings"), "vec_id")
+    return segments.shot_vectors(k, t.shots, 64).select("video_id", "shot_id", F.array_join(F.transform("embedding", lambda x: F.round(x, 6)), ",").alias("vec"))
+
+
+# --- faces ----------------------------------------------------------------------------------------
+@query(
+    """, st AS (SELECT *, dense_rank() OVER (PARTITION BY video_id, shot_id ORDER BY ts) AS step FROM faces),
+    p AS (SELECT a.video_id, a.shot_id, a.det_id AS det_a, b.det_id AS det_b, (a.x2 - a.x1) * (a.y2 - a.y1) AS sa, (b.x2 - b.x1) * (b.y2 - b.y1) AS sb,
+      greatest(least(a.x2, b.x2) - greatest(a.x1, b.x1), 0) * greatest(least(a.y2, b.y2) - greatest(a.y1, b.y1), 0) AS i
+      FROM st a JOIN st b ON a.video_id = b.video_id AND a.shot_id = b.shot_id AND b.step = a.step + 1)
+    SELECT video_id, shot_id, det_a, det_b, round(i / (sa + sb - i + 1e-9), 6) AS iou FROM p""",
+    ("faces",),
+)
+def pairwise_iou(t):
+    return faces.pairwise_iou(t.faces)
+
+
+def _tracked(t):
+    return faces.build_tracks(t.detections().withColumn("shot_id", F.floor(F.col("ts") / 60).cast("int")), min_iou=0.01, min_cos=-1.0)
+
+
+@query()
+def build_tracks(t):
+    return _tracked(t).select("video_id", "det_id", "track_id")
+
+
+@query()
+def track_embeddings(t):
+    df = faces.track_embeddings(_tracked(t))
+    return df.select("video_id", "track_id", "n_dets", "n_anchor", F.array_join("frames", ",").alias("frames"), F.round(F.get("embedding", F.lit(0)), 6).alias("first"))
+
+
+@query()
+def cluster_tracks(t):
+    return faces.cluster_tracks(_tracked(t)).select("video_id", "det_id", "cluster")
+
+
+@query(
+    """, k AS (SELECT video_id, grp AS cluster, det_id AS track_id, 1 + det_id % 4 AS n_dets FROM faces WHERE det_id % 40 = 0),
+    c AS (SELECT video_id, cluster, count(*) AS n, sum(n_dets) AS d FROM k GROUP BY video_id, cluster)
+    SELECT k.video_id, k.track_id, CASE WHEN c.n = 1 AND c.d < 3 THEN -1 ELSE k.cluster END AS cluster FROM k JOIN c ON k.video_id = c.video_id AND k.cluster = c.cluster""",
+    ("faces",),
+)
+def dissolve_tiny(t):
+    k = t.faces.where("det_id % 40 = 0").select("video_id", F.col("group").alias("cluster"), F.col("det_id").alias("track_id"), (1 + F.col("det_id") % 4).alias("n_dets"))
+    return faces.dissolve_tiny(k)
+
+
+@query(
+    """, k AS (SELECT video_id, det_id, CASE WHEN grp > 0 THEN grp ELSE -1 END AS cluster FROM faces),
+    r AS (SELECT video_id, cluster, row_number() OVER (PARTITION BY video_id ORDER BY count(*) DESC, cluster) AS g FROM k WHERE cluster >= 0 GROUP BY video_id, cluster)
+    SELECT k.video_id, k.det_id, coalesce(r.g, -1) AS grp FROM k LEFT JOIN r ON k.video_id = r.video_id AND k.cluster = r.cluster""",
+    ("faces",),
+)
+def rank_groups(t):
+    return faces.rank_groups(t.faces.withColumnRenamed("group", "cluster")).select("video_id", "det_id", "group")
+
+
+@query()
+def group_stats(t):
+    return faces.group_stats(t.detections().withColumn("track_id", F.col("det_id") % 50))
+
+
+@query(
+    """, r AS (SELECT video_id, grp, det_id, row_number() OVER (PARTITION BY video_id, grp ORDER BY ts, det_id) - 1 AS i, count(*) OVER (PARTITION BY video_id, grp) AS n FROM faces WHERE grp > 0),
+    s AS (SELECT *, unnest(range(0, least(n, 64))) AS place FROM r)
+    SELECT video_id, grp, det_id, place, CAST(floor(place / 8.0) AS BIGINT) AS sheet_row, place % 8 AS sheet_col FROM s WHERE i = round_even(place * (n - 1) / greatest(least(n, 64) - 1, 1)::DOUBLE, 0)""",
+    ("faces",),
+)
+def even_sample(t):
+    return faces.even_sample(t.faces).select("video_id", "group", "det_id", "place", "sheet_row", "sheet_col")
+
+
+@query()
+def best_crops(t):
+    windows = t.scenes.withColumnRenamed("id", "window_id")
+    return faces.best_crops(t.faces, windows).select("video_id", "window_id", "group", "det_id", "place")
+
+
+@query(
+    """SELECT video_id, left(sha256(string_agg(CAST(det_id AS VARCHAR) || ':' || CAST(grp AS VARCHAR), ',' ORDER BY det_id)), 16) AS signature FROM faces GROUP BY video_id""",
+    ("faces",),
+)
+def grouping_signature(t):
+    return faces.grouping_signature(t.faces)
+
+
+@query()
+def identity_agreement(t):
+    d = t.detections().where("group > 0")
+    return faces.identity_agreement(d.withColumnRenamed("det_id", "crop_id"), faces.group_centroids(d))
+
+
+# --- evidence and answers -------------------------------------------------------------------------
+@query(
+    """, h AS (SELECT s.video_id, s.id AS window_id, f.grp, count(*) AS detections FROM faces f JOIN scenes s ON f.video_id = s.video_id AND f.ts >= s.start_s AND f.ts < s.end_s WHERE f.grp > 0 GROUP BY ALL)
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY video_id, window_id ORDER BY detections DESC, grp) AS rank FROM h) q WHERE rank <= 3""",
+    ("faces", "scenes"),
+)
+def top_groups(t):
+    return evidence.top_groups(t.faces, t.scenes.withColumnRenamed("id", "window_id"), 3)
+
+
+@query()
+def description_windows(t):
+    return evidence.description_windows(t.scenes)
+
+
+@query(
+    """, n AS (SELECT b.video_id, b.shot_id, f.grp, count(*) AS n FROM bounds b JOIN faces f ON f.video_id = b.video_id AND f.ts >= b.time - 60 AND f.ts < b.time + 60 AND f.grp > 0 GROUP BY ALL),
+    g AS (SELECT video_id, shot_id, string_agg('group' || CAST(grp AS VARCHAR), ',' ORDER BY n DESC, grp) AS groups FROM n GROUP BY ALL),
+    sg AS (SELECT *, (start_s + end_s) / 2 AS mid FROM segments),
+    b4 AS (SELECT b.video_id, b.shot_id, string_agg(s.text, ' ' ORDER BY s.seg_no) AS x FROM bounds b JOIN sg s ON s.video_id = b.video_id AND s.mid >= b.time - 20 AND s.mid < b.time GROUP BY ALL),
+    af AS (SELECT b.video_id, b.shot_id, string_agg(s.text, ' ' ORDER BY s.seg_no) AS x FROM bounds b JOIN sg s ON s.video_id = b.video_id AND s.mid >= b.time AND s.mid < b.time + 20 GROUP BY ALL)
+    SELECT b.video_id, b.shot_id AS cid, printf('%02d:%02d:%05.2f', CAST(floor(b.time / 3600) AS INT), CAST(floor((b.time % 3600) / 60) AS INT), b.time % 60) AS at, 0.5 AS depth, coalesce(g.groups, '-') AS groups,
+    CASE WHEN length(coalesce(b4.x, '')) <= 250 THEN coalesce(b4.x, '') ELSE '...' || right(b4.x, 250) END AS before, CASE WHEN length(coalesce(af.x, '')) <= 250 THEN coalesce(af.x, '') ELSE substr(af.x, 1, 250) || '...' END AS after
+    FROM bounds b LEFT JOIN g ON b.video_id = g.video_id AND b.shot_id = g.shot_id LEFT JOIN b4 ON b.video_id = b4.video_id AND b.shot_id = b4.shot_id LEFT JOIN af ON b.video_id = af.video_id AND b.shot_id = af.shot_id""",
+    ("bounds", "faces", "segments"),
+)
+def candidate_evidence(t):
+    c = t.bounds.select("video_id", F.col("shot_id").alias("cid"), "time", F.lit(0.5).alias("depth"))
+    return evidence.candidate_evidence(c, t.segments, t.faces)
+
+
+@query()
+def scene_evidence(t):
+    return evidence.scene_evidence(t.scenes, t.segments, t.faces)
+
+
+@query(
+    """SELECT conv_id AS request_id, CAST(sum(CASE WHEN turn % 3 = 0 THEN floor(length(text) / 3.0) WHEN turn % 3 = 1 THEN 300 ELSE floor(110 * length(text) / 7.0::DOUBLE) END) AS BIGINT) AS tokens,
+    sum(CASE WHEN turn % 3 = 0 THEN floor(length(text) / 3.0) WHEN turn % 3 = 1 THEN 300 ELSE floor(110 * length(text) / 7.0::DOUBLE) END) > 5000 AS over FROM conversations GROUP BY conv_id"""
+)
+def request_tokens(t):
+    k = F.col("turn") % 3
+    items = t.read("conversations").select(
+        F.col("conv_id").alias("request_id"), F.when(k == 0, "text").when(k == 1, "image").otherwise("video").alias("kind"), F.col("text").alias("val"), (F.length("text") / 7.0).alias("seconds")
+    )
+    return evidence.request_tokens(items, 5000)
+
+
+def _keys(t):
+    rows = t.read("conversations").select(F.col("conv_id").alias("request_id"), F.explode(F.array(F.lit("main"), F.lit("spare"))).alias("model"), F.col("turn").alias("item_no"), F.col("role").alias("kind"), F.col("text").alias("val"), F.lit("low").alias("resolution"))
+    return evidence.request_key(rows)
+
+
+def _cache(keys):
+    """Main answers for requests divisible by 3, spare ones for those divisible by 2."""
+    hit = ((F.col("model") == "main") & (F.col("request_id") % 3 == 0)) | ((F.col("model") == "spare") & (F.col("request_id") % 2 == 0))
+    return keys.where(hit).select("key", F.concat("model", F.lit("-"), "request_id").alias("text"))
+
+
+@query("SELECT count(DISTINCT conv_id) * 2 AS keys, count(DISTINCT conv_id) * 2 AS distinct_keys, 64 AS width FROM conversations")
+def request_key(t):
+    return _keys(t).agg(F.count("key").alias("keys"), F.count_distinct("key").alias("distinct_keys"), F.max(F.length("key")).alias("width"))
+
+
+@query("SELECT DISTINCT conv_id AS request_id, CASE WHEN conv_id % 3 = 0 THEN 'main' ELSE 'spare' END AS model, CASE WHEN conv_id % 3 = 0 THEN 'main-' ELSE 'spare-' END || CAST(conv_id AS VARCHAR) AS text FROM conversations WHERE conv_id % 3 = 0 OR conv_id % 2 = 0")
+def cache_lookup(t):
+    keys = _keys(t)
+    return evidence.cache_lookup(keys, _cache(keys), ["main", "spare"])
+
+
+@query("SELECT DISTINCT conv_id AS request_id FROM conversations WHERE conv_id % 3 <> 0 AND conv_id % 2 <> 0")
+def pending_requests(t):
+    keys = _keys(t)
+    return evidence.pending_requests(keys, _cache(keys))
+
+
+@query(
+    """SELECT video_id, id AS scene_id, CASE WHEN id % 3 = 0 THEN 'answered' WHEN id % 2 = 0 THEN 'fallback' ELSE 'failed' END AS outcome, CASE WHEN id % 3 = 0 THEN 'main' WHEN id % 2 = 0 THEN 'spare' END AS model FROM scenes""",
+    ("scenes",),
+)
+def reconcile_answers(t):
+    s = t.scenes.select("video_id", F.col("id").alias("scene_id"))
+    extra = s.withColumn("scene_id", F.col("scene_id") + 10_000)
+    main = s.where("scene_id % 3 = 0").union(extra).withColumn("model", F.lit("main"))
+    return evidence.reconcile_answers(s, main, s.where("scene_id % 2 = 0").union(extra).withColumn("model", F.lit("spare")))
+
+
+ANSWERS = """, ans AS (SELECT video_id, id AS scene_id FROM scenes), con AS (
+    SELECT video_id, scene_id, 0 AS pos, 'group' || CAST(1 + scene_id % 10 AS VARCHAR) AS grp, 'host' AS role, 'Person ' || CAST(scene_id % 4 AS VARCHAR) AS name FROM ans
+    UNION ALL SELECT video_id, scene_id, 1, 'group' || CAST(1 + scene_id % 10 AS VARCHAR), 'guest', 'Other' FROM ans
+    UNION ALL SELECT video_id, scene_id, 2, 'group' || CAST(1 + (scene_id + 3) % 10 AS VARCHAR), 'guest', CASE WHEN scene_id % 2 = 0 THEN '' END FROM ans
+    UNION ALL SELECT video_id, scene_id, 3, NULL, 'narrator', CASE WHEN scene_id % 5 = 0 THEN 'A Voice' END FROM ans),
+    nm AS (SELECT video_id, grp, name FROM (SELECT *, row_number() OVER (PARTITION BY video_id, grp ORDER BY n DESC, length(name) DESC, f, p) AS r FROM (
+      SELECT video_id, grp, name, count(*) AS n, min(scene_id) AS f, min(scene_id * 10 + pos) AS p FROM con WHERE grp IS NOT NULL AND name <> '' GROUP BY video_id, grp, name) a) b WHERE r = 1) """
+
+
+def _answers(t):
+    """Answers as a model would give them, one per scene, through their JSON."""
+    s = t.scenes.select("video_id", F.col("id").alias("scene_id"))
+    n = F.col("scene_id")
+    person = lambda g, role, name: F.struct(g.alias("group"), F.lit(role).alias("role"), name.alias("name"))
+    people = F.array(
+        person(F.concat(F.lit("group"), 1 + n % 10), "host", F.concat(F.lit("Person "), n % 4)),
+        person(F.concat(F.lit("Group_0"), 1 + n % 10), "guest", F.lit("Other")),
+        person(F.concat(F.lit("group "), 1 + (n + 3) % 10), "guest", F.when(n % 2 == 0, "")),
+        person(F.lit(None).cast("string"), "narrator", F.when(n % 5 == 0, "A Voice")),
+    )
+    body = F.to_json(F.struct("scene_id", F.lit("Title").alias("title"), F.lit("A talk.").alias("central_theme"), people.alias("key_contributors"), F.array(F.lit("They meet."), F.lit("They part")).alias("events")))
+    return s.select("video_id", F.lit("main").alias("model"), F.when(n % 13 == 12, F.lit('{"scene_id": "x"')).otherwise(body).alias("json"))
+
+
+@query("SELECT video_id, count(*) FILTER (WHERE id % 13 <> 12) AS good, count(*) FILTER (WHERE id % 13 = 12) AS bad FROM scenes GROUP BY video_id", ("scenes",))
+def parse_answers(t):
+    good, bad = evidence.parse_answers(_answers(t))
+    n = lambda df, a, b: df.select("video_id", F.lit(a).alias("g"), F.lit(b).alias("b"))
+    return n(good, 1, 0).union(n(bad, 0, 1)).groupBy("video_id").agg(F.sum("g").alias("good"), F.sum("b").alias("bad"))
+
+
+@query(ANSWERS.replace("FROM scenes)", "FROM scenes WHERE id % 13 <> 12)") + "SELECT * FROM nm", ("scenes",))
+def group_names(t):
+    return evidence.group_names(evidence.parse_answers(_answers(t))[0])
+
+
+@query(
+    """SELECT DISTINCT f.video_id, s.id AS scene_id, 'group' || CAST(f.grp AS VARCHAR) AS grp FROM faces f JOIN scenes s ON f.video_id = s.video_id AND f.ts >= s.start_s AND f.ts < s.end_s WHERE f.grp > 0""",
+    ("faces", "scenes"),
+)
+def scene_presence(t):
+    return evidence.scene_presence(t.faces, t.scenes)
+
+
+@query(
+    ANSWERS.replace("FROM scenes)", "FROM scenes WHERE id % 13 <> 12)")
+    + """, pr AS (SELECT DISTINCT f.video_id, s.id AS scene_id, 'group' || CAST(f.grp AS VARCHAR) AS grp FROM faces f JOIN scenes s ON f.video_id = s.video_id AND f.ts >= s.start_s AND f.ts < s.end_s WHERE f.grp > 0),
+    c AS (SELECT con.*, pr.grp IS NOT NULL AS here, row_number() OVER (PARTITION BY con.video_id, con.scene_id, con.grp ORDER BY pos) AS n, nm.name AS voted FROM con
+      LEFT JOIN pr ON con.video_id = pr.video_id AND con.scene_id = pr.scene_id AND con.grp = pr.grp LEFT JOIN nm ON con.video_id = nm.video_id AND con.grp = nm.grp)
+    SELECT video_id, scene_id, 'Central theme: A talk. Key contributors: ' || string_agg(CASE WHEN here AND coalesce(voted, nullif(name, '')) IS NOT NULL THEN grp || ' (' || coalesce(voted, name) || ', ' || role || ')'
+      WHEN here THEN grp || ' (' || role || ')' WHEN nullif(name, '') IS NOT NULL THEN name || ' (' || role || ', off-screen)' ELSE 'an off-screen ' || role END, ', ' ORDER BY pos) || '. Events: (1) They meet; (2) They part.' AS description
+    FROM c WHERE NOT here OR n = 1 GROUP BY video_id, scene_id""",
+    ("scenes", "faces"),
+)
+def compose_description(t):
+    good = evidence.parse_answers(_answers(t))[0]
+    return evidence.compose_description(good, evidence.scene_presence(t.faces, t.scenes), evidence.group_names(good))
+
+
+# --- documents and checks -------------------------------------------------------------------------
+@query("SELECT video_id, det_id, ts, grp FROM best_faces", ("best_faces",))
+def dedupe_faces(t):
+    return export.dedupe_faces(t.faces).select("video_id", "det_id", "ts", "group")
+
+
+@query(
+    """, a AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= 1.5 THEN 0 ELSE 1 END AS fresh FROM appearances WINDOW w AS (PARTITION BY video_id, scene_id, grp ORDER BY ts)),
+    b AS (SELECT *, sum(fresh) OVER (PARTITION BY video_id, scene_id, grp ORDER BY ts) AS run FROM a)
+    SELECT video_id, scene_id, grp, min(ts) AS start_s, max(ts) AS end_s, count(*) AS n FROM b GROUP BY video_id, scene_id, grp, run""",
+    ("appearances",),
+)
+def appearance_intervals(t):
+    return export.appearance_intervals(export.scene_appearances(t.faces, t.scenes))
+
+
+@query(
+    """, m AS (SELECT video_id, scene_id, grp, string_agg(printf('%.2f', ts), ',' ORDER BY ts) AS ts FROM appearances GROUP BY ALL)
+    SELECT s.video_id, s.id AS scene_id, coalesce(string_agg('group' || CAST(m.grp AS VARCHAR) || '=' || m.ts, ';' ORDER BY m.grp), '') AS faces FROM scenes s LEFT JOIN m ON s.video_id = m.video_id AND s.id = m.scene_id GROUP BY ALL""",
+    ("appearances", "scenes"),
+)
+def scene_face_map(t):
+    entries = F.array_sort(F.transform(F.map_entries("faces"), lambda e: F.struct(F.substring(e["key"], 6, 9).cast("int").alias("g"), F.array_join(F.transform(e["value"], lambda x: F.format_string("%.2f", x)), ",").alias("t"))))
+    text = F.array_join(F.transform(entries, lambda e: F.concat(F.lit("group"), e["g"], F.lit("="), e["t"])), ";")
+    return export.scene_face_map(t.faces, t.scenes).select("video_id", "scene_id", text.alias("faces"))
+
+
+def _document(t):
+    words = t.scenes.select("video_id", F.col("id").alias("scene_id"), F.concat(F.lit("Scene "), "id").alias("description"))
+    return export.output_doc(t.shots, t.scenes, t.faces, words)
+
+
+@query(
+    """SELECT s.video_id, s.n_shots, c.n_scenes, c.last_end, c.first_description FROM (SELECT video_id, count(*) AS n_shots FROM shots GROUP BY video_id) s
+    JOIN (SELECT video_id, count(*) AS n_scenes, round(max(end_s), 3) AS last_end, 'Scene 0' AS first_description FROM scenes GROUP BY video_id) c ON s.video_id = c.video_id""",
+    ("shots", "scenes"),
+)
+def output_doc(t):
+    last = F.element_at("scenes", -1)
+    return _document(t).select("video_id", F.size("shots").cast("long").alias("n_shots"), F.size("scenes").cast("long").alias("n_scenes"), last["end_seconds"].alias("last_end"), F.element_at("scenes", 1)["description"].alias("first_description"))
+
+
+@query()
+def extended_doc(t):
+    stats = faces.group_stats(t.detections().withColumn("track_id", F.col("det_id") % 50))
+    doc = export.extended_doc(_document(t), t.videos, stats, segments.scene_method(t.scenes, t.scenes))
+    return doc.select("video_id", F.size("scenes").alias("n_scenes"), F.size("groups").alias("n_groups"), "method", F.element_at("scenes", 1)["end_hms"].alias("first_end"))
+
+
+@query(
+    """, m AS (SELECT video_id, scene_id, grp, count(*) AS n FROM appearances GROUP BY ALL)
+    SELECT s.video_id, s.id AS scene_id, coalesce(string_agg('group' || CAST(m.grp AS VARCHAR) || ': ' || CAST(m.n AS VARCHAR), ', ' ORDER BY m.grp), 'no faces') AS counts FROM scenes s LEFT JOIN m ON s.video_id = m.video_id AND s.id = m.scene_id GROUP BY ALL""",
+    ("appearances", "scenes"),
+)
+def folder_counts(t):
+    return export.folder_counts(export.scene_appearances(t.faces, t.scenes), t.scenes)
+
+
+MANIFEST = """, man AS (SELECT video_id, scene_id, printf('scene_%03d/group%d/t%07.2f.jpg', scene_id, grp, ts) AS path, det_id FROM appearances
+    UNION ALL SELECT s.video_id, s.id, printf('scene_%03d/_no_faces', s.id), NULL FROM scenes s WHERE NOT EXISTS (SELECT 1 FROM appearances a WHERE a.video_id = s.video_id AND a.scene_id = s.id)) """
+
+
+@query(MANIFEST + "SELECT * FROM man", ("appearances", "scenes"))
+def crop_manifest(t):
+    return export.crop_manifest(export.scene_appearances(t.faces, t.scenes), t.scenes)
+
+
+@query(
+    """, m AS (SELECT video_id, scene_id, grp, count(*) AS frames, list(ts ORDER BY ts) AS l FROM appearances GROUP BY ALL)
+    SELECT s.video_id, s.id AS scene_id, array_to_string(list_sort(list_distinct([first_shot, CAST(floor((first_shot + last_shot) / 2.0) AS BIGINT), last_shot])), '-') AS shots, m.grp, m.frames, m.l[CAST(floor(m.frames / 2.0) AS BIGINT) + 1] AS middle_ts
+    FROM scenes s LEFT JOIN m ON s.video_id = m.video_id AND s.id = m.scene_id""",
+    ("appearances", "scenes"),
+)
+def scene_report_rows(t):
+    return export.scene_report_rows(t.scenes, export.scene_appearances(t.faces, t.scenes))
+
+
+@query(
+    MANIFEST + """SELECT video_id, 'files' AS "check", 'error' AS severity, path AS entity, 'missing file' AS detail FROM man WHERE det_id % 97 = 0 UNION ALL SELECT video_id, 'files', 'error', 'scene_999/orphan.jpg', 'no timecode' FROM videos""",
+    ("appearances", "scenes", "videos"),
+)
+def check_files(t):
+    made = export.crop_manifest(export.scene_appearances(t.faces, t.scenes), t.scenes)
+    files = made.where("det_id is null or det_id % 97 <> 0").select("video_id", "path").union(t.videos.select("video_id", F.lit("scene_999/orphan.jpg")))
+    return checks.check_files(files, made)
+
+
+@query(
+    """SELECT video_id, 'folders' AS "check", 'error' AS severity, '999/orphan.jpg' AS entity, 'unexpected folder' AS detail FROM videos""",
+    ("videos",),
+)
+def check_folders(t):
+    seen = export.scene_appearances(t.faces, t.scenes)
+    files = export.crop_manifest(seen, t.scenes).select("video_id", "path").union(t.videos.select("video_id", F.lit("scene_999/orphan.jpg")))
+    return checks.check_folders(files, seen, t.scenes)
+
+
+def _damaged(t):
+    """Scenes of which some are short, shifted or renumbered."""
+    n = F.col("id") % 10
+    s = t.scenes
+    s = s.withColumn("end", F.when(n == 3, F.col("start")).otherwise(F.col("end")))
+    s = s.withColumn("start", F.when(n == 5, F.col("start") + 0.5).otherwise(F.col("start")))
+    return s.withColumn("id", F.when(n == 7, F.col("id") + 1000).otherwise(F.col("id")))
+
+
+@query(
+    """, b AS (SELECT video_id, CASE WHEN id % 10 = 7 THEN id + 1000 ELSE id END AS id, CASE WHEN id % 10 = 5 THEN start_s + 0.5 ELSE start_s END AS start_s, CASE WHEN id % 10 = 3 THEN start_s ELSE end_s END AS end_s FROM scenes),
+    o AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY start_s, id) - 1 AS n, lead(start_s) OVER (PARTITION BY video_id ORDER BY start_s, id) AS nx FROM b),
+    v AS (SELECT video_id, 'ids' AS c, 'error' AS s, id FROM o WHERE n <> id UNION ALL SELECT video_id, 'contiguity', 'error', id FROM o WHERE abs(end_s - nx) > 1e-6 UNION ALL SELECT video_id, 'positive_length', 'error', id FROM o WHERE end_s <= start_s
+      UNION ALL SELECT video_id, 'min_scene', 'warning', id FROM o WHERE end_s - start_s < 30
+      UNION ALL SELECT o.video_id, 'scene_on_shot', 'error', o.id FROM o WHERE NOT EXISTS (SELECT 1 FROM shots t WHERE t.video_id = o.video_id AND round(t.start_s, 3) = round(o.start_s, 3))
+      UNION ALL SELECT o.video_id, 'coverage', 'error', o.video_id FROM o GROUP BY o.video_id HAVING abs(min(start_s)) > 0 OR abs(max(end_s) - 2160) > 0.06)
+    SELECT video_id, c AS "check", s AS severity, CAST(id AS VARCHAR) AS entity FROM v""",
+    ("scenes", "shots"),
+)
+def check_tiles(t):
+    s = _damaged(t)
+    parts = [checks.check_ids(s), checks.check_contiguity(s), checks.check_positive_length(s), checks.check_min_scene(s), checks.check_scene_on_shot(s, t.shots), checks.check_coverage(s, t.videos)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out.drop("detail")
+
+
+@query(
+    """, b AS (SELECT DISTINCT video_id, id FROM scenes WHERE id % 10 IN (3, 5, 7)) SELECT v.video_id, count(b.id) FILTER (WHERE b.id % 10 = 3) AS errors, CAST(0 AS BIGINT) AS warnings, count(b.id) FILTER (WHERE b.id % 10 = 3) = 0 AS passed
+    FROM videos v LEFT JOIN b ON v.video_id = b.video_id GROUP BY v.video_id""",
+    ("scenes", "videos"),
+)
+def validation_summary(t):
+    return checks.validation_summary(checks.check_positive_length(_damaged(t)), t.videos).drop("messages")
+
+
+@query(
+    """, o AS (SELECT video_id, scene_id, grp, ts, row_number() OVER (PARTITION BY video_id, scene_id, grp ORDER BY ts) AS pos FROM appearances),
+    c AS (SELECT video_id, scene_id, grp, pos, CASE WHEN pos % 3 = 2 THEN ts - 5000 ELSE ts END AS ts FROM o),
+    p AS (SELECT c.*, lag(ts) OVER (PARTITION BY video_id, scene_id, grp ORDER BY pos) AS prev FROM c)
+    SELECT p.video_id, count(*) FILTER (WHERE ts < prev) AS unsorted, count(*) FILTER (WHERE NOT coalesce(ts <= prev, false) AND (ts < s.start_s - 1e-6 OR ts >= s.end_s + 1e-6)) AS outside
+    FROM p JOIN scenes s ON p.video_id = s.video_id AND p.scene_id = s.id GROUP BY p.video_id HAVING count(*) FILTER (WHERE ts < prev) > 0""",
+    ("appearances", "scenes"),
+)
+def check_timecodes(t):
+    from pyspark.sql import Window
+
+    pos = F.row_number().over(Window.partitionBy("video_id", "scene_id", "group").orderBy("ts"))
+    codes = export.scene_appearances(t.faces, t.scenes).withColumn("pos", pos)
+    codes = codes.withColumn("ts", F.when(F.col("pos") % 3 == 2, F.col("ts") - 5000).otherwise(F.col("ts")))
+    v = checks.check_timecodes(codes, t.scenes)
+    return v.groupBy("video_id").agg(F.count_if(F.col("detail") == "unsorted").alias("unsorted"), F.count_if(F.col("detail") == "outside").alias("outside")).where("unsorted > 0")
+
+
+@query(
+    """SELECT s.video_id, 'citations' AS "check", 'error' AS severity, CAST(s.id AS VARCHAR) AS entity, 'group' || CAST(1 + s.id % 12 AS VARCHAR) AS detail FROM scenes s
+    WHERE NOT EXISTS (SELECT 1 FROM appearances a WHERE a.video_id = s.video_id AND a.scene_id = s.id AND a.grp = 1 + s.id % 12)""",
+    ("scenes", "appearances"),
+)
+def check_citations(t):
+    d = t.scenes.select("video_id", F.col("id").alias("scene_id"), F.concat(F.lit("Here is group"), 1 + F.col("id") % 12, F.lit(" and nobody else.")).alias("description"))
+    return checks.check_citations(d, evidence.scene_presence(t.faces, t.scenes))
+
+
+@query("""SELECT video_id, 'description' AS "check", 'error' AS severity, CAST(id AS VARCHAR) AS entity, 'blank' AS detail FROM scenes WHERE id % 4 = 0""", ("scenes",))
+def check_description(t):
+    return checks.check_description(t.scenes.select("video_id", F.col("id").alias("scene_id"), F.when(F.col("id") % 4 != 0, "text").otherwise(" ").alias("description")))
+
+
+@query(
+    """SELECT DISTINCT page_id AS video_id, 'report_links' AS "check", 'error' AS severity, l AS entity, 'missing' AS detail FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS l FROM pages) q WHERE length(l) % 2 = 1"""
+)
+def check_report_links(t):
+    pages = t.read("pages").select(F.col("page_id").alias("video_id"), "html")
+    pattern = 'href="([^"]+)"'
+    links = pages.select("video_id", F.explode(F.regexp_extract_all("html", F.lit(pattern))).alias("path"))
+    return checks.check_report_links(pages, links.where(F.length("path") % 2 == 0), pattern)
+
+
+@query()
+def check_identity(t):
+    d = t.detections().where("group > 0")
+    return checks.check_identity(d.withColumnRenamed("det_id", "crop_id"), faces.group_centroids(d))
+
+
+@query()
+def check_schema(t):
+    body = F.to_json(F.struct("shots", "scenes"))
+    return checks.check_schema(_document(t).select("video_id", F.when(F.col("video_id") % 3 == 0, F.to_json(F.struct("scenes", "shots"))).otherwise(body).alias("json")))
+
+
+# --- sources --------------------------------------------------------------------------------------
+@query(
+    """SELECT video_id, CASE WHEN video_id % 2 = 0 THEN 'c' || CAST(video_id AS VARCHAR) ELSE 'u' END AS channel, duration, CASE WHEN video_id % 3 = 0 THEN 30.0 ELSE 25.0 END AS fps, CASE WHEN video_id % 5 = 0 THEN 0 ELSE 54000 END AS n_frames FROM videos""",
+    ("videos",),
+)
+def video_metadata(t):
+    n = F.col("video_id")
+    info = t.videos.select("video_id", F.to_json(F.struct(n.cast("string").alias("id"), F.when(n % 2 == 0, F.concat(F.lit("c"), n)).alias("channel"), F.lit("u").alias("uploader"), F.col("duration"))).alias("json"))
+    stream = F.struct(F.lit("25/1").alias("r_frame_rate"), F.when(n % 3 == 0, "30/1").otherwise("0/0").alias("avg_frame_rate"), F.when(n % 5 != 0, "54000").alias("nb_read_packets"))
+    probe = t.videos.select("video_id", F.to_json(F.struct(F.array(stream).alias("streams"), F.struct(F.col("duration").cast("string").alias("duration")).alias("format"))).alias("json"))
+    return io.video_metadata(info, probe).select("video_id", "channel", "duration", "fps", "n_frames")
+
+
+@query("SELECT video_id, title, start_s, end_s FROM chapters", ("chapters",))
+def chapters(t):
+    c = F.struct("title", F.col("start").alias("start_time"), F.col("end").alias("end_time"))
+    info = t.chapters.groupBy("video_id").agg(F.to_json(F.struct(F.collect_list(c).alias("chapters"))).alias("json"))
+    return io.chapters(info)
+
+
+@query(
+    """SELECT video_id, round(seg_no * 1.5, 2) AS start_s, round(seg_no * 1.5 + CASE WHEN seg_no % 2 = 0 THEN 0.7 ELSE 0 END, 2) AS end_s, trim(replace(text || chr(10) || 'x', chr(10), ' ')) AS text FROM segments WHERE seg_no % 4 <> 0""",
+    ("segments",),
+)
+def caption_segments(t):
+    k = F.col("seg_no")
+    piece = lambda x: F.struct(x.alias("utf8"))
+    e = F.struct((k * 1500).alias("tStartMs"), F.when(k % 2 == 0, 700).alias("dDurationMs"), F.when(k % 4 != 0, F.array(piece(F.col("text")), piece(F.lit("\nx")))).otherwise(F.array(piece(F.lit(" \n")))).alias("segs"))
+    raw = t.segments.groupBy("video_id").agg(F.to_json(F.struct(F.collect_list(e).alias("events"))).alias("json"))
+    return io.caption_segments(raw).drop("seg_no")
+
+
+@query(
+    """SELECT video_id, CASE WHEN video_id % 2 = 0 THEN 'parakeet' ELSE 'whisper' END AS source, seg_no FROM segments""",
+    ("segments",),
+)
+def pick_transcript(t):
+    s = t.segments.select("video_id", "source", "seg_no")
+    better = s.where("video_id % 2 = 0").withColumn("source", F.lit("parakeet"))
+    return io.pick_transcript(s.union(better).union(s.withColumn("source", F.lit("youtube"))))
+
+
+@query("SELECT video_id, seg_no, round(start_s, 2) AS start_s, round(end_s, 2) AS end_s, trim(text) AS text FROM segments WHERE seg_no % 3 <> 0", ("segments",))
+def clean_segments(t):
+    raw = t.segments.withColumn("text", F.when(F.col("seg_no") % 3 == 0, "  ").otherwise(F.concat(F.lit(" "), "text")))
+    return io.clean_segments(raw).select("video_id", "seg_no", "start", "end", "text")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_ORACLES)
