@@ -44,8 +44,14 @@ def anchors(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return least, ngram_hashes(words, window, seed=2)
 
 
+def keyed(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text, text_key); the key tells rows apart that repeat an id with another text."""
+    text = F.col(text_col).cast("string")
+    return documents.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+
+
 def survey(documents: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    """(doc_id, n_words, full_sha256, seq_a, seq_b, anchors) of each row; seq_a and seq_b name the word sequence."""
+    """(doc_id, text_key, n_words, full_sha256, seq_a, seq_b, anchors) of each row; seq_a and seq_b name the word sequence."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -63,28 +69,27 @@ def survey(documents: DataFrame, id_col: str, text_col: str, window: int) -> Dat
                 sizes = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(found).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, end - row), pa.array(counts.astype(np.int64)), pa.array(shas),
+                    [batch.column(0).slice(row, end - row), batch.column(2).slice(row, end - row), pa.array(counts.astype(np.int64)), pa.array(shas),
                      pa.array(names[0]), pa.array(names[1]), lists],
-                    ["doc_id", "n_words", "full_sha256", "seq_a", "seq_b", "anchors"],
+                    ["doc_id", "text_key", "n_words", "full_sha256", "seq_a", "seq_b", "anchors"],
                 )
 
-    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(work, "doc_id long, n_words long, full_sha256 string, seq_a long, seq_b long, anchors array<long>")
+    return keyed(documents, id_col, text_col).mapInArrow(work, "doc_id long, text_key long, n_words long, full_sha256 string, seq_a long, seq_b long, anchors array<long>")
 
 
 def suffixes(candidates: DataFrame, window: int) -> DataFrame:
-    """(prefix, crowded, doc_id, places, nodes): each text's suffixes under a shared prefix.
+    """(prefix, crowded, doc_id, places, nodes, text_key): each text's suffixes under a shared prefix.
 
-    ``candidates``: (doc_id, text, shared array<long>, crowded array<boolean>). ``places`` are word
+    ``candidates``: (doc_id, text, shared array<long>, crowded array<boolean>, text_key). ``places`` are word
     positions (int32) and ``nodes`` the windows' hashes (uint64), as bytes.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, shared, crowded = (batch.column(i) for i in (0, 2, 3))
+            ids, shared, crowded, keys = (batch.column(i) for i in (0, 2, 3, 4))
             for row, end, data, bounds in passes(batch.column(1)):
                 words = Words(data, bounds, PLAIN)
-                out: list[list] = [[], [], [], [], []]
+                out: list[list] = [[], [], [], [], [], []]
                 for i in range(row, end):
                     a, b = words.first[i - row], words.first[i - row + 1]
                     prefix, node = anchors(words.hashes[a:b], window)
@@ -102,19 +107,20 @@ def suffixes(candidates: DataFrame, window: int) -> DataFrame:
                         out[2].append(ids[i].as_py())
                         out[3].append(part.astype(np.int32).tobytes())
                         out[4].append(node[part].tobytes())
+                        out[5].append(keys[i].as_py())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[0], pa.int64()), pa.array(out[1], pa.bool_()), pa.array(out[2], pa.int64()),
-                     pa.array(out[3], pa.binary()), pa.array(out[4], pa.binary())],
-                    ["prefix", "crowded", "doc_id", "places", "nodes"],
+                     pa.array(out[3], pa.binary()), pa.array(out[4], pa.binary()), pa.array(out[5], pa.int64())],
+                    ["prefix", "crowded", "doc_id", "places", "nodes", "text_key"],
                 )
 
-    return candidates.select("doc_id", "text", "shared", "crowded").mapInArrow(
-        work, "prefix long, crowded boolean, doc_id long, places binary, nodes binary"
+    return candidates.select("doc_id", "text", "shared", "crowded", "text_key").mapInArrow(
+        work, "prefix long, crowded boolean, doc_id long, places binary, nodes binary, text_key long"
     )
 
 
 def subtree_repeats(rows: DataFrame) -> DataFrame:
-    """(doc_id, places) of suffixes whose node holds a smaller doc_id, from groups of one prefix each."""
+    """(doc_id, text_key, places) of suffixes whose node holds a smaller doc_id, from groups of one prefix each."""
 
     def solve(table: pa.Table) -> pa.RecordBatch:
         sizes = np.array([len(x) // 4 for x in table.column(3).to_pylist()])
@@ -131,8 +137,9 @@ def subtree_repeats(rows: DataFrame) -> DataFrame:
         order = np.argsort(row, kind="stable")
         row, place = row[order], place[order]
         cuts = np.flatnonzero(np.diff(row)) + 1
-        ids = table.column(2).to_numpy()[row[np.concatenate([[0], cuts])]] if len(row) else np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(ids), binaries(np.split(place, cuts) if len(row) else [])], ["doc_id", "places"])
+        heads = row[np.concatenate([[0], cuts])] if len(row) else np.zeros(0, np.int64)
+        columns = [pa.array(table.column(i).to_numpy()[heads]) for i in (2, 5)]
+        return pa.RecordBatch.from_arrays([*columns, binaries(np.split(place, cuts) if len(row) else [])], ["doc_id", "text_key", "places"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -151,8 +158,8 @@ def subtree_repeats(rows: DataFrame) -> DataFrame:
         if held:
             yield solve(pa.Table.from_batches(held))
 
-    rows = rows.select("prefix", "crowded", "doc_id", "places", "nodes").repartition("prefix").sortWithinPartitions("prefix")
-    return rows.mapInArrow(work, "doc_id long, places binary")
+    rows = rows.select("prefix", "crowded", "doc_id", "places", "nodes", "text_key").repartition("prefix").sortWithinPartitions("prefix")
+    return rows.mapInArrow(work, "doc_id long, text_key long, places binary")
 
 
 def crowded_repeats(rows: DataFrame) -> DataFrame:
@@ -160,32 +167,32 @@ def crowded_repeats(rows: DataFrame) -> DataFrame:
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places, nodes = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            places, nodes = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             sizes = [len(x) // 4 for x in places]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(batch.column(0).to_numpy(), sizes)), pa.array(np.frombuffer(b"".join(places), np.int32)),
-                 pa.array(np.frombuffer(b"".join(nodes), np.int64))], ["doc_id", "place", "node"],
+                [*[pa.array(np.repeat(batch.column(i).to_numpy(), sizes)) for i in (0, 1)], pa.array(np.frombuffer(b"".join(places), np.int32)),
+                 pa.array(np.frombuffer(b"".join(nodes), np.int64))], ["doc_id", "text_key", "place", "node"],
             )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), binaries(list(batch.column(1).to_numpy().astype(np.int32).reshape(-1, 1)))], ["doc_id", "places"]
+                [*batch.columns[:2], binaries(list(batch.column(2).to_numpy().astype(np.int32).reshape(-1, 1)))], ["doc_id", "text_key", "places"]
             )
 
-    single = rows.select("doc_id", "places", "nodes").mapInArrow(spread, "doc_id long, place int, node long")
+    single = rows.select("doc_id", "text_key", "places", "nodes").mapInArrow(spread, "doc_id long, text_key long, place int, node long")
     least = materialize(single.groupBy("node").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most"), "nodes")
-    late = single.join(least.select("node", "least"), "node").where("doc_id > least").select("doc_id", "place")
-    return late.mapInArrow(pack, "doc_id long, places binary")
+    late = single.join(least.select("node", "least"), "node").where("doc_id > least").select("doc_id", "text_key", "place")
+    return late.mapInArrow(pack, "doc_id long, text_key long, places binary")
 
 
 def cut_repeats(candidates: DataFrame, repeats: DataFrame, window: int) -> DataFrame:
-    """(doc_id, n_removed, kept_sha256, kept_text, spans) of texts with repeats; spans are word ranges, merged."""
+    """(doc_id, text_key, n_removed, kept_sha256, kept_text, spans) of texts with repeats; spans are word ranges, merged."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], []]
-            for text, places in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for text, places in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 words = (text or "").encode().split()
                 step = np.zeros(len(words) + 1, np.int32)
                 start = np.unique(np.frombuffer(b"".join(places), np.int32))
@@ -199,13 +206,14 @@ def cut_repeats(candidates: DataFrame, repeats: DataFrame, window: int) -> DataF
                 out[2].append(kept.decode())
                 out[3].append(edge.tolist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string()),
-                 pa.array(out[3], pa.list_(pa.int64()))], ["doc_id", "n_removed", "kept_sha256", "kept_text", "spans"],
+                [*batch.columns[:2], pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string()),
+                 pa.array(out[3], pa.list_(pa.int64()))], ["doc_id", "text_key", "n_removed", "kept_sha256", "kept_text", "spans"],
             )
 
-    grouped = repeats.groupBy("doc_id").agg(F.collect_list("places").alias("places"))
-    return candidates.select("doc_id", "text").join(grouped, "doc_id").select("doc_id", "text", "places").mapInArrow(
-        work, "doc_id long, n_removed long, kept_sha256 string, kept_text string, spans array<long>"
+    key = ["doc_id", "text_key"]
+    grouped = repeats.groupBy(*key).agg(F.collect_list("places").alias("places"))
+    return candidates.select(*key, "text").join(grouped, key).select(*key, "text", "places").mapInArrow(
+        work, "doc_id long, text_key long, n_removed long, kept_sha256 string, kept_text string, spans array<long>"
     )
 
 
@@ -229,23 +237,23 @@ def repeated_substrings(
     )
     holders = materialize(
         seen.join(first.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        .select("doc_id", F.explode("anchors").alias("prefix")), "anchors"
+        .select("doc_id", "text_key", F.explode("anchors").alias("prefix")), "anchors"
     )
     shared = materialize(
         holders.groupBy("prefix").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
         .where("lo < hi").select("prefix", (F.col("n") > group_limit).alias("crowded")), "prefixes"
     )
     wanted = materialize(
-        holders.join(shared, "prefix").groupBy("doc_id").agg(F.collect_list(F.struct("prefix", "crowded")).alias("p"))
-        .select("doc_id", F.col("p.prefix").alias("shared"), F.col("p.crowded").alias("crowded")), "wanted"
+        holders.join(shared, "prefix").groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("prefix", "crowded")).alias("p"))
+        .select("doc_id", "text_key", F.col("p.prefix").alias("shared"), F.col("p.crowded").alias("crowded")), "wanted"
     )
-    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    candidates = materialize(rows.join(wanted, "doc_id"), "candidate-texts")
+    candidates = keyed(documents, id_col, text_col).join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
+    candidates = materialize(candidates, "candidate-texts")
     found = materialize(suffixes(candidates, window), "suffixes")
     repeats = subtree_repeats(found.where("not crowded")).union(crowded_repeats(found.where("crowded")))
     cut = cut_repeats(candidates, repeats, window)
     cut = materialize(cut if texts else cut.drop("kept_text"), "cut")
-    out = seen.select("doc_id", "n_words", "full_sha256", "seq_a", "seq_b").join(first, ["seq_a", "seq_b"], "left").join(cut, "doc_id", "left")
+    out = seen.select("doc_id", "text_key", "n_words", "full_sha256", "seq_a", "seq_b").join(first, ["seq_a", "seq_b"], "left").join(cut, ["doc_id", "text_key"], "left")
     copy = (F.col("doc_id") > F.col("first_id")) & (F.col("n_words") >= window)
     nothing = hashlib.sha256(b"").hexdigest()
     columns = [
