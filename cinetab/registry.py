@@ -89,7 +89,7 @@ def keyframe_times(t):
 
 @query(
     """, g AS (SELECT video_id, CAST(range AS DOUBLE) AS t FROM videos, range(0, 2160) WHERE range < duration - 1.5 / fps),
-    m AS (SELECT s.video_id, round(least((s.start_s + s.end_s) / 2, v.duration - 1.5 / v.fps) + 1e-9, 2) AS t FROM shots s JOIN videos v ON s.video_id = v.video_id
+    m AS (SELECT s.video_id, CAST(round(CAST(CAST(least((s.start_s + s.end_s) / 2, v.duration - 1.5 / v.fps) AS VARCHAR) AS DECIMAL(30, 15)), 2) AS DOUBLE) AS t FROM shots s JOIN videos v ON s.video_id = v.video_id
       WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.video_id = s.video_id AND g.t >= s.start_s AND g.t < s.end_s))
     SELECT video_id, round(t, 6) AS t FROM g UNION SELECT video_id, round(t, 6) AS t FROM m WHERE abs(t - round_even(t, 0)) >= 0.1""",
     ("shots", "videos"),
@@ -156,13 +156,13 @@ def hms(t):
 
 @query(
     """SELECT det_id, CASE WHEN det_score < 0.5 OR least(x2 - x1, y2 - y1) < 32 THEN NULL WHEN det_score >= 0.65 AND least(x2 - x1, y2 - y1) >= 48 AND sharpness >= 50 AND yaw_ratio <= 0.5
-    THEN 'anchor' ELSE 'weak' END AS tier, round(det_score * least(greatest(sharpness / 200, 0.1), 1.0) + 1e-12, 6) AS quality FROM raw_dets""",
+    THEN 'anchor' ELSE 'weak' END AS tier, round(100 * (det_score * least(greatest(sharpness / 200, 0.1), 1.0)), 6) AS percent FROM raw_dets""",
     ("raw_dets",),
 )
 def face_quality_tier(t):
     c = F.col
     tier = expr.face_tier(c("det_score"), c("x2") - c("x1"), c("y2") - c("y1"), c("sharpness"), c("yaw_ratio"))
-    return t.raw_dets.select("det_id", tier.alias("tier"), expr.detection_quality(c("det_score"), c("sharpness")).alias("quality"))
+    return t.raw_dets.select("det_id", tier.alias("tier"), (100 * expr.detection_quality(c("det_score"), c("sharpness"))).alias("percent"))
 
 
 @query(
