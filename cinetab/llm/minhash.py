@@ -69,7 +69,7 @@ def signatures(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.mapInArrow(work, "doc_id long, n_shingles long, set_a long, set_b long, signature binary")
 
 
-def forest_candidates(signed: DataFrame, trees: int = 32, min_depth: int = 4, reach: int = 8) -> DataFrame:
+def forest_candidates(signed: DataFrame, trees: int = 32, min_depth: int = 4, reach: int = 16) -> DataFrame:
     """Distinct pairs (a < b) within ``reach`` places in one tree that share the first ``min_depth`` values there.
 
     Of all the values that the tree is ordered by, AGREE must be equal too.
@@ -159,7 +159,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> Data
 
 def near_duplicates(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, size: int = 5,
-    trees: int = 32, min_depth: int = 4, reach: int = 8,
+    trees: int = 32, min_depth: int = 4, reach: int = 16,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links, kept) for every row of ``documents``.
 
