@@ -69,40 +69,42 @@ def signatures(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.mapInArrow(work, "doc_id long, n_shingles long, set_a long, set_b long, signature binary")
 
 
-def forest_candidates(signed: DataFrame, trees: int = 32, min_depth: int = 4, reach: int = 16) -> DataFrame:
+def forest_candidates(signed: DataFrame, trees: int = 32, min_depth: int = 4, reach: int = 8) -> DataFrame:
     """Distinct pairs (a < b) within ``reach`` places in one tree that share the first ``min_depth`` values there.
 
     Of all the values that the tree is ordered by, AGREE must be equal too.
 
     ``signed``: (id, signature). Each order is one global sort by range, which cuts hot regions anywhere;
     rows on both sides of a cut are neighbours in the other trees. A row meets at most ``reach`` rows
-    after it in a tree, so pairs grow with the rows and not with a region's square.
+    after it in a tree, so pairs grow with the rows and not with a region's square. With a column
+    ``part``, rows of one part are no pair: what is connected already takes no places in a second search.
     """
+    part_of = "part" if "part" in signed.columns else "id"
     width = 2 * DEPTH
     key = F.expr(f"substring(concat(signature, signature), tree * {2 * STRIDE} + 1, {width})")
-    rows = signed.withColumn("tree", F.explode(F.array(*[F.lit(t) for t in range(trees)]))).select("tree", key.alias("key"), "id")
+    rows = signed.withColumn("tree", F.explode(F.array(*[F.lit(t) for t in range(trees)]))).select("tree", key.alias("key"), "id", F.col(part_of).alias("part"))
     parts = max(1, int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = rows.repartitionByRange(parts, "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+        held: tuple[np.ndarray, ...] | None = None
         for batch in batches:
             if not batch.num_rows:
                 continue
             tree = batch.column(0).to_numpy()
             keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u2").reshape(-1, DEPTH)
-            ids = batch.column(2).to_numpy()
+            ids, part = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             if held is not None:
-                tree, keys, ids = (np.concatenate(x) for x in zip(held, (tree, keys, ids), strict=True))
+                tree, keys, ids, part = (np.concatenate(x) for x in zip(held, (tree, keys, ids, part), strict=True))
             new = batch.num_rows
             pairs = []
             for step in range(1, min(reach, len(ids) - 1) + 1):
                 lo = np.arange(max(0, len(ids) - new - step), len(ids) - step)
-                lo = lo[tree[lo] == tree[lo + step]]
+                lo = lo[(tree[lo] == tree[lo + step]) & (part[lo] != part[lo + step])]
                 same = keys[lo] == keys[lo + step]
                 lo = lo[same[:, :min_depth].all(axis=1) & (same.sum(axis=1) >= AGREE)]
                 pairs.append((ids[lo], ids[lo + step]))
-            held = tree[-reach:], keys[-reach:], ids[-reach:]
+            held = tree[-reach:], keys[-reach:], ids[-reach:], part[-reach:]
             if pairs:
                 a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
@@ -159,7 +161,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> Data
 
 def near_duplicates(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, size: int = 5,
-    trees: int = 32, min_depth: int = 4, reach: int = 16,
+    trees: int = 32, min_depth: int = 4, reach: int = 8, second_reach: int = 24,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links, kept) for every row of ``documents``.
 
@@ -177,10 +179,18 @@ def near_duplicates(
         .agg(F.min("doc_id").alias("id"), F.min("signature").alias("signature")), "sets"
     )
     tree_rows = sets.groupBy("id").agg(F.min("signature").alias("signature"))
-    pairs = materialize(forest_candidates(tree_rows, trees, min_depth, reach), "candidates")
-    likely = materialize(similar_signatures(pairs, tree_rows, max(0.0, percent / 100 - 0.17)), "likely")
     texts = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    links = materialize(confirm(likely, texts, percent, size).distinct(), "links")
+
+    def linked(rows: DataFrame, reach: int) -> DataFrame:
+        pairs = materialize(forest_candidates(rows, trees, min_depth, reach), "candidates")
+        likely = materialize(similar_signatures(pairs, tree_rows, max(0.0, percent / 100 - 0.17)), "likely")
+        return materialize(confirm(likely, texts, percent, size).distinct(), "links")
+
+    # Where thousands crowd together, a row's only partner may be out of reach: look farther, past what is connected.
+    first = linked(tree_rows, reach)
+    parts = connected_components(first).withColumnRenamed("node", "id")
+    apart = tree_rows.join(parts, "id", "left").select("id", "signature", F.coalesce("component", "id").alias("part"))
+    links = first.union(linked(apart, second_reach))
     parts = connected_components(links)
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("n_links"))
     found = sets.join(parts, sets.id == parts.node, "left").drop("node").join(degree, sets.id == degree.node, "left")

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -139,6 +140,35 @@ def test_secrets(docs):
     assert found[4].found == [] and found[3].found == []
 
 
+def plain_secrets(text):
+    """Spans (start, rank, end) as find_secrets means them, with each window's entropy from fresh counts."""
+    found = [(m.start(), 0, m.end()) for m in re.finditer("(?a)" + secrets.ASSIGN.replace("(?i)", "", 1), text, re.I) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    for m in re.finditer(secrets.CANDIDATE, text):
+        if any(re.search(p, m[0]) for p in secrets.ALLOWED):
+            continue
+        bits = next(v for k, v in secrets.CLASSES.items() if re.search(k, m[0]))
+        entropy = [sum(-c / 20 * math.log2(c / 20) for c in collections.Counter(m[0][k : k + 20]).values()) for k in range(len(m[0]) - 19)]
+        if hot := [k for k, e in enumerate(entropy) if e >= bits]:
+            found.append((m.start() + hot[0], 3, m.start() + hot[-1] + 20))
+    return sorted(found)
+
+
+def test_secrets_brute_force(spark):
+    rng = random.Random(11)
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    pieces = [
+        lambda: rng.choice(["password", "Api_Key", "APIKEY", "token", "seCret", "passwd"]) + rng.choice(["=", ": ", '" : "', "' ='", " "]) + draw("aZ9+/_.=-", rng.randrange(3, 12)),
+        lambda: "AKIA" + draw("ABCXYZ0189", rng.randrange(12, 24)), lambda: draw("0123456789abcdef", rng.randrange(18, 40)), lambda: draw(secrets.ALPHABET, rng.randrange(15, 60)),
+        lambda: draw("ab", 30) + draw(secrets.ALPHABET, 25) + draw("ab", 30), lambda: "é日😀" + draw("xyz", 3), lambda: "123e4567-e89b-12d3-a456-426614174000", lambda: draw("ABCDEF0123456789", 28), lambda: "example" + draw(secrets.ALPHABET, 30),
+    ]
+    made = ["".join(rng.choice(pieces)() + rng.choice([" ", "\n", "", ","]) for _ in range(rng.randrange(0, 14))) for _ in range(150)]
+    found = by_id(secrets.find_secrets(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")))
+    for i, text in enumerate(made):
+        assert [(x.start, x.rank, x.end) for x in found[i].found] == plain_secrets(text), text
+
+
 def test_sharding(docs):
     found = sharding.shard(docs, 24, buckets=4).collect()
     slots = collections.defaultdict(list)
