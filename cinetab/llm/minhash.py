@@ -4,8 +4,9 @@ Every distinct shingle set gets one signature of 128 minimum hashes. A tree of t
 signatures from another starting value on; rows that stand next to each other there share the
 longest prefixes, so each row's next neighbours are its candidates. How deep a prefix a candidate
 pair shares follows from the region: where signatures are sparse, anything that shares ``min_depth``
-values is near; where thousands crowd together, the neighbours share far longer prefixes. Candidates
-whose signatures agree enough are confirmed on the full shingle sets.
+values is near; where thousands crowd together, the neighbours share far longer prefixes. A row's key
+in a tree is half of its signature, so that two neighbours are compared where they stand, without a
+join; those whose keys agree enough are confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -20,11 +21,8 @@ from pyspark.sql import functions as F
 from .graph import connected_components
 from .shared import LOWERED, Words, binaries, materialize, mix64, ngram_hashes, passes
 
-VALUES = 128
-#: A tree starts so many values after the one before and is ordered by DEPTH values.
-STRIDE, DEPTH = 4, 32
-#: Of a tree's DEPTH values so many must agree (at a similarity of 0.85, 28 do on average).
-AGREE = 24
+#: Minimum hashes of a signature, a byte each; a tree starts STRIDE values after the one before and holds WINDOW.
+VALUES, STRIDE, WINDOW = 128, 4, 64
 _MULTIPLIERS = np.random.default_rng(20_240).integers(1, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -49,19 +47,19 @@ def signatures(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 sets = shingle_sets(Words(data, bounds, LOWERED), size)
                 sizes = np.array([len(s) for s in sets])
                 full = np.flatnonzero(sizes)
-                signature = np.zeros((len(sets), VALUES), np.uint16)
+                signature = np.zeros((len(sets), VALUES), np.uint8)
                 names = np.zeros((2, len(sets)), np.uint64)
                 if len(full):
                     joined = np.concatenate([sets[i] for i in full])
                     starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
                     for k, m in enumerate(_MULTIPLIERS):
                         least = np.minimum.reduceat(joined * m, starts)
-                        signature[full, k] = (mix64(least) & np.uint64(0xFFFF)).astype(np.uint16)
+                        signature[full, k] = (mix64(least) & np.uint64(0xFF)).astype(np.uint8)
                     names[0, full] = np.add.reduceat(mix64(joined + np.uint64(11)), starts)
                     names[1, full] = np.add.reduceat(mix64(joined + np.uint64(12)), starts)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, end - row), pa.array(sizes.astype(np.int64)), pa.array(names[0].view(np.int64)),
-                     pa.array(names[1].view(np.int64)), binaries(list(signature.astype(">u2")))],
+                     pa.array(names[1].view(np.int64)), binaries(list(signature))],
                     ["doc_id", "n_shingles", "set_a", "set_b", "signature"],
                 )
 
@@ -69,10 +67,16 @@ def signatures(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.mapInArrow(work, "doc_id long, n_shingles long, set_a long, set_b long, signature binary")
 
 
-def forest_candidates(signed: DataFrame, trees: int = 32, min_depth: int = 4, reach: int = 8) -> DataFrame:
+def least_agreement(percent: int) -> int:
+    """Values of a tree that must agree: three standard deviations fewer than sets that are ``percent`` similar have on average."""
+    similar = percent / 100
+    return max(0, int(WINDOW * similar - 3 * (WINDOW * similar * (1 - similar)) ** 0.5))
+
+
+def forest_candidates(signed: DataFrame, agreement: int, trees: int = 32, min_depth: int = 4, reach: int = 2) -> DataFrame:
     """Distinct pairs (a < b) within ``reach`` places in one tree that share the first ``min_depth`` values there.
 
-    Of all the values that the tree is ordered by, AGREE must be equal too.
+    ``min_depth`` is 8 at most; of the tree's WINDOW values, ``agreement`` must be equal.
 
     ``signed``: (id, signature). Each order is one global sort by range, which cuts hot regions anywhere;
     rows on both sides of a cut are neighbours in the other trees. A row meets at most ``reach`` rows
@@ -80,8 +84,7 @@ def forest_candidates(signed: DataFrame, trees: int = 32, min_depth: int = 4, re
     ``part``, rows of one part are no pair: what is connected already takes no places in a second search.
     """
     part_of = "part" if "part" in signed.columns else "id"
-    width = 2 * DEPTH
-    key = F.expr(f"substring(concat(signature, signature), tree * {2 * STRIDE} + 1, {width})")
+    key = F.expr(f"substring(concat(signature, signature), tree * {STRIDE} + 1, {WINDOW})")
     rows = signed.withColumn("tree", F.explode(F.array(*[F.lit(t) for t in range(trees)]))).select("tree", key.alias("key"), "id", F.col(part_of).alias("part"))
     parts = max(1, int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = rows.repartitionByRange(parts, "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
@@ -91,18 +94,19 @@ def forest_candidates(signed: DataFrame, trees: int = 32, min_depth: int = 4, re
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tree = batch.column(0).to_numpy()
-            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u2").reshape(-1, DEPTH)
-            ids, part = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            tree, ids, part = (batch.column(i).to_numpy() for i in (0, 2, 3))
+            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, WINDOW)
             if held is not None:
                 tree, keys, ids, part = (np.concatenate(x) for x in zip(held, (tree, keys, ids, part), strict=True))
             new = batch.num_rows
+            prefix = np.zeros((len(ids), 8), np.uint8)
+            prefix[:, :min_depth] = keys[:, :min_depth]
+            prefix = prefix.view(np.uint64)[:, 0]
             pairs = []
             for step in range(1, min(reach, len(ids) - 1) + 1):
                 lo = np.arange(max(0, len(ids) - new - step), len(ids) - step)
-                lo = lo[(tree[lo] == tree[lo + step]) & (part[lo] != part[lo + step])]
-                same = keys[lo] == keys[lo + step]
-                lo = lo[same[:, :min_depth].all(axis=1) & (same.sum(axis=1) >= AGREE)]
+                lo = lo[(prefix[lo] == prefix[lo + step]) & (tree[lo] == tree[lo + step]) & (part[lo] != part[lo + step])]
+                lo = lo[(keys[lo] == keys[lo + step]).sum(axis=1) >= agreement]
                 pairs.append((ids[lo], ids[lo + step]))
             held = tree[-reach:], keys[-reach:], ids[-reach:], part[-reach:]
             if pairs:
@@ -112,22 +116,6 @@ def forest_candidates(signed: DataFrame, trees: int = 32, min_depth: int = 4, re
     return rows.mapInArrow(neighbours, "a long, b long").where("a <> b").distinct()
 
 
-def similar_signatures(pairs: DataFrame, signed: DataFrame, least: float) -> DataFrame:
-    """The pairs whose signatures agree in a share of ``least`` of their values."""
-
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, VALUES) for i in (2, 3))
-                yield pa.RecordBatch.from_arrays(
-                    [x.filter(pa.array((a == b).mean(axis=1) >= least)) for x in batch.columns[:2]], ["a", "b"]
-                )
-
-    left = signed.select(F.col("id").alias("a"), F.col("signature").alias("sig_a"))
-    right = signed.select(F.col("id").alias("b"), F.col("signature").alias("sig_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(agree, "a long, b long")
-
-
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
     """The pairs with 100 * intersection >= percent * union on full shingle sets; ``texts``: (id, text)."""
 
@@ -161,7 +149,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> Data
 
 def near_duplicates(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, size: int = 5,
-    trees: int = 32, min_depth: int = 4, reach: int = 8, second_reach: int = 24,
+    trees: int = 32, min_depth: int = 4, reach: int = 2, second_reach: int = 24,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links, kept) for every row of ``documents``.
 
@@ -182,9 +170,8 @@ def near_duplicates(
     texts = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def linked(rows: DataFrame, reach: int) -> DataFrame:
-        pairs = materialize(forest_candidates(rows, trees, min_depth, reach), "candidates")
-        likely = materialize(similar_signatures(pairs, tree_rows, max(0.0, percent / 100 - 0.17)), "likely")
-        return materialize(confirm(likely, texts, percent, size).distinct(), "links")
+        pairs = materialize(forest_candidates(rows, least_agreement(percent), trees, min_depth, reach), "candidates")
+        return materialize(confirm(pairs, texts, percent, size).distinct(), "links")
 
     # Where thousands crowd together, a row's only partner may be out of reach: look farther, past what is connected.
     first = linked(tree_rows, reach)
