@@ -7,6 +7,11 @@ pair shares follows from the region: where signatures are sparse, anything that
 values is near; where thousands crowd together, the neighbours share far longer prefixes. A row's key
 in a tree is half of its signature, so that two neighbours are compared where they stand, without a
 join; those whose keys agree enough are confirmed on the full shingle sets.
+
+The orders connect most of each crowd with few comparisons, but a row's only partner may stand far
+away. So a second search leaves out nothing: all rows of different components that share one of the
+32 bands of 4 values meet, in blocks of bounded size, and are confirmed where their whole signatures
+agree enough. Sets at the wanted similarity of 0.85 share a band but for 6 pairs in 10**11.
 """
 
 from __future__ import annotations
@@ -23,6 +28,9 @@ from .shared import LOWERED, Words, binaries, materialize, mix64, ngram_hashes,
 
 #: Minimum hashes of a signature, a byte each; a tree starts STRIDE values after the one before and holds WINDOW.
 VALUES, STRIDE, WINDOW = 128, 4, 64
+BANDS = VALUES // STRIDE
+#: Rows of one side of a block in which the rows of a band meet, and pairs that one numpy pass compares.
+BLOCK, PAIRS = 2048, 100_000
 _MULTIPLIERS = np.random.default_rng(20_240).integers(1, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -67,10 +75,10 @@ def signatures(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.mapInArrow(work, "doc_id long, n_shingles long, set_a long, set_b long, signature binary")
 
 
-def least_agreement(percent: int) -> int:
-    """Values of a tree that must agree: three standard deviations fewer than sets that are ``percent`` similar have on average."""
+def least_agreement(percent: int, values: int = WINDOW, deviations: int = 3) -> int:
+    """Of ``values``, those that must agree: so many standard deviations fewer than sets that are ``percent`` similar have on average."""
     similar = percent / 100
-    return max(0, int(WINDOW * similar - 3 * (WINDOW * similar * (1 - similar)) ** 0.5))
+    return max(0, int(values * similar - deviations * (values * similar * (1 - similar)) ** 0.5))
 
 
 def forest_candidates(signed: DataFrame, agreement: int, trees: int = 32, min_depth: int = 4, reach: int = 2) -> DataFrame:
@@ -80,12 +88,10 @@ def forest_candidates(signed: DataFrame, agreement: int, trees: int = 32, min_de
 
     ``signed``: (id, signature). Each order is one global sort by range, which cuts hot regions anywhere;
     rows on both sides of a cut are neighbours in the other trees. A row meets at most ``reach`` rows
-    after it in a tree, so pairs grow with the rows and not with a region's square. With a column
-    ``part``, rows of one part are no pair: what is connected already takes no places in a second search.
+    after it in a tree, so pairs grow with the rows and not with a region's square.
     """
-    part_of = "part" if "part" in signed.columns else "id"
     key = F.expr(f"substring(concat(signature, signature), tree * {STRIDE} + 1, {WINDOW})")
-    rows = signed.withColumn("tree", F.explode(F.array(*[F.lit(t) for t in range(trees)]))).select("tree", key.alias("key"), "id", F.col(part_of).alias("part"))
+    rows = signed.withColumn("tree", F.explode(F.array(*[F.lit(t) for t in range(trees)]))).select("tree", key.alias("key"), "id")
     parts = max(1, int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = rows.repartitionByRange(parts, "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
 
@@ -94,10 +100,10 @@ def forest_candidates(signed: DataFrame, agreement: int, trees: int = 32, min_de
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tree, ids, part = (batch.column(i).to_numpy() for i in (0, 2, 3))
+            tree, ids = (batch.column(i).to_numpy() for i in (0, 2))
             keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, WINDOW)
             if held is not None:
-                tree, keys, ids, part = (np.concatenate(x) for x in zip(held, (tree, keys, ids, part), strict=True))
+                tree, keys, ids = (np.concatenate(x) for x in zip(held, (tree, keys, ids), strict=True))
             new = batch.num_rows
             prefix = np.zeros((len(ids), 8), np.uint8)
             prefix[:, :min_depth] = keys[:, :min_depth]
@@ -105,10 +111,10 @@ def forest_candidates(signed: DataFrame, agreement: int, trees: int = 32, min_de
             pairs = []
             for step in range(1, min(reach, len(ids) - 1) + 1):
                 lo = np.arange(max(0, len(ids) - new - step), len(ids) - step)
-                lo = lo[(prefix[lo] == prefix[lo + step]) & (tree[lo] == tree[lo + step]) & (part[lo] != part[lo + step])]
+                lo = lo[(prefix[lo] == prefix[lo + step]) & (tree[lo] == tree[lo + step])]
                 lo = lo[(keys[lo] == keys[lo + step]).sum(axis=1) >= agreement]
                 pairs.append((ids[lo], ids[lo + step]))
-            held = tree[-reach:], keys[-reach:], ids[-reach:], part[-reach:]
+            held = tree[-reach:], keys[-reach:], ids[-reach:]
             if pairs:
                 a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
@@ -116,6 +122,101 @@ def forest_candidates(signed: DataFrame, agreement: int, trees: int = 32, min_de
     return rows.mapInArrow(neighbours, "a long, b long").where("a <> b").distinct()
 
 
+def _signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, VALUES)
+
+
+def apart_candidates(signed: DataFrame, agreement: int, block: int = BLOCK) -> DataFrame:
+    """(left, right, part, agree) of all pairs of different parts that share a band and ``agreement`` values or more.
+
+    ``signed``: (id, signature, part); ``part`` of the result is that of ``left``. A pair comes once, in
+    the first band that it shares. Bands of one part have no pair and are left out. In the others the
+    rows outside the largest part meet all rows: both sides are dealt into blocks of about ``block`` rows
+    by a hash, every block of one with every block of the other, so a hot band is shared by many tasks.
+    The rows sent grow with the rows outside the largest part, not with the square of a crowd.
+    """
+
+    def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                values = np.ascontiguousarray(_signatures(batch.column(1))).view(np.uint32).astype(np.int64)
+                band = values | (np.arange(BANDS, dtype=np.int64) << np.int64(32))
+                ids, part = (np.repeat(batch.column(i).to_numpy(), BANDS) for i in (0, 2))
+                yield pa.RecordBatch.from_arrays([pa.array(band.ravel()), pa.array(ids), pa.array(part)], ["band", "id", "part"])
+
+    rows = signed.select("id", "signature", "part").mapInArrow(bands, "band long, id long, part long")
+    mixed = rows.groupBy("band").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least <> most").select("band")
+    rows = materialize(rows.join(mixed, "band"), "bands")
+    counts = rows.groupBy("band", "part").agg(F.count("*").alias("n")).groupBy("band").agg(F.max(F.struct("n", "part")).alias("top"), F.sum("n").alias("n"))
+    blocks = lambda n: F.ceil(n / F.lit(block)).cast("int")
+    counts = counts.select("band", F.col("top.part").alias("largest"), blocks(F.col("n")).alias("lefts"), blocks(F.col("n") - F.col("top.n")).alias("rights"))
+    dealt = rows.join(counts, "band").withColumn("common", F.col("part") == F.col("largest"))
+    home = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = dealt.select("band", home("lefts").alias("i"), each("rights").alias("j"), F.lit(False).alias("right"), "common", "id", "part")
+    right = dealt.where("not common").select("band", each("lefts").alias("i"), home("rights").alias("j"), F.lit(True).alias("right"), "common", "id", "part")
+    sides = left.union(right).join(signed.select("id", "signature"), "id").select("band", "i", "j", "right", "common", "id", "part", "signature")
+    sides = sides.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "right", "id")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        for batch in _and_none(batches):
+            now = None
+            if batch is not None:
+                now = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(7)] + [_signatures(batch.column(7))]
+                if not batch.num_rows:
+                    continue
+            if held is not None:
+                now = held if now is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
+            if now is None:
+                continue
+            band, i, j = now[:3]
+            starts = np.flatnonzero(np.concatenate([[True], (band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+            done = len(band) if batch is None else starts[-1]
+            held = [x[done:] for x in now]
+            yield from _compared([x[:done] for x in now], starts[starts < done], agreement)
+
+    return sides.mapInArrow(meet, "left long, right long, part long, agree int")
+
+
+def _and_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
+def _compared(rows: list[np.ndarray], starts: np.ndarray, agreement: int) -> Iterator[pa.RecordBatch]:
+    """The candidates in whole blocks; ``rows`` are sorted by block, in each the left rows first, and begin at ``starts``."""
+    band, _, _, right, common, ids, part, signature = rows
+    at = np.flatnonzero(right)
+    if not len(at):
+        return
+    block = np.searchsorted(starts, at, "right") - 1
+    first = starts[block]
+    before = np.concatenate([[0], np.cumsum(right)])
+    ends = np.concatenate([starts[1:], [len(right)]])
+    n_left = (ends - starts - (before[ends] - before[starts]))[block]
+    total = np.cumsum(n_left)
+    k = 0
+    while k < len(at):
+        end = max(k + 1, int(np.searchsorted(total, total[k] - n_left[k] + PAIRS, "right")))
+        n = n_left[k:end]
+        b = np.repeat(at[k:end], n)
+        a = np.arange(len(b)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[k:end], n)
+        # Of two rows outside the largest part, each meets the other; one meeting counts.
+        pair = (part[a] != part[b]) & (common[a] | (ids[a] < ids[b]))
+        a, b = a[pair], b[pair]
+        same = signature[a] == signature[b]
+        agree = same.sum(axis=1)
+        pair = agree >= agreement
+        a, b, agree = a[pair], b[pair], agree[pair]
+        pair = same[pair].reshape(-1, BANDS, STRIDE).all(axis=2).argmax(axis=1) == band[b] >> 32
+        a, b, agree = a[pair], b[pair], agree[pair]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids[a]), pa.array(ids[b]), pa.array(part[a]), pa.array(agree.astype(np.int32))], ["left", "right", "part", "agree"]
+        )
+        k = end
+
+
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
     """The pairs with 100 * intersection >= percent * union on full shingle sets; ``texts``: (id, text)."""
 
@@ -149,7 +250,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> Data
 
 def near_duplicates(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, size: int = 5,
-    trees: int = 32, min_depth: int = 4, reach: int = 2, second_reach: int = 24,
+    trees: int = 32, min_depth: int = 4, reach: int = 2,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links, kept) for every row of ``documents``.
 
@@ -169,15 +270,22 @@ def near_duplicates(
     tree_rows = sets.groupBy("id").agg(F.min("signature").alias("signature"))
     texts = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
-    def linked(rows: DataFrame, reach: int) -> DataFrame:
-        pairs = materialize(forest_candidates(rows, least_agreement(percent), trees, min_depth, reach), "candidates")
+    def linked(pairs: DataFrame) -> DataFrame:
         return materialize(confirm(pairs, texts, percent, size).distinct(), "links")
 
-    # Where thousands crowd together, a row's only partner may be out of reach: look farther, past what is connected.
-    first = linked(tree_rows, reach)
+    first = linked(materialize(forest_candidates(tree_rows, least_agreement(percent), trees, min_depth, reach), "candidates"))
     parts = connected_components(first).withColumnRenamed("node", "id")
-    apart = tree_rows.join(parts, "id", "left").select("id", "signature", F.coalesce("component", "id").alias("part"))
-    links = first.union(linked(apart, second_reach))
+    apart = materialize(tree_rows.join(parts, "id", "left").select("id", "signature", F.coalesce("component", "id").alias("part")), "apart")
+    pairs = materialize(apart_candidates(apart, least_agreement(percent, VALUES, 4)), "candidates")
+    ends = [F.least("left", "right").alias("a"), F.greatest("left", "right").alias("b")]
+    # One link joins a row with a part: try the best pair of each first, then all pairs that are still apart.
+    best = pairs.groupBy("right", "part").agg(F.max(F.struct("agree", "left")).alias("best")).select("right", "best.left")
+    links = first.union(linked(materialize(best.select(*ends).distinct(), "candidates")))
+    parts = materialize(connected_components(links), "parts")
+    of = lambda side: parts.select(F.col("node").alias(side), F.col("component").alias(f"{side}_part"))
+    rest = pairs.join(of("left"), "left", "left").join(of("right"), "right", "left")
+    rest = rest.where(F.coalesce("left_part", "left") != F.coalesce("right_part", "right")).select(*ends)
+    links = links.union(linked(materialize(rest, "candidates")))
     parts = connected_components(links)
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("n_links"))
     found = sets.join(parts, sets.id == parts.node, "left").drop("node").join(degree, sets.id == degree.node, "left")

@@ -67,6 +67,47 @@ def test_minhash(docs):
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in found.items()} == {i: (len(s), expected[i], expected[i] == i) for i, s in sets.items()}
 
 
+def edited(words, edits):
+    """A text of words, with some replaced by position."""
+    return " ".join(edits.get(i, w) for i, w in enumerate(words))
+
+
+def brute_components(texts, percent=85):
+    """The component of each text by all pairs, as products of the incidence with the shingles that texts share."""
+    sets = [shingles(t) for t in texts]
+    count = collections.Counter(x for s in sets for x in s)
+    column = {x: k for k, x in enumerate(sorted(x for x, n in count.items() if n > 1))}
+    inside = np.zeros((len(sets), len(column)), np.float32)
+    for i, s in enumerate(sets):
+        inside[i, [column[x] for x in s if x in column]] = 1
+    both, sizes = inside @ inside.T, np.array([len(s) for s in sets])
+    linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+    found = np.full(len(sets), -1)
+    for i in range(len(sets)):
+        todo = np.array([i]) if found[i] < 0 else []
+        while len(todo):
+            found[todo] = i
+            todo = np.flatnonzero(linked[todo].any(axis=0) & (found < 0))
+    return found.tolist()
+
+
+def crowd(rng, size, edits=3):
+    """A text and near copies of it, with so many words replaced in each."""
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    return base, [edited(base, {p: f"c{rng.randrange(10**9)}" for p in rng.sample(range(0, 400, 6), edits)}) for _ in range(size)]
+
+
+def test_minhash_crowd(spark):
+    """Rows at 0.80 to thousands of connected rows, and above 0.85 to one of them only."""
+    rng = random.Random(3)
+    base, rows = crowd(rng, 3000)
+    for _ in range(60):
+        own = {p: f"r{rng.randrange(10**9)}" for p in rng.sample(range(3, 400, 6), 6)}
+        rows += [edited(base, dict(list(own.items())[:2]) | {p: f"p{rng.randrange(10**9)}" for p in rng.sample(range(0, 400, 6), 1)}), edited(base, own)]
+    found = by_id(minhash.near_duplicates(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")))
+    assert [found[i].component_id for i in range(len(rows))] == brute_components(rows)
+
+
 def test_substrings(docs):
     for limit in (1024, 1):  # 1: every shared prefix is crowded
         found = by_id(suffixes.repeated_substrings(docs, group_limit=limit))
