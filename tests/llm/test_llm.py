@@ -12,6 +12,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from cinetab.llm import fmindex, minhash, mixing, quality, queries, rans, rules, secrets, sharding, suffixes, tokens, toolcalls
 
 SCHEMA = "doc_id long, text string, source string, label int, id string, set_a string"
@@ -108,6 +109,18 @@ def test_minhash_crowd(spark):
     assert [found[i].component_id for i in range(len(rows))] == brute_components(rows)
 
 
+def test_pipeline_drops_copies_from_80(spark):
+    """Near copies between 0.80 and 0.85 go in the pipeline; below 0.80 they stay."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    rows = [" ".join(base), *(edited(base, {p: f"x{p}" for p in range(0, 6 * n, 6)}) for n in (8, 12))]
+    sets = [shingles(t) for t in rows]
+    similar = [len(sets[0] & s) / len(sets[0] | s) for s in sets]
+    assert 0.80 <= similar[1] < 0.85 and similar[2] < 0.80
+    kept = corpus_pipeline.near_dedup(spark, spark.createDataFrame([(0, rows[0]), (1, rows[1]), (3, edited(base, {p: f"y{p}" for p in range(3, 150, 6)}))], "doc_id long, text string"), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 3]
+
+
 def test_substrings(docs):
     for limit in (1024, 1):  # 1: every shared prefix is crowded
         found = by_id(suffixes.repeated_substrings(docs, group_limit=limit))
