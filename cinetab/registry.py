@@ -335,7 +335,7 @@ def refine_candidates(t):
 
 @query()
 def enforce_min_scene(t):
-    return segments.enforce_min_scene(segments.depth_score(t.boundaries).where("shot_id % 11 = 0"), t.videos)
+    return segments.enforce_min_scene(segments.select_cuts(segments.depth_score(t.boundaries), t.videos, t.chapters), t.videos)
 
 
 @query("SELECT video_id, id AS cid FROM shots WHERE id % 5 = 0 AND id < 100", ("shots",))

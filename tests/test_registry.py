@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cinetab.operators import segments
 
 DATA = "/root/testdata/sf0.001"
 SAMPLE = ["transition_boundaries", "people_vectors", "crop_manifest", "check_tiles", "group_names"]
@@ -27,3 +28,16 @@ def test_against_duckdb(spark, name):
     expected = con.sql(f"select {', '.join(chr(34) + c + chr(34) for c in columns)} from ({entry.oracle_sql()[name]})").fetchall()
     key = lambda r: tuple(str(round(float(x), 5)) if isinstance(x, (int, float)) else str(x) for x in r)
     assert sorted(map(key, expected)) == sorted(key([r[c] for c in columns]) for r in df.collect())
+
+
+def test_enforce_min_scene_takes_all_chosen_cuts(spark):
+    """Every chosen cut takes part: none is missing but those that leave a scene too short."""
+    kept = {(r.video_id, r.time) for r in entry.queries()["enforce_min_scene"](spark, DATA).collect()}
+    chosen = {}
+    for r in entry.queries()["select_cuts"](spark, DATA).collect():
+        chosen.setdefault(r.video_id, []).append((r.time, r.depth or 0.0))
+    expected = set()
+    for video, cuts in chosen.items():
+        times, depths = zip(*sorted(cuts), strict=True)
+        expected |= {(video, times[i]) for i in segments.short_scene_drops(list(times), list(depths), 2160.0, 30.0)}
+    assert kept == expected and any(len(c) > 1 for c in chosen.values())
