@@ -12,13 +12,14 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ALNUM, Words, keep_rows, passes
+from .shared import ALNUM, Words, keep_rows, materialize, passes
 
 SAMPLE = 8
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -205,17 +206,18 @@ def decontaminate(
 
     The benchmark goes to the tasks in blocks of at most ``block_words`` words (and one item), whose
     size is counted first; each further block is a further pass. Null or blank texts and items have no
-    words; null item ids are named "". Null or repeated doc ids are kept, row by row, with one block,
-    and merged by id with several. Empty tables give empty results or clean documents.
+    words; null item ids are named "". Null or repeated doc ids are kept and judged row by row: with
+    several blocks the rows are numbered and written once, and merged by number. Empty tables give empty results or clean documents.
     """
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text_col).cast("string").alias("text"))
-    found, blocks = None, 0
-    for phrases in _blocks(items, window, block_words):
-        one = scan(rows, phrases)
-        found, blocks = one if found is None else found.union(one), blocks + 1
-    if blocks > 1:
-        found = _merge(found.drop("text"), rows)
+    if _block_count(items, block_words) == 1:
+        found = scan(rows, next(_blocks(items, window, block_words)))
+    else:
+        # Written, as the numbers would differ from pass to pass otherwise.
+        rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "texts")
+        scans = [scan(rows.select(F.col("row").alias("doc_id"), "text"), phrases) for phrases in _blocks(items, window, block_words)]
+        found = _merge(reduce(DataFrame.union, scans).drop("text"), rows)
     return found.select(
         "doc_id", "n_words",
         F.expr("aggregate(transform(hits, (x, i) -> if(i % 2 = 0, -x, x)), 0L, (a, x) -> a + x)").alias("n_hit"),
@@ -223,10 +225,14 @@ def decontaminate(
     )
 
 
+def _block_count(items: DataFrame, block_words: int) -> int:
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, -(-total // (2 * block_words)))  # a word and its separator take two bytes at least
+
+
 def _blocks(items: DataFrame, window: int, block_words: int) -> Iterator[Phrases]:
     """The benchmark's ``items(item, text)`` in blocks of bounded size; one block for a small benchmark."""
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // (2 * block_words)))  # a word and its separator take two bytes at least
+    blocks = _block_count(items, block_words)
     for k in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         yield Phrases([tuple(r) for r in part.collect()], window)
@@ -249,7 +255,7 @@ def drop_contaminated(
 
 
 def _merge(found: DataFrame, rows: DataFrame) -> DataFrame:
-    """Join what several blocks found of one document."""
+    """Join what several blocks found of one row; ``doc_id`` of ``found`` is the ``row`` of ``rows(doc_id, text, row)``."""
 
     def merge(key: tuple[pa.Scalar, ...], batch: pa.Table) -> pa.Table:
         n = batch.column("n_words")[0].as_py()
@@ -278,6 +284,5 @@ def _merge(found: DataFrame, rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(clean, pa.string())], ["doc_id", "n_words", "hits", "items", "text"])
 
     merged = found.groupBy("doc_id").applyInArrow(merge, "doc_id long, n_words long, hits array<long>, items array<string>")
-    texts = rows.select(F.col("doc_id").alias("id"), F.col("text").alias("whole"))
-    both = merged.join(texts, F.col("doc_id").eqNullSafe(F.col("id")))
+    both = merged.withColumnRenamed("doc_id", "row").join(rows.withColumnRenamed("text", "whole"), "row")
     return both.select("doc_id", "n_words", "hits", "items", "whole").mapInArrow(cut, SCHEMA)

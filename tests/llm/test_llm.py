@@ -163,6 +163,19 @@ def test_decontamination(spark, docs):
     assert fmindex.decontaminate(docs, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_decontamination_blocks_by_row(spark):
+    """Rows that repeat an id or have none are judged by their own text, with one block and with several."""
+    rng = random.Random(6)
+    say = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    items = [(f"q{k}", say(30)) for k in range(8)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    rows = [(1, say(5)), (1, say(90) + " " + items[0][1]), (None, items[1][1] + " " + say(3)), (None, say(40)), (None, None), (2, items[2][1]), (2, items[2][1])]
+    odd = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = lambda block: sorted(map(repr, fmindex.decontaminate(odd, bench, block_words=block).collect()))
+    one, several = seen(2_000_000), seen(40)
+    assert len(one) == len(rows) and one == several
+
+
 def test_rules(docs):
     found = by_id(rules.ledger(docs))
     for i, t in enumerate(texts()):
