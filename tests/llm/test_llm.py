@@ -109,6 +109,16 @@ def test_minhash_crowd(spark):
     assert [found[i].component_id for i in range(len(rows))] == brute_components(rows)
 
 
+def test_minhash_past_connected_rows(spark):
+    """In every order 60 rows of one part stand between a row of that part and one of another; all pairs are found."""
+    bands = lambda last: bytes(last if k // 4 % 4 == 3 else 10 for k in range(128))
+    rows = [(0, bands(10), 0), *((k, bands(20), 0) for k in range(1, 61)), (61, bands(30), 61)]
+    signed = spark.createDataFrame([(i, bytearray(x), part) for i, x, part in rows], "id long, signature binary, part long")
+    for block in (2048, 7):
+        found = minhash.apart_candidates(signed, 92, block).select("left", "right").collect()
+        assert sorted(tuple(r) for r in found) == [(k, 61) for k in range(61)]
+
+
 def test_pipeline_drops_copies_from_80(spark):
     """Near copies between 0.80 and 0.85 go in the pipeline; below 0.80 they stay."""
     rng = random.Random(4)
