@@ -6,6 +6,9 @@ block with part (range of ids), block, start (ids of the part before it), doc_id
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -19,90 +22,101 @@ from pyspark.sql import functions as F
 from . import rans
 from .shared import scratch_folder
 
-#: Words whose ids a worker keeps at most (some 200 bytes each); beyond that it starts anew. Results do not depend on it.
+#: Pieces whose ids a worker keeps at most (some 200 bytes each); beyond that it starts anew. Results do not depend on it.
 CACHE = 1_500_000
 BLOCK_TOKENS = 1 << 18
-_MARK = "\r"
+#: Ranges of characters that have been in one class of letters, digits, blanks or others for long; texts with further ones go whole.
+STEADY = (
+    (0x09, 0x0A), (0x0D, 0x0D), (0x20, 0x7E), (0xA0, 0x2FF), (0x391, 0x3A1), (0x3A3, 0x3C9), (0x400, 0x481), (0x2010, 0x2027), (0x3041, 0x3096),
+    (0x30A1, 0x30FA), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3),
+)
+
+
+def _ranges(kind: str) -> str:
+    """The steady characters whose Unicode category begins with ``kind``, as the inside of a character class."""
+    found: list[list[int]] = []
+    for lo, hi in STEADY:
+        for c in range(lo, hi + 1):
+            if unicodedata.category(chr(c)).startswith(kind):
+                if found and found[-1][1] == c - 1:
+                    found[-1][1] = c
+                else:
+                    found.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in found)
+
+
+def _piece_pattern() -> str:
+    """How byte-level BPE cuts a text into pieces (the published pattern of such tokenizers), for steady characters."""
+    letters, digits = _ranges("L"), _ranges("N")
+    return rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{digits}]+| ?[^\s{letters}{digits}]+|\s+(?!\S)|\s+"
+
+
+#: A text in which the cut into pieces is tried before it is relied on.
+PROBE = "It's  we'll\n\n (a) 12b-c,  \u00e9t\u00e9\u65e5\u672c \t x\u00a0y 'd' $5.00\r\n end  "
+
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it prints, else the next from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + k) for k, b in enumerate(others)}
 
-class _Known(dict):
-    """Word -> its ids as bytes; a word that is asked for and not there is noted in ``new`` and gives None."""
 
-    def __init__(self) -> None:
-        self.new: list[str] = []
+class _Pieces(dict):
+    """Piece -> its ids as bytes; a new piece is encoded by the tokenizer's model once."""
 
-    def __missing__(self, word: str) -> None:
-        self.new.append(word)
+    def __init__(self, model, kind: type):
+        self.model, self.kind, self.letters = model, kind, _byte_letters()
 
+    def __missing__(self, piece: str) -> bytes:
+        letters = piece.encode().decode("latin-1").translate(self.letters)
+        found = self[piece] = np.array([t.id for t in self.model.tokenize(letters)], self.kind).tobytes()
+        return found
 
-class WordTokenizer:
-    """Encodes texts word by word with a tokenizers file whose pieces never reach over a single space.
 
-    Byte-level BPE cuts a text into pieces first and " word" begins one; so the ids of a text are those of
-    its words, each with the space before it. Words are encoded once per worker, all new ones of a batch
-    in one call, parted by a character whose single id is known. Texts with other blanks go whole.
+class PieceTokenizer:
+    """Encodes whole texts with a tokenizers file, looking the pieces of a byte-level BPE up once per worker.
+
+    A text is cut into pieces as the file's pre-tokenizer cuts it, and the library's model gives the ids of
+    each distinct piece. Whole texts go through the library's encode where that might differ: files of another
+    kind, texts that hold one of the file's added tokens, and characters outside STEADY.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache = _Known()
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        ids = self.ids(_MARK + " a" + _MARK + "a")
-        self.mark = int(ids[0]) if len(ids) == 4 and ids[0] == ids[2] else None
-
-    def ids(self, text: str) -> np.ndarray:
+        file = json.loads(self.tokenizer.to_str())
+        self.added = [t["content"] for t in file.get("added_tokens") or []]
+        self.find, self.odd = re.compile(_piece_pattern()).findall, re.compile(f"[^{_ranges('')}]").search
+        self.pieces = _Pieces(self.tokenizer.model, self.kind)
+        cut = file.get("pre_tokenizer") or {}
+        plain = not any(file.get(x) for x in ("normalizer", "truncation", "padding"))
+        byte_level = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+        self.by_piece = bool(plain and byte_level and file["model"]["type"] == "BPE") and self._joined(PROBE) == self.whole(PROBE)
+
+    def whole(self, text: str) -> bytes:
         # The fast form leaves out offsets, which nothing here reads.
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind).tobytes()
+
+    def _joined(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.find(text)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of ``kind``."""
-        if len(self.cache) > CACHE:
-            self.cache = _Known()
-        get, new = self.cache.__getitem__, self.cache.new
-        lines, found, open_lines = [], [], []
-        for text in texts:
-            if not text or self.mark is None or _MARK in text or "<|" in text:
-                lines.append([])
-                found.append([b""])
-                continue
-            line = text.split(" ")
-            line[0] = _MARK + line[0]  # tells a first word from the others, which have a space before them
-            before = len(new)
-            lines.append(line)
-            found.append(list(map(get, line)))
-            if len(new) > before:
-                open_lines.append(len(lines) - 1)
-        self._learn()
-        for k in open_lines:
-            line, words, at = lines[k], found[k], -1
-            for _ in range(words.count(None)):
-                at = words.index(None, at + 1)
-                words[at] = get(line[at])
-        return [self.ids(text).tobytes() if b"" in words else b"".join(words) for words, text in zip(found, texts, strict=True)]
-
-    def _learn(self) -> None:
-        """Encode the new words. Those with blanks at an edge get no ids: pieces may reach over the space beside them."""
-        new = set(self.cache.new)
-        self.cache.new.clear()
-        unsafe = {w for w in new if w in ("", _MARK) or w[-1].isspace() or w.removeprefix(_MARK)[0].isspace()}
-        self.cache.update(dict.fromkeys(unsafe, b""))
-        if ordered := list(new - unsafe):
-            ids = self.ids("".join([w if w[0] == _MARK else f"{_MARK} {w}" for w in ordered]))
-            cuts = np.flatnonzero(ids == self.mark)
-            raw, width = ids.tobytes(), ids.itemsize
-            ends = [*(cuts[1:] * width).tolist(), len(raw)]
-            self.cache.update(zip(ordered, [raw[a:b] for a, b in zip(((cuts + 1) * width).tolist(), ends, strict=True)], strict=True))
-
-
-_CODERS: dict[str, WordTokenizer] = {}
-
-
-def _coder(path: str) -> WordTokenizer:
-    """One per Python worker, so that its words last from task to task."""
+        if len(self.pieces) > CACHE:
+            self.pieces.clear()
+        return [self._joined(t) if self.by_piece and not self.odd(t) and not any(x in t for x in self.added) else self.whole(t) for t in texts]
+
+
+_CODERS: dict[str, PieceTokenizer] = {}
+
+
+def _coder(path: str) -> PieceTokenizer:
+    """One per Python worker, so that its pieces last from task to task."""
     if path not in _CODERS:
-        _CODERS[path] = WordTokenizer(path)
+        _CODERS[path] = PieceTokenizer(path)
     return _CODERS[path]
 
 

@@ -311,10 +311,13 @@ def test_tokens(docs):
     assert tokens.token_output(docs.limit(0), queries.TOKENIZER).count() == 0
 
 
-def test_tokenizer_words():
-    coder, whole = tokens.WordTokenizer(queries.TOKENIZER), Tokenizer.from_file(queries.TOKENIZER)
-    for t in ("a  b", "\n x\n\n y", " lead", "tail ", "a\r b", "x <|endoftext|> y", "tab\tz q", "é 日本", "a\xa0 b", "it's we'll  ", " ", "a\n b", "a \nb"):
+def test_tokenizer_pieces():
+    coder, whole = tokens.PieceTokenizer(queries.TOKENIZER), Tokenizer.from_file(queries.TOKENIZER)
+    assert coder.by_piece
+    for t in ("x\x1cy \x85 z", "a\u0301 \U0001f600 b", "I'LL don't 'tis", "1\u00b2 \u2167 3", "x" * 3000, "a  b", "\n x\n\n y", " lead", "tail ", "a\r b", "x <|endoftext|> y", "tab\tz q", "é 日本", "a\xa0 b", "it's we'll  ", " ", "a\n b", "a \nb"):
         assert coder.encode([t])[0] == np.array(whole.encode(t, add_special_tokens=False).ids, coder.kind).tobytes(), t
+    other, whole = (make(public_tokenizers.path("word_bpe_49k.json")) for make in (tokens.PieceTokenizer, Tokenizer.from_file))
+    assert not other.by_piece and other.encode(["An <|endoftext|> It"])[0] == np.array(whole.encode("An <|endoftext|> It", add_special_tokens=False).ids, other.kind).tobytes()
 
 
 def test_quality_held_out(spark):
