@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import materialize
+from .shared import free_name, materialize
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -97,6 +97,8 @@ def repeat_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str
     draw = F.xxhash64(F.lit(seed), F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     plan = mix(documents, id_col, text_col, source_col, seed=seed, **options)
     copies = (F.col("times") + F.when(2 * F.col("part") >= F.greatest("size", F.lit(1)), 1).otherwise(0)).cast("int")
-    plan = plan.groupBy(F.col("draw").alias("_draw")).agg(F.ceil(F.avg(copies)).cast("int").alias("_copies")).where("_copies > 0")
-    taken = documents.withColumn("_draw", draw).join(plan, "_draw")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[F.col(f"`{c}`") for c in documents.columns])
+    # The added columns get names that the table does not have.
+    at, n, copy = (free_name(documents, x) for x in ("draw", "copies", "copy"))
+    plan = plan.groupBy(F.col("draw").alias(at)).agg(F.ceil(F.avg(copies)).cast("int").alias(n)).where(F.col(n) > 0)
+    taken = documents.withColumn(at, draw).join(plan, at)
+    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*[F.col(f"`{c}`") for c in documents.columns])

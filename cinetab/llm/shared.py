@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -16,9 +18,35 @@ WORD_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or the warehouse where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or below the warehouse where that is unset.
+
+    On a cluster a warehouse on a local disk is refused: executors would not see each other's files there.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    return base.rstrip("/") if base else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    if base:
+        return base.rstrip("/")
+    home = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if home.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{home}/scratch"
+
+
+class _Open(threading.local):
+    """Of each operator that is running, innermost last, the folders that it has written."""
+
+    def __init__(self) -> None:
+        self.paths: list[list[str]] = []
+
+
+_OPEN = _Open()
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A new name in the shared folder; what stands there goes when the running operator ends."""
+    path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if _OPEN.paths:
+        _OPEN.paths[-1].append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -27,11 +55,39 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage: losing executors afterwards costs no work that this table holds.
     """
     spark = df.sparkSession
-    path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def operator(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Write the result of ``f`` and delete the tables that it wrote on the way."""
+
+    @functools.wraps(f)
+    def run(*args, **kwargs) -> DataFrame:
+        _OPEN.paths.append([])
+        try:
+            found = f(*args, **kwargs)
+            spark = found.sparkSession
+            out = materialize(found, f.__name__)
+            result = _OPEN.paths[-1].pop()
+        except BaseException:
+            _OPEN.paths.pop()
+            raise
+        _delete(spark, _OPEN.paths.pop())
+        if _OPEN.paths:
+            _OPEN.paths[-1].append(result)
+        return out
+
+    return run
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def byte_table(separators: bytes, lower: bool) -> np.ndarray:
     """256 values: 0 for separators, else the byte plus one, A-Z as a-z if ``lower``."""
     table = np.arange(1, 257, dtype=np.uint64)
@@ -144,3 +200,10 @@ def keep_rows(documents: DataFrame, text_col: str, table: np.ndarray, test: Call
                 yield batch.slice(row, end - row).filter(pa.array(test(Words(data, bounds, table)), pa.bool_()))
 
     return documents.mapInArrow(work, documents.schema)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it in any case of letters."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name

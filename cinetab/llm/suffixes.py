@@ -1,13 +1,15 @@
 """Substring deduplication by prefix-partitioned suffix trees.
 
-Suffixes of all documents are cut at ``window`` words, so a node of the suffix tree at that depth is
-one repeated window. A suffix matters only if its window occurs in two documents; such windows share
-the half-window phrase that is smallest by hash inside them (the window's *anchor*, chosen by content
-alone). So a narrow pass over anchors finds every suffix that can have a twin, and the anchor is the
-prefix by which suffixes are dealt into groups that fit in memory. Each group's subtree is a sorted
-suffix array, whose runs of equal windows are its deep internal nodes. A prefix that more than
-``group_limit`` documents hold is lengthened to the whole window and reduced to its smallest document
-by a partial aggregate, so that no group grows with the corpus.
+Where a window of words repeats, so does everything in it. So not every suffix needs a place in a tree: of
+each window only one starts, at the window's *anchor*, the half-window phrase in it that is smallest by hash.
+The suffix's prefix, that phrase, deals the suffixes into groups; those whose prefix one document alone has
+are left out. A suffix brings along the words of its windows, so that a group's subtree can be built where
+the group is: word ids, ranks of all positions by prefix doubling, windows in the order of their words, the
+common-prefix length of neighbours, and from it the internal nodes of ``window`` words or more. All
+documents of such a node but the smallest repeat it.
+
+Prefixes have variable length: one with more than ``group_limit`` suffixes is lengthened to whole windows, each
+of them a node, and reduced to its smallest document by a partial aggregate, so that no group grows with the corpus.
 """
 
 from __future__ import annotations
@@ -20,28 +22,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import PLAIN, Words, binaries, materialize, mix64, ngram_hashes, passes
+from .shared import PLAIN, Words, binaries, materialize, mix64, ngram_hashes, operator, passes
 
-#: Suffixes that a subtree pass sorts at once.
-PASS_SUFFIXES = 1_000_000
+#: Words that a subtree pass indexes at once; a larger group forms a pass of its own.
+PASS_WORDS = 400_000
 
 
 def anchors(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of each window's anchor, and of the window, for one text's word hashes."""
+    """The place of each window's anchor (the leftmost of equal ones), and the hashes of all phrases, for one text."""
     phrase = window // 2
     if len(words) < window:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     grams = ngram_hashes(words, phrase)
+
+    def better(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.where(grams[b] < grams[a], b, a)
+
     span = window - phrase + 1
     # Sliding minimum in log steps: the minimum of 2**k neighbours, then of two overlapping blocks.
-    least, width = grams, 1
+    least, width = np.arange(len(grams)), 1
     while width * 2 <= span:
-        least = np.minimum(least[:-width], least[width:])
+        least = better(least[:-width], least[width:])
         width *= 2
-    rest = span - width
-    if rest:
-        least = np.minimum(least[: len(least) - rest], least[rest:])
-    return least, ngram_hashes(words, window, seed=2)
+    if rest := span - width:
+        least = better(least[: len(least) - rest], least[rest:])
+    return least, grams
+
+
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal values begins and ends."""
+    if not len(values):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
+    return np.concatenate([[0], cuts]), np.concatenate([cuts, [len(values)]])
 
 
 def keyed(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -51,7 +64,10 @@ def keyed(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def survey(documents: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    """(doc_id, text_key, n_words, full_sha256, seq_a, seq_b, anchors) of each row; seq_a and seq_b name the word sequence."""
+    """(doc_id, text_key, n_words, full_sha256, seq_a, seq_b, anchors) of each row.
+
+    seq_a and seq_b name the word sequence; ``anchors`` are the prefixes of its sampled suffixes, with repeats.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,7 +81,10 @@ def survey(documents: DataFrame, id_col: str, text_col: str, window: int) -> Dat
                     names.append((total[words.first[1:]] - total[words.first[:-1]]).view(np.int64))
                 raw = data.tobytes()
                 shas = [hashlib.sha256(b" ".join(raw[a:b].split())).hexdigest() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                found = [np.unique(anchors(words.hashes[a:b], window)[0]) for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
+                found = []
+                for a, b in zip(words.first[:-1], words.first[1:], strict=True):
+                    place, grams = anchors(words.hashes[a:b], window)
+                    found.append(grams[place[runs(place)[0]]])
                 sizes = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(found).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
@@ -78,100 +97,137 @@ def survey(documents: DataFrame, id_col: str, text_col: str, window: int) -> Dat
 
 
 def suffixes(candidates: DataFrame, window: int) -> DataFrame:
-    """(prefix, crowded, doc_id, places, nodes, text_key): each text's suffixes under a shared prefix.
+    """(prefix, crowded, doc_id, text_key, at, windows, words, nodes): each text's sampled suffixes under a shared prefix.
 
-    ``candidates``: (doc_id, text, shared array<long>, crowded array<boolean>, text_key). ``places`` are word
-    positions (int32) and ``nodes`` the windows' hashes (uint64), as bytes.
+    ``candidates``: (doc_id, text, shared array<long>, crowded array<boolean>, text_key). A suffix stands for
+    ``windows`` windows from word ``at`` on; it has their words, or their hashes (``nodes``) under a crowded prefix.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, shared, crowded, keys = (batch.column(i) for i in (0, 2, 3, 4))
             for row, end, data, bounds in passes(batch.column(1)):
-                words = Words(data, bounds, PLAIN)
-                out: list[list] = [[], [], [], [], [], []]
+                words, raw = Words(data, bounds, PLAIN), data.tobytes()
+                out: list[list] = [[] for _ in _SUFFIX]
                 for i in range(row, end):
                     a, b = words.first[i - row], words.first[i - row + 1]
-                    prefix, node = anchors(words.hashes[a:b], window)
+                    place, grams = anchors(words.hashes[a:b], window)
                     wanted = shared[i].values.to_numpy().view(np.uint64)
                     full = crowded[i].values.to_numpy(zero_copy_only=False)
                     order = np.argsort(wanted)
                     wanted, full = wanted[order], full[order]
+                    begin, stop = runs(place)
+                    prefix = grams[place[begin]] if len(begin) else np.zeros(0, np.uint64)
                     at = np.minimum(np.searchsorted(wanted, prefix), len(wanted) - 1)
-                    place = np.flatnonzero(wanted[at] == prefix)
-                    place = place[np.argsort(at[place], kind="stable")]
-                    cuts = np.flatnonzero(np.diff(at[place])) + 1
-                    for part in np.split(place, cuts) if len(place) else []:
-                        out[0].append(int(prefix[part[0]].view(np.int64)))
-                        out[1].append(bool(full[at[part[0]]]))
-                        out[2].append(ids[i].as_py())
-                        out[3].append(part.astype(np.int32).tobytes())
-                        out[4].append(node[part].tobytes())
-                        out[5].append(keys[i].as_py())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], pa.int64()), pa.array(out[1], pa.bool_()), pa.array(out[2], pa.int64()),
-                     pa.array(out[3], pa.binary()), pa.array(out[4], pa.binary()), pa.array(out[5], pa.int64())],
-                    ["prefix", "crowded", "doc_id", "places", "nodes", "text_key"],
-                )
+                    node = ngram_hashes(words.hashes[a:b], window, seed=2) if full.any() else None
+                    for k in np.flatnonzero(wanted[at] == prefix).tolist():
+                        x, y, long = int(begin[k]), int(stop[k]), bool(full[at[k]])
+                        text = None if long else raw[words.begins[a + x] : words.ends[a + y + window - 2]]
+                        values = (int(prefix[k].view(np.int64)), long, ids[i].as_py(), keys[i].as_py(), x, y - x, text, node[x:y].tobytes() if long else None)
+                        for column, value in zip(out, values, strict=True):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, _SUFFIX, strict=True)], schema=_SUFFIX)
 
     return candidates.select("doc_id", "text", "shared", "crowded", "text_key").mapInArrow(
-        work, "prefix long, crowded boolean, doc_id long, places binary, nodes binary, text_key long"
+        work, "prefix long, crowded boolean, doc_id long, text_key long, at int, windows int, words binary, nodes binary"
     )
 
 
-def subtree_repeats(rows: DataFrame) -> DataFrame:
-    """(doc_id, text_key, places) of suffixes whose node holds a smaller doc_id, from groups of one prefix each."""
+_SUFFIX = pa.schema(
+    [("prefix", pa.int64()), ("crowded", pa.bool_()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("at", pa.int32()), ("windows", pa.int32()),
+     ("words", pa.binary()), ("nodes", pa.binary())]
+)
+
+
+class Subtrees:
+    """The suffix trees of some groups, cut at ``window`` words: all their windows in order, and common prefixes of neighbours.
+
+    ``texts`` holds each suffix's words and ``group`` the number of its group; windows of different groups share nothing.
+    ``windows`` says how many windows start in each text. ``suffix`` and ``start`` name the windows in the order
+    of their words, ``common`` counts the words that each shares with the window before it.
+    """
+
+    def __init__(self, texts: list[bytes], group: np.ndarray, windows: np.ndarray, window: int):
+        split = [x.split() for x in texts]
+        sizes = np.array([len(x) for x in split])
+        number: dict[bytes, int] = {}
+        ids = np.array([number.setdefault(w, len(number)) for x in split for w in x], np.int64)
+        first = np.cumsum(sizes) - sizes
+        # ranks[k]: positions by their next 2**k words, equal ranks for equal words; positions with fewer words left have none.
+        left = np.repeat(first + sizes, sizes) - np.arange(len(ids))
+        ranks, width = [np.unique(np.repeat(group, sizes) * len(number) + ids, return_inverse=True)[1]], 1
+        while width * 2 <= window:
+            last, both = ranks[-1], np.flatnonzero(left >= 2 * width)
+            rank = np.full(len(ids), -1)
+            rank[both] = np.unique(last[both] * len(ids) + last[both + width], return_inverse=True)[1]
+            ranks.append(rank)
+            width *= 2
+        suffix = np.repeat(np.arange(len(texts)), windows)
+        start = np.arange(len(suffix)) - np.repeat(np.cumsum(windows) - windows, windows)
+        place = first[suffix] + start
+        # Two overlapping ranges of 2**k words cover the window.
+        order = np.lexsort((ranks[-1][place + window - width], ranks[-1][place]))
+        self.suffix, self.start, place = suffix[order], start[order], place[order]
+        self.common = np.zeros(len(place), np.int64)
+        a, b, common = place[:-1], place[1:], self.common[1:]
+        for k in range(len(ranks) - 1, -1, -1):  # a window has fewer than 2 * width words, so each step is taken once at most
+            fits = common + (1 << k) <= window
+            step = np.where(fits, common, 0)
+            common += ((ranks[k][a + step] == ranks[k][b + step]) & fits).astype(np.int64) << k
+
+    def nodes(self, depth: int) -> np.ndarray:
+        """The number of the node of ``depth`` words that each window belongs to."""
+        return np.cumsum(self.common < depth)
+
+
+def subtree_repeats(rows: DataFrame, window: int) -> DataFrame:
+    """(doc_id, text_key, places) of windows whose node holds a smaller doc_id, from groups of one prefix each."""
 
     def solve(table: pa.Table) -> pa.RecordBatch:
-        sizes = np.array([len(x) // 4 for x in table.column(3).to_pylist()])
-        place = np.frombuffer(b"".join(table.column(3).to_pylist()), np.int32)
-        node = np.frombuffer(b"".join(table.column(4).to_pylist()), np.uint64)
-        doc = np.repeat(table.column(2).to_numpy(), sizes)
-        row = np.repeat(np.arange(len(sizes)), sizes)
-        order = np.lexsort((doc, node))
-        node, doc, place, row = node[order], doc[order], place[order], row[order]
-        head = np.concatenate([[True], node[1:] != node[:-1]]) if len(node) else np.zeros(0, bool)
-        least = doc[head][np.cumsum(head) - 1]
-        late = doc > least
-        row, place = row[late], place[late]
+        prefix, doc, at, windows = (table.column(k).to_numpy() for k in (0, 1, 3, 4))
+        tree = Subtrees(table.column(5).to_pylist(), np.cumsum(np.concatenate([[0], prefix[1:] != prefix[:-1]])), windows, window)
+        node = tree.nodes(window)
+        least = np.full(node.max(initial=0) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(least, node, doc[tree.suffix])
+        late = np.flatnonzero(doc[tree.suffix] > least[node])
+        row, place = tree.suffix[late], at[tree.suffix[late]] + tree.start[late]
         order = np.argsort(row, kind="stable")
-        row, place = row[order], place[order]
-        cuts = np.flatnonzero(np.diff(row)) + 1
-        heads = row[np.concatenate([[0], cuts])] if len(row) else np.zeros(0, np.int64)
-        columns = [pa.array(table.column(i).to_numpy()[heads]) for i in (2, 5)]
-        return pa.RecordBatch.from_arrays([*columns, binaries(np.split(place, cuts) if len(row) else [])], ["doc_id", "text_key", "places"])
+        row, place = row[order], place[order].astype(np.int32)
+        begin, stop = runs(row)
+        columns = [pa.array(table.column(k).to_numpy()[row[begin]]) for k in (1, 2)]
+        return pa.RecordBatch.from_arrays([*columns, binaries([place[a:b] for a, b in zip(begin, stop, strict=True)])], ["doc_id", "text_key", "places"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
             held.append(batch)
-            size += batch.column(4).nbytes // 8
-            if size >= PASS_SUFFIXES:
+            size += batch.column(5).nbytes
+            if size >= 7 * PASS_WORDS:
                 table = pa.Table.from_batches(held)
                 prefix = table.column(0).to_numpy()
                 cut = int(np.searchsorted(prefix, prefix[-1]))  # the last group may go on
                 if cut:
                     yield solve(table.slice(0, cut))
                 held = table.slice(cut).to_batches()
-                size = sum(x.column(4).nbytes // 8 for x in held)
+                size = sum(x.column(5).nbytes for x in held)
         if held:
             yield solve(pa.Table.from_batches(held))
 
-    rows = rows.select("prefix", "crowded", "doc_id", "places", "nodes", "text_key").repartition("prefix").sortWithinPartitions("prefix")
+    rows = rows.select("prefix", "doc_id", "text_key", "at", "windows", "words").repartition("prefix").sortWithinPartitions("prefix")
     return rows.mapInArrow(work, "doc_id long, text_key long, places binary")
 
 
 def crowded_repeats(rows: DataFrame) -> DataFrame:
-    """As subtree_repeats, for prefixes that are lengthened to whole windows."""
+    """As subtree_repeats, for prefixes that are lengthened to whole windows; a node is named by prefix and window, 128 bits."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places, nodes = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            sizes = [len(x) // 4 for x in places]
+            at, windows = (batch.column(k).to_numpy() for k in (3, 4))
+            place = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows) + np.repeat(at, windows)
             yield pa.RecordBatch.from_arrays(
-                [*[pa.array(np.repeat(batch.column(i).to_numpy(), sizes)) for i in (0, 1)], pa.array(np.frombuffer(b"".join(places), np.int32)),
-                 pa.array(np.frombuffer(b"".join(nodes), np.int64))], ["doc_id", "text_key", "place", "node"],
+                [*[pa.array(np.repeat(batch.column(k).to_numpy(), windows)) for k in (0, 1, 2)], pa.array(place.astype(np.int32)),
+                 pa.array(np.frombuffer(b"".join(batch.column(5).to_pylist()), np.int64))], ["prefix", "doc_id", "text_key", "place", "node"],
             )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,9 +236,11 @@ def crowded_repeats(rows: DataFrame) -> DataFrame:
                 [*batch.columns[:2], binaries(list(batch.column(2).to_numpy().astype(np.int32).reshape(-1, 1)))], ["doc_id", "text_key", "places"]
             )
 
-    single = rows.select("doc_id", "text_key", "places", "nodes").mapInArrow(spread, "doc_id long, text_key long, place int, node long")
-    least = materialize(single.groupBy("node").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most"), "nodes")
-    late = single.join(least.select("node", "least"), "node").where("doc_id > least").select("doc_id", "text_key", "place")
+    single = rows.select("prefix", "doc_id", "text_key", "at", "windows", "nodes")
+    single = single.mapInArrow(spread, "prefix long, doc_id long, text_key long, place int, node long")
+    node = ["prefix", "node"]
+    least = materialize(single.groupBy(*node).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most"), "nodes")
+    late = single.join(least.select(*node, "least"), node).where("doc_id > least").select("doc_id", "text_key", "place")
     return late.mapInArrow(pack, "doc_id long, text_key long, places binary")
 
 
@@ -217,6 +275,7 @@ def cut_repeats(candidates: DataFrame, repeats: DataFrame, window: int) -> DataF
     )
 
 
+@operator
 def repeated_substrings(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, group_limit: int = 1024, texts: bool = True
 ) -> DataFrame:
@@ -244,13 +303,13 @@ def repeated_substrings(
         .where("lo < hi").select("prefix", (F.col("n") > group_limit).alias("crowded")), "prefixes"
     )
     wanted = materialize(
-        holders.join(shared, "prefix").groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("prefix", "crowded")).alias("p"))
+        holders.join(shared, "prefix").groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("prefix", "crowded")).alias("p"))
         .select("doc_id", "text_key", F.col("p.prefix").alias("shared"), F.col("p.crowded").alias("crowded")), "wanted"
     )
     candidates = keyed(documents, id_col, text_col).join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
     candidates = materialize(candidates, "candidate-texts")
     found = materialize(suffixes(candidates, window), "suffixes")
-    repeats = subtree_repeats(found.where("not crowded")).union(crowded_repeats(found.where("crowded")))
+    repeats = subtree_repeats(found.where("not crowded"), window).union(crowded_repeats(found.where("crowded")))
     cut = cut_repeats(candidates, repeats, window)
     cut = materialize(cut if texts else cut.drop("kept_text"), "cut")
     out = seen.select("doc_id", "text_key", "n_words", "full_sha256", "seq_a", "seq_b").join(first, ["seq_a", "seq_b"], "left").join(cut, ["doc_id", "text_key"], "left")

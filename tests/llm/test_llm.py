@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -111,12 +112,63 @@ def test_minhash_crowd(spark):
 
 def test_minhash_past_connected_rows(spark):
     """In every order 60 rows of one part stand between a row of that part and one of another; all pairs are found."""
-    bands = lambda last: bytes(last if k // 4 % 4 == 3 else 10 for k in range(128))
-    rows = [(0, bands(10), 0), *((k, bands(20), 0) for k in range(1, 61)), (61, bands(30), 61)]
-    signed = spark.createDataFrame([(i, bytearray(x), part) for i, x, part in rows], "id long, signature binary, part long")
+    values = lambda last: np.array([last if k % 16 >= 12 else 10 for k in range(128)], np.uint16).tobytes()
+    rows = [(0, values(10), 0), *((k, values(20), 0) for k in range(1, 61)), (61, values(30), 61)]
+    signed = spark.createDataFrame([(i, bytearray(x), part, 0) for i, x, part in rows], "id long, signature binary, part long, home int")
     for block in (2048, 7):
-        found = minhash.apart_candidates(signed, 92, block).select("left", "right").collect()
-        assert sorted(tuple(r) for r in found) == [(k, 61) for k in range(61)]
+        found = minhash.apart_candidates(signed, 92, block).collect()
+        assert sorted(x for r in found for x in r.lefts) == list(range(61)) and {(r.right, r.right_part, r.part, r.home) for r in found} == {(61, 61, 0, 0)}
+
+
+def test_minhash_blocks(spark):
+    """Rows against blocks of sets: each pair of parts with a link is found, others are not."""
+    rng = random.Random(8)
+    base, rows = crowd(rng, 30, 2)
+    rows += [edited(base, {k: f"x{k}" for k in range(0, 60, 3)}), rows[3] + " end", edited(rows[4].split(), {7: "y"})]
+    texts = minhash.keyed(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), "doc_id", "text")
+    sets = texts.selectExpr("doc_id as id", "doc_id as first_id", "text_key", "if(doc_id < 30, 0, doc_id) as part", "cast(if(doc_id < 30, doc_id % 3, 0) as int) as home")
+    tries = [(right, right, 0, home, [k for k in range(30) if k % 3 == home]) for right in (30, 31, 32) for home in range(3)]
+    rest = spark.createDataFrame(tries, "right long, right_part long, part long, home int, lefts array<long>")
+    assert sorted(set(map(tuple, minhash.confirm_blocks(rest, sets, texts, 85, 5).collect()))) == [(31, 0), (32, 0)]
+
+
+def test_minhash_forest_depth(spark):
+    """Neighbours with the longest common prefix, whatever the batches: a row is in two pairs of a tree at most."""
+    rng = random.Random(9)
+    values = [[rng.randrange(3) for _ in range(128)] for _ in range(300)]
+    signed = spark.createDataFrame([(i, bytearray(np.array(v, np.uint16).tobytes())) for i, v in enumerate(values)], "id long, signature binary").coalesce(1)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        found = {}
+        for size in ("7", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            found[size] = sorted(map(tuple, minhash.forest_candidates(signed, 0, trees=2, min_depth=2).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    expected = set()
+    for tree in range(2):
+        # A key is compared as bytes; small values make that the order of the lists, too.
+        order = sorted((v[8 * tree : 8 * tree + 64], i) for i, v in enumerate(values))
+        common = [next((k for k in range(64) if x[k] != y[k]), 64) for (x, _), (y, _) in zip(order, order[1:])]
+        depth = [max(([common[k - 1]] if k else []) + common[k : k + 1]) for k in range(len(order))]
+        expected |= {tuple(sorted((order[k][1], order[k + 1][1]))) for k, c in enumerate(common) if c >= 2 and c in (depth[k], depth[k + 1])}
+    assert found["7"] == found["10000"] == sorted(expected)
+
+
+def test_minhash_repeated_ids(spark):
+    """Two texts of one id: near copies of either belong to that id; the stage keeps one row of each group."""
+    rng = random.Random(10)
+    one, two = (" ".join(f"{x}{rng.randrange(10**6)}" for _ in range(100)) for x in "ab")
+    rows = [(5, one, 1), (5, two, 2), (7, one + " more", 3), (8, two + " more", 4), (5, one, 5), (9, "", 6), (9, "", 7), (None, one, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _gone int").withColumn("_draw", F.col("_gone")).withColumn("key", F.lit(1)).withColumn("ID", F.lit(2))
+    found = sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in minhash.near_duplicates(docs).collect())
+    assert found == [(0, 0, True), (5, 5, True), (5, 5, True), (5, 5, True), (7, 5, False), (8, 5, False), (9, 9, True), (9, 9, True)]
+    kept = minhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    kept = sorted(r._gone for r in kept.collect())
+    assert kept in ([1, 2, 6, 7, 8], [2, 5, 6, 7, 8])
+    assert sorted(r._gone for r in mixing.repeat_documents(docs.withColumn("source", F.lit("a")), max_epochs=1.0).collect() if r._gone < 6) == [1, 2, 3, 4, 5]
 
 
 def test_pipeline_drops_copies_from_80(spark):
