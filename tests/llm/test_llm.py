@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -225,6 +226,29 @@ def test_decontamination(spark, docs):
     assert fmindex.decontaminate(docs, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_decontamination_shards(spark, docs, monkeypatch):
+    """Where a shard ends makes no difference; occurrences are located from one suffix in SAMPLE."""
+    rng = np.random.default_rng(5)
+    text = np.concatenate([np.append(rng.integers(1, 4, rng.integers(1, 40)), 0) for _ in range(60)])
+    index = fmindex.FMIndex(text)
+    assert len(index.sampled) == -(-len(text) // fmindex.SAMPLE)
+    for size in (1, 3, 10):
+        phrases = np.unique(rng.integers(1, 5, (200, size)), axis=0)
+        expected = [(r, p) for r, x in enumerate(phrases) for p in range(len(text) - size + 1) if (text[p : p + size] == x).all()]
+        assert sorted(zip(*(x.tolist() for x in index.search(phrases)))) == expected
+    words = fmindex.WaveletMatrix(values := rng.integers(0, 700, 3000), 10)
+    for symbol, at in ((3, 0), (3, 3000), (699, 2561), (100, 1024)):
+        assert words.rank(np.array([symbol]), np.array([at]))[0] == (values[:at] == symbol).sum()
+    batch = pa.RecordBatch.from_pydict({"text": [t or "" for t in texts()]})
+    phrases = fmindex.Phrases([("q", texts()[0]), ("r", "one two")], 10)
+    seen = []
+    for limit in (1, 5_000, 10**9):
+        monkeypatch.setattr(fmindex, "SHARD_BYTES", limit)
+        monkeypatch.setattr("cinetab.llm.shared.PASS_BYTES", 1000)
+        seen.append([(n_, h.tolist(), sorted(i)) for _, n, hit, items in fmindex.searched(iter([batch]), 0, phrases) for n_, h, i in zip(n.tolist(), hit, items)])
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) == batch.num_rows and any(any(h) for _, h, _ in seen[0])
+
+
 def test_decontamination_blocks_by_row(spark):
     """Rows that repeat an id or have none are judged by their own text, with one block and with several."""
     rng = random.Random(6)
