@@ -30,6 +30,9 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "frame_probs": ((), """SELECT CAST(floor(l_suppkey / 10.0) AS BIGINT) AS video_id,
         CAST(row_number() OVER (PARTITION BY floor(l_suppkey / 10.0) ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) - 1 AS BIGINT) AS frame_idx,
         round(CAST(l_discount AS DOUBLE) * 10, 6) AS prob FROM lineitem"""),
+    "frame_looks": ((), """SELECT CAST(floor(l_suppkey / 10.0) AS BIGINT) AS video_id,
+        CAST(row_number() OVER (PARTITION BY floor(l_suppkey / 10.0) ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) - 1 AS BIGINT) AS frame_idx,
+        CAST(l_quantity AS DOUBLE) AS h0, CAST(l_linenumber AS DOUBLE) * 5 AS h1, CAST(l_tax AS DOUBLE) * 300 AS h2, CAST(l_partkey % 20 AS DOUBLE) AS h3 FROM lineitem"""),
     "fvideos": (("frame_probs",), "SELECT video_id, CAST(25 AS DOUBLE) AS fps, count(*) / CAST(25 AS DOUBLE) AS duration FROM frame_probs GROUP BY video_id"),
     "segments": ((), """SELECT video_id, 'whisper' AS source, CAST(row_number() OVER (PARTITION BY video_id ORDER BY conv_id, turn) AS BIGINT) AS seg_no,
         base + (total - n) * CAST(0.4 AS DOUBLE) AS start_s, base + total * CAST(0.4 AS DOUBLE) AS end_s, text FROM (

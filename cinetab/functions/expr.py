@@ -56,7 +56,7 @@ def clip_text(text: Column, n: int, tail: bool = False) -> Column:
 def normalise_group(label: Column) -> Column:
     """group<number> for a label that names one, else null."""
     digits = F.regexp_extract(label, r"(?i)group\s*_?(\d+)", 1)
-    return F.when(digits != "", F.concat(F.lit("group"), digits.cast("long")))
+    return F.when(digits != "", F.concat(F.lit("group"), F.regexp_replace(digits, r"^0+(?=\d)", "")))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -69,8 +69,3 @@ def unit(a: Column) -> Column:
     length = F.sqrt(dot(a, a))
     return F.when(length > 0, F.transform(a, lambda x: x.cast("double") / length)).otherwise(F.transform(a, lambda x: x.cast("double")))
 
-
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine of two vectors; 0 if one is zero."""
-    both = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
-    return F.when(both > 0, dot(a, b) / both).otherwise(F.lit(0.0))

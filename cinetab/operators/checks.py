@@ -18,11 +18,15 @@ def check_ids(tiles: DataFrame) -> DataFrame:
     return _found(tiles.withColumn("_n", n).where("_n <> id"), "ids", F.col("id"), F.col("_n"))
 
 
-def check_coverage(tiles: DataFrame, videos: DataFrame, at_start: float = 0.0, frames: float = 1.5) -> DataFrame:
-    """Tiles begin at 0 and end at the duration, within ``frames`` frames; a video without tiles fails."""
+def check_coverage(tiles: DataFrame, videos: DataFrame, frames: float = 1.5, exact: bool = False, seconds: float = 0.1) -> DataFrame:
+    """Tiles begin at 0 and end at the duration, within ``frames`` frames; a video without tiles fails.
+
+    ``exact``: they begin at 0 exactly and end within ``seconds``.
+    """
     ends = tiles.groupBy("video_id").agg(F.min("start").alias("a"), F.max("end").alias("b"))
     df = videos.select("video_id", "duration", "fps").join(ends, "video_id", "left")
-    bad = F.col("a").isNull() | (F.abs("a") > at_start) | (F.abs(F.col("b") - F.col("duration")) > F.lit(frames) / F.col("fps"))
+    near = F.lit(frames) / F.col("fps")
+    bad = F.col("a").isNull() | (F.abs("a") > (F.lit(0.0) if exact else near)) | (F.abs(F.col("b") - F.col("duration")) > (F.lit(seconds) if exact else near))
     return _found(df.where(bad), "coverage", F.col("video_id"), F.concat_ws("-", F.coalesce(F.col("a").cast("string"), F.lit("none")), F.col("b").cast("string")))
 
 
@@ -69,13 +73,18 @@ def check_files(files: DataFrame, expected: DataFrame) -> DataFrame:
     return _found(df, "files", F.col("path"), F.when(F.col("_f").isNull(), "missing file").otherwise("no timecode"))
 
 
-def check_folders(files: DataFrame, codes: DataFrame, scenes: DataFrame) -> DataFrame:
-    """The group folders of a scene are the groups of its timecodes; a scene without groups has its marker."""
+def check_folders(files: DataFrame, codes: DataFrame, scenes: DataFrame, markers: bool = True) -> DataFrame:
+    """The group folders of a scene are the groups of its timecodes; a scene without groups has its marker.
+
+    Without ``markers`` they are left out, as a listing by Spark's readers does not show them.
+    """
     parts = F.split("path", "/")
     f = files.select("video_id", F.regexp_extract(parts[0], r"(\d+)", 1).cast("long").alias("scene_id"), parts[1].alias("folder")).distinct()
     e = codes.select("video_id", F.col("scene_id").cast("long").alias("scene_id"), F.concat(F.lit("group"), "group").alias("folder")).distinct()
     ids = scenes.select("video_id", F.col("id").cast("long").alias("scene_id"))
     e = e.union(ids.join(e, ["video_id", "scene_id"], "left_anti").select("video_id", "scene_id", F.lit("_no_faces")))
+    if not markers:
+        f, e = f.where("folder <> '_no_faces'"), e.where("folder <> '_no_faces'")
     df = f.withColumn("_f", F.lit(1)).join(e.withColumn("_e", F.lit(1)), ["video_id", "scene_id", "folder"], "full_outer").where("_f is null or _e is null")
     return _found(df, "folders", F.concat_ws("/", "scene_id", "folder"), F.when(F.col("_f").isNull(), "missing folder").otherwise("unexpected folder"))
 
@@ -103,7 +112,8 @@ SHOT_KEYS = ("id", "start_seconds", "end_seconds")
 
 
 def check_schema(docs: DataFrame, ordered: bool = True) -> DataFrame:
-    """``docs(video_id, json)``: exact keys on every level, group names, and descriptions of over 40 characters."""
+    """``docs(video_id, json)``: exact keys on every level, numbers where they belong, group names, and descriptions of over 40 characters."""
+    number = lambda item, k: F.schema_of_variant(F.try_variant_get(F.try_parse_json(item), f"$.{k}", "variant")).rlike("^(BIGINT|DOUBLE|DECIMAL|FLOAT)")
     same = lambda c, keys: (c == F.array(*map(F.lit, keys))) if ordered else (F.array_sort(c) == F.array_sort(F.array(*map(F.lit, keys))))
     top = docs.where(F.col("json").isNull() | ~F.coalesce(same(F.json_object_keys("json"), ("shots", "scenes")), F.lit(False)))
     out = _found(top, "schema", F.lit("document"), F.lit("keys"))
@@ -111,6 +121,8 @@ def check_schema(docs: DataFrame, ordered: bool = True) -> DataFrame:
         items = F.from_json(F.get_json_object("json", f"$.{part}"), "array<string>")
         each = docs.select("video_id", F.posexplode(items).alias("n", "item"))
         out = out.union(_found(each.where(~F.coalesce(same(F.json_object_keys("item"), keys), F.lit(False))), "schema", F.concat_ws(" ", F.lit(part), "n"), F.lit("keys")))
+        typed = number("item", "id") & number("item", "start_seconds") & number("item", "end_seconds")
+        out = out.union(_found(each.where(~F.coalesce(typed, F.lit(False))), "schema", F.concat_ws(" ", F.lit(part), "n"), F.lit("types")))
         if part == "scenes":
             groups = each.select("video_id", "n", F.explode(F.json_object_keys(F.get_json_object("item", "$.faces"))).alias("g"))
             out = out.union(_found(groups.where(~F.col("g").rlike(r"^group\d+$")), "schema", F.concat_ws(" ", F.lit("scenes"), "n"), F.col("g")))
@@ -119,8 +131,11 @@ def check_schema(docs: DataFrame, ordered: bool = True) -> DataFrame:
     return out
 
 
-def validation_summary(violations: DataFrame, videos: DataFrame, messages: int = 50) -> DataFrame:
-    """(video_id, errors, warnings, passed, messages): counts and the first messages of each video."""
+def validation_summary(violations: DataFrame, videos: DataFrame, messages: int = 50, totals: dict[str, DataFrame] | None = None) -> DataFrame:
+    """(video_id, errors, warnings, messages, passed, ...): counts and the first messages of each video.
+
+    ``totals`` names tables whose rows of each video are counted, too.
+    """
     order = Window.partitionBy("video_id", "severity").orderBy("check", "entity", "detail")
     v = violations.withColumn("_n", F.row_number().over(order))
     text = F.when(F.col("_n") <= messages, F.concat_ws(" ", "check", "entity", "detail"))
@@ -129,4 +144,7 @@ def validation_summary(violations: DataFrame, videos: DataFrame, messages: int =
         F.array_join(F.array_sort(F.collect_list(text)), "; ").alias("messages"),
     )
     df = videos.select("video_id").join(n, "video_id", "left").fillna(0, ["errors", "warnings"]).fillna("", ["messages"])
-    return df.withColumn("passed", F.col("errors") == 0)
+    df = df.withColumn("passed", F.col("errors") == 0)
+    for name, table in (totals or {}).items():
+        df = df.join(table.groupBy("video_id").agg(F.count("*").alias(name)), "video_id", "left").fillna(0, [name])
+    return df

@@ -54,11 +54,32 @@ def output_doc(shots: DataFrame, scenes: DataFrame, faces: DataFrame, descriptio
     return s.join(rows.groupBy("video_id").agg(order.alias("scenes")), "video_id", "left").withColumn("scenes", F.coalesce("scenes", F.expr("filter(scenes, x -> false)"), F.col("scenes")))
 
 
-def extended_doc(doc: DataFrame, videos: DataFrame, stats: DataFrame, method: DataFrame) -> DataFrame:
-    """The result document with video fields, group statistics and the way scenes were found."""
+def extended_doc(
+    doc: DataFrame, scenes: DataFrame, answers: DataFrame, appearances: DataFrame, videos: DataFrame, stats: DataFrame, method: DataFrame
+) -> DataFrame:
+    """The result document with what is known besides: video fields, group statistics, how scenes were found, and of each scene
+    first and last shot, title (an answer's, else the scene's own), theme, contributors, events, model, and its groups' times
+    and intervals as maps.
+
+    ``scenes`` have an optional title; ``answers`` as ``parse_answers`` gives them, one a scene.
+    """
+    key = ["video_id", "id"]
+    by_group = lambda rows, value: F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.concat(F.lit("group"), "group").alias("key"), F.col(value).alias("value")))))
+    times = appearances.groupBy("video_id", "scene_id", "group").agg(F.transform(F.sort_array(F.collect_list("ts")), hms).alias("v"))
+    times = times.groupBy("video_id", F.col("scene_id").alias("id")).agg(by_group(times, "v").alias("faces_hms"))
+    spans = appearance_intervals(appearances).groupBy("video_id", "scene_id", "group").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("v"))
+    spans = spans.groupBy("video_id", F.col("scene_id").alias("id")).agg(by_group(spans, "v").alias("intervals"))
+    own = scenes if "title" in scenes.columns else scenes.withColumn("title", F.lit(None).cast("string"))
+    said = answers.select("video_id", F.col("scene_id").alias("id"), F.col("title").alias("_title"), "central_theme", "key_contributors", "events", "model")
+    more = own.select(*key, "first_shot", "last_shot", "title").join(said, key, "left").join(times, key, "left").join(spans, key, "left")
+    more = more.withColumn("title", F.coalesce("_title", "title")).drop("_title")
+    opened = doc.select("video_id", F.explode("scenes").alias("s")).select("video_id", "s.*")
+    opened = opened.withColumns({"start_hms": hms(F.col("start_seconds")), "end_hms": hms(F.col("end_seconds"))}).join(more, key, "left")
+    opened = opened.withColumns({c: F.coalesce(c, F.map_from_arrays(F.array(), F.array()).cast(dict(more.dtypes)[c])) for c in ("faces_hms", "intervals")})
+    numbered = F.collect_list(F.struct(F.col("id"), F.struct(*[c for c in opened.columns if c != "video_id"]).alias("s")))
+    full = opened.groupBy("video_id").agg(F.transform(F.array_sort(numbered, lambda a, b: (a["id"] - b["id"]).cast("int")), lambda x: x["s"]).alias("scenes"))
     groups = stats.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("group", "detections", "tracks", "mean_cos_to_centroid", "nearest_group", "nearest_cos"))).alias("groups"))
-    timed = F.transform("scenes", lambda s: s.withField("start_hms", hms(s["start_seconds"])).withField("end_hms", hms(s["end_seconds"])))
-    return doc.withColumn("scenes", timed).join(videos, "video_id").join(groups, "video_id", "left").join(method, "video_id", "left")
+    return doc.drop("scenes").join(full, "video_id", "left").join(videos, "video_id").join(groups, "video_id", "left").join(method, "video_id", "left")
 
 
 def folder_counts(appearances: DataFrame, scenes: DataFrame) -> DataFrame:
@@ -78,11 +99,25 @@ def crop_manifest(appearances: DataFrame, scenes: DataFrame) -> DataFrame:
     return files.union(empty.select("video_id", "scene_id", F.format_string("scene_%03d/_no_faces", F.col("scene_id").cast("int")), F.lit(None).cast("long")))
 
 
-def scene_report_rows(scenes: DataFrame, appearances: DataFrame) -> DataFrame:
-    """(video_id, scene_id, shots, group, frames, middle_ts): first, middle and last shot, and each group's middle time."""
-    shot = F.array_distinct(F.array("first_shot", F.floor((F.col("first_shot") + F.col("last_shot")) / 2).cast("long"), F.col("last_shot").cast("long")))
-    rows = scenes.select("video_id", F.col("id").alias("scene_id"), F.array_join(shot, "-").alias("shots"))
+def scene_report_rows(scenes: DataFrame, appearances: DataFrame, keyframes: DataFrame | None = None, words: DataFrame | None = None) -> DataFrame:
+    """(video_id, scene_id, shots, group, frames, middle_ts[, frames_at][, title, description]) of each scene and group.
+
+    First, middle and last shot, and each group's middle time. With ``keyframes(video_id, shot_id, k, t)``: the time of each
+    of these shots' middle keyframe. With ``words(video_id, scene_id, title, description)``: those.
+    """
+    key = ["video_id", "scene_id"]
+    shot = F.array_distinct(F.array(F.col("first_shot").cast("long"), F.floor((F.col("first_shot") + F.col("last_shot")) / 2).cast("long"), F.col("last_shot").cast("long")))
+    rows = scenes.select("video_id", F.col("id").alias("scene_id"), shot.alias("_shots"))
+    out = rows.select(*key, F.array_join("_shots", "-").alias("shots"))
+    if keyframes is not None:
+        each = F.array_sort(F.collect_list(F.struct("k", "t")))
+        middle = keyframes.groupBy("video_id", "shot_id").agg(F.element_at(each, (F.floor(F.count("*") / 2) + 1).cast("int"))["t"].alias("t"))
+        at = rows.select(*key, F.explode("_shots").alias("shot_id")).join(middle, ["video_id", "shot_id"])
+        at = at.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("shot_id", "t"))), lambda x: x["t"]).alias("frames_at"))
+        out = out.join(at, key, "left")
+    if words is not None:
+        out = out.join(words.select(*key, "title", "description"), key, "left")
     times = F.sort_array(F.collect_list("ts"))
-    mid = appearances.groupBy("video_id", "scene_id", "group").agg(F.count("*").alias("frames"), times.alias("t"))
-    mid = mid.select("video_id", "scene_id", "group", "frames", F.element_at("t", (F.floor(F.col("frames") / 2) + 1).cast("int")).alias("middle_ts"))
-    return rows.join(mid, ["video_id", "scene_id"], "left")
+    mid = appearances.groupBy(*key, "group").agg(F.count("*").alias("frames"), times.alias("t"))
+    mid = mid.select(*key, "group", "frames", F.element_at("t", (F.floor(F.col("frames") / 2) + 1).cast("int")).alias("middle_ts"))
+    return out.join(mid, key, "left")

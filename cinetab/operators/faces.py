@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import detection_quality, dot, unit
+from ..functions.vectors import vector_mean, vector_sum
 from .joins import same_frame_pairs
 
 FORBIDDEN = 10.0
@@ -99,9 +102,7 @@ def build_tracks(dets: DataFrame, min_iou: float = 0.3, min_cos: float = 0.3) ->
 def track_embeddings(tracked: DataFrame) -> DataFrame:
     """(video_id, track_id, embedding, n_dets, n_anchor, frames): quality-weighted unit vector over anchors (null without)."""
     q = detection_quality(F.col("det_score"), F.col("sharpness"))
-    anchors = tracked.where("tier = 'anchor'").select("video_id", "track_id", q.alias("q"), F.posexplode("embedding").alias("p", "v"))
-    sums = anchors.groupBy("video_id", "track_id", "p").agg(F.sum(F.col("q") * F.col("v")).alias("v")).groupBy("video_id", "track_id")
-    vec = sums.agg(F.array_sort(F.collect_list(F.struct("p", "v"))).alias("s")).select("video_id", "track_id", F.col("s.v").alias("raw"))
+    vec = vector_sum(tracked.where("tier = 'anchor'"), ["video_id", "track_id"], F.col("embedding"), q, "raw")
     length = F.sqrt(dot(F.col("raw"), F.col("raw"))) + 1e-9
     vec = vec.select("video_id", "track_id", F.transform("raw", lambda x: x / length).alias("embedding"))
     counts = tracked.groupBy("video_id", "track_id").agg(
@@ -111,109 +112,218 @@ def track_embeddings(tracked: DataFrame) -> DataFrame:
 
 
 def average_linkage(distance: np.ndarray, threshold: float) -> np.ndarray:
-    """Labels 0.. (by first member) of merging the closest clusters while their average distance is below the threshold."""
+    """Labels 0.. (by first member) of merging the closest clusters while their average distance is below the threshold.
+
+    Each cluster keeps its nearest one, so a merge looks at the clusters whose nearest is gone, not at all pairs.
+    """
     n = len(distance)
-    label, size, live = np.arange(n), np.ones(n), np.ones(n, bool)
+    label, size = np.arange(n), np.ones(n)
     d = distance.astype(float).copy()
     np.fill_diagonal(d, np.inf)
-    while live.sum() > 1:
-        i, j = sorted(np.unravel_index(np.argmin(d), d.shape))
-        if not d[i, j] < threshold:
-            break
+    if n < 2:
+        return label
+    near = d.argmin(axis=1)
+    least = d[np.arange(n), near]
+    while True:
+        i = int(least.argmin())
+        j = int(near[i])
+        if not least[i] < threshold:
+            return np.unique(label, return_inverse=True)[1]
+        i, j = min(i, j), max(i, j)
         d[i] = d[:, i] = (size[i] * d[i] + size[j] * d[j]) / (size[i] + size[j])
         d[i, i] = np.inf
         d[j] = d[:, j] = np.inf
-        size[i], live[j] = size[i] + size[j], False
+        size[i] += size[j]
         label[label == j] = i
-    return np.unique(label, return_inverse=True)[1]
+        least[j] = np.inf
+        again = np.flatnonzero((near == i) | (near == j) | (d[i] < least) | (d[i] == least) & (i < near))
+        for k in {i, *again.tolist()} - {j}:
+            near[k] = d[k].argmin()
+            least[k] = d[k, near[k]]
 
 
 def _unit_rows(x: np.ndarray) -> np.ndarray:
     return x / (np.linalg.norm(x, axis=-1, keepdims=True) + 1e-9)
 
 
-def group_tracks(vectors: np.ndarray, frames: list[set], n_dets: np.ndarray, n_anchor: np.ndarray, *, threshold=0.55, min_detections=3, rescue_cos=0.45, merge_cos=0.30) -> np.ndarray:
-    """A cluster for each anchor track of one video, -1 for none: cluster, repair, dissolve, rescue, merge."""
-    n = len(vectors)
-    if n == 0:
-        return np.zeros(0, int)
-    distance = np.clip(1 - vectors @ vectors.T, 0, 2)
-    for i in range(n):
-        for j in range(i):
-            if frames[i] & frames[j]:
-                distance[i, j] = distance[j, i] = 2.0
-    label = average_linkage(distance, threshold)
-    for k in np.unique(label):  # tracks of one frame cannot be one person: the more typical one stays
-        members = np.flatnonzero(label == k)
-        order = members[np.argsort(-(vectors[members] @ _unit_rows(vectors[members].mean(axis=0))), kind="stable")]
-        held: set = set()
-        for i in order:
-            if frames[i] & held:
-                label[i] = -1
-            else:
-                held |= frames[i]
-    for k in np.unique(label[label >= 0]):
-        members = np.flatnonzero(label == k)
-        if len(members) == 1 and n_dets[members[0]] < min_detections:
-            label[members] = -1
-    for i in np.flatnonzero(label < 0):
-        best, home = rescue_cos, -1
-        for k in np.unique(label[label >= 0]):
-            members = np.flatnonzero(label == k)
-            if not frames[i] & set().union(*(frames[m] for m in members)):
-                cos = float(vectors[i] @ _unit_rows(vectors[members].mean(axis=0)))
-                if cos >= best:
-                    best, home = cos, int(k)
-        label[i] = home
-    while True:
-        groups = np.unique(label[label >= 0])
-        middle = [_unit_rows((vectors[label == k] * n_anchor[label == k, None]).sum(axis=0)) for k in groups]
-        seen = [set().union(*(frames[m] for m in np.flatnonzero(label == k))) for k in groups]
-        pairs = [(-float(middle[a] @ middle[b]), a, b) for a in range(len(groups)) for b in range(a + 1, len(groups)) if not seen[a] & seen[b]]
-        best = min(pairs, default=(1.0, 0, 0))
-        if -best[0] < merge_cos:
-            return label
-        label[label == groups[best[2]]] = groups[best[1]]
-
-
-def weak_rescue(label: np.ndarray, anchors: np.ndarray, anchor_frames: list[set], weak: np.ndarray, weak_frames: list[set], min_cos: float = 0.55) -> np.ndarray:
-    """A group (or -1) for each weak track: best cosines first, no two detections of a group in one frame."""
-    groups = np.unique(label[label >= 0])
-    out = np.full(len(weak), -1)
-    if not len(groups) or not len(weak):
-        return out
-    middle = np.stack([_unit_rows(anchors[label == k].mean(axis=0)) for k in groups])
-    held = [set().union(*(anchor_frames[m] for m in np.flatnonzero(label == k))) for k in groups]
-    cos = weak @ middle.T
-    for t, g in sorted(zip(*np.nonzero(cos >= min_cos), strict=True), key=lambda x: (-cos[x[0], x[1]], x[0], x[1])):
-        if out[t] < 0 and not weak_frames[t] & held[g]:
-            out[t] = groups[g]
-            held[g] |= weak_frames[t]
-    return out
-
-
-def cluster_tracks(tracked: DataFrame) -> DataFrame:
-    """``tracked`` with ``cluster`` (-1: none). A group holds the tracks of one video, never its detections."""
-    q = detection_quality(F.col("det_score"), F.col("sharpness"))
-    sums = tracked.select("video_id", "track_id", q.alias("q"), F.posexplode("embedding").alias("p", "v")).groupBy("video_id", "track_id", "p").agg(F.sum(F.col("q") * F.col("v")).alias("v"))
-    weak = sums.groupBy("video_id", "track_id").agg(F.array_sort(F.collect_list(F.struct("p", "v"))).alias("s")).select("video_id", "track_id", F.col("s.v").alias("all_vec"))
-    tracks = track_embeddings(tracked).join(weak, ["video_id", "track_id"])
+class People:
+    """The tracks of one video while they are put into groups: ``label`` is a track's group, -1 for none.
+
+    ``clash`` says which tracks are seen at one time and so cannot be one person.
+    """
+
+    def __init__(self, vectors: np.ndarray, clash: np.ndarray, label: np.ndarray | None = None):
+        self.vectors, self.clash = vectors, clash
+        self.label = np.full(len(vectors), -1) if label is None else label.copy()
+
+    def link(self, threshold: float = 0.55) -> None:
+        """Average linkage over cosine distances; tracks that clash are 2 apart, which alone does not keep them apart."""
+        distance = np.clip(1 - self.vectors @ self.vectors.T, 0, 2)
+        distance[self.clash] = 2.0
+        self.label = average_linkage(distance, threshold)
+
+    def resolve(self) -> None:
+        """In each group the tracks nearest to its middle stay, earlier ones first in ties; one that clashes with any of those leaves."""
+        for k in np.unique(self.label[self.label >= 0]):
+            members = np.flatnonzero(self.label == k)
+            near = self.vectors[members] @ _unit_rows(self.vectors[members].mean(axis=0))
+            blocked = np.zeros(len(self.label), bool)
+            for i in members[np.argsort(-near.round(9), kind="stable")]:
+                if blocked[i]:
+                    self.label[i] = -1
+                else:
+                    blocked |= self.clash[i]
+
+    def dissolve(self, n_dets: np.ndarray, least: int = 3) -> None:
+        """A group of one track with few detections is none."""
+        groups, at, size = np.unique(self.label, return_inverse=True, return_counts=True)
+        self.label[(size[at] == 1) & (n_dets < least)] = -1
+
+    def _groups(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The groups, which track is in which (0 or 1), and which tracks clash with which group."""
+        groups = np.unique(self.label[self.label >= 0])
+        member = (self.label[:, None] == groups[None]).astype(float)
+        return groups, member, self.clash.astype(float) @ member > 0
+
+    def rescue(self, min_cos: float = 0.45) -> None:
+        """Tracks without a group join the nearest one that they do not clash with, one after another; ties to the later group."""
+        groups, member, taken = self._groups()
+        if not len(groups):
+            return
+        total = member.T @ self.vectors
+        for i in np.flatnonzero(self.label < 0):
+            cos = np.where(taken[i], -np.inf, _unit_rows(total) @ self.vectors[i])
+            k = len(groups) - 1 - int(np.argmax(cos[::-1]))
+            if cos[k] >= min_cos:
+                self.label[i] = groups[k]
+                total[k] += self.vectors[i]
+                taken[:, k] |= self.clash[i]
+
+    def merge(self, n_anchor: np.ndarray, min_cos: float = 0.30) -> None:
+        """The two nearest groups (by means weighted by anchors) that do not clash become one, again and again."""
+        groups, member, taken = self._groups()
+        total = (member * n_anchor[:, None]).T @ self.vectors
+        apart = member.T @ taken.astype(float) > 0
+        cos = _unit_rows(total) @ _unit_rows(total).T
+        cos[np.tril_indices(len(groups))] = -np.inf
+        cos[apart] = -np.inf
+        while cos.size:
+            a, b = np.unravel_index(int(np.argmax(cos)), cos.shape)
+            if cos[a, b] < min_cos:
+                break
+            self.label[self.label == groups[b]] = groups[a]
+            total[a] += total[b]
+            apart[a] |= apart[b]
+            apart[:, a] |= apart[:, b]
+            cos[b] = cos[:, b] = -np.inf
+            live = np.flatnonzero(np.isin(groups, self.label) & (np.arange(len(groups)) != a))
+            new = np.where(apart[a, live], -np.inf, _unit_rows(total[live]) @ _unit_rows(total[a]))
+            cos[np.minimum(a, live), np.maximum(a, live)] = new
+
+    def rescue_weak(self, vectors: np.ndarray, weak: np.ndarray, min_cos: float = 0.55) -> None:
+        """Tracks ``weak`` (places) with ``vectors`` join groups, best cosines first, where they clash with none in it."""
+        strong = np.setdiff1d(np.arange(len(self.label)), weak)
+        groups, member, taken = self._groups()
+        if not len(groups) or not len(weak):
+            return
+        count = np.maximum(member[strong].sum(axis=0), 1)[:, None]
+        cos = vectors @ _unit_rows(member[strong].T @ self.vectors[strong] / count).T
+        row, group = np.nonzero(cos >= min_cos)
+        for t in np.lexsort((group, row, -cos[row, group])):
+            i, g = weak[row[t]], group[t]
+            if self.label[i] < 0 and not taken[i, g]:
+                self.label[i] = groups[g]
+                taken[:, g] |= self.clash[i]
+
+
+def track_table(tracked: DataFrame) -> DataFrame:
+    """``track_embeddings`` with ``all_vec``, the weighted sum over detections of every tier, and ``clash``: the tracks seen at the same times."""
+    key = ["video_id", "track_id"]
+    every = vector_sum(tracked, key, F.col("embedding"), detection_quality(F.col("det_score"), F.col("sharpness")), "all_vec")
+    pairs = same_frame_pairs(tracked)
+    both = pairs.select("video_id", F.col("a").alias("track_id"), "b").union(pairs.select("video_id", "b", "a"))
+    clash = both.groupBy(*key).agg(F.collect_list("b").alias("clash"))
+    return track_embeddings(tracked).join(every, key).join(clash, key, "left")
+
+
+def _grouped(tracks: DataFrame, step: Callable[[People, pd.DataFrame], None]) -> DataFrame:
+    """(video_id, track_id, cluster) after ``step``. A group holds the tracks of one video, never its detections."""
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("track_id", ignore_index=True)
+        place = {t: k for k, t in enumerate(pdf.track_id)}
+        clash = np.zeros((len(pdf), len(pdf)), bool)
+        for k, others in enumerate(pdf.clash):
+            if others is not None:
+                clash[k, [place[t] for t in others if t in place]] = True
         strong = (pdf.n_anchor > 0).to_numpy()
-        frames = [set(x) for x in pdf.frames]
-        anchors = np.stack(pdf.embedding[strong].to_numpy()) if strong.any() else np.zeros((0, 1))
-        label = group_tracks(anchors, [f for f, s in zip(frames, strong, strict=True) if s], pdf.n_dets[strong].to_numpy(), pdf.n_anchor[strong].to_numpy())
-        out = np.full(len(pdf), -1)
-        out[strong] = label
-        if (~strong).any():
-            vectors = _unit_rows(np.stack(pdf.all_vec[~strong].to_numpy()))
-            out[~strong] = weak_rescue(label, anchors, [f for f, s in zip(frames, strong, strict=True) if s], vectors, [f for f, s in zip(frames, strong, strict=True) if not s])
-        return pd.DataFrame({"video_id": pdf.video_id, "track_id": pdf.track_id, "cluster": out})
+        size = len(pdf.all_vec.iloc[0])
+        vectors = np.stack([np.asarray(v, float) if s else np.zeros(size) for v, s in zip(pdf.embedding, strong, strict=True)])
+        people = People(vectors, clash, pdf.cluster.to_numpy(np.int64) if "cluster" in pdf else None)
+        step(people, pdf)
+        return pd.DataFrame({"video_id": pdf.video_id, "track_id": pdf.track_id, "cluster": people.label})
+
+    columns = ["video_id", "track_id", "embedding", "all_vec", "n_dets", "n_anchor", "clash", *(["cluster"] if "cluster" in tracks.columns else [])]
+    return tracks.select(*columns).groupBy("video_id").applyInPandas(solve, "video_id long, track_id long, cluster long")
+
+
+def _on_strong(pdf: pd.DataFrame, people: People, steps: Callable[[People, pd.DataFrame], None]) -> None:
+    """Run steps over the tracks with anchors alone."""
+    strong = np.flatnonzero(pdf.n_anchor > 0)
+    part = People(people.vectors[strong], people.clash[np.ix_(strong, strong)], people.label[strong])
+    if len(strong):
+        steps(part, pdf.iloc[strong])
+    people.label[strong] = part.label
+
+
+def link_tracks(tracks: DataFrame, threshold: float = 0.55) -> DataFrame:
+    """(video_id, track_id, cluster): tracks with anchors (of ``track_table``) by average linkage; others have -1."""
+    return _grouped(tracks, lambda people, pdf: _on_strong(pdf, people, lambda p, _: p.link(threshold)))
+
 
-    found = tracks.groupBy("video_id").applyInPandas(solve, "video_id long, track_id long, cluster long")
-    return tracked.join(found, ["video_id", "track_id"])
+def resolve_conflicts(tracks: DataFrame) -> DataFrame:
+    """(video_id, track_id, cluster): of tracks that share a frame in one cluster, the more typical one stays."""
+    return _grouped(tracks, lambda people, pdf: _on_strong(pdf, people, lambda p, _: p.resolve()))
+
+
+def rescue_tracks(tracks: DataFrame, min_cos: float = 0.45) -> DataFrame:
+    """(video_id, track_id, cluster): tracks with anchors but no cluster join one that looks like them."""
+    return _grouped(tracks, lambda people, pdf: _on_strong(pdf, people, lambda p, _: p.rescue(min_cos)))
+
+
+def merge_close_groups(tracks: DataFrame, min_cos: float = 0.30) -> DataFrame:
+    """(video_id, track_id, cluster): clusters that look alike and never share a frame become one."""
+    return _grouped(tracks, lambda people, pdf: _on_strong(pdf, people, lambda p, x: p.merge(x.n_anchor.to_numpy(), min_cos)))
+
+
+def _weak(people: People, pdf: pd.DataFrame, min_cos: float = 0.55) -> None:
+    weak = np.flatnonzero(pdf.n_anchor == 0)
+    if len(weak):
+        people.rescue_weak(_unit_rows(np.stack([np.asarray(v, float) for v in pdf.all_vec.iloc[weak]])), weak, min_cos)
+
+
+def rescue_weak_tracks(tracks: DataFrame, min_cos: float = 0.55) -> DataFrame:
+    """(video_id, track_id, cluster): tracks without anchors join the clusters that look like them, best first."""
+    return _grouped(tracks, lambda people, pdf: _weak(people, pdf, min_cos))
+
+
+def group_all(people: People, pdf: pd.DataFrame) -> None:
+    """All steps in order: link, resolve, dissolve, rescue, merge, and then the weak tracks."""
+
+    def steps(p: People, rows: pd.DataFrame) -> None:
+        p.link()
+        p.resolve()
+        p.dissolve(rows.n_dets.to_numpy())
+        p.rescue()
+        p.merge(rows.n_anchor.to_numpy())
+
+    _on_strong(pdf, people, steps)
+    _weak(people, pdf)
+
+
+def cluster_tracks(tracked: DataFrame) -> DataFrame:
+    """``tracked`` with ``cluster`` (-1: none), all steps in one group a video."""
+    return tracked.join(_grouped(track_table(tracked), group_all), ["video_id", "track_id"])
 
 
 def dissolve_tiny(tracks: DataFrame, min_detections: int = 3) -> DataFrame:
@@ -232,9 +342,8 @@ def rank_groups(faces: DataFrame) -> DataFrame:
 
 def group_centroids(faces: DataFrame) -> DataFrame:
     """(video_id, group, centroid): unit mean vector of a group's anchors."""
-    each = faces.where("group > 0 and tier = 'anchor'").select("video_id", "group", F.posexplode("embedding").alias("p", "v"))
-    mean = each.groupBy("video_id", "group", "p").agg(F.avg("v").alias("v")).groupBy("video_id", "group")
-    return mean.agg(F.array_sort(F.collect_list(F.struct("p", "v"))).alias("s")).select("video_id", "group", unit(F.col("s.v")).alias("centroid"))
+    mean = vector_mean(faces.where("group > 0 and tier = 'anchor'"), ["video_id", "group"], F.col("embedding"), "m")
+    return mean.select("video_id", "group", unit(F.col("m")).alias("centroid"))
 
 
 def group_stats(faces: DataFrame) -> DataFrame:
@@ -292,6 +401,10 @@ def identity_agreement(crops: DataFrame, centroids: DataFrame) -> DataFrame:
     return best.groupBy("video_id", "group").agg(F.count("*").alias("total"), F.count_if(-F.col("m.o") == F.col("group")).alias("agreeing"))
 
 
-def frame_conflicts(tracked: DataFrame) -> DataFrame:
-    """Pairs of tracks that cannot be one person."""
-    return same_frame_pairs(tracked)
+def agreement_summary(agreement: DataFrame, lowest: int = 3) -> DataFrame:
+    """(video_id, total, agreeing, lowest): sums over ``identity_agreement``, and the groups that agree least, as "groupN a/t"."""
+    order = Window.partitionBy("video_id").orderBy(F.col("agreeing") / F.col("total"), "group")
+    text = F.concat(F.lit("group"), "group", F.lit(" "), "agreeing", F.lit("/"), "total")
+    rows = agreement.withColumn("n", F.row_number().over(order))
+    low = F.array_sort(F.collect_list(F.when(F.col("n") <= lowest, F.struct("n", text.alias("t")))))
+    return rows.groupBy("video_id").agg(F.sum("total").alias("total"), F.sum("agreeing").alias("agreeing"), F.array_join(F.transform(low, lambda x: x["t"]), ", ").alias("lowest"))

@@ -6,34 +6,44 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def asof_shot(points: DataFrame, shots: DataFrame, ts: str = "ts") -> DataFrame:
+def _last_before(points: DataFrame, marks: DataFrame, ts: str, width: float) -> DataFrame:
+    """``points`` with ``_mark``: that of the last of ``marks(video_id, _t, _mark)`` at or before the time, or null.
+
+    Marks and points are sorted together inside buckets of ``width`` seconds, so that one long video is many
+    groups. The last mark of each bucket, a row a bucket, is carried on to the buckets after it.
+    """
+    names = points.columns
+    bucket = F.floor(F.col("_t") / width).alias("_bucket")
+    kind = marks.schema["_mark"].dataType
+    none = F.lit(None)
+    p = points.select("video_id", F.col(ts).cast("double").alias("_t"), F.lit(1).alias("_kind"), none.cast(kind).alias("_mark"), F.struct(*names).alias("_row"))
+    m = marks.select("video_id", F.col("_t").cast("double").alias("_t"), F.lit(0).alias("_kind"), "_mark", none.cast(p.schema["_row"].dataType).alias("_row"))
+    both = p.union(m).select("*", bucket)
+    here = Window.partitionBy("video_id", "_bucket").orderBy("_t", "_kind")
+    found = both.withColumn("_here", F.last("_mark", ignorenulls=True).over(here)).where("_kind = 1")
+    last = both.groupBy("video_id", "_bucket").agg(F.max(F.when(F.col("_kind") == 0, F.struct("_t", "_mark"))).alias("_last"))
+    earlier = Window.partitionBy("video_id").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    last = last.select("video_id", "_bucket", F.last("_last._mark", ignorenulls=True).over(earlier).alias("_carried"))
+    return found.join(last, ["video_id", "_bucket"]).select("video_id", "_t", "_row", F.coalesce("_here", "_carried").alias("_mark"))
+
+
+def asof_shot(points: DataFrame, shots: DataFrame, ts: str = "ts", width: float = 3600.0) -> DataFrame:
     """``points`` with shot_id: the last shot that starts at or before the time, clipped to the first and last shot.
 
-    One shuffle on video_id: starts and points are sorted together and the last start is carried on.
     Points of videos without shots get null. Points' own columns are kept.
     """
-    names = points.columns
-    p = points.select("video_id", F.col(ts).alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast("int").alias("_shot"), F.struct(*names).alias("_row"))
-    s = shots.select("video_id", F.col("start").alias("_t"), F.lit(0).alias("_kind"), F.col("id").cast("int").alias("_shot"))
-    both = p.unionByName(s, allowMissingColumns=True)
-    run = Window.partitionBy("video_id").orderBy("_t", "_kind", "_shot")
-    whole = Window.partitionBy("video_id")
-    both = both.withColumn("_found", F.coalesce(F.last("_shot", ignorenulls=True).over(run), F.min("_shot").over(whole)))
-    return both.where("_kind = 1").select("_row.*", F.col("_found").alias("shot_id"))
+    s = shots.select("video_id", F.col("start").alias("_t"), F.col("id").cast("int").alias("_mark"))
+    first = shots.groupBy("video_id").agg(F.min("id").cast("int").alias("_first"))
+    return _last_before(points, s, ts, width).join(first, "video_id", "left").select("_row.*", F.coalesce("_mark", "_first").alias("shot_id"))
 
 
-def interval_join(points: DataFrame, intervals: DataFrame, ts: str = "ts", id_col: str = "id", out: str = "scene_id") -> DataFrame:
+def interval_join(points: DataFrame, intervals: DataFrame, ts: str = "ts", id_col: str = "id", out: str = "scene_id", width: float = 3600.0) -> DataFrame:
     """``points`` with the id of the interval that holds them (start <= t < end); others are dropped.
 
     Intervals of a video do not overlap, so the last start before a point decides: as-of, then the end.
     """
-    names = points.columns
-    p = points.select("video_id", F.col(ts).alias("_t"), F.lit(1).alias("_kind"), F.struct(*names).alias("_row"))
-    s = intervals.select("video_id", F.col("start").alias("_t"), F.lit(0).alias("_kind"), F.struct(F.col(id_col).alias("id"), F.col("end").alias("end")).alias("_iv"))
-    both = p.unionByName(s, allowMissingColumns=True)
-    run = Window.partitionBy("video_id").orderBy("_t", "_kind")
-    both = both.withColumn("_iv", F.last("_iv", ignorenulls=True).over(run))
-    return both.where((F.col("_kind") == 1) & (F.col("_t") < F.col("_iv.end"))).select("_row.*", F.col("_iv.id").alias(out))
+    s = intervals.select("video_id", F.col("start").alias("_t"), F.struct(F.col(id_col).alias("id"), F.col("end").alias("end")).alias("_mark"))
+    return _last_before(points, s, ts, width).where(F.col("_t") < F.col("_mark.end")).select("_row.*", F.col("_mark.id").alias(out))
 
 
 def band_join(points: DataFrame, windows: DataFrame, ts: str, width: float = 60.0) -> DataFrame:

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import interval_join
+
 
 def transition_boundaries(frame_probs: DataFrame, videos: DataFrame, threshold: float = 0.5) -> DataFrame:
     """(video_id, frame, boundary): one per maximal run of frames with prob above the threshold.
@@ -28,6 +34,81 @@ def shots_from_boundaries(bounds: DataFrame, videos: DataFrame) -> DataFrame:
     return tiles.where(F.col("end") > F.col("start"))
 
 
+def histogram_distance(a: np.ndarray, b: np.ndarray) -> float:
+    """Bhattacharyya distance of two histograms: 0 for the same shape, 1 without a common bin or with an empty one."""
+    total = np.sqrt(a.sum() * b.sum())
+    return float(np.sqrt(max(0.0, 1 - np.sqrt(a * b).sum() / total))) if total > 0 else 1.0
+
+
+def merged_tiles(start: list[float], end: list[float], look: Callable[[float, float], np.ndarray], min_len: float, max_dist: float) -> list[tuple[float, float]]:
+    """The tiles of one run after its first tiny one joins the neighbour that it looks like, again and again.
+
+    ``look`` gives the histogram of a tile. Tiles before a merge were passed over for good, but for the one beside
+    it; so the search goes on from there and not from the first.
+    """
+    tiles = list(zip(start, end, strict=True))
+    i = 0
+    while i < len(tiles):
+        if tiles[i][1] - tiles[i][0] < min_len and len(tiles) > 1:
+            mine = look(*tiles[i])
+            distance, j = min((histogram_distance(mine, look(*tiles[k])), k) for k in (i - 1, i + 1) if 0 <= k < len(tiles))
+            if distance < max_dist:
+                a = min(i, j)
+                tiles[a : a + 2] = [(tiles[a][0], tiles[a + 1][1])]
+                i = max(0, a - 1)
+                continue
+        i += 1
+    return tiles
+
+
+def merge_tiny_shots(shots: DataFrame, frame_hists: DataFrame, videos: DataFrame, min_len: float = 0.4, max_dist: float = 0.3) -> DataFrame:
+    """``shots`` renumbered after shots under ``min_len`` s joined the neighbour that looks like them, if one does.
+
+    ``frame_hists(video_id, frame_idx, hist)``; a shot looks like its middle frame, or the video's last frame where that
+    is missing. Only a tiny shot starts a merge, so shots that neither are tiny nor have a tiny neighbour stay as they are,
+    and of two others side by side neither joins the other: they part a video into runs, each a group with the
+    frames between its first and last shot. Ties go to the left.
+    """
+    order = Window.partitionBy("video_id").orderBy("start")
+    tiny = (F.col("end") - F.col("start") < min_len).cast("int")
+    s = shots.select("video_id", "start", "end", tiny.alias("tiny"))
+    s = s.withColumn("beside", F.greatest("tiny", F.lag("tiny", 1, 0).over(order), F.lead("tiny", 1, 0).over(order)))
+    fresh = (F.lag("tiny", 1, 0).over(order) == 0) & (F.col("tiny") == 0)
+    s = s.withColumn("run", F.sum(fresh.cast("int")).over(order))
+    alone = s.where("beside = 0").select("video_id", "start", "end")
+    runs = s.where("beside = 1").join(videos.select("video_id", "fps"), "video_id")
+    frame = lambda t: F.floor(F.col(t) * F.col("fps"))
+    span = runs.groupBy("video_id", "run").agg(F.min(frame("start")).alias("start"), F.max(F.greatest(frame("start") + 2, frame("end") + 1)).alias("end"))
+    last = frame_hists.groupBy("video_id").agg(F.max("frame_idx").alias("last"))
+    runs = runs.join(last, "video_id", "left")
+    # Frames belong to one run or none, but for a shared edge, which either run may need.
+    inside = interval_join(frame_hists.select("video_id", "frame_idx", "hist"), span, "frame_idx", "run", "run")
+    edge = span.select("video_id", "run", F.explode(F.array("start", F.col("end") - 1, F.col("end") - 2)).alias("frame_idx"))
+    edge = edge.join(last, "video_id").select("video_id", "run", F.least("frame_idx", "last").alias("frame_idx")).distinct()
+    edge = edge.join(frame_hists.select("video_id", "frame_idx", "hist"), ["video_id", "frame_idx"])
+    frames = inside.select("video_id", "run", "frame_idx", "hist").union(edge.select("video_id", "run", "frame_idx", "hist"))
+
+    def merge(tiles: pd.DataFrame, frames: pd.DataFrame) -> pd.DataFrame:
+        if not len(tiles):
+            return pd.DataFrame({"video_id": [], "start": [], "end": []})
+        tiles = tiles.sort_values("start")
+        hist = {int(k): np.asarray(h, float) for k, h in zip(frames["frame_idx"], frames["hist"], strict=True)}
+        fps, end = float(tiles.fps.iloc[0]), tiles["last"].iloc[0]
+
+        def look(a: float, b: float) -> np.ndarray:
+            first = int(a * fps)
+            middle = (first + max(first + 1, int(b * fps))) // 2
+            return hist.get(middle if pd.isna(end) else min(middle, int(end)), np.zeros(1))
+
+        found = merged_tiles(tiles.start.tolist(), tiles.end.tolist(), look, min_len, max_dist)
+        return pd.DataFrame({"video_id": tiles.video_id.iloc[0], "start": [a for a, _ in found], "end": [b for _, b in found]})
+
+    key = ["video_id", "run"]
+    merged = runs.groupBy(*key).cogroup(frames.groupBy(*key)).applyInPandas(merge, "video_id long, start double, end double")
+    number = F.row_number().over(Window.partitionBy("video_id").orderBy("start")) - 1
+    return alone.union(merged).select("video_id", number.alias("id"), "start", "end")
+
+
 def keyframe_times(shots: DataFrame, videos: DataFrame) -> DataFrame:
     """(video_id, shot_id, k, t): 50 % of a shot under a second, else 25, 50 and 75 %, clamped near the end.
 
@@ -59,16 +140,20 @@ def sample_times(shots: DataFrame, videos: DataFrame, interval: float = 1.0) ->
     return grid.union(lone).distinct()
 
 
-def scenes_from_cuts(shots: DataFrame, cuts: DataFrame) -> DataFrame:
-    """(video_id, id, start, end, first_shot, last_shot): runs of shots; a cut off any shot's start is ignored."""
+def scenes_from_cuts(shots: DataFrame, cuts: DataFrame, titles: DataFrame | None = None) -> DataFrame:
+    """(video_id, id, start, end, first_shot, last_shot[, title]): runs of shots; a cut off any shot's start is ignored.
+
+    ``titles(video_id, id, title)`` go by the scene's number; scenes beyond them have none.
+    """
     marks = cuts.select("video_id", F.round("time", 4).alias("_at")).distinct().withColumn("_cut", F.lit(1))
     s = shots.withColumn("_at", F.round("start", 4)).join(marks, ["video_id", "_at"], "left")
     order = Window.partitionBy("video_id").orderBy("id")
     flag = F.when((F.col("id") > 0) & F.col("_cut").isNotNull(), 1).otherwise(0)
     s = s.withColumn("_flag", flag).withColumn("scene", F.sum("_flag").over(order))
-    return s.groupBy("video_id", "scene").agg(
+    scenes = s.groupBy("video_id", "scene").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.min("id").alias("first_shot"), F.max("id").alias("last_shot")
     ).select("video_id", F.col("scene").alias("id"), "start", "end", "first_shot", "last_shot")
+    return scenes if titles is None else scenes.join(titles.select("video_id", "id", "title"), ["video_id", "id"], "left")
 
 
 def interval_summary(intervals: DataFrame) -> DataFrame:
@@ -85,9 +170,11 @@ def transcript_summary(segments: DataFrame) -> DataFrame:
 
 
 def keyframe_coverage(times: DataFrame, frames: DataFrame, shots: DataFrame) -> DataFrame:
-    """(video_id, shot_id, n_frames): how many of a shot's keyframes are among ``frames(video_id, t)``; shots without any have 0."""
-    got = times.join(frames.select("video_id", "t").distinct(), ["video_id", "t"], "left_semi").groupBy("video_id", "shot_id").agg(F.count("*").alias("n_frames"))
-    return shots.select("video_id", F.col("id").alias("shot_id")).join(got, ["video_id", "shot_id"], "left").fillna(0, ["n_frames"])
+    """(video_id, shot_id, n_frames, frames): which of a shot's keyframes are among ``frames(video_id, t)``, in order; shots without any have 0."""
+    got = times.join(frames.select("video_id", "t").distinct(), ["video_id", "t"], "left_semi").groupBy("video_id", "shot_id")
+    got = got.agg(F.count("*").alias("n_frames"), F.sort_array(F.collect_list("t")).alias("frames"))
+    all_shots = shots.select("video_id", F.col("id").alias("shot_id")).join(got, ["video_id", "shot_id"], "left").fillna(0, ["n_frames"])
+    return all_shots.withColumn("frames", F.coalesce("frames", F.array().cast("array<double>")))
 
 
 def frame_lookup(times: DataFrame, frames: DataFrame, videos: DataFrame) -> DataFrame:

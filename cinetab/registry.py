@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import fixtures
 from .functions import expr
 from .operators import checks, evidence, export, faces, joins, segments, timeline
+from .plans import jobs
 from .sources import io
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +43,8 @@ def query(sql: str = "", views: tuple[str, ...] = ()):
         _QUERIES[f.__name__] = lambda spark, sf_dir: _plain(f(Tables(spark, sf_dir)))
         if sql:
             _ORACLES[f.__name__] = (fixtures.with_sql(views, fixtures.DUCK_T) if views else "") + sql
+            if "RECURSIVE" in sql:
+                _ORACLES[f.__name__] = _ORACLES[f.__name__].replace("WITH ", "WITH RECURSIVE ", 1)
         return f
 
     return add
@@ -106,9 +109,17 @@ def assign_shot(t):
     return joins.asof_shot(t.raw_dets.select("video_id", "det_id", "ts"), t.shots).select("det_id", "video_id", "shot_id")
 
 
-@query("SELECT video_id, id, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s, first_shot, last_shot FROM scenes", ("scenes",))
+@query("SELECT video_id, id, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s, first_shot, last_shot, CASE WHEN id < 7 THEN 'Scene ' || CAST(id AS VARCHAR) END AS title FROM scenes", ("scenes",))
 def scenes_from_cuts(t):
-    return timeline.scenes_from_cuts(t.shots, t.cuts)
+    titles = t.scenes.where("id < 7").select("video_id", "id", F.concat(F.lit("Scene "), "id").alias("title"))
+    return timeline.scenes_from_cuts(t.shots, t.cuts, titles)
+
+
+@query()
+def merge_tiny_shots(t):
+    looks = t.frame_looks.select("video_id", "frame_idx", F.array(*[f"h{k}" for k in range(4)]).alias("hist"))
+    shots = timeline.shots_from_boundaries(timeline.transition_boundaries(t.frame_probs, t.fvideos), t.fvideos)
+    return timeline.merge_tiny_shots(shots, looks, t.fvideos, min_len=0.2)
 
 
 @query(
@@ -128,13 +139,14 @@ def transcript_summary(t):
 
 
 @query(
-    """SELECT s.video_id, s.id AS shot_id, count(f.frame_idx) AS n_frames FROM shots s LEFT JOIN (SELECT DISTINCT video_id, frame_idx FROM frame_probs) f
+    """SELECT s.video_id, s.id AS shot_id, count(f.frame_idx) AS n_frames, coalesce(string_agg(CAST(f.frame_idx AS VARCHAR), ','), '') AS frames FROM shots s LEFT JOIN (SELECT DISTINCT video_id, frame_idx FROM frame_probs) f
     ON s.video_id = f.video_id AND f.frame_idx = CAST(round_even(least((s.start_s + s.end_s) / 2, 2160 - 1.5 / 25), 0) AS BIGINT) GROUP BY s.video_id, s.id""",
     ("shots", "frame_probs"),
 )
 def keyframe_coverage(t):
     times = t.shots.select("video_id", F.col("id").alias("shot_id"), F.rint(F.least((F.col("start") + F.col("end")) / 2, F.lit(2160 - 1.5 / 25))).alias("t"))
-    return timeline.keyframe_coverage(times, t.frame_probs.select("video_id", F.col("frame_idx").cast("double").alias("t")), t.shots)
+    found = timeline.keyframe_coverage(times, t.frame_probs.select("video_id", F.col("frame_idx").cast("double").alias("t")), t.shots)
+    return found.withColumn("frames", F.array_join(F.transform("frames", lambda x: x.cast("long")), ","))
 
 
 @query(
@@ -338,10 +350,37 @@ def enforce_min_scene(t):
     return segments.enforce_min_scene(segments.select_cuts(segments.depth_score(t.boundaries), t.videos, t.chapters), t.videos)
 
 
-@query("SELECT video_id, id AS cid FROM shots WHERE id % 5 = 0 AND id < 100", ("shots",))
+@query()
+def chapter_bonus(t):
+    return segments.chapter_bonus(segments.depth_score(t.boundaries), t.chapters)
+
+
+@query()
+def split_long(t):
+    """Long scenes of every fifteenth cut that the bonus would choose from."""
+    depth = segments.depth_score(t.boundaries)
+    cuts = t.bounds.where("shot_id % 150 = 0")
+    return segments.split_long(segments.chapter_bonus(depth, t.chapters), cuts, t.videos, max_scene=120.0)
+
+
+@query()
+def snap_establishing(t):
+    return segments.snap_establishing(t.cuts, t.shots, t.faces.where("tier = 'anchor'"), t.shot_vecs)
+
+
+@query()
+def apply_refinement(t):
+    """Every second candidate is kept; detections are the anchors."""
+    depth = segments.depth_score(t.boundaries)
+    candidates = segments.refine_candidates(depth, segments.select_cuts(depth, t.videos, t.chapters))
+    answers = t.videos.select("video_id", F.array(*[F.lit(k) for k in range(1, 200, 2)]).alias("keep"))
+    return segments.apply_refinement(candidates, answers, t.videos, t.shots, t.faces.where("tier = 'anchor'"), t.shot_vecs)
+
+
+@query("SELECT video_id, id AS cid FROM shots WHERE id % 5 = 0", ("shots",))
 def kept_candidates(t):
     answers = t.shots.where("id % 5 = 0").groupBy("video_id").agg(F.concat(F.collect_list(F.col("id").cast("int")), F.array(F.lit(5), F.lit(999999))).alias("keep"))
-    return segments.kept_candidates(t.shots.where("id < 100").select("video_id", F.col("id").cast("int").alias("cid")), answers)
+    return segments.kept_candidates(t.shots.select("video_id", F.col("id").cast("int").alias("cid")), answers)
 
 
 @query("SELECT video_id, CASE WHEN video_id % 2 = 0 AND max(id) >= 1 THEN 'refined' ELSE 'local' END AS method FROM scenes GROUP BY video_id", ("scenes",))
@@ -350,12 +389,32 @@ def scene_method(t):
     return segments.scene_method(t.scenes, refined)
 
 
-@query()
+def _unit(raw: str) -> str:
+    return f"list_transform({raw}, lambda x: x / sqrt(list_dot_product({raw}, {raw})))"
+
+
+def _text(vector: str) -> str:
+    """A vector's components at 6 decimals, joined; the same digits from both engines."""
+    return f"array_to_string(list_transform({vector}, lambda x: printf('%.6f', round(x, 6) + 0.0)), ',')"
+
+
+def _joined(vector: str) -> F.Column:
+    return F.array_join(F.transform(vector, lambda x: F.format_string("%.6f", F.round(x, 6) + F.lit(0.0))), ",")
+
+
+@query(
+    f""", k AS (SELECT s.video_id, s.id AS shot_id, CAST(e.embedding AS DOUBLE[]) AS emb FROM shots s, n_vecs c, range(0, 3) r(k), embeddings e WHERE s.id % 9 <> 0 AND e.vec_id = (s.video_id * 97 + s.id * 3 + r.k) % c.n),
+    u AS (SELECT video_id, shot_id, {_unit('emb')} AS emb FROM k),
+    m AS (SELECT video_id, shot_id, p, avg(v) AS v FROM (SELECT video_id, shot_id, unnest(emb) AS v, generate_subscripts(emb, 1) AS p FROM u) q GROUP BY ALL),
+    l AS (SELECT video_id, shot_id, list(v ORDER BY p) AS raw FROM m GROUP BY ALL)
+    SELECT s.video_id, s.id AS shot_id, coalesce({_text(_unit('raw'))}, array_to_string(list_transform(range(0, 64), lambda x: '0.000000'), ',')) AS vec FROM shots s LEFT JOIN l ON s.video_id = l.video_id AND s.id = l.shot_id""",
+    ("shots", "n_vecs"),
+)
 def shot_vectors(t):
     n = t.read("embeddings").count()
     k = t.shots.select("video_id", F.col("id").alias("shot_id"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k")).where("shot_id % 9 <> 0")
     k = k.withColumn("vec_id", (F.col("video_id") * 97 + F.col("shot_id") * 3 + F.col("k")) % n).join(t.read("embeddings"), "vec_id")
-    return segments.shot_vectors(k, t.shots, 64).select("video_id", "shot_id", F.array_join(F.transform("embedding", lambda x: F.round(x, 6)), ",").alias("vec"))
+    return segments.shot_vectors(k, t.shots, 64).select("video_id", "shot_id", _joined("embedding").alias("vec"))
 
 
 # --- faces ----------------------------------------------------------------------------------------
@@ -371,6 +430,12 @@ def pairwise_iou(t):
     return faces.pairwise_iou(t.faces)
 
 
+#: Kept detections with vectors, and a track of every fiftieth.
+DETS = """, d AS (SELECT f.*, f.det_id % 50 AS track_id, f.det_score * least(greatest(f.sharpness / 200, 0.1), 1.0) AS q, CAST(e.embedding AS DOUBLE[]) AS emb FROM faces f, n_vecs c, embeddings e WHERE e.vec_id = f.det_id % c.n)"""
+CENTRES = DETS + f""", m AS (SELECT video_id, grp, p, avg(v) AS v FROM (SELECT video_id, grp, unnest(emb) AS v, generate_subscripts(emb, 1) AS p FROM d WHERE grp > 0 AND tier = 'anchor') q GROUP BY ALL),
+    l AS (SELECT video_id, grp, list(v ORDER BY p) AS raw FROM m GROUP BY ALL), ce AS (SELECT video_id, grp, {_unit('raw')} AS cen FROM l)"""
+
+
 def _tracked(t):
     return faces.build_tracks(t.detections().withColumn("shot_id", F.floor(F.col("ts") / 60).cast("int")), min_iou=0.01, min_cos=-1.0)
 
@@ -380,10 +445,48 @@ def build_tracks(t):
     return _tracked(t).select("video_id", "det_id", "track_id")
 
 
-@query()
+@query(
+    DETS + f""", m AS (SELECT video_id, track_id, p, sum(q * v) AS v FROM (SELECT video_id, track_id, q, unnest(emb) AS v, generate_subscripts(emb, 1) AS p FROM d WHERE tier = 'anchor') x GROUP BY ALL),
+    l AS (SELECT video_id, track_id, list(v ORDER BY p) AS raw FROM m GROUP BY ALL), n AS (SELECT video_id, track_id, count(*) AS n_dets, count(*) FILTER (WHERE tier = 'anchor') AS n_anchor FROM d GROUP BY ALL),
+    fr AS (SELECT video_id, track_id, string_agg(printf('%.2f', ts), ',' ORDER BY ts) AS frames FROM (SELECT DISTINCT video_id, track_id, ts FROM d) x GROUP BY ALL)
+    SELECT n.video_id, n.track_id, n_dets, n_anchor, frames, coalesce({_text('list_transform(raw, lambda x: x / (sqrt(list_dot_product(raw, raw)) + 1e-9))')}, '') AS vec
+    FROM n JOIN fr ON n.video_id = fr.video_id AND n.track_id = fr.track_id LEFT JOIN l ON n.video_id = l.video_id AND n.track_id = l.track_id""",
+    ("faces", "n_vecs"),
+)
 def track_embeddings(t):
-    df = faces.track_embeddings(_tracked(t))
-    return df.select("video_id", "track_id", "n_dets", "n_anchor", F.array_join("frames", ",").alias("frames"), F.round(F.get("embedding", F.lit(0)), 6).alias("first"))
+    df = faces.track_embeddings(t.detections().withColumn("track_id", F.col("det_id") % 50))
+    frames = F.array_join(F.transform("frames", lambda x: F.format_string("%.2f", x)), ",")
+    return df.select("video_id", "track_id", "n_dets", "n_anchor", frames.alias("frames"), F.coalesce(_joined("embedding"), F.lit("")).alias("vec"))
+
+
+def _track_table(t):
+    """Tracks of every fiftieth detection, so that many have anchors, with a cluster of ten."""
+    return faces.track_table(t.detections().withColumn("track_id", F.col("det_id") % 50))
+
+
+@query()
+def link_tracks(t):
+    return faces.link_tracks(_track_table(t))
+
+
+@query()
+def resolve_conflicts(t):
+    return faces.resolve_conflicts(_track_table(t).withColumn("cluster", F.col("track_id") % 10))
+
+
+@query()
+def rescue_tracks(t):
+    return faces.rescue_tracks(_track_table(t).withColumn("cluster", F.when(F.col("track_id") % 3 == 0, F.col("track_id") % 10).otherwise(-1)), 0.05)
+
+
+@query()
+def merge_close_groups(t):
+    return faces.merge_close_groups(_track_table(t).withColumn("cluster", F.col("track_id")), 0.05)
+
+
+@query()
+def rescue_weak_tracks(t):
+    return faces.rescue_weak_tracks(faces.track_table(_tracked(t)).withColumn("cluster", F.when(F.col("n_anchor") > 0, F.col("track_id") % 10).otherwise(-1)), 0.1)
 
 
 @query()
@@ -392,13 +495,14 @@ def cluster_tracks(t):
 
 
 @query(
-    """, k AS (SELECT video_id, grp AS cluster, det_id AS track_id, 1 + det_id % 4 AS n_dets FROM faces WHERE det_id % 40 = 0),
+    """, k AS (SELECT video_id, CASE WHEN det_id % 40 = 0 THEN 100 + det_id ELSE grp END AS cluster, det_id AS track_id, 1 + det_id % 4 AS n_dets FROM faces),
     c AS (SELECT video_id, cluster, count(*) AS n, sum(n_dets) AS d FROM k GROUP BY video_id, cluster)
     SELECT k.video_id, k.track_id, CASE WHEN c.n = 1 AND c.d < 3 THEN -1 ELSE k.cluster END AS cluster FROM k JOIN c ON k.video_id = c.video_id AND k.cluster = c.cluster""",
     ("faces",),
 )
 def dissolve_tiny(t):
-    k = t.faces.where("det_id % 40 = 0").select("video_id", F.col("group").alias("cluster"), F.col("det_id").alias("track_id"), (1 + F.col("det_id") % 4).alias("n_dets"))
+    cluster = F.when(F.col("det_id") % 40 == 0, 100 + F.col("det_id")).otherwise(F.col("group"))
+    k = t.faces.select("video_id", cluster.alias("cluster"), F.col("det_id").alias("track_id"), (1 + F.col("det_id") % 4).alias("n_dets"))
     return faces.dissolve_tiny(k)
 
 
@@ -412,7 +516,14 @@ def rank_groups(t):
     return faces.rank_groups(t.faces.withColumnRenamed("group", "cluster")).select("video_id", "det_id", "group")
 
 
-@query()
+@query(
+    CENTRES + """, n AS (SELECT video_id, grp, count(*) AS detections, count(DISTINCT track_id) AS tracks FROM d WHERE grp > 0 GROUP BY ALL),
+    own AS (SELECT d.video_id, d.grp, avg(list_dot_product(emb, cen)) AS c FROM d JOIN ce ON d.video_id = ce.video_id AND d.grp = ce.grp WHERE tier = 'anchor' GROUP BY ALL),
+    nr AS (SELECT a.video_id, a.grp, b.grp AS other, list_dot_product(a.cen, b.cen) AS cos, row_number() OVER (PARTITION BY a.video_id, a.grp ORDER BY list_dot_product(a.cen, b.cen) DESC, b.grp) AS r FROM ce a JOIN ce b ON a.video_id = b.video_id AND a.grp <> b.grp)
+    SELECT n.video_id, n.grp, detections, tracks, round(own.c, 6) AS mean_cos_to_centroid, nr.other AS nearest_group, coalesce(round(nr.cos, 6), 0.0) AS nearest_cos
+    FROM n JOIN own ON n.video_id = own.video_id AND n.grp = own.grp LEFT JOIN nr ON n.video_id = nr.video_id AND n.grp = nr.grp AND nr.r = 1""",
+    ("faces", "n_vecs"),
+)
 def group_stats(t):
     return faces.group_stats(t.detections().withColumn("track_id", F.col("det_id") % 50))
 
@@ -427,7 +538,15 @@ def even_sample(t):
     return faces.even_sample(t.faces).select("video_id", "group", "det_id", "place", "sheet_row", "sheet_col")
 
 
-@query()
+@query(
+    """, h AS (SELECT f.*, s.id AS window_id, det_score * least(greatest(sharpness / 200, 0.1), 1.0) AS q FROM faces f JOIN scenes s ON f.video_id = s.video_id AND f.ts >= s.start_s AND f.ts < s.end_s WHERE f.grp > 0),
+    k AS (SELECT * FROM (SELECT *, max(CASE WHEN tier = 'anchor' THEN 1 ELSE 0 END) OVER (PARTITION BY video_id, window_id, grp) AS has FROM h) x WHERE has = 0 OR tier = 'anchor'),
+    r AS (SELECT *, row_number() OVER (PARTITION BY video_id, window_id, grp ORDER BY q DESC, det_id) AS r FROM k),
+    o AS (SELECT *, row_number() OVER (PARTITION BY video_id, window_id, grp ORDER BY ts, det_id) - 1 AS i, count(*) OVER (PARTITION BY video_id, window_id, grp) AS n FROM r WHERE r <= 16),
+    p AS (SELECT *, unnest(range(0, least(n, 4))) AS place FROM o)
+    SELECT video_id, window_id, grp, det_id, place FROM p WHERE i = round_even(place * (n - 1) / greatest(least(n, 4) - 1, 1)::DOUBLE, 0)""",
+    ("faces", "scenes"),
+)
 def best_crops(t):
     windows = t.scenes.withColumnRenamed("id", "window_id")
     return faces.best_crops(t.faces, windows).select("video_id", "window_id", "group", "det_id", "place")
@@ -441,12 +560,26 @@ def grouping_signature(t):
     return faces.grouping_signature(t.faces)
 
 
-@query()
+AGREEMENT = CENTRES + """, b AS (SELECT d.video_id, d.grp, d.det_id, ce.grp AS other, row_number() OVER (PARTITION BY d.video_id, d.det_id ORDER BY list_dot_product(d.emb, ce.cen) DESC, ce.grp) AS r FROM d JOIN ce ON d.video_id = ce.video_id WHERE d.grp > 0),
+    ag AS (SELECT video_id, grp, count(*) AS total, count(*) FILTER (WHERE other = grp) AS agreeing FROM b WHERE r = 1 GROUP BY ALL) """
+
+
+@query(AGREEMENT + "SELECT * FROM ag", ("faces", "n_vecs"))
 def identity_agreement(t):
     d = t.detections().where("group > 0")
     return faces.identity_agreement(d.withColumnRenamed("det_id", "crop_id"), faces.group_centroids(d))
 
 
+@query(
+    AGREEMENT + """, r AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY agreeing / total::DOUBLE, grp) AS n FROM ag)
+    SELECT video_id, CAST(sum(total) AS BIGINT) AS total, CAST(sum(agreeing) AS BIGINT) AS agreeing, string_agg('group' || CAST(grp AS VARCHAR) || ' ' || CAST(agreeing AS VARCHAR) || '/' || CAST(total AS VARCHAR), ', ' ORDER BY n) FILTER (WHERE n <= 3) AS lowest FROM r GROUP BY video_id""",
+    ("faces", "n_vecs"),
+)
+def agreement_summary(t):
+    d = t.detections().where("group > 0")
+    return faces.agreement_summary(faces.identity_agreement(d.withColumnRenamed("det_id", "crop_id"), faces.group_centroids(d)))
+
+
 # --- evidence and answers -------------------------------------------------------------------------
 @query(
     """, h AS (SELECT s.video_id, s.id AS window_id, f.grp, count(*) AS detections FROM faces f JOIN scenes s ON f.video_id = s.video_id AND f.ts >= s.start_s AND f.ts < s.end_s WHERE f.grp > 0 GROUP BY ALL)
@@ -457,7 +590,14 @@ def top_groups(t):
     return evidence.top_groups(t.faces, t.scenes.withColumnRenamed("id", "window_id"), 3)
 
 
-@query()
+@query(
+    """, o AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY start_s) AS n FROM scenes),
+    r AS /* RECURSIVE */ (SELECT video_id, id, n, start_s, end_s, 0 AS window_id, start_s AS origin FROM o WHERE n = 1
+      UNION ALL SELECT o.video_id, o.id, o.n, o.start_s, o.end_s, CASE WHEN o.end_s - r.origin > 600 THEN r.window_id + 1 ELSE r.window_id END, CASE WHEN o.end_s - r.origin > 600 THEN o.start_s ELSE r.origin END
+      FROM r JOIN o ON o.video_id = r.video_id AND o.n = r.n + 1)
+    SELECT video_id, id AS scene_id, window_id, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s FROM r""",
+    ("scenes",),
+)
 def description_windows(t):
     return evidence.description_windows(t.scenes)
 
@@ -478,7 +618,16 @@ def candidate_evidence(t):
     return evidence.candidate_evidence(c, t.segments, t.faces)
 
 
-@query()
+@query(
+    """, n AS (SELECT s.video_id, s.id AS scene_id, f.grp, count(*) AS n FROM scenes s JOIN faces f ON f.video_id = s.video_id AND f.ts >= s.start_s AND f.ts < s.end_s AND f.grp > 0 GROUP BY ALL),
+    pe AS (SELECT video_id, scene_id, string_agg('group' || CAST(grp AS VARCHAR) || ' ' || CAST(n AS VARCHAR) || ' s', ', ' ORDER BY n DESC, grp) AS people FROM n GROUP BY ALL),
+    tr AS (SELECT s.video_id, s.id AS scene_id, string_agg(g.text, ' ' ORDER BY g.seg_no) AS x FROM scenes s JOIN segments g ON g.video_id = s.video_id AND (g.start_s + g.end_s) / 2 >= s.start_s AND (g.start_s + g.end_s) / 2 < s.end_s GROUP BY ALL)
+    SELECT s.video_id, s.id AS scene_id, printf('%02d:%02d:%05.2f', CAST(floor(s.start_s / 3600) AS INT), CAST(floor((s.start_s % 3600) / 60) AS INT), s.start_s % 60) AS from_hms,
+    printf('%02d:%02d:%05.2f', CAST(floor(s.end_s / 3600) AS INT), CAST(floor((s.end_s % 3600) / 60) AS INT), s.end_s % 60) AS to_hms, coalesce(people, 'no faces detected') AS people,
+    CASE WHEN length(coalesce(x, '')) <= 4000 THEN coalesce(x, '') ELSE substr(x, 1, 4000) || '...' END AS transcript
+    FROM scenes s LEFT JOIN pe ON s.video_id = pe.video_id AND s.id = pe.scene_id LEFT JOIN tr ON s.video_id = tr.video_id AND s.id = tr.scene_id""",
+    ("scenes", "faces", "segments"),
+)
 def scene_evidence(t):
     return evidence.scene_evidence(t.scenes, t.segments, t.faces)
 
@@ -506,9 +655,12 @@ def _cache(keys):
     return keys.where(hit).select("key", F.concat("model", F.lit("-"), "request_id").alias("text"))
 
 
-@query("SELECT count(DISTINCT conv_id) * 2 AS keys, count(DISTINCT conv_id) * 2 AS distinct_keys, 64 AS width FROM conversations")
+@query(
+    """SELECT conv_id AS request_id, m.model, sha256(to_json({'model': m.model, 'items': list({'item_no': turn, 'kind': role, 'val': text} ORDER BY turn, role, text), 'resolution': 'low'})) AS key
+    FROM conversations, (VALUES ('main'), ('spare')) m(model) GROUP BY conv_id, m.model"""
+)
 def request_key(t):
-    return _keys(t).agg(F.count("key").alias("keys"), F.count_distinct("key").alias("distinct_keys"), F.max(F.length("key")).alias("width"))
+    return _keys(t)
 
 
 @query("SELECT DISTINCT conv_id AS request_id, CASE WHEN conv_id % 3 = 0 THEN 'main' ELSE 'spare' END AS model, CASE WHEN conv_id % 3 = 0 THEN 'main-' ELSE 'spare-' END || CAST(conv_id AS VARCHAR) AS text FROM conversations WHERE conv_id % 3 = 0 OR conv_id % 2 = 0")
@@ -558,11 +710,22 @@ def _answers(t):
     return s.select("video_id", F.lit("main").alias("model"), F.when(n % 13 == 12, F.lit('{"scene_id": "x"')).otherwise(body).alias("json"))
 
 
-@query("SELECT video_id, count(*) FILTER (WHERE id % 13 <> 12) AS good, count(*) FILTER (WHERE id % 13 = 12) AS bad FROM scenes GROUP BY video_id", ("scenes",))
+@query(
+    """SELECT video_id, 'main' AS model, true AS good, id AS scene_id, 'Title' AS title, 'A talk.' AS theme, 'group' || CAST(1 + id % 10 AS VARCHAR) || ' host Person ' || CAST(id % 4 AS VARCHAR)
+      || '; Group_0' || CAST(1 + id % 10 AS VARCHAR) || ' guest Other; group ' || CAST(1 + (id + 3) % 10 AS VARCHAR) || ' guest ' || CASE WHEN id % 2 = 0 THEN '' ELSE '-' END || '; - narrator ' || CASE WHEN id % 5 = 0 THEN 'A Voice' ELSE '-' END AS people,
+      'They meet.;They part' AS events, NULL AS json FROM scenes WHERE id % 13 <> 12
+    UNION ALL SELECT video_id, 'main', false, NULL, NULL, NULL, NULL, NULL, '{"scene_id": "x"' FROM scenes WHERE id % 13 = 12""",
+    ("scenes",),
+)
 def parse_answers(t):
     good, bad = evidence.parse_answers(_answers(t))
-    n = lambda df, a, b: df.select("video_id", F.lit(a).alias("g"), F.lit(b).alias("b"))
-    return n(good, 1, 0).union(n(bad, 0, 1)).groupBy("video_id").agg(F.sum("g").alias("good"), F.sum("b").alias("bad"))
+    person = lambda c: F.concat_ws(" ", *[F.coalesce(c[x], F.lit("-")) for x in ("group", "role", "name")])
+    good = good.select(
+        "video_id", "model", F.lit(True).alias("good"), F.col("scene_id").cast("long").alias("scene_id"), "title", F.col("central_theme").alias("theme"),
+        F.array_join(F.transform("key_contributors", person), "; ").alias("people"), F.array_join("events", ";").alias("events"), F.lit(None).cast("string").alias("json"),
+    )
+    none = [F.lit(None).cast(k) for k in ("long", "string", "string", "string", "string")]
+    return good.union(bad.select("video_id", "model", F.lit(False), *none, "json"))
 
 
 @query(ANSWERS.replace("FROM scenes)", "FROM scenes WHERE id % 13 <> 12)") + "SELECT * FROM nm", ("scenes",))
@@ -625,21 +788,75 @@ def _document(t):
     return export.output_doc(t.shots, t.scenes, t.faces, words)
 
 
-@query(
-    """SELECT s.video_id, s.n_shots, c.n_scenes, c.last_end, c.first_description FROM (SELECT video_id, count(*) AS n_shots FROM shots GROUP BY video_id) s
-    JOIN (SELECT video_id, count(*) AS n_scenes, round(max(end_s), 3) AS last_end, 'Scene 0' AS first_description FROM scenes GROUP BY video_id) c ON s.video_id = c.video_id""",
-    ("shots", "scenes"),
-)
+def _face_text(faces_map) -> F.Column:
+    """A face map as "group=times" by group number."""
+    entries = F.array_sort(F.transform(F.map_entries(faces_map), lambda e: F.struct(F.substring(e["key"], 6, 9).cast("int").alias("g"), F.array_join(F.transform(e["value"], lambda x: F.format_string("%.2f", x)), ",").alias("t"))))
+    return F.array_join(F.transform(entries, lambda e: F.concat(F.lit("group"), e["g"], F.lit("="), e["t"])), ";")
+
+
+def _opened(doc):
+    """Every shot and scene of result documents, a row each."""
+    shots = doc.select("video_id", F.posexplode("shots").alias("n", "x")).select("video_id", "n", F.lit("shot").alias("kind"), "x.id", "x.start_seconds", "x.end_seconds", F.lit("").alias("description"), F.lit("").alias("faces"))
+    scenes = doc.select("video_id", F.posexplode("scenes").alias("n", "x"))
+    return shots.union(scenes.select("video_id", "n", F.lit("scene"), "x.id", "x.start_seconds", "x.end_seconds", "x.description", _face_text("x.faces")))
+
+
+DOCUMENT = """, m AS (SELECT video_id, scene_id, grp, string_agg(printf('%.2f', ts), ',' ORDER BY ts) AS ts FROM appearances GROUP BY ALL),
+    fc AS (SELECT video_id, scene_id, string_agg('group' || CAST(grp AS VARCHAR) || '=' || ts, ';' ORDER BY grp) AS faces FROM m GROUP BY ALL)
+    SELECT video_id, CAST(id AS INT) AS n, 'shot' AS kind, id, round(start_s, 3) AS start_seconds, round(end_s, 3) AS end_seconds, '' AS description, '' AS faces FROM shots
+    UNION ALL SELECT s.video_id, CAST(s.id AS INT), 'scene', s.id, round(s.start_s, 3), round(s.end_s, 3), 'Scene ' || CAST(s.id AS VARCHAR), coalesce(fc.faces, '') FROM scenes s LEFT JOIN fc ON s.video_id = fc.video_id AND s.id = fc.scene_id"""
+
+
+@query(DOCUMENT, ("shots", "scenes", "appearances"))
 def output_doc(t):
-    last = F.element_at("scenes", -1)
-    return _document(t).select("video_id", F.size("shots").cast("long").alias("n_shots"), F.size("scenes").cast("long").alias("n_scenes"), last["end_seconds"].alias("last_end"), F.element_at("scenes", 1)["description"].alias("first_description"))
+    return _opened(_document(t))
 
 
-@query()
+@query(DOCUMENT, ("shots", "scenes", "appearances"))
+def write_output_json(t):
+    """The documents as JSON lines in the shared folder, read back."""
+    docs = _document(t)
+    path = io.scratch_path(t.spark, "documents")
+    io.write_output_json(docs, path)
+    return _opened(t.spark.read.schema(docs.schema).json(path))
+
+
+@query("SELECT video_id, det_id, ts, grp FROM faces", ("faces",))
+def read_table(t):
+    """Faces written by video to the shared folder, four columns of them read back."""
+    path = io.scratch_path(t.spark, "faces")
+    io.write_table(t.faces, path, by_video=True)
+    return io.read_table(t.spark, path, ["video_id", "det_id", "ts", "group"]).withColumn("video_id", F.col("video_id").cast("long"))
+
+
+@query(
+    ANSWERS.replace("FROM scenes)", "FROM scenes WHERE id % 13 <> 12)")
+    + """, a AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= 1.5 THEN 0 ELSE 1 END AS fresh FROM appearances WINDOW w AS (PARTITION BY video_id, scene_id, grp ORDER BY ts)),
+    b AS (SELECT *, sum(fresh) OVER (PARTITION BY video_id, scene_id, grp ORDER BY ts) AS run FROM a),
+    iv AS (SELECT video_id, scene_id, grp, run, printf('%.2f', min(ts)) || '-' || printf('%.2f', max(ts)) AS x FROM b GROUP BY ALL),
+    ig AS (SELECT video_id, scene_id, grp, string_agg(x, ',' ORDER BY run) AS x FROM iv GROUP BY ALL),
+    it AS (SELECT video_id, scene_id, string_agg('group' || CAST(grp AS VARCHAR) || '=' || x, ';' ORDER BY grp) AS intervals FROM ig GROUP BY ALL),
+    hg AS (SELECT video_id, scene_id, grp, string_agg(printf('%02d:%02d:%05.2f', CAST(floor(ts / 3600) AS INT), CAST(floor((ts % 3600) / 60) AS INT), ts % 60), ',' ORDER BY ts) AS x FROM appearances GROUP BY ALL),
+    ht AS (SELECT video_id, scene_id, string_agg('group' || CAST(grp AS VARCHAR) || '=' || x, ';' ORDER BY grp) AS faces_hms FROM hg GROUP BY ALL)
+    SELECT s.video_id, s.id, first_shot, last_shot, CASE WHEN s.id % 13 <> 12 THEN 'Title' ELSE 'Scene ' || CAST(s.id AS VARCHAR) END AS title, CASE WHEN s.id % 13 <> 12 THEN 'A talk.' END AS theme,
+      CASE WHEN s.id % 13 <> 12 THEN 4 ELSE 0 END AS n_contributors, CASE WHEN s.id % 13 <> 12 THEN 'They meet.;They part' ELSE '' END AS events, CASE WHEN s.id % 13 <> 12 THEN 'main' END AS model,
+      printf('%02d:%02d:%05.2f', CAST(floor(round(s.end_s, 3) / 3600) AS INT), CAST(floor((round(s.end_s, 3) % 3600) / 60) AS INT), round(s.end_s, 3) % 60) AS end_hms, coalesce(faces_hms, '') AS faces_hms, coalesce(intervals, '') AS intervals,
+      2160.0::DOUBLE AS duration, 'local' AS method, (SELECT count(DISTINCT grp) FROM faces f WHERE f.video_id = s.video_id AND f.grp > 0 AND f.tier = 'anchor') AS n_groups
+    FROM scenes s LEFT JOIN it ON s.video_id = it.video_id AND s.id = it.scene_id LEFT JOIN ht ON s.video_id = ht.video_id AND s.id = ht.scene_id""",
+    ("scenes", "appearances", "faces"),
+)
 def extended_doc(t):
     stats = faces.group_stats(t.detections().withColumn("track_id", F.col("det_id") % 50))
-    doc = export.extended_doc(_document(t), t.videos, stats, segments.scene_method(t.scenes, t.scenes))
-    return doc.select("video_id", F.size("scenes").alias("n_scenes"), F.size("groups").alias("n_groups"), "method", F.element_at("scenes", 1)["end_hms"].alias("first_end"))
+    titled = t.scenes.withColumn("title", F.concat(F.lit("Scene "), "id"))
+    doc = export.extended_doc(_document(t), titled, evidence.parse_answers(_answers(t))[0], export.scene_appearances(t.faces, t.scenes), t.videos, stats, segments.scene_method(t.scenes, t.scenes))
+    each = doc.select("video_id", "duration", "method", F.size("groups").cast("long").alias("n_groups"), F.explode("scenes").alias("x"))
+    number = lambda e: F.substring(e["key"], 6, 9).cast("int")
+    text = lambda m, f: F.array_join(F.transform(F.array_sort(F.transform(F.map_entries(m), lambda e: F.struct(number(e).alias("g"), F.array_join(f(e["value"]), ",").alias("t")))), lambda e: F.concat(F.lit("group"), e["g"], F.lit("="), e["t"])), ";")
+    spans = lambda v: F.transform(v, lambda i: F.format_string("%.2f-%.2f", i["start"], i["end"]))
+    return each.select(
+        "video_id", "x.id", "x.first_shot", "x.last_shot", "x.title", F.col("x.central_theme").alias("theme"), F.size(F.coalesce("x.key_contributors", F.array())).alias("n_contributors"),
+        F.coalesce(F.array_join("x.events", ";"), F.lit("")).alias("events"), "x.model", "x.end_hms", text("x.faces_hms", lambda v: v).alias("faces_hms"), text("x.intervals", spans).alias("intervals"), "duration", "method", "n_groups",
+    )
 
 
 @query(
@@ -662,12 +879,18 @@ def crop_manifest(t):
 
 @query(
     """, m AS (SELECT video_id, scene_id, grp, count(*) AS frames, list(ts ORDER BY ts) AS l FROM appearances GROUP BY ALL)
-    SELECT s.video_id, s.id AS scene_id, array_to_string(list_sort(list_distinct([first_shot, CAST(floor((first_shot + last_shot) / 2.0) AS BIGINT), last_shot])), '-') AS shots, m.grp, m.frames, m.l[CAST(floor(m.frames / 2.0) AS BIGINT) + 1] AS middle_ts
-    FROM scenes s LEFT JOIN m ON s.video_id = m.video_id AND s.id = m.scene_id""",
-    ("appearances", "scenes"),
+    , sh AS (SELECT video_id, id AS scene_id, list_sort(list_distinct([first_shot, CAST(floor((first_shot + last_shot) / 2.0) AS BIGINT), last_shot])) AS shots FROM scenes),
+    kf AS (SELECT sh.video_id, sh.scene_id, string_agg(printf('%.3f', (s.start_s + s.end_s) / 2), ' ' ORDER BY s.id) AS frames_at FROM sh JOIN shots s ON s.video_id = sh.video_id AND list_contains(sh.shots, s.id) GROUP BY ALL)
+    SELECT s.video_id, s.id AS scene_id, array_to_string(sh.shots, '-') AS shots, kf.frames_at, 'Scene ' || CAST(s.id AS VARCHAR) AS title, 'About ' || CAST(s.id AS VARCHAR) AS description, m.grp, m.frames, m.l[CAST(floor(m.frames / 2.0) AS BIGINT) + 1] AS middle_ts
+    FROM scenes s JOIN sh ON s.video_id = sh.video_id AND s.id = sh.scene_id LEFT JOIN kf ON s.video_id = kf.video_id AND s.id = kf.scene_id LEFT JOIN m ON s.video_id = m.video_id AND s.id = m.scene_id""",
+    ("appearances", "scenes", "shots"),
 )
 def scene_report_rows(t):
-    return export.scene_report_rows(t.scenes, export.scene_appearances(t.faces, t.scenes))
+    middle = ((F.col("start") + F.col("end")) / 2).alias("t")
+    keyframes = t.shots.select("video_id", F.col("id").alias("shot_id"), F.lit(0).alias("k"), middle)
+    words = t.scenes.select("video_id", F.col("id").alias("scene_id"), F.concat(F.lit("Scene "), "id").alias("title"), F.concat(F.lit("About "), "id").alias("description"))
+    rows = export.scene_report_rows(t.scenes, export.scene_appearances(t.faces, t.scenes), keyframes, words)
+    return rows.withColumn("frames_at", F.array_join(F.transform("frames_at", lambda x: F.format_string("%.3f", x)), " "))
 
 
 @query(
@@ -705,13 +928,14 @@ def _damaged(t):
     v AS (SELECT video_id, 'ids' AS c, 'error' AS s, id FROM o WHERE n <> id UNION ALL SELECT video_id, 'contiguity', 'error', id FROM o WHERE abs(end_s - nx) > 1e-6 UNION ALL SELECT video_id, 'positive_length', 'error', id FROM o WHERE end_s <= start_s
       UNION ALL SELECT video_id, 'min_scene', 'warning', id FROM o WHERE end_s - start_s < 30
       UNION ALL SELECT o.video_id, 'scene_on_shot', 'error', o.id FROM o WHERE NOT EXISTS (SELECT 1 FROM shots t WHERE t.video_id = o.video_id AND round(t.start_s, 3) = round(o.start_s, 3))
-      UNION ALL SELECT o.video_id, 'coverage', 'error', o.video_id FROM o GROUP BY o.video_id HAVING abs(min(start_s)) > 0 OR abs(max(end_s) - 2160) > 0.06)
+      UNION ALL SELECT o.video_id, 'coverage', 'error', o.video_id FROM o GROUP BY o.video_id HAVING abs(min(start_s)) > 0.06 OR abs(max(end_s) - 2160) > 0.06
+      UNION ALL SELECT o.video_id, 'coverage', 'error', o.video_id FROM o GROUP BY o.video_id HAVING min(start_s) <> 0 OR abs(max(end_s) - 2160) > 0.1)
     SELECT video_id, c AS "check", s AS severity, CAST(id AS VARCHAR) AS entity FROM v""",
     ("scenes", "shots"),
 )
 def check_tiles(t):
     s = _damaged(t)
-    parts = [checks.check_ids(s), checks.check_contiguity(s), checks.check_positive_length(s), checks.check_min_scene(s), checks.check_scene_on_shot(s, t.shots), checks.check_coverage(s, t.videos)]
+    parts = [checks.check_ids(s), checks.check_contiguity(s), checks.check_positive_length(s), checks.check_min_scene(s), checks.check_scene_on_shot(s, t.shots), checks.check_coverage(s, t.videos), checks.check_coverage(s, t.videos, exact=True)]
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)
@@ -719,20 +943,25 @@ def check_tiles(t):
 
 
 @query(
-    """, b AS (SELECT DISTINCT video_id, id FROM scenes WHERE id % 10 IN (3, 5, 7)) SELECT v.video_id, count(b.id) FILTER (WHERE b.id % 10 = 3) AS errors, CAST(0 AS BIGINT) AS warnings, count(b.id) FILTER (WHERE b.id % 10 = 3) = 0 AS passed
-    FROM videos v LEFT JOIN b ON v.video_id = b.video_id GROUP BY v.video_id""",
-    ("scenes", "videos"),
+    """, b AS (SELECT DISTINCT video_id, 'positive_length ' || CAST(id AS VARCHAR) || ' ' || CAST(start_s AS VARCHAR) AS x, row_number() OVER (PARTITION BY video_id ORDER BY CAST(id AS VARCHAR)) AS n FROM scenes WHERE id % 10 = 3),
+    e AS (SELECT video_id, count(*) AS errors, string_agg(x, '; ' ORDER BY x) FILTER (WHERE n <= 50) AS messages FROM b GROUP BY video_id)
+    SELECT v.video_id, coalesce(errors, 0) AS errors, CAST(0 AS BIGINT) AS warnings, coalesce(messages, '') AS messages, coalesce(errors, 0) = 0 AS passed,
+      (SELECT count(*) FROM shots s WHERE s.video_id = v.video_id) AS n_shots, (SELECT count(*) FROM scenes s WHERE s.video_id = v.video_id) AS n_scenes, (SELECT count(*) FROM appearances s WHERE s.video_id = v.video_id) AS n_timecodes
+    FROM videos v LEFT JOIN e ON v.video_id = e.video_id""",
+    ("scenes", "videos", "shots", "appearances"),
 )
 def validation_summary(t):
-    return checks.validation_summary(checks.check_positive_length(_damaged(t)), t.videos).drop("messages")
+    totals = {"n_shots": t.shots, "n_scenes": t.scenes, "n_timecodes": export.scene_appearances(t.faces, t.scenes)}
+    return checks.validation_summary(checks.check_positive_length(_damaged(t)), t.videos, totals=totals)
 
 
 @query(
     """, o AS (SELECT video_id, scene_id, grp, ts, row_number() OVER (PARTITION BY video_id, scene_id, grp ORDER BY ts) AS pos FROM appearances),
     c AS (SELECT video_id, scene_id, grp, pos, CASE WHEN pos % 3 = 2 THEN ts - 5000 ELSE ts END AS ts FROM o),
     p AS (SELECT c.*, lag(ts) OVER (PARTITION BY video_id, scene_id, grp ORDER BY pos) AS prev FROM c)
-    SELECT p.video_id, count(*) FILTER (WHERE ts < prev) AS unsorted, count(*) FILTER (WHERE NOT coalesce(ts <= prev, false) AND (ts < s.start_s - 1e-6 OR ts >= s.end_s + 1e-6)) AS outside
-    FROM p JOIN scenes s ON p.video_id = s.video_id AND p.scene_id = s.id GROUP BY p.video_id HAVING count(*) FILTER (WHERE ts < prev) > 0""",
+    SELECT p.video_id, 'timecodes' AS "check", 'error' AS severity, CAST(p.scene_id AS VARCHAR) || '/' || CAST(p.grp AS VARCHAR) || '/' || CAST(ts AS VARCHAR) AS entity,
+      CASE WHEN ts = prev THEN 'duplicate' WHEN ts < prev THEN 'unsorted' ELSE 'outside' END AS detail
+    FROM p JOIN scenes s ON p.video_id = s.video_id AND p.scene_id = s.id WHERE coalesce(ts <= prev, false) OR ts < s.start_s - 1e-6 OR ts >= s.end_s + 1e-6""",
     ("appearances", "scenes"),
 )
 def check_timecodes(t):
@@ -741,8 +970,7 @@ def check_timecodes(t):
     pos = F.row_number().over(Window.partitionBy("video_id", "scene_id", "group").orderBy("ts"))
     codes = export.scene_appearances(t.faces, t.scenes).withColumn("pos", pos)
     codes = codes.withColumn("ts", F.when(F.col("pos") % 3 == 2, F.col("ts") - 5000).otherwise(F.col("ts")))
-    v = checks.check_timecodes(codes, t.scenes)
-    return v.groupBy("video_id").agg(F.count_if(F.col("detail") == "unsorted").alias("unsorted"), F.count_if(F.col("detail") == "outside").alias("outside")).where("unsorted > 0")
+    return checks.check_timecodes(codes, t.scenes)
 
 
 @query(
@@ -770,16 +998,47 @@ def check_report_links(t):
     return checks.check_report_links(pages, links.where(F.length("path") % 2 == 0), pattern)
 
 
-@query()
+@query(
+    AGREEMENT + """, tt AS (SELECT video_id, sum(total) AS t, sum(agreeing) AS a FROM ag GROUP BY video_id)
+    SELECT video_id, 'identity' AS "check", 'error' AS severity, CAST(video_id AS VARCHAR) AS entity, CAST(a AS VARCHAR) || '/' || CAST(t AS VARCHAR) AS detail FROM tt WHERE a < 0.9 * t""",
+    ("faces", "n_vecs"),
+)
 def check_identity(t):
     d = t.detections().where("group > 0")
     return checks.check_identity(d.withColumnRenamed("det_id", "crop_id"), faces.group_centroids(d))
 
 
-@query()
+@query(
+    """, v AS (SELECT video_id, 'document' AS entity, 'keys' AS detail FROM videos WHERE video_id % 3 = 0
+      UNION ALL SELECT video_id, 'scenes ' || CAST(id AS VARCHAR), 'description' FROM scenes
+      UNION ALL SELECT video_id, 'shots ' || CAST(id AS VARCHAR), 'types' FROM shots WHERE video_id % 4 = 1)
+    SELECT video_id, 'schema' AS "check", 'error' AS severity, entity, detail FROM v""",
+    ("videos", "scenes", "shots"),
+)
 def check_schema(t):
-    body = F.to_json(F.struct("shots", "scenes"))
-    return checks.check_schema(_document(t).select("video_id", F.when(F.col("video_id") % 3 == 0, F.to_json(F.struct("scenes", "shots"))).otherwise(body).alias("json")))
+    """Documents of which some have their keys in another order, or shot numbers as text."""
+    texts = F.transform("shots", lambda x: x.withField("id", x["id"].cast("string")))
+    swapped, wrong = F.col("video_id") % 3 == 0, F.col("video_id") % 4 == 1
+    body = lambda shots: F.when(swapped, F.to_json(F.struct("scenes", shots.alias("shots")))).otherwise(F.to_json(F.struct(shots.alias("shots"), "scenes")))
+    return checks.check_schema(_document(t).select("video_id", F.when(wrong, body(texts)).otherwise(body(F.col("shots"))).alias("json")))
+
+
+# --- whole jobs -----------------------------------------------------------------------------------
+@query()
+def job_identities(t):
+    return jobs.identities(t.detections().withColumn("shot_id", F.floor(F.col("ts") / 60).cast("int")).drop("group"))[0].select("video_id", "det_id", "track_id", "group")
+
+
+@query()
+def job_scenes(t):
+    bounds = segments.boundary_text(t.segments, t.bounds)
+    return jobs.scenes(t.videos, t.shots, t.shot_vecs, t.segments, t.faces, t.chapters, _text_vectors(t, bounds))
+
+
+@query()
+def job_documents(t):
+    """Violations in the documents of all videos, with the files that the crops would be in."""
+    return jobs.documents(t.videos, t.shots, t.scenes, t.faces, evidence.parse_answers(_answers(t))[0])[1]
 
 
 # --- sources --------------------------------------------------------------------------------------

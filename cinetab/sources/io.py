@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -59,6 +61,12 @@ def clean_segments(raw: DataFrame) -> DataFrame:
     return df.withColumn("start", F.round("start", 2)).withColumn("end", F.round("end", 2))
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder name where driver and executors share one: below spark.checkpoint.dir, or the warehouse where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     return df.select(*columns) if columns else df
@@ -75,7 +83,10 @@ def write_output_json(docs: DataFrame, path: str) -> None:
 
 
 def crop_listing(spark: SparkSession, root: str) -> DataFrame:
-    """(path, scene_id, group, ts) of the files below ``root``; contents are not read."""
+    """(path, scene_id, group, ts) of the files below ``root``; contents are not read.
+
+    Spark's readers pass over names that begin with an underscore, such as the markers of scenes without faces.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
     part = lambda p: F.regexp_extract("path", p, 1)
     return files.select("path", part(r"scene_(\d+)/").try_cast("int").alias("scene_id"), part(r"group(\d+)/").try_cast("int").alias("group"), part(r"/t([\d.]+)\.jpg$").try_cast("double").alias("ts"))

@@ -3,13 +3,15 @@
 import itertools
 
 import numpy as np
+import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cinetab.functions import expr
+from cinetab.functions import expr, vectors
 from cinetab.operators import checks, export, faces, joins, segments, timeline
 from cinetab.operators.evidence import window_numbers
+from cinetab.sources import io
 
 
 def rows(df, *columns):
@@ -56,10 +58,10 @@ def test_depth_climbs_plateaus(spark):
 def test_expressions(spark):
     df = spark.range(1)
     got = df.select(
-        expr.hms(F.lit(452.5)), expr.hms(F.lit(-3.0)), expr.normalise_group(F.lit("the Group_07")), expr.normalise_group(F.lit("none")),
+        expr.hms(F.lit(452.5)), expr.hms(F.lit(-3.0)), expr.normalise_group(F.lit("the Group_07")), expr.normalise_group(F.lit("none")), expr.normalise_group(F.lit("GROUP 0099999999999999999999")), expr.normalise_group(F.lit("group 000")),
         expr.clip_text(F.lit("abcdef"), 3), expr.clip_text(F.lit("abcdef"), 3, tail=True), expr.clip_text(F.lit("abc"), 3),
     ).first()
-    assert tuple(got) == ("00:07:32.50", "00:00:00.00", "group7", None, "abc...", "...def", "abc")
+    assert tuple(got) == ("00:07:32.50", "00:00:00.00", "group7", None, "group99999999999999999999", "group0", "abc...", "...def", "abc")
 
 
 def test_checks_are_silent_on_clean_tiles(spark):
@@ -100,10 +102,229 @@ def test_average_linkage(n, seed):
 def test_groups_of_orthogonal_people():
     v = np.array([[1, 0, 0], [0.99, 0.14, 0], [0, 1, 0], [0, 0, 1.0]])
     v /= np.linalg.norm(v, axis=1, keepdims=True)
-    label = faces.group_tracks(v, [{1}, {2}, {1}, {9}], np.array([5, 5, 5, 1]), np.array([5, 5, 5, 1]))
-    assert label[0] == label[1] != label[2] and label[3] == -1
-    weak = faces.weak_rescue(label, v, [{1}, {2}, {1}, {9}], np.array([[1, 0, 0], [1, 0, 0], [0, 0, 1.0]]), [{5}, {5}, {6}])
-    assert weak[0] == label[0] and weak[1] == -1 and weak[2] == -1
+    frames = [{1}, {2}, {1}, {9}, {5}, {5}, {6}]
+    clash = np.array([[i != j and bool(a & b) for j, b in enumerate(frames)] for i, a in enumerate(frames)])
+    weak = np.array([[1, 0, 0], [1, 0, 0], [0, 0, 1.0]])
+    n = len(frames)
+    pdf = pd.DataFrame({"n_anchor": [5, 5, 5, 1, 0, 0, 0], "n_dets": [5, 5, 5, 1, 1, 1, 1], "all_vec": [*v, *weak]})
+    people = faces.People(np.concatenate([v, np.zeros((3, 3))]), clash)
+    faces.group_all(people, pdf)
+    label = people.label
+    assert label[0] == label[1] != label[2] and label[3] == -1 and len(label) == n
+    assert label[4] == label[0] and label[5] == -1 and label[6] == -1
+
+
+def middle(vectors, members, weight=None):
+    total = sum((1 if weight is None else weight[m]) * vectors[m] for m in members)
+    total = total if weight is not None else total / len(members)
+    return total / (np.linalg.norm(total) + 1e-9)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 12), st.integers(0, 10**6))
+def test_group_steps_by_loops(n, seed):
+    """Repair, rescue and merge of groups against loops over sets of frames."""
+    rng = np.random.default_rng(seed)
+    v = rng.normal(size=(n, 3))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    frames = [set(rng.integers(0, 12, rng.integers(1, 4)).tolist()) for _ in range(n)]
+    clash = np.array([[i != j and bool(a & b) for j, b in enumerate(frames)] for i, a in enumerate(frames)])
+    start, anchors = rng.integers(-1, 4, n), rng.integers(1, 6, n)
+    members = lambda label, k: [i for i in range(n) if label[i] == k]
+    groups = lambda label: sorted({int(x) for x in label if x >= 0})
+    seen = lambda label, k: set().union(*(frames[i] for i in members(label, k)))
+
+    label, people = start.copy(), faces.People(v, clash, start)
+    people.resolve()
+    for k in groups(label):
+        held, mine = set(), members(label, k)
+        for i in sorted(mine, key=lambda i: -round(float(v[i] @ middle(v, mine)), 9)):
+            if frames[i] & held:
+                label[i] = -1
+            held |= frames[i] if label[i] >= 0 else set()
+    assert people.label.tolist() == label.tolist()
+
+    people.rescue(0.2)
+    for i in members(label, -1):
+        options = [(float(v[i] @ middle(v, members(label, k))), k) for k in groups(label) if not frames[i] & seen(label, k)]
+        if options and max(options)[0] >= 0.2:
+            label[i] = max(options)[1]
+    assert people.label.tolist() == label.tolist()
+
+    people.merge(anchors, 0.1)
+    while True:
+        pairs = [(-float(middle(v, members(label, a), anchors) @ middle(v, members(label, b), anchors)), a, b) for a, b in itertools.combinations(groups(label), 2) if not seen(label, a) & seen(label, b)]
+        if not pairs or -min(pairs)[0] < 0.1:
+            break
+        label[label == min(pairs)[2]] = min(pairs)[1]
+    assert people.label.tolist() == label.tolist()
+
+
+def restarted_merge(tiles, look, min_len, max_dist):
+    """Tiny tiles join a neighbour, from the first one again after each merge."""
+    tiles = list(tiles)
+    changed = True
+    while changed:
+        changed = False
+        for i, (a, b) in enumerate(tiles):
+            if b - a >= min_len or len(tiles) == 1:
+                continue
+            d, j = min((timeline.histogram_distance(look(a, b), look(*tiles[j])), j) for j in (i - 1, i + 1) if 0 <= j < len(tiles))
+            if d < max_dist:
+                i, j = sorted((i, j))
+                tiles[i : j + 1] = [(tiles[i][0], tiles[j][1])]
+                changed = True
+                break
+    return tiles
+
+
+def test_tiny_shots_join_what_they_look_like(spark):
+    rng = np.random.default_rng(4)
+    fps, shots, hists = 10.0, [], []
+    for video in range(12):
+        edges = np.concatenate([[0], np.cumsum(rng.choice([0.2, 0.3, 0.5, 1.0, 2.0], 25))]).round(4)
+        shots += [(video, k, float(a), float(b)) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))]
+        frames = int(edges[-1] * fps) - video % 3  # the last frames may be missing
+        hists += [(video, k, rng.choice([0.0, 1.0, 5.0], 4).tolist()) for k in range(frames)]
+    tables = spark.createDataFrame(shots, "video_id long, id int, start double, end double"), spark.createDataFrame(hists, "video_id long, frame_idx long, hist array<double>")
+    clips = spark.createDataFrame([(v, fps) for v in range(12)], "video_id long, fps double")
+    found = rows(timeline.merge_tiny_shots(*tables, clips, 0.4, 0.4), "video_id", "id", "start", "end")
+    expected = []
+    for video in range(12):
+        frames = [np.array(h) for v, _, h in hists if v == video]
+
+        def look(a, b, frames=frames):
+            first = int(a * fps)
+            return frames[min((first + max(first + 1, int(b * fps))) // 2, len(frames) - 1)]
+
+        tiles = restarted_merge([(a, b) for v, _, a, b in shots if v == video], look, 0.4, 0.4)
+        expected += [(video, k, a, b) for k, (a, b) in enumerate(tiles)]
+    assert found == expected and 12 * 5 < len(found) < len(shots)
+    assert timeline.merge_tiny_shots(tables[0].limit(0), tables[1], clips).count() == 0
+    # Without frames nothing looks alike.
+    assert rows(timeline.merge_tiny_shots(tables[0], tables[1].limit(0), clips), "video_id", "id", "start", "end") == shots
+
+
+def test_cuts_move_to_establishing_shots(spark):
+    rng = np.random.default_rng(5)
+    shots, dets, vectors, cuts = [], [], [], []
+    for video in range(15):
+        edges = np.concatenate([[0], np.cumsum(rng.choice([2.0, 4.0, 9.0], 60))])
+        shots += [(video, k, float(a), float(b)) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))]
+        dets += [(video, int(k)) for k in np.flatnonzero(rng.random(60) < 0.4)]
+        vectors += [(video, k, rng.integers(0, 3, 3).astype(float).tolist()) for k in range(60)]
+        cuts += [(video, float(edges[k])) for k in sorted(rng.choice(np.arange(1, 60), 8, replace=False))]
+    expected = []
+    for video in range(15):
+        start = [a for v, _, a, _ in shots if v == video]
+        with_faces = {k for v, k in dets if v == video}
+        x = np.array([e for v, _, e in vectors if v == video])
+        sim, prev = x @ x.T, 0.0
+        for t in [t for v, t in cuts if v == video]:
+            b = start.index(t)
+            run = b
+            for k in range(b - 1, 0, -1):
+                if b - k > 4 or k in with_faces or t - start[k] > 15 or start[k] - prev < 30:
+                    break
+                run = k
+            home = b
+            for j in range(b - 1, run - 1, -1):
+                before, after = sim[j, max(0, run - 6) : run], sim[j, b : b + 6]
+                if len(before) and before.max() > after.max():
+                    break
+                home = j
+            prev = start[home]
+            expected.append((video, start[home], t))
+    tables = [
+        spark.createDataFrame(cuts + [(0, 0.5)], "video_id long, time double"), spark.createDataFrame(shots, "video_id long, id int, start double, end double"),
+        spark.createDataFrame(dets, "video_id long, shot_id int"), spark.createDataFrame(vectors, "video_id long, shot_id int, embedding array<double>"),
+    ]
+    found = rows(segments.snap_establishing(*tables), "video_id", "time", "from_time")
+    assert found == sorted(expected) and any(a != b for _, a, b in found)
+    assert segments.snap_establishing(tables[0].limit(0), *tables[1:]).count() == 0
+    # The composition: candidates that are kept, without short scenes, moved, as scenes.
+    candidates = tables[0].selectExpr("video_id", "cast(row_number() over (partition by video_id order by time) as int) as cid", "time", "0.5D as depth")
+    answers = spark.createDataFrame([(v, [1, 3, 5, 7, 7, 99]) for v in range(15)], "video_id long, keep array<int>")
+    lengths = spark.createDataFrame([(v, max(b for w, _, _, b in shots if w == v)) for v in range(15)], "video_id long, duration double")
+    scenes = segments.apply_refinement(candidates, answers, lengths, *tables[1:])
+    for check in (checks.check_ids, checks.check_contiguity, checks.check_positive_length):
+        assert check(scenes).count() == 0
+    assert checks.check_scene_on_shot(scenes, tables[1]).count() == 0 and scenes.count() > 20
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 199), max_size=25, unique=True), st.integers(0, 10**6))
+def test_short_scenes_by_restarts(times, seed):
+    times = sorted(map(float, times))
+    depths = np.random.default_rng(seed).integers(0, 4, len(times)).astype(float).tolist()
+    kept = list(range(len(times)))
+    while kept:
+        edges = [0.0, *(times[k] for k in kept), 200.0]
+        lengths = [b - a for a, b in itertools.pairwise(edges)]
+        k = lengths.index(min(lengths))
+        if lengths[k] >= 30:
+            break
+        kept.remove(min((kept[i] for i in (k - 1, k) if 0 <= i < len(kept)), key=lambda i: depths[i]))
+    assert segments.short_scene_drops(times, depths, 200.0, 30.0) == kept
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 1999), min_size=1, max_size=60, unique=True), st.lists(st.integers(0, 2000), max_size=4), st.integers(0, 10**6))
+def test_cuts_by_plain_walk(times, chapters, seed):
+    times = np.array(sorted(times), float)
+    depths = np.random.default_rng(seed).integers(0, 6, len(times)) / 4.0
+    boosted = depths.copy()
+    for c in sorted(chapters):
+        if c > 0:
+            boosted = np.where(np.abs(times - c) <= 3, boosted + 0.5 * boosted.std(), boosted)
+    chosen = []
+    for i in sorted(range(len(times)), key=lambda i: (-boosted[i], times[i])):
+        if len(chosen) == max(0, round(2000 / 90) - 1) or boosted[i] < depths.mean() - 0.5 * depths.std():
+            break
+        if min(abs(times[i] - e) for e in [0.0, 2000.0, *times[chosen]]) >= 30:
+            chosen.append(i)
+    while True:
+        edges = sorted([0.0, 2000.0, *times[chosen]])
+        inner = [[i for i in range(len(times)) if a + 30 <= times[i] <= b - 30] if b - a > 300 else [] for a, b in itertools.pairwise(edges)]
+        long = next((x for x in inner if x), None)
+        if long is None:
+            break
+        chosen.append(max(long, key=lambda i: (boosted[i], -times[i])))
+    assert segments.pick_cuts(times, depths, 2000.0, [float(c) for c in chapters]) == sorted(chosen)
+
+
+def test_asof_in_buckets(spark):
+    """Starts long before a point, in other buckets, are carried on."""
+    rng = np.random.default_rng(6)
+    starts = sorted({float(x) for x in rng.integers(0, 1000, 12)})
+    tiles = [(1, k, a, b) for k, (a, b) in enumerate(itertools.pairwise([*starts, 900.0])) if b > a]
+    points = [(1, float(t)) for t in rng.integers(0, 1100, 200)] + [(2, 5.0)]
+    tiles_df, points_df = spark.createDataFrame(tiles, "video_id long, id int, start double, end double"), spark.createDataFrame(points, "video_id long, ts double")
+    last = lambda t: max([k for _, k, a, _ in tiles if a <= t], default=tiles[0][1])
+    found = sorted((r.video_id, r.ts, -1 if r.shot_id is None else r.shot_id) for r in joins.asof_shot(points_df, tiles_df, width=50.0).collect())
+    assert found == sorted((v, t, last(t) if v == 1 else -1) for v, t in points)
+    inside = sorted((t, k) for v, t in points if v == 1 for _, k, a, b in tiles if a <= t < b)
+    assert rows(joins.interval_join(points_df, tiles_df, width=50.0), "ts", "scene_id") == inside
+
+
+def test_vectors(spark):
+    rng = np.random.default_rng(7)
+    data = [(k % 5, rng.normal(size=4).tolist(), float(rng.random())) for k in range(60)]
+    df = spark.createDataFrame(data, "k long, v array<float>, w double").repartition(7)
+    total = {r.k: r.vector for r in vectors.vector_sum(df, ["k"], F.col("v"), F.col("w")).collect()}
+    mean = {r.k: r.vector for r in vectors.vector_mean(df, ["k"], F.col("v")).collect()}
+    for k in range(5):
+        mine = [(np.array(v, np.float32).astype(float), w) for j, v, w in data if j == k]
+        assert np.allclose(total[k], sum(w * v for v, w in mine)) and np.allclose(mean[k], sum(v for v, _ in mine) / len(mine))
+
+
+def test_files_and_listing(spark, tmp_path):
+    (tmp_path / "scene_002" / "group3").mkdir(parents=True)
+    (tmp_path / "scene_002" / "group3" / "t0012.50.jpg").write_bytes(b"x")
+    (tmp_path / "scene_004").mkdir()
+    (tmp_path / "scene_004" / "_no_faces").write_bytes(b"x")
+    found = sorted(((r.scene_id, r.group, r.ts) for r in io.crop_listing(spark, str(tmp_path)).collect()))
+    assert found == [(2, 3, 12.5)]
 
 
 def test_windows_and_short_scenes():

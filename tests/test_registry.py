@@ -5,9 +5,10 @@ import pytest
 
 import __spark_entry__ as entry
 from cinetab.operators import segments
+from cinetab.registry import Tables
 
 DATA = "/root/testdata/sf0.001"
-SAMPLE = ["transition_boundaries", "people_vectors", "crop_manifest", "check_tiles", "group_names"]
+SAMPLE = ["transition_boundaries", "people_vectors", "crop_manifest", "check_tiles", "group_names", "description_windows", "group_stats", "output_doc", "check_schema"]
 
 
 def test_entry(spark):
@@ -41,3 +42,20 @@ def test_enforce_min_scene_takes_all_chosen_cuts(spark):
         times, depths = zip(*sorted(cuts), strict=True)
         expected |= {(video, times[i]) for i in segments.short_scene_drops(list(times), list(depths), 2160.0, 30.0)}
     assert kept == expected and any(len(c) > 1 for c in chosen.values())
+
+
+def test_candidates_take_all_boundaries(spark):
+    """The chosen cuts, then the deepest boundaries at least 15 s from each other, up to 60."""
+    t = Tables(spark, DATA)
+    depth = {}
+    for r in segments.depth_score(t.boundaries).collect():
+        depth.setdefault(r.video_id, []).append((r.time, r.depth))
+    cuts = {(r.video_id, r.time) for r in entry.queries()["select_cuts"](spark, DATA).collect()}
+    expected = set()
+    for video, rows in depth.items():
+        picked = [time for time, _ in rows if (video, round(time, 6)) in cuts]
+        for time, _ in sorted(rows, key=lambda r: (-r[1], r[0])):
+            if len(picked) < 60 and all(abs(time - p) >= 15 for p in picked):
+                picked.append(time)
+        expected |= {(video, k + 1, round(time, 6)) for k, time in enumerate(sorted(picked))}
+    assert {(r.video_id, r.cid, r.time) for r in entry.queries()["refine_candidates"](spark, DATA).collect()} == expected
