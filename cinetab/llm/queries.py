@@ -61,21 +61,29 @@ def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toolcalls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every assistant turn stands for a call, and the turn after it for its result.
 
-    A call needs the one two turns before unless a hash of the turn starts a new chain.
+    A call needs the one two turns before and, now and then, the conversation's first. Some need a call that
+    is not there, a few the one after them. Arguments hold all words of the turn.
     """
     turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
     words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
     arguments = F.to_json(
         F.struct(
-            F.slice(words, 1, 3).alias("terms"), F.when(F.col("turn") % 5 != 4, F.size(words)).alias("limit"),
+            words.alias("terms"), F.when(F.col("turn") % 5 != 4, F.size(words)).alias("limit"),
             F.when(F.size(words) % 7 == 0, "exact").alias("mode"),
         )
     )
+    number = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(1000))
+    call = lambda turn: F.concat(F.lit("call-"), turn)
+    needs = F.filter(
+        F.array(
+            F.when(F.col("turn") >= 2, call(F.col("turn") - 2)), F.when((F.col("turn") > 3) & (number % 8 == 0), call(F.lit(1))),
+            F.when(number == 501, F.lit("call-none")), F.when(number == 502, call(F.col("turn") + 2)),
+        ),
+        lambda x: x.isNotNull(),
+    )
     calls = turns.where("role = 'assistant'").select(
-        "conv_id", F.concat(F.lit("call-"), "turn").alias("call_id"), F.when(F.size(words) % 2 == 0, "search").otherwise("lookup").alias("name"),
-        arguments.alias("arguments"),
-        F.when((F.col("turn") >= 2) & (F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4)) != 0), F.array(F.concat(F.lit("call-"), F.col("turn") - 2)))
-        .otherwise(F.array().cast("array<string>")).alias("needs"),
+        "conv_id", call(F.col("turn")).alias("call_id"), F.when(F.size(words) % 2 == 0, "search").otherwise("lookup").alias("name"),
+        arguments.alias("arguments"), needs.alias("needs"),
     )
     results = turns.where("role = 'user' and turn > 0").select("conv_id", F.concat(F.lit("call-"), F.col("turn") - 1).alias("call_id"), F.col("text").alias("result"))
     return link_calls(calls, results, TOOLS)

@@ -219,28 +219,47 @@ def subtree_repeats(rows: DataFrame, window: int) -> DataFrame:
 
 
 def crowded_repeats(rows: DataFrame) -> DataFrame:
-    """As subtree_repeats, for prefixes that are lengthened to whole windows; a node is named by prefix and window, 128 bits."""
+    """As subtree_repeats, for prefixes that are lengthened to whole windows; a node is named by prefix and window, 128 bits.
+
+    A batch's windows of one node go in one row, before and after the join, so that a hot node is a few rows a task.
+    """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             at, windows = (batch.column(k).to_numpy() for k in (3, 4))
-            place = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows) + np.repeat(at, windows)
+            prefix, doc, key = (np.repeat(batch.column(k).to_numpy(), windows) for k in (0, 1, 2))
+            place = (np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows) + np.repeat(at, windows)).astype(np.int32)
+            node = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.int64)
+            order = np.lexsort((doc, node, prefix))
+            prefix, doc, key, place, node = (x[order] for x in (prefix, doc, key, place, node))
+            begin = np.flatnonzero(np.concatenate([[True], (node[1:] != node[:-1]) | (prefix[1:] != prefix[:-1])]))
+            stop = np.append(begin[1:], len(node))
+            parts = [binaries([x[a:b] for a, b in zip(begin, stop, strict=True)]) for x in (doc, key, place)]
             yield pa.RecordBatch.from_arrays(
-                [*[pa.array(np.repeat(batch.column(k).to_numpy(), windows)) for k in (0, 1, 2)], pa.array(place.astype(np.int32)),
-                 pa.array(np.frombuffer(b"".join(batch.column(5).to_pylist()), np.int64))], ["prefix", "doc_id", "text_key", "place", "node"],
-            )
+                [*[pa.array(x) for x in (prefix[begin], node[begin], doc[begin], doc[stop - 1])], *parts], ["prefix", "node", "lo", "hi", "docs", "keys", "places"]
+            )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            raw = [batch.column(k).to_pylist() for k in (1, 2, 3)]
+            least = np.repeat(batch.column(0).to_numpy(), [len(x) // 8 for x in raw[0]])
+            doc, key, place = (np.frombuffer(b"".join(x), kind) for x, kind in zip(raw, (np.int64, np.int64, np.int32), strict=True))
+            late = np.flatnonzero(doc > least)
+            late = late[np.lexsort((key[late], doc[late]))]
+            doc, key, place = doc[late], key[late], place[late]
+            begin = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])) if len(doc) else np.zeros(0, np.int64)
+            stop = np.append(begin[1:], len(doc)) if len(doc) else begin
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], binaries(list(batch.column(2).to_numpy().astype(np.int32).reshape(-1, 1)))], ["doc_id", "text_key", "places"]
+                [pa.array(doc[begin]), pa.array(key[begin]), binaries([place[a:b] for a, b in zip(begin, stop, strict=True)])], ["doc_id", "text_key", "places"]
             )
 
     single = rows.select("prefix", "doc_id", "text_key", "at", "windows", "nodes")
-    single = single.mapInArrow(spread, "prefix long, doc_id long, text_key long, place int, node long")
+    single = single.mapInArrow(spread, "prefix long, node long, lo long, hi long, docs binary, keys binary, places binary")
     node = ["prefix", "node"]
-    least = materialize(single.groupBy(*node).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most"), "nodes")
-    late = single.join(least.select(*node, "least"), node).where("doc_id > least").select("doc_id", "text_key", "place")
+    least = materialize(single.groupBy(*node).agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least < most"), "nodes")
+    late = single.join(least.select(*node, "least"), node).where("hi > least").select("least", "docs", "keys", "places")
     return late.mapInArrow(pack, "doc_id long, text_key long, places binary")
 
 

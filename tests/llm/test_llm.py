@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import json
 import math
 import random
 import re
@@ -422,6 +423,76 @@ def test_tool_calls(spark):
     assert found[1, "a"].message == '{"arguments":{"x":1},"id":"a","name":"f","result":"ra"}'
 
 
+def plain_levels(edges):
+    """Longest path of needs by recursion with a colour for nodes on the way; None in or above a cycle."""
+    needs = collections.defaultdict(set)
+    for a, b in edges:
+        needs[a].add(b)
+        needs[b]
+    depth = {}
+    while True:
+        ready = [n for n in needs if n not in depth and all(b in depth for b in needs[n])]
+        if not ready:
+            return {n: depth.get(n) for n in needs}
+        depth |= {n: max((depth[b] + 1 for b in needs[n]), default=0) for n in ready}
+
+
+def test_levels_brute_force(spark):
+    """Chains, trees, random graphs with and without cycles, and a crowd that needs one root."""
+    rng = random.Random(12)
+    edges = [(k, k - 1) for k in range(1, 400)] + [(1000 + k, 1000) for k in range(1, 300)] + [(2001, 2002), (2002, 2003), (2003, 2001), (2004, 2001), (2005, 2004), (2005, 2006)]
+    edges += [(3000 + a, 3000 + rng.randrange(a)) for a in range(1, 60) for _ in range(rng.randrange(3))]
+    edges += [(4000 + rng.randrange(60), 4000 + rng.randrange(60)) for _ in range(70)]
+    edges += [(5001, 5002), (5001, 5003), (5002, 5001), (5002, 5003), (5003, 5001), (5003, 5002), (5004, 5001)]
+    edges = [(a, b) for a, b in edges if a != b]
+    found = toolcalls._levels(spark.createDataFrame(edges, "node long, needs long")).collect()
+    assert len(found) == len({r.node for r in found}) and all(r.cyclic == (r.depth is None) for r in found)
+    assert {r.node: r.depth for r in found} == plain_levels(edges)
+
+
+def test_tool_call_arguments(spark):
+    """Texts that are not JSON, or that cannot be written back, are named so; long ones and odd columns do no harm."""
+    texts_ = ["[" * 100_000, '{"x":"\\ud800"}', '{"x":NaN}', '{"x":1e999}', '{"x":' + "9" * 5000 + "}", None, "", '{"x":1,"x":2}', '{"b":"é","x":1}', '{"x":"' + "w" * 3_000_000 + '"}']
+    calls = spark.createDataFrame([(1, f"c{k}", "f", t, None, 0) for k, t in enumerate(texts_)], "conv_id long, call_id string, name string, arguments string, needs array<string>, node int")
+    results = spark.createDataFrame([(1, f"c{k}", "r", 1) for k in range(len(texts_))] + [(1, "c7", "q", 2)], "conv_id long, call_id string, result string, node int")
+    found = {r.call_id: r for r in toolcalls.link_calls(calls, results, {"f": {"required": ["x"], "properties": {"x": {}, "b": {}}}}).collect()}
+    assert [found[f"c{k}"].errors for k in range(7)] == ["not JSON"] * 7 and [found[f"c{k}"].status for k in (0, 7, 8, 9)] == ["invalid", "ok", "ok", "ok"]
+    assert found["c7"].message == '{"arguments":{"x":2},"id":"c7","name":"f","result":"q"}' and '"b":"é"' in found["c8"].message
+    assert json.loads(found["c0"].message)["arguments"] is None and len(found["c9"].message) > 3_000_000
+
+
+def test_tool_call_query(spark):
+    """The query against a plain version, on its whole table."""
+    sf = "/root/testdata/sf0.001"
+    found = {(r.conv_id, r.call_id): r for r in queries.op7_toolcalls(spark, sf).collect()}
+    turns = {(r.conv_id, r.turn): r for r in spark.read.parquet(f"{sf}/conversations.parquet").withColumn("number", F.expr("pmod(xxhash64(conv_id, turn), 1000)")).collect()}
+    calls = {k: r for k, r in turns.items() if r.role == "assistant"}
+    edges, lost = [], set()
+    for (conv, turn), r in calls.items():
+        needs = {turn - 2} if turn >= 2 else set()
+        needs |= {1} if turn > 3 and r.number % 8 == 0 else set()
+        needs |= {turn + 2} if r.number == 502 else set()
+        if r.number == 501 or any((conv, n) not in calls for n in needs):
+            lost.add((conv, turn))
+        edges += [((conv, turn), (conv, n)) for n in needs if (conv, n) in calls]
+    depth = plain_levels(edges)
+    assert set(found) == {(c, f"call-{t}") for c, t in calls}
+    for (conv, turn), r in calls.items():
+        mine = found[conv, f"call-{turn}"]
+        words = re.findall(r"[^ \t\n\x0b\f\r]+", r.text or "")
+        answer = turns.get((conv, turn + 1))
+        answered = answer is not None and answer.role == "user"
+        wrong = len(words) % 7 == 0 and len(words) % 2 == 1 or len(words) % 2 == 0 and turn % 5 == 4
+        level = depth.get((conv, turn), 0)
+        assert mine.depth == level
+        assert mine.status == ("cyclic" if level is None else "missing_need" if (conv, turn) in lost else "no_result" if not answered else "invalid" if wrong else "ok")
+        message = json.loads(mine.message)
+        assert message["arguments"]["terms"] == words and message["result"] == ((answer.text or "") if answered else None)
+    for conv in {c for c, _ in calls}:
+        rows = sorted((r.place, float("inf") if r.depth is None else r.depth) for (c, _), r in found.items() if c == conv)
+        assert [p for p, _ in rows] == list(range(len(rows))) and [d for _, d in rows] == sorted(d for _, d in rows)
+
+
 def test_empty_tables(docs):
     none = docs.limit(0)
     for out in (minhash.near_duplicates(none), suffixes.repeated_substrings(none), rules.ledger(none), secrets.find_secrets(none), mixing.mix(none)):
