@@ -22,7 +22,8 @@ WORDS = r"[^\x20\x09-\x0D]+"
 def targets(sources: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epochs: float = 3.0) -> DataFrame:
     """(source, source_size, target) from (source, source_size): one row a source, three numbers each.
 
-    Sources are ranked by code point, null last, and weighed by ``weights``, repeating.
+    Sources are ranked by code point, null last, and weighed by ``weights``, repeating. The water level needs all of them
+    in one place: one task sorts some 50 bytes a source, so a few million sources are what this is made for.
     """
     every = Window.partitionBy()
     rank = F.row_number().over(Window.partitionBy().orderBy(F.col("source").asc_nulls_last())) - 1
@@ -39,8 +40,15 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epoc
     return df.select("source", "source_size", F.least("cap", F.coalesce(level, F.lit(0.0)) * F.col("weight")).alias("target"))
 
 
-def _bucket(hash_col: Column, buckets: int) -> Column:
-    return F.pmod(F.shiftright(hash_col, 40), F.lit(buckets)).cast("int")
+def _draw(seed: int, id_col: str, text_col: str) -> Column:
+    """A number of 60 bits from the MD5 of seed, id and text, by which a source's rows are put in order."""
+    parts = [F.lit(str(seed)), F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("")), F.coalesce(F.col(text_col).cast("string"), F.lit(""))]
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 15), 16, 10).cast("long")
+
+
+def _bucket(draw: Column, buckets: int) -> Column:
+    """Ranges of the draw, in its order."""
+    return F.floor(draw / F.lit((1 << 60) // buckets)).cast("int")
 
 
 def mix(
@@ -60,7 +68,7 @@ def mix(
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = documents.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-        F.regexp_count(text, F.lit(WORDS)).cast("long").alias("size"), F.xxhash64(F.lit(seed), F.col(id_col).cast("long"), text).alias("draw"),
+        F.regexp_count(text, F.lit(WORDS)).cast("long").alias("size"), _draw(seed, id_col, text_col).alias("draw"),
     )
     rows = materialize(rows.withColumn("bucket", _bucket(F.col("draw"), buckets)), "mixed")
     # A null source is told from "null" by its flag, so that plain equi-joins find it.
@@ -94,11 +102,10 @@ def repeat_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str
     A document that is taken in part is taken once more if that is half of it at least. Rows that repeat
     both id and text take the same number of copies each, rounded up.
     """
-    draw = F.xxhash64(F.lit(seed), F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     plan = mix(documents, id_col, text_col, source_col, seed=seed, **options)
     copies = (F.col("times") + F.when(2 * F.col("part") >= F.greatest("size", F.lit(1)), 1).otherwise(0)).cast("int")
     # The added columns get names that the table does not have.
     at, n, copy = (free_name(documents, x) for x in ("draw", "copies", "copy"))
     plan = plan.groupBy(F.col("draw").alias(at)).agg(F.ceil(F.avg(copies)).cast("int").alias(n)).where(F.col(n) > 0)
-    taken = documents.withColumn(at, draw).join(plan, at)
+    taken = documents.withColumn(at, _draw(seed, id_col, text_col)).join(plan, at)
     return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -1,3 +1,54 @@
 """DuckDB SQL for the queries that SQL can express on whole tables."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+#: Words, and the text with null as empty.
+_DOCS = r"""d AS (SELECT doc_id, source, coalesce(text, '') AS text, row_number() OVER () AS k FROM documents),
+    w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM d)"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, byte by byte with the table ``t.t`` of 256 remainders."""
+    some = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)"
+    return f"xor(list_reduce({some}, lambda c, b: xor(c >> 8, t.t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
+
+def _shard(n: int) -> str:
+    """The shard of ``id``: the least exponential of equal weights is the largest uniform number."""
+    return f"list_reverse(list_sort(list_transform(range(0, {n}), lambda s: {{'u': ('0x' || substr(md5(id || ':' || s), 1, 15))::BIGINT, 's': -s}})))[1].s * -1"
+
+
+_SHARDING = f"""WITH t AS (SELECT list_transform(range(0, 256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+    d AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS id, coalesce(text, '') AS text FROM documents),
+    c AS (SELECT doc_id, id, octet_length(encode(text)) + 8 AS size, {_crc32('text')} AS crc FROM d, t),
+    s AS (SELECT *, CAST({_shard(24)} AS INT) AS shard, CAST({_shard(25)} AS INT) AS grown, {_crc32("(id || ':' || crc)")} % 1024 AS bucket FROM c, t)
+    SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'key' AS law, shard,
+      row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id NULLS FIRST, crc, size) - 1 AS slot, grown AS grown_shard FROM s"""
+
+#: The water level: the first number of capped sources, by cap per weight, whose level caps no further one.
+_MIXING = f"""WITH {_DOCS},
+    z AS (SELECT k, doc_id, source, len(words) AS size, ('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || text), 1, 15))::BIGINT AS draw FROM w),
+    s AS (SELECT source, sum(size) AS source_size FROM z GROUP BY source),
+    r AS (SELECT *, CAST((row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS weight, CAST(source_size * 3 AS DOUBLE) AS cap FROM s),
+    o AS (SELECT *, cap / weight AS full_at, (sum(source_size) OVER () - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM r WINDOW o AS (ORDER BY cap / weight, encode(source) NULLS LAST)),
+    g AS (SELECT source, source_size, least(cap, coalesce((SELECT max(level) FROM o WHERE full_at >= level), 0) * weight) AS target FROM o),
+    p AS (SELECT *, CAST(floor(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END + 1e-12) AS BIGINT) AS whole FROM g),
+    q AS (SELECT z.*, p.source_size, p.target, p.whole, greatest(CAST(round_even(p.target, 0) AS BIGINT) - p.whole * p.source_size, 0) AS rest,
+      sum(z.size) OVER (PARTITION BY z.source ORDER BY draw, doc_id NULLS FIRST, z.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - z.size AS past FROM z JOIN p ON z.source IS NOT DISTINCT FROM p.source)
+    SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target, CAST(whole * size + least(greatest(rest - past, 0), size) AS BIGINT) AS taken FROM q"""
+
+_RULES = rf"""WITH {_DOCS},
+    l AS (SELECT *, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+      list_transform(range(1, len(words) - 3), lambda i: {{'g': list_aggregate(words[i : i + 4], 'string_agg', ' '), 'i': i}}) AS grams FROM w),
+    u AS (SELECT k, unnest(grams, recursive := true) FROM l), n AS (SELECT k, i, count(*) OVER (PARTITION BY k, g) AS n FROM u),
+    c AS (SELECT k, count(DISTINCT i + j) AS n_repeat_words FROM n, range(0, 5) x(j) WHERE n > 1 GROUP BY k),
+    m AS (SELECT l.k, doc_id, len(words) AS n_words, CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+      length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+      length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_upper, length(text) - length(regexp_replace(text, '[A-Za-z]', '', 'g')) AS n_letters, coalesce(c.n_repeat_words, 0) AS n_repeat_words
+      FROM l LEFT JOIN c ON l.k = c.k),
+    f AS (SELECT *, (n_words < 10)::BIGINT + 2 * (100 * n_repeat_words > 20 * n_words)::BIGINT + 4 * (10 * n_symbols > 3 * n_words)::BIGINT + 8 * (2 * n_dup_lines > n_lines)::BIGINT
+      + 16 * (word_chars > 25 * n_words)::BIGINT + 32 * (word_chars < 2 * n_words)::BIGINT + 64 * (10 * n_upper > 6 * n_letters)::BIGINT AS failed FROM m)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 > 0 AS base_failed, failed = 0 AS kept, failed FROM f"""
+
+ORACLES: dict[str, str] = {"op3_sharding": _SHARDING, "op4_mixing": _MIXING, "op10_rules": _RULES}

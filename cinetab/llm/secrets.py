@@ -26,6 +26,8 @@ ALLOWED = (
     r"^[^A-Za-z]*$",
     r"(?i)example|placeholder|0123456789|abcdefghij",
 )
+#: Matches of one text whose lengths are summed up at a time.
+BLOCK = 64
 #: Class of characters -> bits that a window must reach.
 CLASSES = {"^[0-9a-f]+$": 3.0, "^[0-9A-F]+$": 3.0, "": 3.9}
 
@@ -36,20 +38,17 @@ def _literal(pattern: str) -> str:
 
 def _matches(df: DataFrame, kind: str, pattern: str) -> DataFrame:
     """Add column ``kind``: array of (start, end, word) of all matches of a pattern in ``text``."""
-    whole = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-    df = df.withColumn("m", whole)
+    df = df.withColumn("m", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
     df = df.withColumn("p", F.when(F.size("m") > 0, F.split("text", pattern)))
-    spans = F.expr(
-        """aggregate(
-             sequence(0, size(m) - 1),
-             struct(0 as at, cast(array() as array<struct<start: int, end: int, word: string>>) as found),
-             (a, i) -> struct(
-               a.at + length(p[i]) + length(m[i]) as at,
-               concat(a.found, array(struct(a.at + length(p[i]) as start, a.at + length(p[i]) + length(m[i]) as end, m[i] as word))) as found),
-             a -> a.found)"""
-    )
+    # Where match i begins: running sums over blocks of BLOCK matches, then inside a block. A column that a lambda
+    # reads is used twice, so that it is worked out once a row.
+    df = df.withColumn("step", F.expr("transform(m, (x, i) -> length(p[i]) + length(x))"))
+    df = df.withColumn("sums", F.expr(f"transform(sequence(0, size(step) div {BLOCK}), b -> aggregate(slice(step, b * {BLOCK} + 1, {BLOCK}), 0, (a, x) -> a + x))"))
+    df = df.withColumn("before", F.expr("if(size(sums) > 0, transform(sums, (x, b) -> aggregate(slice(sums, 1, b), 0, (a, y) -> a + y)), null)"))
+    at = f"before[i div {BLOCK}] + aggregate(slice(step, i div {BLOCK} * {BLOCK} + 1, i % {BLOCK}), 0, (a, y) -> a + y)"
+    spans = f"if(size(before) > 0, transform(m, (x, i) -> struct({at} + length(p[i]) as start, {at} + step[i] as end, x as word)), null)"
     none = F.expr("cast(array() as array<struct<start: int, end: int, word: string>>)")
-    return df.withColumn(kind, F.when(F.size("m") > 0, spans).otherwise(none)).drop("m", "p")
+    return df.withColumn(kind, F.coalesce(F.expr(spans), none)).drop("m", "p", "step", "sums", "before")
 
 
 def _entropy(window: int) -> str:

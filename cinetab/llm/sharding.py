@@ -1,10 +1,10 @@
 """Sharding by a hierarchical weighted hash tree, with gapless slots.
 
-A key descends from region to rack to shard. At each level every child draws an exponential from the
-key's hash, divided by the child's weight (the shards below it), and the smallest draw wins. Changing
-the weight of one child changes only that child's draw, so keys move only into or out of the subtrees
-whose weights change. Regions are filled one after another: as long as the last region is full, one
-more shard opens a region of its own and takes keys only into itself.
+Every shard draws an exponential from the key's hash, at the rate of its weight. A rack's draw is the least of its shards',
+a region's the least of its racks', so that an inner node's draw is exponential at the rate of the weights below it. A key
+descends from region to rack to shard, at each level to the least draw. A shard whose weight changes, or one more
+shard, changes no draw but its own and those of the nodes above it: keys move only between it and the rest, whatever
+the number of shards.
 """
 
 from __future__ import annotations
@@ -12,54 +12,64 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import materialize
+from .shared import free_name, materialize
 
 
-def _draw(key: Column, level: int, node: Column, weight: Column) -> Column:
-    """(draw, node) with an exponential draw of the rate ``weight``; null without weight."""
-    bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(level).cast("long"), node.cast("long")), 11)
-    uniform = (bits.cast("double") + 0.5) / float(1 << 53)
-    return F.when(weight > 0, F.struct((-F.log(uniform) / weight).alias("draw"), node.cast("int").alias("node")))
+def _draw(key: str, weights: tuple[float, ...]) -> str:
+    """SQL for the draw of shard ``s``: 60 bits of the MD5 of "key:shard" as a uniform number, null without weight."""
+    uniform = f"(cast(conv(substr(md5(concat(coalesce(cast({key} as string), ''), ':', s)), 1, 15), 16, 10) as double) + 0.5D) / 1152921504606846976.0D"
+    if set(weights) == {1.0}:
+        return f"-ln({uniform})"
+    table = "array(" + ", ".join(f"{w!r}D" for w in weights) + ")"
+    return f"if({table}[s] > 0, -ln({uniform}) / {table}[s], null)"
 
 
-def _least(draws: list[Column]) -> Column:
-    return F.array_min(F.array(*draws))["node"]
-
+def assign_shard(
+    df: DataFrame, key: str, shards: int, out: str, rack_size: int = 4, racks: int = 3, weights: tuple[float, ...] | None = None
+) -> DataFrame:
+    """Add ``out``: the shard of ``key`` among ``shards``, by key, shard count and weights alone (null is a key like others).
 
-def assign_shard(df: DataFrame, key: str, shards: int, out: str, rack_size: int = 4, racks: int = 3) -> DataFrame:
-    """Add ``out``: the shard of ``key`` among ``shards``, by key and shard count alone (null is a key like others)."""
-    per_region = rack_size * racks
-    regions = -(-shards // per_region)
-    k = F.col(key)
-    region = _least([_draw(k, 1, F.lit(r), F.lit(min(per_region, shards - r * per_region))) for r in range(regions)])
-    df = df.withColumn("_region", region)
-    rack_of = [F.col("_region") * racks + j for j in range(racks)]
-    weigh = lambda r: F.least(F.greatest(F.lit(shards) - r * rack_size, F.lit(0)), F.lit(rack_size))
-    df = df.withColumn("_rack", _least([_draw(k, 2, r, weigh(r)) for r in rack_of]))
-    leaves = [F.col("_rack") * rack_size + j for j in range(rack_size)]
-    df = df.withColumn(out, _least([_draw(k, 3, s, F.when(s < shards, 1).otherwise(0)) for s in leaves]))
-    return df.drop("_region", "_rack")
+    ``weights``: one a shard, 1 by default; a shard of weight 0 gets nothing, and one at least must be above 0. Draws are
+    written for every shard, so a row costs as many hashes as there are shards.
+    """
+    weights = tuple(float(w) for w in weights or (1.0,) * shards)
+    if len(weights) != shards or not any(w > 0 for w in weights):
+        raise ValueError("one weight a shard, and one above 0")
+    region_size = rack_size * racks
+    # Column names that the table does not have; (draw, shard) of all shards is worked out once a row.
+    draws = free_name(df, "draws")
+    region, rack = free_name(df, "region"), free_name(df, "rack")
+    quoted = f"`{key}`"
+    df = df.withColumn(draws, F.expr(f"transform(sequence(0, {shards - 1}), s -> struct({_draw(quoted, weights)} as draw, s as shard))"))
+    least = lambda groups, size, first: F.expr(
+        f"array_min(filter(transform(sequence({first}, {groups}), g -> struct(array_min(filter(slice({draws}, g * {size} + 1, {size}), x -> x.draw is not null)).draw as draw, g as node)), x -> x.draw is not null)).node"
+    )
+    df = df.withColumn(region, least(-(-shards // region_size) - 1, region_size, 0))
+    df = df.withColumn(rack, least(f"least({region} * {racks} + {racks - 1}, {-(-shards // rack_size) - 1})", rack_size, f"{region} * {racks}"))
+    leaf = F.expr(f"array_min(filter(slice({draws}, {rack} * {rack_size} + 1, {rack_size}), x -> x.draw is not null)).shard")
+    return df.withColumn(out, leaf).drop(draws, region, rack)
 
 
 def shard(
     documents: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", rack_size: int = 4, racks: int = 3,
-    buckets: int = 1024,
+    buckets: int = 1024, weights: tuple[float, ...] | None = None,
 ) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot, grown_shard) for every row; ``slot`` counts from 0 within a shard.
 
-    A shard's rows are numbered by hash bucket and, in a bucket, by id: ``buckets`` spread a shard over many
-    tasks, and only (shard, bucket) counts, bounded by shards * buckets, are summed up and broadcast.
-    Null texts have size 8 and the checksum of nothing. Rows with a null or repeated id share a shard and
-    have slots of their own. Empty table: empty result. Other columns are not read.
+    ``grown_shard``: with one more shard, of weight 1. A shard's rows are numbered by hash bucket and, in a bucket, by id:
+    ``buckets`` spread a shard over many tasks, and only (shard, bucket) counts, bounded by shards * buckets, are
+    summed up and broadcast. Null texts have size 8 and the checksum of nothing. Rows with a null or repeated id share a
+    shard and have slots of their own. Empty table: empty result. Other columns are not read.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = documents.select(
         F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
     )
-    rows = assign_shard(rows, "doc_id", shards, "shard", rack_size, racks)
-    rows = assign_shard(rows, "doc_id", shards + 1, "grown_shard", rack_size, racks)
-    # The text's checksum is in the hash, so that rows of one id (or none) spread too.
-    rows = materialize(rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32", F.lit(7)), F.lit(buckets)).cast("int")), "sharded")
+    rows = assign_shard(rows, "doc_id", shards, "shard", rack_size, racks, weights)
+    rows = assign_shard(rows, "doc_id", shards + 1, "grown_shard", rack_size, racks, (*weights, 1.0) if weights else None)
+    # The text's checksum is in the bucket, so that rows of one id (or none) spread too.
+    bucket = F.pmod(F.crc32(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text_crc32")), F.lit(buckets)).cast("int")
+    rows = materialize(rows.withColumn("bucket", bucket), "sharded")
     counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))

@@ -323,6 +323,37 @@ def test_secrets_brute_force(spark):
         assert [(x.start, x.rank, x.end) for x in found[i].found] == plain_secrets(text), text
 
 
+def test_secrets_many_in_one_text(spark):
+    """Positions after thousands of matches; time grows with the text and not with its square."""
+    text = " ".join(f"{k:024x} AKIA{k:016d} token={k:08d}" for k in range(6000))
+    found = secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().found
+    assert [(x.start, x.rank, x.end) for x in found if x.kind != "entropy"] == [x for x in plain_secrets(text) if x[1] < 3]
+
+
+def plain_shard(key, weights):
+    """The shard at the end of a plain descent, with draws of inner nodes summed up from below."""
+    draw = {}
+    for s, w in enumerate(weights):
+        u = (int(hashlib.md5(f"{key}:{s}".encode()).hexdigest()[:15], 16) + 0.5) / 2**60
+        if w > 0:
+            draw[s] = -math.log(u) / w
+    least = lambda size, inside: min((min(draw[s] for s in draw if s // size == g), g) for g in {s // size for s in draw if inside(s)})[1]
+    region = least(12, lambda s: True)
+    rack = least(4, lambda s: s // 12 == region)
+    return min((draw[s], s) for s in draw if s // 4 == rack)[1]
+
+
+def test_shards_by_plain_descent(spark):
+    keys = spark.range(2000)
+    for weights in ((1,) * 24, (1,) * 31, (2, 0, 1, 3, 0, 0, 0, 0, 1.5, 1, 1, 1, 0.5)):
+        found = sharding.assign_shard(keys, "id", len(weights), "out", weights=weights).collect()
+        assert [r.out for r in found] == [plain_shard(r.id, weights) for r in found]
+    odd = spark.createDataFrame([(None, 1, 2), (3, 1, 2)], "id long, draws int, region int")
+    assert sharding.assign_shard(odd, "id", 24, "out").columns == ["id", "draws", "region", "out"]
+    with pytest.raises(ValueError):
+        sharding.assign_shard(keys, "id", 3, "out", weights=(1, 1))
+
+
 def test_sharding(docs):
     found = sharding.shard(docs, 24, buckets=4).collect()
     slots = collections.defaultdict(list)
@@ -335,14 +366,27 @@ def test_sharding(docs):
     assert sharding.shard(docs.limit(0), 24).count() == 0
 
 
+def test_one_more_shard_takes_rows_only_into_itself(spark):
+    df = spark.range(20_000)
+    counts = (1, 2, 5, 6, 12, 13, 24, 25, 26, 35, 36, 37)
+    for n in counts:
+        df = sharding.assign_shard(df, "id", n, f"n{n}")
+    rows = df.collect()
+    for a, b in zip(counts, counts[1:]):
+        if b == a + 1:
+            moved = [r[f"n{b}"] for r in rows if r[f"n{a}"] != r[f"n{b}"]]
+            assert set(moved) == {a} and 0.7 < len(moved) * b / len(rows) < 1.3
+    share = collections.Counter(r.n24 for r in rows)
+    assert len(share) == 24 and all(600 < n < 1100 for n in share.values())
+
+
 def test_weights_confine_movement(spark):
-    keys = spark.range(20_000)
-    for n in (5, 12, 24):
-        df = sharding.assign_shard(sharding.assign_shard(keys, "id", n, "a"), "id", n + 1, "b")
-        moved = df.where("a <> b").selectExpr("b div 12 as region", f"{n} div 12 as grown").distinct().collect()
-        assert {r.region for r in moved} <= {r.grown for r in moved}
-    share = sharding.assign_shard(keys, "id", 24, "a").groupBy("a").count().collect()
-    assert len(share) == 24 and all(600 < r["count"] < 1100 for r in share)
+    """A heavier shard takes rows from all, a lighter one gives rows to all; others exchange none."""
+    before, after = [1.0] * 24, [1.0] * 24
+    after[7], after[20] = 3.0, 0.25
+    df = sharding.assign_shard(sharding.assign_shard(spark.range(20_000), "id", 24, "a", weights=tuple(before)), "id", 24, "b", weights=tuple(after))
+    moved = df.where("a <> b").select("a", "b").distinct().collect()
+    assert moved and all(r.b == 7 or r.a == 20 for r in moved)
 
 
 def test_mixing(docs):
