@@ -384,7 +384,6 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     return out.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), "text_key", (kept & (alone | F.col("stands"))).alias("first"))
 
 
-@operator
 def drop_near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``documents`` that stand for their group of near duplicates, with all columns: one row a group.
 

@@ -102,3 +102,9 @@ def decode(block: bytes, table: Table, part: int | None = None) -> np.ndarray:
 def parts(block: bytes) -> int:
     """Into how many parts a block's checkpoints cut it."""
     return _HEAD.unpack_from(block)[4] + 1
+
+
+def part_size(block: bytes) -> int:
+    """How many symbols a part has; the last one may have fewer."""
+    _, _, lanes, every, *_ = _HEAD.unpack_from(block)
+    return lanes * every

@@ -32,32 +32,42 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 class _Open(threading.local):
-    """Of each operator that is running, innermost last, the folders that it has written."""
+    """Of each operator that is running, innermost last, the folders that it has written and the tables in them."""
 
     def __init__(self) -> None:
-        self.paths: list[list[str]] = []
+        self.tables: list[list[tuple[str, DataFrame]]] = []
 
 
 _OPEN = _Open()
 
 
-def new_folder(spark: SparkSession, label: str) -> str:
-    """A new name in the shared folder; what stands there goes when the running operator ends."""
-    path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    if _OPEN.paths:
-        _OPEN.paths[-1].append(path)
-    return path
-
-
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+    """Write ``df`` once to the shared folder and read it back; the folder goes when the running operator ends.
 
     Cuts the lineage: losing executors afterwards costs no work that this table holds.
     """
     spark = df.sparkSession
-    path = new_folder(spark, label)
+    path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if _OPEN.tables:
+        _OPEN.tables[-1].append((path, out))
+    return out
+
+
+def _run(f: Callable[..., DataFrame], *args, **kwargs) -> tuple[str, DataFrame]:
+    """The folder and table of what ``f`` returns; all that it wrote on the way is deleted."""
+    _OPEN.tables.append([])
+    try:
+        found = f(*args, **kwargs)
+        wrote = _OPEN.tables[-1]
+        if not wrote or wrote[-1][1] is not found:
+            materialize(found, f.__name__)
+        result = wrote.pop()
+    finally:
+        wrote = _OPEN.tables.pop()
+    delete(result[1].sparkSession, [path for path, _ in wrote])
+    return result
 
 
 def operator(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
@@ -65,24 +75,35 @@ def operator(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
 
     @functools.wraps(f)
     def run(*args, **kwargs) -> DataFrame:
-        _OPEN.paths.append([])
-        try:
-            found = f(*args, **kwargs)
-            spark = found.sparkSession
-            out = materialize(found, f.__name__)
-            result = _OPEN.paths[-1].pop()
-        except BaseException:
-            _OPEN.paths.pop()
-            raise
-        _delete(spark, _OPEN.paths.pop())
-        if _OPEN.paths:
-            _OPEN.paths[-1].append(result)
-        return out
+        result = _run(f, *args, **kwargs)
+        if _OPEN.tables:
+            _OPEN.tables[-1].append(result)
+        return result[1]
 
     return run
 
 
-def _delete(spark: SparkSession, paths: list[str]) -> None:
+class Chain:
+    """Tables that follow from one another: each is written, and the one before it goes."""
+
+    def __init__(self) -> None:
+        self.last: tuple[str, DataFrame] | None = None
+
+    def step(self, f: Callable[..., DataFrame], *args) -> DataFrame:
+        before, self.last = self.last, _run(f, *args)
+        if before:
+            delete(self.last[1].sparkSession, [before[0]])
+        return self.last[1]
+
+    def end(self) -> None:
+        """Delete the last table."""
+        if self.last:
+            delete(self.last[1].sparkSession, [self.last[0]])
+            self.last = None
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders wherever they are."""
     for path in paths:
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import rans
-from .shared import scratch_folder
+from .shared import delete, scratch_folder
 
 #: Pieces whose ids a worker keeps at most (some 200 bytes each); beyond that it starts anew. Results do not depend on it.
 CACHE = 1_500_000
@@ -204,6 +204,7 @@ def write_tokens(
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = tokens.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "ids")
     ordered.mapInArrow(code, _BLOCKS_SQL).write.option("compression", "none").parquet(f"{path}/blocks")
+    delete(spark, [staged])
 
 
 _BLOCKS = pa.schema(
@@ -213,18 +214,44 @@ _BLOCKS = pa.schema(
 _BLOCKS_SQL = "part int, block int, start long, n_tokens long, doc_ids array<long>, lengths array<long>, payload binary"
 
 
+def _opened(spark: SparkSession, path: str) -> tuple[np.ndarray, DataFrame, DataFrame]:
+    """A dataset's symbol counts (as many as the vocabulary has), its blocks, and (part, base): the ids before each part."""
+    rows = spark.read.parquet(f"{path}/table").orderBy("symbol").collect()
+    blocks = spark.read.schema(_BLOCKS_SQL).parquet(f"{path}/blocks")
+    sums = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # a row for each range that was written
+    before = Window.partitionBy().orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return np.array([r.n for r in rows], np.int64), blocks, sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+
+
+def token_range(spark: SparkSession, path: str, first: int, count: int) -> DataFrame:
+    """(start, ids): the ids of the dataset from place ``first`` on, ``count`` of them, in pieces that begin at ``start``.
+
+    Of each block only the parts between the checkpoints around the range are decoded, one row a part.
+    """
+    counts, blocks, bases = _opened(spark, path)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = rans.Table(counts)
+        for batch in batches:
+            for at, n, payload in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                size = rans.part_size(payload)
+                low, high = max(0, first - at), min(n, first + count - at)
+                for k in range(low // size, -(-high // size)):
+                    ids = rans.decode(payload, table, k)[max(0, low - k * size) : high - k * size]
+                    start = at + max(low, k * size)
+                    yield pa.RecordBatch.from_arrays([pa.array([start], pa.int64()), pa.array([ids.astype("<u4").tobytes()], pa.binary())], ["start", "ids"])
+
+    place = F.col("base") + F.col("start")
+    rows = blocks.select("part", "start", "n_tokens", "payload").join(F.broadcast(bases), "part").where((place < first + count) & (place + F.col("n_tokens") > first))
+    return rows.select(place.alias("at"), "n_tokens", "payload").mapInArrow(work, "start long, ids binary")
+
+
 def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32[, ids]) of each document in a dataset.
 
     ``start``: ids of all documents before it; ``ids`` are little-endian unsigned 32-bit integers.
     """
-    # Symbols and their counts: as many rows as the vocabulary has.
-    rows = spark.read.parquet(f"{path}/table").orderBy("symbol").collect()
-    counts = np.array([r.n for r in rows], np.int64)
-    blocks = spark.read.schema(_BLOCKS_SQL).parquet(f"{path}/blocks")
-    sums = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # a row for each range that was written
-    before = Window.partitionBy().orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    counts, blocks, bases = _opened(spark, path)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = rans.Table(counts)

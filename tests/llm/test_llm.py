@@ -432,6 +432,17 @@ def test_tokens(docs):
     assert tokens.token_output(docs.limit(0), queries.TOKENIZER).count() == 0
 
 
+def test_token_range(spark, docs, monkeypatch, tmp_path):
+    """Any range of ids, decoded from the checkpoints around it alone."""
+    tokens.write_tokens(docs, str(tmp_path / "ids"), queries.TOKENIZER)
+    whole = b"".join(bytes(r["ids"]) for r in tokens.read_tokens(spark, str(tmp_path / "ids")).orderBy("start").collect())
+    n = len(whole) // 4
+    for first, count in ((0, 10), (n - 5, 50), (123, 70_000 % n), (n // 2, 1), (n, 5), (0, n)):
+        found = sorted((r.start, bytes(r["ids"])) for r in tokens.token_range(spark, str(tmp_path / "ids"), first, count).collect())
+        assert b"".join(x for _, x in found) == whole[4 * first : 4 * (first + count)]
+        assert not found or found[0][0] == first
+
+
 def test_tokenizer_pieces():
     coder, whole = tokens.PieceTokenizer(queries.TOKENIZER), Tokenizer.from_file(queries.TOKENIZER)
     assert coder.by_piece
@@ -447,6 +458,29 @@ def test_quality_held_out(spark):
     assert sum(r.predicted == r.quality for r in found) / len(found) > 0.98
 
 
+def test_quality_by_plain_discriminant(spark, docs):
+    """Scores from sums over tasks against means and covariances of all rows at once."""
+    rng = random.Random(13)
+    labels = spark.createDataFrame([(i, rng.randrange(2)) for i in range(0, 50, 1)] + [(3, 1), (3, 0), (4, None), (5, 7), (None, 1)], "doc_id long, quality int")
+    described = {r.doc_id: np.array(r.x) for r in quality.describe(docs).collect()}
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in described}
+    marks = sorted({(r.doc_id, r.quality) for r in labels.collect() if r.doc_id in described and r.quality in (0, 1) and not held[r.doc_id]})
+    classes = [np.stack([described[i] for i, q in marks if q == k]) for k in (0, 1)]
+    pooled = sum((x - x.mean(axis=0)).T @ (x - x.mean(axis=0)) for x in classes) / len(marks)
+    density = {}
+    for k, x in enumerate(classes):
+        own = 0.8 * np.cov(x.T, bias=True) + 0.2 * pooled
+        own = 0.9 * own + 0.1 * np.diag(np.diag(own)) + 1e-4 * np.eye(len(own))
+        for i, y in described.items():
+            away = y - x.mean(axis=0)
+            density[i, k] = -0.5 * (away @ np.linalg.inv(own) @ away + np.linalg.slogdet(own)[1]) + math.log(len(x) + 1)
+    found = by_id(quality.classify(docs, labels))
+    assert len(found) == len(described)
+    for i, r in found.items():
+        score = 1 / (1 + math.exp(-max(-700, min(700, density[i, 1] - density[i, 0]))))
+        assert abs(r.score - score) < 1e-6 and r.held_out == held[i] and r.predicted == int(r.score >= 0.3)
+
+
 def test_quality_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert {r.score for r in quality.classify(docs, none).collect()} == {0.5}
@@ -537,14 +571,92 @@ def test_tool_call_query(spark):
         assert [p for p, _ in rows] == list(range(len(rows))) and [d for _, d in rows] == sorted(d for _, d in rows)
 
 
-def test_empty_tables(docs):
+def test_empty_tables(spark, docs):
     none = docs.limit(0)
-    for out in (minhash.near_duplicates(none), suffixes.repeated_substrings(none), rules.ledger(none), secrets.find_secrets(none), mixing.mix(none)):
+    labels, bench = spark.createDataFrame([(1, 1)], "doc_id long, quality int"), spark.createDataFrame([("q", "one two")], "item_id string, text string")
+    calls = spark.createDataFrame([], "conv_id long, call_id string, name string, arguments string, needs array<string>")
+    results = spark.createDataFrame([], "conv_id long, call_id string, result string")
+    for out in (
+        minhash.near_duplicates(none), minhash.drop_near_duplicates(none), suffixes.repeated_substrings(none), rules.ledger(none), secrets.find_secrets(none), mixing.mix(none),
+        mixing.repeat_documents(none), quality.classify(none, labels), quality.keep_good(none, labels), fmindex.decontaminate(none, bench), fmindex.drop_contaminated(none, bench),
+        toolcalls.link_calls(calls, results, {}), tokens.token_output(none, queries.TOKENIZER), sharding.shard(none),
+    ):
         assert out.count() == 0
 
 
+PIPE = "doc_id long, text string, lang string, source string, n_chars long, _gone int, draw string"
+
+
+def plain_pipeline(rows, labels, items, good):
+    """The ids that stay after each stage, and the copies of the mix, by brute force; ``good`` are those that the classifier keeps."""
+    stay = [r for r in rows if r[0] in good]
+    after = [{r[0] for r in stay}]
+    sets = {r[0]: shingles(r[1]) for r in stay}
+    pairs = [(i, j) for i in sets for j in sets if i < j and sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    group = components(pairs, sets)
+    stay = [r for r in stay if group[r[0]] == r[0]]
+    after.append({r[0] for r in stay})
+    norm = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    windows = set()
+    for _, text in items:
+        w = norm(text)
+        windows |= {tuple(w[k : k + 10]) for k in range(max(1, len(w) - 9))} if w else set()
+    hit = lambda w: any(tuple(w[k : k + n]) in windows for n in {len(x) for x in windows} for k in range(len(w) - n + 1))
+    stay = [r for r in stay if not hit(norm(r[1]))]
+    after.append({r[0] for r in stay})
+    return after, stay
+
+
+def test_pipeline(spark, tmp_path, monkeypatch):
+    """The ids after each stage, the mix's copies and the token files' rows, against brute force; nothing is left behind but token files."""
+    rng = random.Random(14)
+    say = lambda n: " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
+    base, items = say(120), [("q1", say(30)), ("q2", say(6))]
+    rows = [(0, base), (1, base), (2, base + " end"), (3, None), (4, "  "), (5, items[0][1]), (6, say(40) + " " + items[0][1][:90] + " " + say(9)), (7, items[1][1]), (8, "x " * 300)]
+    rows += [(9 + k, say(rng.randrange(5, 200))) for k in range(60)]
+    rows += [(70 + k, edited(rows[20 + k][1].split(), {1: "changed"})) for k in range(4)]
+    rows += [(80 + k, " ".join(rng.choice(["#$%", "***", "9|9", "<<>>", say(1)]) for _ in range(rng.randrange(10, 90)))) for k in range(25)]
+    rows = [(i, t, "en", [None, "a", "b", "b"][i % 4], len(t or ""), 1, "z") for i, t in rows]
+    labels = [(r[0], int(r[0] < 80)) for r in rows]
+    for name, data, schema in (("documents", rows, PIPE), ("labels", labels, "doc_id long, quality int, toxic int"), ("benchmark", items, "item_id string, text string")):
+        spark.createDataFrame([(*r, 0) for r in data] if name == "labels" else data, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    sf = str(tmp_path)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    good = {r.doc_id for r in quality.classify(docs, spark.read.parquet(f"{sf}/labels.parquet")).where("predicted = 1").collect()}
+    assert {0, 1, 2, 5, 6} <= good and 60 < len(good) < 90
+    after, stay = plain_pipeline(rows, labels, items, good)
+    table = docs
+    for (name, stage), ids in zip(corpus_pipeline.STAGES, after):
+        table = stage(spark, table, sf)
+        assert table.columns == docs.columns and sorted(r.doc_id for r in table.collect()) == sorted(ids), name
+    mixed = corpus_pipeline.STAGES[3][1](spark, table, sf)
+    copies = collections.Counter(r.doc_id for r in mixed.collect())
+    plan = {r.doc_id: r.times + (r.part > 0 and 2 * r.part >= max(r.size, 1)) for r in mixing.mix(table).collect()}
+    assert mixed.columns == docs.columns and copies == collections.Counter({i: n for i, n in plan.items() if n})
+    whole, text = Tokenizer.from_file(queries.TOKENIZER), {r[0]: r[1] for r in rows}
+    expected, start = [], 0
+    for i in sorted(copies.elements()):
+        ids = np.array([*whole.encode(text[i] or "", add_special_tokens=False).ids, 2], "<u4").tobytes()
+        expected.append((i, start, len(ids) // 4, zlib.crc32(ids)))
+        start += len(ids) // 4
+    shared = tmp_path / "shared"
+    for module in ("shared", "tokens"):
+        monkeypatch.setattr(f"cinetab.llm.{module}.scratch_folder", lambda spark: str(shared))
+    assert sorted(map(tuple, corpus_pipeline.run(spark, sf).collect())) == expected
+    assert [p.name.split("-")[0] for p in shared.iterdir()] == ["token"]
+    # No rows at all.
+    empty = tmp_path / "empty"
+    for name, schema in (("documents", PIPE), ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id string, text string")):
+        spark.createDataFrame([], schema).write.parquet(str(empty / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(empty)).count() == 0
+
+
 def test_repeated_and_null_ids(spark, docs):
     odd = docs.union(docs.limit(3)).union(spark.createDataFrame([(None, texts()[0], None, 1, "", "")] * 2, SCHEMA))
     n = odd.count()
-    for out in (minhash.near_duplicates(odd), suffixes.repeated_substrings(odd), rules.ledger(odd), secrets.find_secrets(odd), mixing.mix(odd), sharding.shard(odd), tokens.token_output(odd, queries.TOKENIZER)):
+    labels, bench = spark.createDataFrame([(1, 1), (2, 0), (2, 0), (None, 1)], "doc_id long, quality int"), spark.createDataFrame([("q", "one two"), ("q", "one two"), (None, None)], "item_id string, text string")
+    for out in (
+        minhash.near_duplicates(odd), suffixes.repeated_substrings(odd), rules.ledger(odd), secrets.find_secrets(odd), mixing.mix(odd), sharding.shard(odd), tokens.token_output(odd, queries.TOKENIZER),
+        quality.classify(odd, labels), fmindex.decontaminate(odd, bench), fmindex.decontaminate(odd, bench, block_words=1),
+    ):
         assert out.count() == n
