@@ -9,7 +9,7 @@ from cinetab.llm.fmindex import drop_contaminated
 from cinetab.llm.minhash import drop_near_duplicates
 from cinetab.llm.mixing import repeat_documents
 from cinetab.llm.quality import keep_good
-from cinetab.llm.shared import materialize
+from cinetab.llm.shared import Chain
 from cinetab.llm.tokens import token_output
 
 
@@ -46,13 +46,16 @@ STAGES = [
     ("tokens", tokens),
 ]
 
-#: A learned classifier, a tokenizer and seeded draws have no SQL; the tests compare with brute force.
+#: A learned classifier, a tokenizer and MinHash have no SQL; the tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's rows are written and read again before the next."""
+    """All stages over ``documents``; each stage's rows are written and read again before the next, then deleted."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    chain = Chain()
+    for _, stage in STAGES[:-1]:
+        docs = chain.step(stage, spark, docs, sf_dir)
+    out = STAGES[-1][1](spark, docs, sf_dir)  # reads the token files alone from here on
+    chain.end()
+    return out
