@@ -6,6 +6,8 @@ reserved word; ``table`` renames them to start and end for the operators.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 SPARK_T = "round(timestampdiff(MICROSECOND, timestamp_ntz'2024-01-01', ts) / 1200000000.0D, 2)"
@@ -73,10 +75,10 @@ def with_sql(names: tuple[str, ...], time: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived table with the operators' column names, read through Spark from the tables of ``sf_dir``."""
-    sources = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("events", "lineitem", "conversations", "embeddings")}
     body = with_sql((name,), SPARK_T)
-    for source in sources:
-        body = body.replace(f"FROM {source}", f"FROM {{{source}}}").replace(f"JOIN {source}", f"JOIN {{{source}}}")
-    used = {k: v for k, v in sources.items() if f"{{{k}}}" in body}
-    df = spark.sql(body + f"SELECT * FROM {name}", **used)
-    return df.withColumnsRenamed(RENAMED)
+    used = {}
+    for source in ("events", "lineitem", "conversations", "embeddings"):
+        named = re.sub(rf"\b(FROM|JOIN) {source}\b", rf"\1 {{{source}}}", body)
+        if named != body:
+            body, used[source] = named, spark.read.parquet(f"{sf_dir}/{source}.parquet")
+    return spark.sql(body + f"SELECT * FROM {name}", **used).withColumnsRenamed(RENAMED)

@@ -24,7 +24,11 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return fixtures.table(self.spark, self.sf_dir, name)
+        if name not in fixtures.VIEWS:
+            raise AttributeError(name)
+        found = fixtures.table(self.spark, self.sf_dir, name)
+        setattr(self, name, found)  # asked for once a query
+        return found
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")

@@ -340,3 +340,41 @@ def test_tracks_cross_a_gap(spark):
         "video_id long, shot_id int, det_id long, ts double, x1 double, y1 double, x2 double, y2 double, tier string, embedding array<double>",
     )
     assert rows(faces.build_tracks(df), "det_id", "track_id") == [(1, 0), (2, 1), (3, 1), (4, 0), (5, 2)]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(1, 5), st.integers(0, 10**6))
+def test_tracks_by_all_permutations(steps, seed):
+    """Each sampled time's detections join those of the time before at the least total cost over all ways to pair them."""
+    rng = np.random.default_rng(seed)
+    found, at = [], []
+    for t in range(steps):
+        for _ in range(rng.integers(1, 5)):
+            x, y = rng.random(2) * 30
+            found.append((float(t * 2), x, y, x + 40 + rng.random(), y + 40 + rng.random(), rng.choice(["anchor", "weak"]), rng.normal(size=2)))
+            at.append(t)
+    pdf = pd.DataFrame(found, columns=["ts", "x1", "y1", "x2", "y2", "tier", "embedding"])
+    pdf["embedding"] = [v / np.linalg.norm(v) for v in pdf.embedding]
+    got = faces.track_shot(pdf, 0.3, 0.3)
+
+    def cost(i, j):
+        a, b = pdf.iloc[i], pdf.iloc[j]
+        inter = max(0, min(a.x2, b.x2) - max(a.x1, b.x1)) * max(0, min(a.y2, b.y2) - max(a.y1, b.y1))
+        iou = inter / ((a.x2 - a.x1) * (a.y2 - a.y1) + (b.x2 - b.x1) * (b.y2 - b.y1) - inter + 1e-9)
+        near = not (a.tier == b.tier == "anchor") or float(a.embedding @ b.embedding) >= 0.3
+        return 1 - iou if iou >= 0.3 and near else 10.0
+
+    track, following, before = {}, 0, []
+    for t in range(steps):
+        now = [k for k in range(len(at)) if at[k] == t]
+        short, long = sorted((before, now), key=len)
+        ways = [list(zip(short, p, strict=True)) for p in itertools.permutations(long, len(short))]
+        ways = [[(i, j) if short is before else (j, i) for i, j in way] for way in ways]
+        for i, j in min(ways, key=lambda way: sum(cost(i, j) for i, j in way)):
+            if cost(i, j) < 10:
+                track[j] = track[i]
+        for j in now:
+            if j not in track:
+                track[j], following = following, following + 1
+        before = now
+    assert got.tolist() == [track[k] for k in range(len(at))]
