@@ -7,7 +7,7 @@ that are computed once, on the driver, from sums of a fixed size.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,9 +22,7 @@ STATISTICS = (
 )
 
 
-#: What the statistics tend to in ordinary text. A short text says little, so its statistics are drawn
-#: towards these, half way at PRIOR_WORDS words; log_words stays as it is.
-ORDINARY = np.array([0, 1.6, 0.2, 0, 0, 0, 0.1, 0.93, 0, 0, 0, 0.2])
+#: A short text says little: its statistics are drawn towards the ordinary ones, half way at so many words.
 PRIOR_WORDS = 15
 
 
@@ -39,9 +37,9 @@ def _byte_classes() -> np.ndarray:
 
 
 def statistics(words: Words) -> np.ndarray:
-    """One row of transformed statistics for each text of a pass; a blank text has the ordinary ones."""
+    """One row of transformed statistics for each text of a pass; a blank text has zeros."""
     n = len(words.first) - 1
-    out = np.tile(ORDINARY, (n, 1))
+    out = np.zeros((n, len(STATISTICS)))
     table, raw = _byte_classes(), words.data
     for i in range(n):
         a, b = words.first[i], words.first[i + 1]
@@ -62,10 +60,15 @@ def statistics(words: Words) -> np.ndarray:
             np.sqrt((hashes[1:] == hashes[:-1]).mean()) if count > 1 else 0.0, np.sqrt(1 - len(set(lines)) / max(1, len(lines))),
             np.sqrt(1 - len(np.unique(grams)) / len(grams)) if len(grams) else 0.0, np.sqrt((each.max() - 1) / count),
         )
-        out[i, 1:] = (count * out[i, 1:] + PRIOR_WORDS * ORDINARY[1:]) / (count + PRIOR_WORDS)
     return out
 
 
+def steadied(x: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
+    """Statistics weighed against the ordinary ones by the number of words; log_words stays as it is."""
+    count = np.expm1(x[:, :1])
+    return np.concatenate([x[:, :1], (count * x[:, 1:] + PRIOR_WORDS * ordinary[1:]) / (count + PRIOR_WORDS)], axis=1)
+
+
 def describe(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, x array<double>): the statistics of each whole text."""
 
@@ -88,15 +91,17 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Discriminant:
-    """Means, whitening matrices (inverse Cholesky factors), log determinants and log prior odds of label 1."""
+    """Ordinary statistics, means, whitening matrices (inverse Cholesky factors), log determinants and log prior odds of label 1."""
 
+    ordinary: np.ndarray
     means: np.ndarray
     whiten: np.ndarray
     log_det: np.ndarray
     log_odds: float
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        """Probability of label 1."""
+        """Probability of label 1, from statistics as they are."""
+        x = steadied(x, self.ordinary)
         density = []
         for k in (0, 1):
             z = (x - self.means[k]) @ self.whiten[k].T
@@ -105,33 +110,45 @@ class Discriminant:
         return 1 / (1 + np.exp(-np.clip(density[1] - density[0] + self.log_odds, -700, 700)))
 
 
-def fit(labelled: DataFrame, to_pooled: float = 0.2, to_diagonal: float = 0.1) -> Discriminant:
-    """Fit on all rows of (x, label): each task sums up counts, sums and products, Spark adds those up.
-
-    ``to_pooled`` shrinks a class covariance to the pooled one, ``to_diagonal`` the result to its diagonal.
-    A class without rows takes the other's place with no weight of its own.
-    """
-    d = len(STATISTICS)
+def _sums(labelled: DataFrame, parts: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
+    """Of each label, ``parts`` (a row of ``size`` numbers for a block of rows) summed up: each task sums its rows, Spark adds those up."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, 1 + d + d * d))
+        total = np.zeros((2, size))
         for batch in batches:
             x, label = _matrix(batch.column(0)), batch.column(1).to_numpy()
             for k in (0, 1):
-                part = x[label == k]
-                total[k] += np.concatenate([[len(part)], part.sum(axis=0), (part.T @ part).ravel()])
+                total[k] += parts(x[label == k])
         for k in (0, 1):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(total.shape[1], k)), pa.array(np.arange(total.shape[1])), pa.array(total[k])], ["label", "place", "value"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(size, k)), pa.array(np.arange(size)), pa.array(total[k])], ["label", "place", "value"])
 
     added = labelled.select("x", "label").mapInArrow(sums, "label long, place long, value double").groupBy("label", "place").agg(F.sum("value").alias("value"))
-    total = np.zeros((2, 1 + d + d * d))
-    for label, place, value in added.collect():  # 2 * (1 + d + d * d) numbers
+    total = np.zeros((2, size))
+    for label, place, value in added.collect():  # 2 * size numbers
         total[label, place] = value
+    return total
+
+
+def fit(labelled: DataFrame, to_pooled: float = 0.2, to_diagonal: float = 0.1) -> Discriminant:
+    """Fit on all rows of (x, label), from sums of a fixed size.
+
+    What is ordinary are the statistics of all words of texts with label 1 (or 0, if there are none). ``to_pooled`` shrinks
+    a class covariance to the pooled one, ``to_diagonal`` the result to its diagonal. A class without rows takes
+    the other's place with no weight of its own.
+    """
+    d = len(STATISTICS)
+    words = _sums(labelled, lambda x: np.concatenate([[np.expm1(x[:, 0]).sum()], np.expm1(x[:, 0]) @ x]), 1 + d)
+    home = words[1] if words[1, 0] else words[0]
+    ordinary = home[1:] / max(home[0], 1.0)
+
+    def moments(x: np.ndarray) -> np.ndarray:
+        x = steadied(x, ordinary)
+        return np.concatenate([[len(x)], x.sum(axis=0), (x.T @ x).ravel()])
+
+    total = _sums(labelled, moments, 1 + d + d * d)
     count = total[:, 0]
     if not count.sum():
-        return Discriminant(np.zeros((2, d)), np.stack([np.eye(d)] * 2), np.zeros(2), 0.0)
+        return Discriminant(ordinary, np.zeros((2, d)), np.stack([np.eye(d)] * 2), np.zeros(2), 0.0)
     means = total[:, 1 : d + 1] / np.maximum(count, 1)[:, None]
     spread = [total[k, d + 1 :].reshape(d, d) - count[k] * np.outer(means[k], means[k]) for k in (0, 1)]
     pooled = (spread[0] + spread[1]) / count.sum()
@@ -145,7 +162,7 @@ def fit(labelled: DataFrame, to_pooled: float = 0.2, to_diagonal: float = 0.1) -
         log_det.append(2 * np.log(np.diag(factor)).sum())
     if not count.all():
         means[count == 0] = means[count > 0]
-    return Discriminant(means, np.stack(whiten), np.array(log_det), float(np.log((count[1] + 1) / (count[0] + 1))))
+    return Discriminant(ordinary, means, np.stack(whiten), np.array(log_det), float(np.log((count[1] + 1) / (count[0] + 1))))
 
 
 def held_out(id_col: str = "doc_id") -> F.Column:
@@ -158,7 +175,7 @@ def classify(
 ) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row; learns from labelled rows that are not held out.
 
-    Scores depend on the text alone. Null or blank texts have ordinary statistics of no words and are scored like others.
+    Scores depend on the text alone. Null or blank texts have the ordinary statistics, of no words, and are scored like others.
     An id with several labels counts with each label once; null or other labels are ignored. Without any
     label every score is 0.5. Null and repeated ids stay row by row. Empty table: empty result.
     """

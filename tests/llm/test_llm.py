@@ -465,6 +465,10 @@ def test_quality_by_plain_discriminant(spark, docs):
     described = {r.doc_id: np.array(r.x) for r in quality.describe(docs).collect()}
     held = {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in described}
     marks = sorted({(r.doc_id, r.quality) for r in labels.collect() if r.doc_id in described and r.quality in (0, 1) and not held[r.doc_id]})
+    words = {i: math.expm1(x[0]) for i, x in described.items()}
+    good = [i for i, q in marks if q == 1]
+    ordinary = sum(words[i] * described[i] for i in good) / sum(words[i] for i in good)
+    described = {i: np.concatenate([x[:1], (words[i] * x[1:] + 15 * ordinary[1:]) / (words[i] + 15)]) for i, x in described.items()}
     classes = [np.stack([described[i] for i, q in marks if q == k]) for k in (0, 1)]
     pooled = sum((x - x.mean(axis=0)).T @ (x - x.mean(axis=0)) for x in classes) / len(marks)
     density = {}
