@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from cinetab.operators import segments
+from cinetab.operators import checks, segments
 from cinetab.registry import Tables
 
 DATA = "/root/testdata/sf0.001"
@@ -59,3 +59,24 @@ def test_candidates_take_all_boundaries(spark):
                 picked.append(time)
         expected |= {(video, k + 1, round(time, 6)) for k, time in enumerate(sorted(picked))}
     assert {(r.video_id, r.cid, r.time) for r in entry.queries()["refine_candidates"](spark, DATA).collect()} == expected
+
+
+def test_jobs(spark):
+    """The whole jobs: groups are numbered by size, scenes tile their videos, and only what is wrong in the answers is reported."""
+    sizes = {}
+    for r in entry.queries()["job_identities"](spark, DATA).collect():
+        sizes.setdefault(r.video_id, {}).setdefault(r.grp, set()).add(r.det_id)
+    for groups in sizes.values():
+        counts = [len(groups[k]) for k in sorted(groups) if k > 0]
+        assert sorted(k for k in groups if k > 0) == list(range(1, len(counts) + 1)) and counts == sorted(counts, reverse=True)
+    t = Tables(spark, DATA)
+    tiles = entry.queries()["job_scenes"](spark, DATA).withColumnsRenamed({"start_s": "start", "end_s": "end"})
+    tiles = spark.createDataFrame(tiles.collect(), tiles.schema)
+    assert tiles.groupBy("video_id").count().where("count > 10").count() == t.videos.count()
+    for bad in (checks.check_ids(tiles), checks.check_contiguity(tiles), checks.check_coverage(tiles, t.videos), checks.check_scene_on_shot(tiles, t.shots)):
+        assert bad.count() == 0
+    unanswered = {(r.video_id, r.id) for r in t.scenes.where("id % 13 = 12").collect()}
+    found = entry.queries()["job_documents"](spark, DATA).collect()
+    assert {(r.video_id, int(r.entity)) for r in found if r.check == "description"} == unanswered
+    assert {(r.video_id, int(r.entity.split()[1])) for r in found if r.check == "schema"} == unanswered
+    assert {r.check for r in found} <= {"description", "schema", "min_scene", "citations"}
