@@ -296,7 +296,7 @@ def cut_repeats(candidates: DataFrame, repeats: DataFrame, window: int) -> DataF
 
 @operator
 def repeated_substrings(
-    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, group_limit: int = 1024, texts: bool = True
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, group_limit: int = 8192, texts: bool = True
 ) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, spans[, kept_text]) for every row of ``documents``.
 
@@ -305,6 +305,8 @@ def repeated_substrings(
     (begin, end, begin, end, ...). A text whose whole word sequence a smaller id has loses all its words
     (if it has a window) and takes no part in the search, so copies cost one row each.
 
+    A group of ``group_limit`` suffixes has some 4 MB of words, and its subtree takes some 100 MB in a task.
+
     ``kept_text`` (with ``texts``) is null where nothing is removed. Null or blank texts: no words, the
     hash of nothing. Null ids: nothing is removed from them or on account of them. Rows that repeat an id
     never remove each other. Empty table: empty result. Other columns are not read.

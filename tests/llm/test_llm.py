@@ -186,7 +186,7 @@ def test_pipeline_drops_copies_from_80(spark):
 
 
 def test_substrings(docs):
-    for limit in (1024, 1):  # 1: every shared prefix is crowded
+    for limit in (8192, 1):  # 1: every shared prefix is crowded
         found = by_id(suffixes.repeated_substrings(docs, group_limit=limit))
         first, all_words = {}, {i: re.findall(WORD, t or "") for i, t in enumerate(texts())}
         for i, w in all_words.items():
