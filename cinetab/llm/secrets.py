@@ -42,11 +42,11 @@ def _matches(df: DataFrame, kind: str, pattern: str) -> DataFrame:
     df = df.withColumn("p", F.when(F.size("m") > 0, F.split("text", pattern)))
     # Where match i begins: running sums over blocks of BLOCK matches, then inside a block. A column that a lambda
     # reads is used twice, so that it is worked out once a row.
-    df = df.withColumn("step", F.expr("transform(m, (x, i) -> length(p[i]) + length(x))"))
-    df = df.withColumn("sums", F.expr(f"transform(sequence(0, size(step) div {BLOCK}), b -> aggregate(slice(step, b * {BLOCK} + 1, {BLOCK}), 0, (a, x) -> a + x))"))
-    df = df.withColumn("before", F.expr("if(size(sums) > 0, transform(sums, (x, b) -> aggregate(slice(sums, 1, b), 0, (a, y) -> a + y)), null)"))
+    df = df.withColumn("step", F.expr("if(size(m) > 0, transform(m, (x, i) -> length(p[i]) + length(x)), null)"))
+    df = df.withColumn("sums", F.expr(f"if(step is null, null, transform(sequence(0, size(step) div {BLOCK}), b -> aggregate(slice(step, b * {BLOCK} + 1, {BLOCK}), 0, (a, x) -> a + x)))"))
+    df = df.withColumn("before", F.expr("if(sums is null, null, transform(sums, (x, b) -> aggregate(slice(sums, 1, b), 0, (a, y) -> a + y)))"))
     at = f"before[i div {BLOCK}] + aggregate(slice(step, i div {BLOCK} * {BLOCK} + 1, i % {BLOCK}), 0, (a, y) -> a + y)"
-    spans = f"if(size(before) > 0, transform(m, (x, i) -> struct({at} + length(p[i]) as start, {at} + step[i] as end, x as word)), null)"
+    spans = f"if(before is not null, transform(m, (x, i) -> struct({at} + length(p[i]) as start, {at} + step[i] as end, x as word)), null)"
     none = F.expr("cast(array() as array<struct<start: int, end: int, word: string>>)")
     return df.withColumn(kind, F.coalesce(F.expr(spans), none)).drop("m", "p", "step", "sums", "before")
 
