@@ -51,4 +51,26 @@ _RULES = rf"""WITH {_DOCS},
       + 16 * (word_chars > 25 * n_words)::BIGINT + 32 * (word_chars < 2 * n_words)::BIGINT + 64 * (10 * n_upper > 6 * n_letters)::BIGINT AS failed FROM m)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 > 0 AS base_failed, failed = 0 AS kept, failed FROM f"""
 
-ORACLES: dict[str, str] = {"op3_sharding": _SHARDING, "op4_mixing": _MIXING, "op10_rules": _RULES}
+#: A prefix is the MD5s of its turns one after another; a node's subtree is found from the prefixes of each node below it.
+_TRIE = f"""WITH t AS (SELECT list_transform(range(0, 256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+    u AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place FROM conversations WHERE conv_id IS NOT NULL),
+    n AS (SELECT conv_id, CAST(conv_id AS VARCHAR) AS id, count(*) AS n FROM u GROUP BY conv_id),
+    c AS (SELECT conv_id, n, conv_id - conv_id % 100 AS base, {_crc32("id")} % 6 AS h FROM n, t),
+    r AS (SELECT c.conv_id, u.place AS depth, role, text FROM c JOIN u ON u.conv_id = c.base AND u.place <= c.h
+      UNION ALL SELECT c.conv_id, u.place - c.h + least(c.h, coalesce(b.n, 0)), role, text FROM c JOIN u ON u.conv_id = c.conv_id AND u.place > c.h LEFT JOIN n b ON b.conv_id = c.base),
+    p AS (SELECT conv_id, depth, text, string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS key FROM r UNION ALL SELECT conv_id, 0, '', '' FROM c),
+    g AS (SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, max(length(text)) AS chars FROM p GROUP BY depth, key),
+    k AS (SELECT left(key, length(key) - 32) AS key, count(*) AS n_children FROM g WHERE depth > 0 GROUP BY 1),
+    e AS (SELECT key, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM (SELECT conv_id, arg_max(key, depth) AS key FROM p GROUP BY conv_id) GROUP BY key),
+    o AS (SELECT g.*, coalesce(k.n_children, 0) AS n_children, coalesce(e.ids, '') AS ids FROM g LEFT JOIN k ON g.key = k.key LEFT JOIN e ON g.key = e.key),
+    s AS (SELECT p.key, sum(CASE WHEN o.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((o.n_convs - 1) * o.chars) AS saved FROM o JOIN p ON p.conv_id = o.conv_id AND p.depth <= o.depth GROUP BY p.key)
+    SELECT o.conv_id, CAST(o.depth AS BIGINT) AS depth, a.conv_id AS parent_conv_id, o.n_convs, CAST(o.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(ids) AS ends_sha256
+      FROM o JOIN s ON o.key = s.key LEFT JOIN g a ON o.depth > 0 AND a.depth = o.depth - 1 AND a.key = left(o.key, length(o.key) - 32)"""
+
+_TOPK = """WITH v AS (SELECT row_number() OVER () AS k, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.k, q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.v, v.v) AS BIGINT) AS score FROM v q, v WHERE q.vec_id % 100 = 0 AND v.k <> q.k),
+    r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM s)
+    SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 10"""
+
+ORACLES: dict[str, str] = {"op3_sharding": _SHARDING, "op4_mixing": _MIXING, "op10_rules": _RULES, "op11_trie": _TRIE, "op12_topk": _TOPK}

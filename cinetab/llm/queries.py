@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align_tokens
+from .balltree import top_k
 from .fmindex import decontaminate
 from .minhash import near_duplicates
 from .mixing import mix
@@ -18,8 +20,10 @@ from .sharding import shard
 from .suffixes import repeated_substrings
 from .tokens import token_output
 from .toolcalls import link_calls
+from .tries import prefix_trie
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -116,8 +120,22 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = prefix_trie(_read(spark, sf_dir, "conversations"))
+    return found.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = top_k(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(_read(spark, sf_dir, "documents"), TOKENIZER, PIECES, groups=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_minhash, op2_quality, op3_sharding, op4_mixing, op5_secrets, op6_tokens, op7_toolcalls, op8_decontamination, op9_substrings, op10_rules)
+    found = (op1_minhash, op2_quality, op3_sharding, op4_mixing, op5_secrets, op6_tokens, op7_toolcalls, op8_decontamination, op9_substrings, op10_rules, op11_trie, op12_topk, op13_alignment)
     return {f.__name__: f for f in found}
 
 

@@ -55,7 +55,7 @@ def _piece_pattern() -> str:
 PROBE = "It's  we'll\n\n (a) 12b-c,  \u00e9t\u00e9\u65e5\u672c \t x\u00a0y 'd' $5.00\r\n end  "
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in a byte-level vocabulary: itself if it prints, else the next from 256 on."""
     prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in prints]
@@ -66,7 +66,7 @@ class _Pieces(dict):
     """Piece -> its ids as bytes; a new piece is encoded by the tokenizer's model once."""
 
     def __init__(self, model, kind: type):
-        self.model, self.kind, self.letters = model, kind, _byte_letters()
+        self.model, self.kind, self.letters = model, kind, byte_letters()
 
     def __missing__(self, piece: str) -> bytes:
         letters = piece.encode().decode("latin-1").translate(self.letters)
@@ -79,13 +79,15 @@ class PieceTokenizer:
 
     A text is cut into pieces as the file's pre-tokenizer cuts it, and the library's model gives the ids of
     each distinct piece. Whole texts go through the library's encode where that might differ: files of another
-    kind, texts that hold one of the file's added tokens, and characters outside STEADY.
+    kind, texts that hold one of the file's added tokens, and characters outside STEADY. With ``plain``,
+    the strings of special tokens are plain text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         file = json.loads(self.tokenizer.to_str())
         self.added = [t["content"] for t in file.get("added_tokens") or []]
