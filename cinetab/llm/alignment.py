@@ -2,13 +2,14 @@
 
 Texts are encoded in passes of about PASS_BYTES. As-of joins in pandas, keyed by document, give for each token's start the token of the other side
 that covers it; both directions together are all overlaps, of which those with equal ends cut the text into groups. Pairs of ids are numbered
-within a batch of passes, so that a document keeps one small number a link, and only a batch's distinct pairs are shuffled to be
+within a batch of passes, so that a document keeps a small number for each link, and only a batch's distinct pairs are shuffled to be
 counted; the counts come back to the batch.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,11 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import materialize, operator
-from .tokens import CACHE, PieceTokenizer, byte_letters
+from .tokens import PieceTokenizer, byte_letters
 
 #: Bytes of text that are joined at once, and that share the numbers of pairs; a longer text stands alone.
-PASS_BYTES = 1_000_000
-BATCH_BYTES = 16_000_000
+PASS_BYTES = 500_000
+BATCH_BYTES = 8_000_000
+#: Pieces whose ids a worker keeps at most; beyond that it starts anew.
+CACHE = 400_000
 
 
 class Side:
@@ -127,6 +130,15 @@ def _aligner(*paths: str) -> Aligner:
     return _ALIGNERS[paths]
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers in ascending order, as compressed steps."""
+    return zlib.compress(np.diff(np.sort(numbers), prepend=np.uint32(0)).astype("<u4").tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(data), "<u4"), dtype=np.int64)
+
+
 _BATCHES = pa.schema(
     [("batch", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()),
      ("groups_sha256", pa.string()), ("groups", pa.string()), ("links", pa.binary()), ("pairs", pa.list_(pa.struct([("pair", pa.int64()), ("n", pa.int64())])))]
@@ -135,7 +147,7 @@ _BATCHES_SQL = "batch long, doc_id long, n_a long, n_b long, n_groups long, n_li
 
 
 def aligned_batches(documents: DataFrame, byte_bpe: str, pieces: str, id_col: str, text_col: str, groups: bool) -> DataFrame:
-    """A row for each document, with its links as 4-byte numbers of its batch's pairs, and one for each batch, with its pairs in ascending order."""
+    """A row for each document, with its links as sorted numbers of its batch's pairs, and one for each batch, with its pairs in ascending order."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, batch_id = _aligner(byte_bpe, pieces), TaskContext.get().partitionId() << 32
@@ -150,7 +162,7 @@ def aligned_batches(documents: DataFrame, byte_bpe: str, pieces: str, id_col: st
             number, at, rows = number.astype("<u4"), 0, []
             for (doc, (n_a, n_b, n_groups, said)), links in zip(docs, found, strict=True):
                 part, at = number[at : at + len(links)], at + len(links)
-                rows.append((batch_id, doc, n_a, n_b, n_groups, len(links), hashlib.sha256(said.encode()).hexdigest() if said else "", said if groups else None, part.tobytes(), None))
+                rows.append((batch_id, doc, n_a, n_b, n_groups, len(links), hashlib.sha256(said.encode()).hexdigest() if said else "", said if groups else None, packed(part), None))
             rows.append((batch_id, *[None] * 8, pa.StructArray.from_arrays([pa.array(pairs), pa.array(n)], ["pair", "n"])))
             columns = list(zip(*rows, strict=True))
             lists = pa.ListArray.from_arrays(pa.array([None] * (len(rows) - 1) + [0, len(pairs)], pa.int32()), rows[-1][-1])
@@ -207,7 +219,7 @@ def align_tokens(documents: DataFrame, byte_bpe: str, pieces: str, id_col: str =
     def total(rows: pa.Table, known: pa.Table) -> pa.Table:
         order = np.argsort(known.column("pair").to_numpy())
         count, best = (known.column(x).to_numpy()[order].astype(np.int64) for x in ("count", "best"))
-        links = [np.frombuffer(x, "<u4") for x in rows.column("links").to_pylist()]
+        links = [unpacked(x) for x in rows.column("links").to_pylist()]
         for name, values in (("n_best", best), ("count_sum", count)):
             rows = rows.append_column(name, pa.array([int(values[x].sum()) for x in links], pa.int64()))
         return rows.select(names)
