@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import heapq
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import detection_quality, dot, unit
 from ..functions.vectors import vector_mean, vector_sum
-from .joins import same_frame_pairs
+from .graph import chain_starts
 
 FORBIDDEN = 10.0
 
@@ -60,43 +61,76 @@ def assign(cost: np.ndarray) -> list[tuple[int, int]]:
     return sorted((int(owner[j]), j) for j in range(m) if owner[j] >= 0)
 
 
-def track_shot(pdf: pd.DataFrame, min_iou: float, min_cos: float) -> np.ndarray:
-    """A local track number for each detection of one shot, rows sorted by (ts, det_id)."""
-    boxes = pdf[["x1", "y1", "x2", "y2"]].to_numpy(float)
-    vectors = np.stack(pdf.embedding.to_numpy()).astype(float)
-    anchor = (pdf.tier == "anchor").to_numpy()
-    track, following = np.full(len(pdf), -1), 0
-    before = np.zeros(0, int)
-    for _, now in pdf.groupby("ts", sort=True).indices.items():
-        now = np.sort(now)
-        if len(before):
-            a, b = boxes[before][:, None], boxes[now][None]
-            inter = np.prod(np.clip(np.minimum(a[..., 2:], b[..., 2:]) - np.maximum(a[..., :2], b[..., :2]), 0, None), axis=2)
-            size = lambda x: np.prod(x[..., 2:] - x[..., :2], axis=-1)
-            iou = inter / (size(a) + size(b) - inter + 1e-9)
-            near = ~(anchor[before][:, None] & anchor[now][None]) | (vectors[before] @ vectors[now].T >= min_cos)
-            cost = np.where((iou >= min_iou) & near, 1 - iou, FORBIDDEN)
-            for i, j in assign(cost):
-                if cost[i, j] < FORBIDDEN:
-                    track[now[j]] = track[before[i]]
-        for j in now:
-            if track[j] < 0:
-                track[j], following = following, following + 1
-        before = now
-    return track
+def matched(boxes: np.ndarray, vectors: list, fresh: int, min_iou: float, min_cos: float) -> list[tuple[int, int]]:
+    """Pairs (i, j) of the ``fresh`` first rows and those before them: which detection goes on which, at the least total cost.
 
+    ``vectors`` holds those of anchors, else None. Pairs need an overlap, and two anchors a likeness as well.
+    """
+    if fresh == len(boxes) or not fresh:
+        return []
+    a, b = boxes[fresh:, None], boxes[None, :fresh]
+    inter = np.prod(np.clip(np.minimum(a[..., 2:], b[..., 2:]) - np.maximum(a[..., :2], b[..., :2]), 0, None), axis=2)
+    size = lambda x: np.prod(x[..., 2:] - x[..., :2], axis=-1)
+    iou = inter / (size(a) + size(b) - inter + 1e-9)
+    cost = np.where(iou >= min_iou, 1 - iou, FORBIDDEN)
+    for i, j in zip(*np.nonzero(cost < FORBIDDEN), strict=True):
+        x, y = vectors[fresh + i], vectors[j]
+        if x is not None and y is not None and float(np.dot(x, y)) < min_cos:
+            cost[i, j] = FORBIDDEN
+    return [(j, i) for i, j in assign(cost) if cost[i, j] < FORBIDDEN]
+
+
+def frame_links(dets: DataFrame, min_iou: float, min_cos: float) -> DataFrame:
+    """(video_id, node, before): the detection of the sampled time before that each detection goes on, or null.
+
+    A shot's times follow one another where they have detections. Each detection is dealt to its own time and to the next one, so a group holds
+    two times of a shot, however long that is; groups are read in sorted order, many to a batch.
+    """
+    key = ["video_id", "shot_id", "ts"]
+    following = F.lead("ts").over(Window.partitionBy("video_id", "shot_id").orderBy("ts"))
+    times = dets.select(*key).distinct().select(*key, following.alias("next"))
+    rows = dets.join(times, key).select(
+        "video_id", "shot_id", "det_id", F.array("x1", "y1", "x2", "y2").cast("array<double>").alias("box"), F.when(F.col("tier") == "anchor", F.col("embedding").cast("array<double>")).alias("vec"),
+        F.explode(F.array(F.struct(F.lit(0).alias("old"), F.col("ts").alias("at")), F.struct(F.lit(1).alias("old"), F.col("next").alias("at")))).alias("g"),
+    ).where("g.at IS NOT NULL").select("video_id", "shot_id", "g.at", "g.old", "det_id", "box", "vec")
+    order = ["video_id", "shot_id", "at"]
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for pdf in frames:
+            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            change = np.flatnonzero(np.logical_or.reduce([pdf[c].to_numpy()[1:] != pdf[c].to_numpy()[:-1] for c in order])) + 1
+            last = int(change[-1]) if len(change) else 0
+            rest = pdf.iloc[last:].reset_index(drop=True)
+            yield link(pdf.iloc[:last], change)
+        if rest is not None:
+            yield link(rest, np.zeros(0, int))
+
+    def link(pdf: pd.DataFrame, change: np.ndarray) -> pd.DataFrame:
+        ids, old = pdf.det_id.to_numpy(), pdf.old.to_numpy()
+        before = np.full(len(pdf), -1)
+        cuts = [0, *change[change < len(pdf)].tolist(), len(pdf)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            fresh = int((old[a:b] == 0).sum())
+            if 0 < fresh < b - a:
+                for j, i in matched(np.stack(pdf.box.iloc[a:b].to_numpy()), pdf.vec.iloc[a:b].tolist(), fresh, min_iou, min_cos):
+                    before[a + j] = a + fresh + i
+        at = np.flatnonzero(old == 0)
+        found = pd.array(np.where(before[at] < 0, 0, ids[before[at]]) if len(ids) else [], dtype="Int64")
+        found[before[at] < 0] = pd.NA
+        return pd.DataFrame({"video_id": pdf.video_id.to_numpy()[at], "node": ids[at], "before": found})
+
+    return rows.repartition(*order).sortWithinPartitions(*order, "old", "det_id").mapInPandas(work, "video_id long, node long, before long")
 
-def build_tracks(dets: DataFrame, min_iou: float = 0.3, min_cos: float = 0.3) -> DataFrame:
-    """``dets`` with track_id: numbered in a video by (shot, first appearance). Groups are single shots."""
-    rows = dets.select("video_id", "shot_id", "det_id", "ts", "x1", "y1", "x2", "y2", "tier", "embedding")
-
-    def link(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ts", "det_id"], ignore_index=True)
-        return pd.DataFrame({"video_id": pdf.video_id, "shot_id": pdf.shot_id, "det_id": pdf.det_id, "local": track_shot(pdf, min_iou, min_cos)})
 
-    found = rows.groupBy("video_id", "shot_id").applyInPandas(link, "video_id long, shot_id int, det_id long, local long")
-    dense = F.dense_rank().over(Window.partitionBy("video_id").orderBy("shot_id", "local")) - 1
-    return dets.join(found.select("video_id", "det_id", dense.cast("long").alias("track_id")), ["video_id", "det_id"])
+def build_tracks(dets: DataFrame, min_iou: float = 0.3, min_cos: float = 0.3) -> DataFrame:
+    """``dets`` with track_id: numbered in a video by (shot, first time, first detection). A group is two times of a shot."""
+    chains = chain_starts(frame_links(dets, min_iou, min_cos))
+    first = dets.join(chains.where("node = start").select("video_id", F.col("node").alias("det_id")), ["video_id", "det_id"])
+    number = F.row_number().over(Window.partitionBy("video_id").orderBy("shot_id", "ts", "det_id")) - 1
+    numbers = first.select("video_id", F.col("det_id").alias("start"), number.cast("long").alias("track_id"))
+    found = chains.join(numbers, ["video_id", "start"]).select("video_id", F.col("node").alias("det_id"), "track_id")
+    return dets.join(found, ["video_id", "det_id"])
 
 
 def track_embeddings(tracked: DataFrame) -> DataFrame:
@@ -142,10 +176,38 @@ def average_linkage(distance: np.ndarray, threshold: float) -> np.ndarray:
             least[k] = d[k, near[k]]
 
 
-def _unit_rows(x: np.ndarray) -> np.ndarray:
+def unit_rows(x: np.ndarray) -> np.ndarray:
     return x / (np.linalg.norm(x, axis=-1, keepdims=True) + 1e-9)
 
 
+def merge_order(total: np.ndarray, may: Callable[[int, int], bool], join: Callable[[int, int], None], least: float, step: int = 512) -> Iterator[tuple[int, int]]:
+    """(a, b), a < b: rows of ``total`` that become one, the largest cosine first, while one reaches ``least``; b's sum is added to a's.
+
+    ``may`` says whether two rows can join, ``join`` is told that they do. Pairs that reach ``least`` wait in a heap, out of date once a
+    side has changed; cosines are taken in blocks of rows.
+    """
+    total, version, gone = total.astype(float).copy(), np.zeros(len(total), int), np.zeros(len(total), bool)
+    unit, heap = unit_rows(total), []
+    for at in range(0, len(total), step):
+        cos = unit[at : at + step] @ unit.T
+        heap += [(-cos[i, j], at + int(i), int(j), 0, 0) for i, j in zip(*np.nonzero(cos >= least), strict=True) if at + i < j]
+    heapq.heapify(heap)
+    while heap:
+        _, a, b, seen_a, seen_b = heapq.heappop(heap)
+        if gone[a] or gone[b] or version[a] != seen_a or version[b] != seen_b or not may(a, b):
+            continue
+        join(a, b)
+        yield a, b
+        gone[b], version[a] = True, version[a] + 1
+        total[a] += total[b]
+        unit[a] = unit_rows(total[a])
+        cos = unit @ unit[a]
+        for k in np.flatnonzero((cos >= least) & ~gone):
+            if k != a:
+                i, j = min(a, int(k)), max(a, int(k))
+                heapq.heappush(heap, (-cos[k], i, j, version[i], version[j]))
+
+
 class People:
     """The tracks of one video while they are put into groups: ``label`` is a track's group, -1 for none.
 
@@ -166,7 +228,7 @@ class People:
         """In each group the tracks nearest to its middle stay, earlier ones first in ties; one that clashes with any of those leaves."""
         for k in np.unique(self.label[self.label >= 0]):
             members = np.flatnonzero(self.label == k)
-            near = self.vectors[members] @ _unit_rows(self.vectors[members].mean(axis=0))
+            near = self.vectors[members] @ unit_rows(self.vectors[members].mean(axis=0))
             blocked = np.zeros(len(self.label), bool)
             for i in members[np.argsort(-near.round(9), kind="stable")]:
                 if blocked[i]:
@@ -192,7 +254,7 @@ class People:
             return
         total = member.T @ self.vectors
         for i in np.flatnonzero(self.label < 0):
-            cos = np.where(taken[i], -np.inf, _unit_rows(total) @ self.vectors[i])
+            cos = np.where(taken[i], -np.inf, unit_rows(total) @ self.vectors[i])
             k = len(groups) - 1 - int(np.argmax(cos[::-1]))
             if cos[k] >= min_cos:
                 self.label[i] = groups[k]
@@ -202,23 +264,14 @@ class People:
     def merge(self, n_anchor: np.ndarray, min_cos: float = 0.30) -> None:
         """The two nearest groups (by means weighted by anchors) that do not clash become one, again and again."""
         groups, member, taken = self._groups()
-        total = (member * n_anchor[:, None]).T @ self.vectors
         apart = member.T @ taken.astype(float) > 0
-        cos = _unit_rows(total) @ _unit_rows(total).T
-        cos[np.tril_indices(len(groups))] = -np.inf
-        cos[apart] = -np.inf
-        while cos.size:
-            a, b = np.unravel_index(int(np.argmax(cos)), cos.shape)
-            if cos[a, b] < min_cos:
-                break
-            self.label[self.label == groups[b]] = groups[a]
-            total[a] += total[b]
+
+        def join(a: int, b: int) -> None:
             apart[a] |= apart[b]
             apart[:, a] |= apart[:, b]
-            cos[b] = cos[:, b] = -np.inf
-            live = np.flatnonzero(np.isin(groups, self.label) & (np.arange(len(groups)) != a))
-            new = np.where(apart[a, live], -np.inf, _unit_rows(total[live]) @ _unit_rows(total[a]))
-            cos[np.minimum(a, live), np.maximum(a, live)] = new
+
+        for a, b in merge_order((member * n_anchor[:, None]).T @ self.vectors, lambda a, b: not apart[a, b], join, min_cos):
+            self.label[self.label == groups[b]] = groups[a]
 
     def rescue_weak(self, vectors: np.ndarray, weak: np.ndarray, min_cos: float = 0.55) -> None:
         """Tracks ``weak`` (places) with ``vectors`` join groups, best cosines first, where they clash with none in it."""
@@ -227,7 +280,7 @@ class People:
         if not len(groups) or not len(weak):
             return
         count = np.maximum(member[strong].sum(axis=0), 1)[:, None]
-        cos = vectors @ _unit_rows(member[strong].T @ self.vectors[strong] / count).T
+        cos = vectors @ unit_rows(member[strong].T @ self.vectors[strong] / count).T
         row, group = np.nonzero(cos >= min_cos)
         for t in np.lexsort((group, row, -cos[row, group])):
             i, g = weak[row[t]], group[t]
@@ -236,96 +289,6 @@ class People:
                 taken[:, g] |= self.clash[i]
 
 
-def track_table(tracked: DataFrame) -> DataFrame:
-    """``track_embeddings`` with ``all_vec``, the weighted sum over detections of every tier, and ``clash``: the tracks seen at the same times."""
-    key = ["video_id", "track_id"]
-    every = vector_sum(tracked, key, F.col("embedding"), detection_quality(F.col("det_score"), F.col("sharpness")), "all_vec")
-    pairs = same_frame_pairs(tracked)
-    both = pairs.select("video_id", F.col("a").alias("track_id"), "b").union(pairs.select("video_id", "b", "a"))
-    clash = both.groupBy(*key).agg(F.collect_list("b").alias("clash"))
-    return track_embeddings(tracked).join(every, key).join(clash, key, "left")
-
-
-def _grouped(tracks: DataFrame, step: Callable[[People, pd.DataFrame], None]) -> DataFrame:
-    """(video_id, track_id, cluster) after ``step``. A group holds the tracks of one video, never its detections."""
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("track_id", ignore_index=True)
-        place = {t: k for k, t in enumerate(pdf.track_id)}
-        clash = np.zeros((len(pdf), len(pdf)), bool)
-        for k, others in enumerate(pdf.clash):
-            if others is not None:
-                clash[k, [place[t] for t in others if t in place]] = True
-        strong = (pdf.n_anchor > 0).to_numpy()
-        size = len(pdf.all_vec.iloc[0])
-        vectors = np.stack([np.asarray(v, float) if s else np.zeros(size) for v, s in zip(pdf.embedding, strong, strict=True)])
-        people = People(vectors, clash, pdf.cluster.to_numpy(np.int64) if "cluster" in pdf else None)
-        step(people, pdf)
-        return pd.DataFrame({"video_id": pdf.video_id, "track_id": pdf.track_id, "cluster": people.label})
-
-    columns = ["video_id", "track_id", "embedding", "all_vec", "n_dets", "n_anchor", "clash", *(["cluster"] if "cluster" in tracks.columns else [])]
-    return tracks.select(*columns).groupBy("video_id").applyInPandas(solve, "video_id long, track_id long, cluster long")
-
-
-def _on_strong(pdf: pd.DataFrame, people: People, steps: Callable[[People, pd.DataFrame], None]) -> None:
-    """Run steps over the tracks with anchors alone."""
-    strong = np.flatnonzero(pdf.n_anchor > 0)
-    part = People(people.vectors[strong], people.clash[np.ix_(strong, strong)], people.label[strong])
-    if len(strong):
-        steps(part, pdf.iloc[strong])
-    people.label[strong] = part.label
-
-
-def link_tracks(tracks: DataFrame, threshold: float = 0.55) -> DataFrame:
-    """(video_id, track_id, cluster): tracks with anchors (of ``track_table``) by average linkage; others have -1."""
-    return _grouped(tracks, lambda people, pdf: _on_strong(pdf, people, lambda p, _: p.link(threshold)))
-
-
-def resolve_conflicts(tracks: DataFrame) -> DataFrame:
-    """(video_id, track_id, cluster): of tracks that share a frame in one cluster, the more typical one stays."""
-    return _grouped(tracks, lambda people, pdf: _on_strong(pdf, people, lambda p, _: p.resolve()))
-
-
-def rescue_tracks(tracks: DataFrame, min_cos: float = 0.45) -> DataFrame:
-    """(video_id, track_id, cluster): tracks with anchors but no cluster join one that looks like them."""
-    return _grouped(tracks, lambda people, pdf: _on_strong(pdf, people, lambda p, _: p.rescue(min_cos)))
-
-
-def merge_close_groups(tracks: DataFrame, min_cos: float = 0.30) -> DataFrame:
-    """(video_id, track_id, cluster): clusters that look alike and never share a frame become one."""
-    return _grouped(tracks, lambda people, pdf: _on_strong(pdf, people, lambda p, x: p.merge(x.n_anchor.to_numpy(), min_cos)))
-
-
-def _weak(people: People, pdf: pd.DataFrame, min_cos: float = 0.55) -> None:
-    weak = np.flatnonzero(pdf.n_anchor == 0)
-    if len(weak):
-        people.rescue_weak(_unit_rows(np.stack([np.asarray(v, float) for v in pdf.all_vec.iloc[weak]])), weak, min_cos)
-
-
-def rescue_weak_tracks(tracks: DataFrame, min_cos: float = 0.55) -> DataFrame:
-    """(video_id, track_id, cluster): tracks without anchors join the clusters that look like them, best first."""
-    return _grouped(tracks, lambda people, pdf: _weak(people, pdf, min_cos))
-
-
-def group_all(people: People, pdf: pd.DataFrame) -> None:
-    """All steps in order: link, resolve, dissolve, rescue, merge, and then the weak tracks."""
-
-    def steps(p: People, rows: pd.DataFrame) -> None:
-        p.link()
-        p.resolve()
-        p.dissolve(rows.n_dets.to_numpy())
-        p.rescue()
-        p.merge(rows.n_anchor.to_numpy())
-
-    _on_strong(pdf, people, steps)
-    _weak(people, pdf)
-
-
-def cluster_tracks(tracked: DataFrame) -> DataFrame:
-    """``tracked`` with ``cluster`` (-1: none), all steps in one group a video."""
-    return tracked.join(_grouped(track_table(tracked), group_all), ["video_id", "track_id"])
-
-
 def dissolve_tiny(tracks: DataFrame, min_detections: int = 3) -> DataFrame:
     """(video_id, track_id, cluster): a cluster of one track with few detections becomes -1; ``tracks``: (…, cluster, n_dets)."""
     w = Window.partitionBy("video_id", "cluster")

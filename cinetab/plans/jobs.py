@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import checks, evidence, export, faces, segments, timeline
+from ..operators.identities import cluster_tracks
 
 
 def identities(dets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Detections (with shot_id, tier, embedding) to (faces with track_id, cluster and group, statistics of the groups)."""
-    found = faces.rank_groups(faces.cluster_tracks(faces.build_tracks(dets)))
+    found = faces.rank_groups(cluster_tracks(faces.build_tracks(dets)))
     return found, faces.group_stats(found)
 
 

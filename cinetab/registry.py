@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import fixtures
 from .functions import expr
-from .operators import checks, evidence, export, faces, joins, segments, timeline
+from .operators import checks, evidence, export, faces, identities, joins, segments, timeline
 from .plans import jobs
 from .sources import io
 
@@ -465,37 +465,37 @@ def track_embeddings(t):
 
 def _track_table(t):
     """Tracks of every fiftieth detection, so that many have anchors, with a cluster of ten."""
-    return faces.track_table(t.detections().withColumn("track_id", F.col("det_id") % 50))
+    return identities.track_table(t.detections().withColumn("track_id", F.col("det_id") % 50))
 
 
 @query()
 def link_tracks(t):
-    return faces.link_tracks(_track_table(t))
+    return identities.link_tracks(_track_table(t))
 
 
 @query()
 def resolve_conflicts(t):
-    return faces.resolve_conflicts(_track_table(t).withColumn("cluster", F.col("track_id") % 10))
+    return identities.resolve_conflicts(_track_table(t).withColumn("cluster", F.col("track_id") % 10))
 
 
 @query()
 def rescue_tracks(t):
-    return faces.rescue_tracks(_track_table(t).withColumn("cluster", F.when(F.col("track_id") % 3 == 0, F.col("track_id") % 10).otherwise(-1)), 0.05)
+    return identities.rescue_tracks(_track_table(t).withColumn("cluster", F.when(F.col("track_id") % 3 == 0, F.col("track_id") % 10).otherwise(-1)), 0.05)
 
 
 @query()
 def merge_close_groups(t):
-    return faces.merge_close_groups(_track_table(t).withColumn("cluster", F.col("track_id")), 0.05)
+    return identities.merge_close_groups(_track_table(t).withColumn("cluster", F.col("track_id")), 0.05)
 
 
 @query()
 def rescue_weak_tracks(t):
-    return faces.rescue_weak_tracks(faces.track_table(_tracked(t)).withColumn("cluster", F.when(F.col("n_anchor") > 0, F.col("track_id") % 10).otherwise(-1)), 0.1)
+    return identities.rescue_weak_tracks(identities.track_table(_tracked(t)).withColumn("cluster", F.when(F.col("n_anchor") > 0, F.col("track_id") % 10).otherwise(-1)), 0.1)
 
 
 @query()
 def cluster_tracks(t):
-    return faces.cluster_tracks(_tracked(t)).select("video_id", "det_id", "cluster")
+    return identities.cluster_tracks(_tracked(t)).select("video_id", "det_id", "cluster")
 
 
 @query(

@@ -61,10 +61,29 @@ def clean_segments(raw: DataFrame) -> DataFrame:
     return df.withColumn("start", F.round("start", 2)).withColumn("end", F.round("end", 2))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or the warehouse where that is unset.
+
+    On a cluster a warehouse on a local disk is refused: executors would not see each other's files there.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    home = spark.conf.get("spark.sql.warehouse.dir")
+    if not base and home.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (base or home).rstrip("/")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder name where driver and executors share one: below spark.checkpoint.dir, or the warehouse where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new folder name in the shared folder."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df``, written once to the shared folder: its lineage ends there, and lost executors cost nothing before it."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{shared_folder(df.sparkSession)}/checkpoints")
+    return df.checkpoint()
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:

@@ -99,6 +99,21 @@ def test_average_linkage(n, seed):
     assert sorted(map(sorted, groups)) == sorted(np.flatnonzero(label == k).tolist() for k in np.unique(label))
 
 
+def group_all(people, pdf):
+    """All steps over one video at once: link, resolve, dissolve, rescue, merge, and then the tracks without anchors."""
+    strong, weak = np.flatnonzero(pdf.n_anchor > 0), np.flatnonzero(pdf.n_anchor == 0)
+    part = faces.People(people.vectors[strong], people.clash[np.ix_(strong, strong)], people.label[strong])
+    if len(strong):
+        part.link()
+        part.resolve()
+        part.dissolve(pdf.n_dets.to_numpy()[strong])
+        part.rescue()
+        part.merge(pdf.n_anchor.to_numpy()[strong])
+    people.label[strong] = part.label
+    if len(weak):
+        people.rescue_weak(faces.unit_rows(np.stack([np.asarray(v, float) for v in pdf.all_vec.iloc[weak]])), weak)
+
+
 def test_groups_of_orthogonal_people():
     v = np.array([[1, 0, 0], [0.99, 0.14, 0], [0, 1, 0], [0, 0, 1.0]])
     v /= np.linalg.norm(v, axis=1, keepdims=True)
@@ -108,7 +123,7 @@ def test_groups_of_orthogonal_people():
     n = len(frames)
     pdf = pd.DataFrame({"n_anchor": [5, 5, 5, 1, 0, 0, 0], "n_dets": [5, 5, 5, 1, 1, 1, 1], "all_vec": [*v, *weak]})
     people = faces.People(np.concatenate([v, np.zeros((3, 3))]), clash)
-    faces.group_all(people, pdf)
+    group_all(people, pdf)
     label = people.label
     assert label[0] == label[1] != label[2] and label[3] == -1 and len(label) == n
     assert label[4] == label[0] and label[5] == -1 and label[6] == -1
@@ -342,6 +357,46 @@ def test_tracks_cross_a_gap(spark):
     assert rows(faces.build_tracks(df), "det_id", "track_id") == [(1, 0), (2, 1), (3, 1), (4, 0), (5, 2)]
 
 
+def track_shot(pdf, min_iou, min_cos):
+    """A track number for each detection of one shot, time after time; rows sorted by time."""
+    boxes, track, following, before = pdf[["x1", "y1", "x2", "y2"]].to_numpy(float), np.full(len(pdf), -1), 0, []
+    vectors = [v if t == "anchor" else None for v, t in zip(pdf.embedding, pdf.tier, strict=True)]
+    for _, now in sorted(pdf.groupby("ts").indices.items()):
+        rows = [*now, *before]
+        for j, i in faces.matched(boxes[rows], [vectors[k] for k in rows], len(now), min_iou, min_cos):
+            track[now[j]] = track[before[i]]
+        for j in now:
+            if track[j] < 0:
+                track[j], following = following, following + 1
+        before = list(now)
+    return track
+
+
+def random_shot(rng, steps):
+    found = []
+    for t in range(steps):
+        for _ in range(rng.integers(1, 5)):
+            x, y = rng.random(2) * 30
+            v = rng.normal(size=2)
+            found.append((float(t * 2), x, y, x + 40 + rng.random(), y + 40 + rng.random(), str(rng.choice(["anchor", "weak"])), (v / np.linalg.norm(v)).tolist()))
+    return pd.DataFrame(found, columns=["ts", "x1", "y1", "x2", "y2", "tier", "embedding"])
+
+
+def test_tracks_of_many_shots(spark):
+    """Linked times and chains give the tracks of a walk through each shot, numbered by shot, time and detection."""
+    rng = np.random.default_rng(11)
+    shots = [random_shot(rng, steps).assign(video_id=v, shot_id=s) for v in range(4) for s, steps in enumerate([1, 7, 40, 3])]
+    pdf = pd.concat(shots, ignore_index=True).reset_index(names="det_id")
+    expected, base = [], {}
+    for (video, _), part in pdf.groupby(["video_id", "shot_id"]):
+        track = track_shot(part.reset_index(drop=True), 0.3, 0.3) + base.get(video, 0)
+        base[video] = int(track.max()) + 1
+        expected += zip(part.det_id.tolist(), track.tolist(), strict=True)
+    df = spark.createDataFrame(pdf.sample(frac=1, random_state=1)).repartition(3)
+    assert rows(faces.build_tracks(df), "det_id", "track_id") == sorted(expected)
+    assert faces.build_tracks(df.limit(0)).count() == 0
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.integers(1, 5), st.integers(0, 10**6))
 def test_tracks_by_all_permutations(steps, seed):
@@ -355,7 +410,7 @@ def test_tracks_by_all_permutations(steps, seed):
             at.append(t)
     pdf = pd.DataFrame(found, columns=["ts", "x1", "y1", "x2", "y2", "tier", "embedding"])
     pdf["embedding"] = [v / np.linalg.norm(v) for v in pdf.embedding]
-    got = faces.track_shot(pdf, 0.3, 0.3)
+    got = track_shot(pdf, 0.3, 0.3)
 
     def cost(i, j):
         a, b = pdf.iloc[i], pdf.iloc[j]
