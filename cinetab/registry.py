@@ -329,8 +329,8 @@ def combine_signals(t):
 
 
 DEPTH = """, n AS (SELECT *, CASE WHEN lag(sim) OVER w IS NULL OR lag(sim) OVER w < sim THEN sim END AS l, CASE WHEN lead(sim) OVER w IS NULL OR lead(sim) OVER w < sim THEN sim END AS r FROM boundaries WINDOW w AS (PARTITION BY video_id ORDER BY shot_id)),
-    d AS (SELECT video_id, shot_id, time, sim, last_value(l IGNORE NULLS) OVER (PARTITION BY video_id ORDER BY shot_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - sim
-      + first_value(r IGNORE NULLS) OVER (PARTITION BY video_id ORDER BY shot_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) - sim AS depth FROM n) """
+    d AS (SELECT video_id, shot_id, time, sim, (last_value(l IGNORE NULLS) OVER (PARTITION BY video_id ORDER BY shot_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - sim)
+      + (first_value(r IGNORE NULLS) OVER (PARTITION BY video_id ORDER BY shot_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) - sim) AS depth FROM n) """
 
 
 @query(DEPTH + "SELECT video_id, shot_id, round(depth, 6) AS depth FROM d", ("boundaries",))
@@ -338,28 +338,76 @@ def depth_score(t):
     return segments.depth_score(t.boundaries).select("video_id", "shot_id", "depth")
 
 
-@query()
+#: Of each video: its boundaries in order, the depths with the bonus of each chapter in turn, then the walk over the deepest.
+BOOSTED = DEPTH + """, /* RECURSIVE */ ch AS (SELECT video_id, start_s, row_number() OVER (PARTITION BY video_id ORDER BY start_s) AS k FROM chapters WHERE start_s > 0),
+    al AS (SELECT video_id, list(shot_id ORDER BY time) AS ids, list(time ORDER BY time) AS ts, list(depth ORDER BY time) AS ds FROM d GROUP BY video_id),
+    bo AS (SELECT video_id, CAST(0 AS BIGINT) AS k, ds FROM al
+      UNION ALL SELECT bo.video_id, ch.k, list_transform(range(1, len(bo.ds) + 1), lambda i: bo.ds[i] + CASE WHEN abs(al.ts[i] - ch.start_s) <= 3 THEN 0.5 * list_aggregate(bo.ds, 'stddev_pop') ELSE 0 END)
+      FROM bo JOIN ch ON ch.video_id = bo.video_id AND ch.k = bo.k + 1 JOIN al ON al.video_id = bo.video_id),
+    bl AS (SELECT video_id, arg_max(ds, k) AS bs FROM bo GROUP BY video_id),
+    bd AS (SELECT al.video_id, unnest(ids) AS shot_id, unnest(ts) AS time, unnest(ds) AS depth, unnest(bs) AS boosted FROM al JOIN bl ON al.video_id = bl.video_id) """
+#: Scenes over a length fall apart at their deepest boundary, from ``iv(video_id, a, b)``; ``sp`` has the cuts.
+SPLIT = """, pt AS (SELECT video_id, list({{'boosted': boosted, 'before': -time}}) AS points FROM bd GROUP BY video_id),
+    fa AS (SELECT video_id, a, b, CAST(NULL AS DOUBLE) AS cut FROM iv
+      UNION ALL SELECT video_id, unnest([a, mid]), unnest([mid, b]), mid FROM (SELECT fa.video_id, a, b,
+        -list_max(list_filter(points, lambda p: -p.before >= fa.a + 30 AND -p.before <= fa.b - 30)).before AS mid FROM fa JOIN pt ON pt.video_id = fa.video_id WHERE b - a > {longest}) x WHERE mid IS NOT NULL),
+    sp AS (SELECT DISTINCT video_id, cut AS time FROM fa WHERE cut IS NOT NULL) """
+CUTS = BOOSTED + """, rk AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY boosted DESC, time) AS n FROM bd),
+    li AS (SELECT video_id, duration, greatest(0, round_even(duration / 90, 0) - 1) AS wanted, avg(depth) - 0.5 * stddev_pop(depth) AS least FROM bd JOIN videos USING (video_id) GROUP BY video_id, duration),
+    wk AS (SELECT video_id, CAST(0 AS BIGINT) AS n, [CAST(0 AS DOUBLE), duration] AS edges FROM li
+      UNION ALL SELECT wk.video_id, rk.n, CASE WHEN list_min(list_transform(wk.edges, lambda e: abs(e - rk.time))) >= 30 THEN list_append(wk.edges, rk.time) ELSE wk.edges END
+      FROM wk JOIN rk ON rk.video_id = wk.video_id AND rk.n = wk.n + 1 JOIN li ON li.video_id = wk.video_id WHERE len(wk.edges) - 2 < wanted AND boosted >= least),
+    ed AS (SELECT video_id, list_sort(arg_max(edges, n)) AS edges FROM wk GROUP BY video_id),
+    iv AS (SELECT video_id, unnest(edges[:-2]) AS a, unnest(edges[2:]) AS b FROM ed)""" + SPLIT.format(longest=300) + """,
+    cu AS (SELECT video_id, shot_id, time, depth FROM bd JOIN (SELECT video_id, b AS time FROM iv UNION SELECT * FROM sp) c USING (video_id, time)) """
+
+
+@query(CUTS + "SELECT video_id, shot_id, round(time, 6) AS time, round(depth, 6) AS depth FROM cu", ("boundaries", "videos", "chapters"))
 def select_cuts(t):
     return segments.select_cuts(segments.depth_score(t.boundaries), t.videos, t.chapters)
 
 
-@query()
+@query(
+    CUTS + """, od AS (SELECT d.*, row_number() OVER (PARTITION BY d.video_id ORDER BY d.depth DESC, d.time) AS n FROM d LEFT JOIN cu USING (video_id, shot_id) WHERE cu.time IS NULL),
+    pk AS (SELECT video_id, CAST(0 AS BIGINT) AS n, coalesce(list(time) FILTER (WHERE time IS NOT NULL), []) AS times FROM (SELECT DISTINCT video_id FROM d) v LEFT JOIN cu USING (video_id) GROUP BY video_id
+      UNION ALL SELECT pk.video_id, od.n, CASE WHEN coalesce(list_min(list_transform(pk.times, lambda t: abs(t - od.time))), 15) >= 15 THEN list_append(pk.times, od.time) ELSE pk.times END
+      FROM pk JOIN od ON od.video_id = pk.video_id AND od.n = pk.n + 1 WHERE len(pk.times) < 60),
+    pl AS (SELECT video_id, unnest(arg_max(times, n)) AS time FROM pk GROUP BY video_id)
+    SELECT video_id, CAST(row_number() OVER (PARTITION BY video_id ORDER BY pl.time) AS INT) AS cid, d.shot_id, round(pl.time, 6) AS time, round(round(d.depth, 3), 6) AS depth, cu.time IS NOT NULL AS chosen_locally
+    FROM pl JOIN d USING (video_id, time) LEFT JOIN cu USING (video_id, time)""",
+    ("boundaries", "videos", "chapters"),
+)
 def refine_candidates(t):
     depth = segments.depth_score(t.boundaries)
     return segments.refine_candidates(depth, segments.select_cuts(depth, t.videos, t.chapters))
 
 
-@query()
+@query(
+    CUTS + """, ms AS (SELECT video_id, CAST(0 AS BIGINT) AS n, list({'time': time, 'depth': coalesce(depth, 0)} ORDER BY time) AS cuts FROM cu GROUP BY video_id
+      UNION ALL SELECT video_id, n + 1, list_concat(cuts[:gone - 1], cuts[gone + 1:]) FROM (
+        SELECT video_id, n, cuts, CASE WHEN pos = 1 THEN 1 WHEN pos > len(cuts) THEN len(cuts) WHEN cuts[pos - 1].depth <= cuts[pos].depth THEN pos - 1 ELSE pos END AS gone FROM (
+          SELECT *, list_position(lengths, list_min(lengths)) AS pos FROM (
+            SELECT ms.video_id, n, cuts, list_transform(range(1, len(cuts) + 2), lambda i: coalesce(cuts[i].time, duration) - CASE WHEN i = 1 THEN 0 ELSE cuts[i - 1].time END) AS lengths
+            FROM ms JOIN videos ON videos.video_id = ms.video_id WHERE len(cuts) > 0) x WHERE list_min(lengths) < 30) y) z),
+    mk AS (SELECT video_id, unnest(arg_max(cuts, n), recursive := true) FROM ms GROUP BY video_id)
+    SELECT video_id, round(time, 6) AS time, round(depth, 6) AS depth FROM mk""",
+    ("boundaries", "videos", "chapters"),
+)
 def enforce_min_scene(t):
     return segments.enforce_min_scene(segments.select_cuts(segments.depth_score(t.boundaries), t.videos, t.chapters), t.videos)
 
 
-@query()
+@query(BOOSTED + "SELECT video_id, shot_id, round(time, 6) AS time, round(depth, 6) AS depth, round(boosted, 6) AS boosted FROM bd", ("boundaries", "chapters"))
 def chapter_bonus(t):
     return segments.chapter_bonus(segments.depth_score(t.boundaries), t.chapters)
 
 
-@query()
+@query(
+    BOOSTED + """, gv AS (SELECT video_id, time FROM bounds WHERE shot_id % 150 = 0), ea AS (SELECT video_id, CAST(0 AS DOUBLE) AS time FROM (SELECT DISTINCT video_id FROM bd) v UNION SELECT * FROM gv UNION SELECT video_id, duration FROM videos),
+    iv AS (SELECT * FROM (SELECT video_id, time AS a, lead(time) OVER (PARTITION BY video_id ORDER BY time) AS b FROM ea) x WHERE b IS NOT NULL)""" + SPLIT.format(longest=120) + """
+    SELECT video_id, shot_id, round(time, 6) AS time FROM bd JOIN (SELECT * FROM gv UNION SELECT * FROM sp) c USING (video_id, time)""",
+    ("boundaries", "bounds", "videos", "chapters"),
+)
 def split_long(t):
     """Long scenes of every fifteenth cut that the bonus would choose from."""
     depth = segments.depth_score(t.boundaries)
