@@ -367,32 +367,49 @@ def select_cuts(t):
     return segments.select_cuts(segments.depth_score(t.boundaries), t.videos, t.chapters)
 
 
-@query(
-    CUTS + """, od AS (SELECT d.*, row_number() OVER (PARTITION BY d.video_id ORDER BY d.depth DESC, d.time) AS n FROM d LEFT JOIN cu USING (video_id, shot_id) WHERE cu.time IS NULL),
+CANDIDATES = CUTS + """, od AS (SELECT d.*, row_number() OVER (PARTITION BY d.video_id ORDER BY d.depth DESC, d.time) AS n FROM d LEFT JOIN cu USING (video_id, shot_id) WHERE cu.time IS NULL),
     pk AS (SELECT video_id, CAST(0 AS BIGINT) AS n, coalesce(list(time) FILTER (WHERE time IS NOT NULL), []) AS times FROM (SELECT DISTINCT video_id FROM d) v LEFT JOIN cu USING (video_id) GROUP BY video_id
       UNION ALL SELECT pk.video_id, od.n, CASE WHEN coalesce(list_min(list_transform(pk.times, lambda t: abs(t - od.time))), 15) >= 15 THEN list_append(pk.times, od.time) ELSE pk.times END
       FROM pk JOIN od ON od.video_id = pk.video_id AND od.n = pk.n + 1 WHERE len(pk.times) < 60),
-    pl AS (SELECT video_id, unnest(arg_max(times, n)) AS time FROM pk GROUP BY video_id)
-    SELECT video_id, CAST(row_number() OVER (PARTITION BY video_id ORDER BY pl.time) AS INT) AS cid, d.shot_id, round(pl.time, 6) AS time, round(round(d.depth, 3), 6) AS depth, cu.time IS NOT NULL AS chosen_locally
-    FROM pl JOIN d USING (video_id, time) LEFT JOIN cu USING (video_id, time)""",
-    ("boundaries", "videos", "chapters"),
-)
-def refine_candidates(t):
-    depth = segments.depth_score(t.boundaries)
-    return segments.refine_candidates(depth, segments.select_cuts(depth, t.videos, t.chapters))
-
-
-@query(
-    CUTS + """, ms AS (SELECT video_id, CAST(0 AS BIGINT) AS n, list({'time': time, 'depth': coalesce(depth, 0)} ORDER BY time) AS cuts FROM cu GROUP BY video_id
+    pl AS (SELECT video_id, unnest(arg_max(times, n)) AS time FROM pk GROUP BY video_id),
+    cd AS (SELECT video_id, CAST(row_number() OVER (PARTITION BY video_id ORDER BY pl.time) AS INT) AS cid, d.shot_id, pl.time, round(d.depth, 3) AS depth, cu.time IS NOT NULL AS chosen_locally
+      FROM pl JOIN d USING (video_id, time) LEFT JOIN cu USING (video_id, time))"""
+#: Without the edges of short scenes, from the cuts of a table; ``mk`` has the rest.
+SHORT = """, ms AS (SELECT video_id, CAST(0 AS BIGINT) AS n, list({{'time': time, 'depth': coalesce(depth, 0)}} ORDER BY time) AS cuts FROM {cuts} GROUP BY video_id
       UNION ALL SELECT video_id, n + 1, list_concat(cuts[:gone - 1], cuts[gone + 1:]) FROM (
         SELECT video_id, n, cuts, CASE WHEN pos = 1 THEN 1 WHEN pos > len(cuts) THEN len(cuts) WHEN cuts[pos - 1].depth <= cuts[pos].depth THEN pos - 1 ELSE pos END AS gone FROM (
           SELECT *, list_position(lengths, list_min(lengths)) AS pos FROM (
             SELECT ms.video_id, n, cuts, list_transform(range(1, len(cuts) + 2), lambda i: coalesce(cuts[i].time, duration) - CASE WHEN i = 1 THEN 0 ELSE cuts[i - 1].time END) AS lengths
             FROM ms JOIN videos ON videos.video_id = ms.video_id WHERE len(cuts) > 0) x WHERE list_min(lengths) < 30) y) z),
-    mk AS (SELECT video_id, unnest(arg_max(cuts, n), recursive := true) FROM ms GROUP BY video_id)
-    SELECT video_id, round(time, 6) AS time, round(depth, 6) AS depth FROM mk""",
+    mk AS (SELECT video_id, unnest(arg_max(cuts, n), recursive := true) FROM ms GROUP BY video_id)"""
+#: Cuts of a table moved back: how far each would move by the length of its run, then cut after cut; ``sn`` has both times.
+SNAP = """, sf AS (SELECT DISTINCT video_id, shot_id FROM faces), sv AS (SELECT video_id, shot_id, CAST(embedding AS DOUBLE[]) AS e FROM shot_vecs),
+    cn AS (SELECT video_id, id AS b, start_s AS sb, row_number() OVER (PARTITION BY video_id ORDER BY id) AS n FROM shots JOIN (SELECT DISTINCT video_id, round(time, 4) AS at4 FROM {cuts}) c USING (video_id) WHERE round(start_s, 4) = at4),
+    bk AS (SELECT cn.video_id, b, k, p.start_s AS sp, p.id >= 1 AND sf.shot_id IS NULL AND sb - p.start_s <= 15 AS fits FROM cn CROSS JOIN range(1, 5) x(k)
+      LEFT JOIN shots p ON p.video_id = cn.video_id AND p.id = b - k LEFT JOIN sf ON sf.video_id = cn.video_id AND sf.shot_id = b - k),
+    fl AS (SELECT video_id, b, list({{'fits': fits, 'sp': sp}} ORDER BY k) AS flags FROM bk GROUP BY video_id, b),
+    lk AS (SELECT bk.video_id, b, k, o.shot_id - b AS off, list_dot_product(j.e, o.e) AS sim FROM bk JOIN sv j ON j.video_id = bk.video_id AND j.shot_id = b - k
+      JOIN sv o ON o.video_id = bk.video_id AND o.shot_id >= b - 10 AND o.shot_id < b + 6),
+    nb AS (SELECT video_id, b, r, k, coalesce(max(sim) FILTER (WHERE off >= -r - 6 AND off < -r), '-infinity') > coalesce(max(sim) FILTER (WHERE off >= 0), '-infinity') AS stays FROM lk JOIN range(1, 5) y(r) ON k <= r GROUP BY video_id, b, r, k),
+    mv AS (SELECT video_id, b, r, coalesce(min(k) FILTER (WHERE stays) - 1, r) AS moves FROM nb GROUP BY video_id, b, r),
+    sw AS (SELECT video_id, CAST(0 AS BIGINT) AS n, CAST(0 AS DOUBLE) AS held, CAST(NULL AS DOUBLE) AS sb FROM cn WHERE n = 1
+      UNION ALL SELECT q.video_id, q.n, s.start_s, q.sb FROM (SELECT cn.video_id, cn.n, cn.b, cn.sb,
+        coalesce(list_position(list_transform(fl.flags, lambda x: coalesce(x.fits AND x.sp - sw.held >= 30, false)), false) - 1, 4) AS r
+        FROM sw JOIN cn ON cn.video_id = sw.video_id AND cn.n = sw.n + 1 JOIN fl ON fl.video_id = cn.video_id AND fl.b = cn.b) q
+        LEFT JOIN mv ON mv.video_id = q.video_id AND mv.b = q.b AND mv.r = q.r JOIN shots s ON s.video_id = q.video_id AND s.id = q.b - coalesce(mv.moves, 0)),
+    sn AS (SELECT video_id, held AS time, sb AS from_time FROM sw WHERE n > 0)"""
+
+
+@query(
+    CANDIDATES + "SELECT video_id, cid, shot_id, round(time, 6) AS time, round(depth, 6) AS depth, chosen_locally FROM cd",
     ("boundaries", "videos", "chapters"),
 )
+def refine_candidates(t):
+    depth = segments.depth_score(t.boundaries)
+    return segments.refine_candidates(depth, segments.select_cuts(depth, t.videos, t.chapters))
+
+
+@query(CUTS + SHORT.format(cuts="cu") + "SELECT video_id, round(time, 6) AS time, round(depth, 6) AS depth FROM mk", ("boundaries", "videos", "chapters"))
 def enforce_min_scene(t):
     return segments.enforce_min_scene(segments.select_cuts(segments.depth_score(t.boundaries), t.videos, t.chapters), t.videos)
 
@@ -415,18 +432,23 @@ def split_long(t):
     return segments.split_long(segments.chapter_bonus(depth, t.chapters), cuts, t.videos, max_scene=120.0)
 
 
-@query()
+@query(", /* RECURSIVE */ " + SNAP.format(cuts="cuts")[2:] + "SELECT video_id, round(time, 6) AS time, round(from_time, 6) AS from_time FROM sn", ("cuts", "shots", "faces", "shot_vecs"))
 def snap_establishing(t):
-    return segments.snap_establishing(t.cuts, t.shots, t.faces.where("tier = 'anchor'"), t.shot_vecs)
+    return segments.snap_establishing(t.cuts, t.shots, t.faces, t.shot_vecs)
 
 
-@query()
+@query(
+    CANDIDATES + ", kp AS (SELECT * FROM cd WHERE cid % 2 = 1)" + SHORT.format(cuts="kp") + SNAP.format(cuts="mk") + """,
+    sc AS (SELECT shots.*, count(sn.time) OVER (PARTITION BY shots.video_id ORDER BY id) AS scene FROM shots LEFT JOIN (SELECT DISTINCT video_id, time FROM sn) sn ON sn.video_id = shots.video_id AND round(sn.time, 4) = round(start_s, 4) AND id > 0)
+    SELECT video_id, scene AS id, round(min(start_s), 6) AS start_s, round(max(end_s), 6) AS end_s, min(id) AS first_shot, max(id) AS last_shot FROM sc GROUP BY video_id, scene""",
+    ("boundaries", "videos", "chapters", "shots", "faces", "shot_vecs"),
+)
 def apply_refinement(t):
-    """Every second candidate is kept; detections are the anchors."""
+    """Every second candidate is kept."""
     depth = segments.depth_score(t.boundaries)
     candidates = segments.refine_candidates(depth, segments.select_cuts(depth, t.videos, t.chapters))
     answers = t.videos.select("video_id", F.array(*[F.lit(k) for k in range(1, 200, 2)]).alias("keep"))
-    return segments.apply_refinement(candidates, answers, t.videos, t.shots, t.faces.where("tier = 'anchor'"), t.shot_vecs)
+    return segments.apply_refinement(candidates, answers, t.videos, t.shots, t.faces, t.shot_vecs)
 
 
 @query("SELECT video_id, id AS cid FROM shots WHERE id % 5 = 0", ("shots",))
