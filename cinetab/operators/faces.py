@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -309,16 +310,32 @@ def group_centroids(faces: DataFrame) -> DataFrame:
     return mean.select("video_id", "group", unit(F.col("m")).alias("centroid"))
 
 
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    return np.stack([np.asarray(v, float) for v in column.to_pylist()])
+
+
+def _nearest_groups(table: pa.Table) -> pa.Table:
+    """Of each centroid of one video the nearest other one, in blocks, ties to the smaller group; a video's only group has none."""
+    step = 512
+    table = table.sort_by("group")
+    group, x, rows = table.column("group").to_numpy(), _matrix(table.column("centroid")), []
+    for at in range(0, len(x) if len(x) > 1 else 0, step):
+        cos = x[at : at + step] @ x.T
+        cos[np.arange(len(cos)), at + np.arange(len(cos))] = -np.inf
+        best = cos.argmax(axis=1)
+        rows += zip(group[at : at + step].tolist(), group[best].tolist(), cos[np.arange(len(cos)), best].tolist(), strict=True)
+    columns = list(zip(*rows, strict=True)) or [[], [], []]
+    video = pa.array([table.column("video_id")[0].as_py()] * len(rows), pa.int64())
+    return pa.table([video, pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.float64())], ["video_id", "group", "nearest_group", "nearest_cos"])
+
+
 def group_stats(faces: DataFrame) -> DataFrame:
     """(video_id, group, detections, tracks, mean_cos_to_centroid, nearest_group, nearest_cos) of groups with anchors."""
     centre = group_centroids(faces)
     counts = faces.where("group > 0").groupBy("video_id", "group").agg(F.count("*").alias("detections"), F.count_distinct("track_id").alias("tracks"))
     own = faces.where("group > 0 and tier = 'anchor'").join(centre, ["video_id", "group"])
     own = own.groupBy("video_id", "group").agg(F.avg(dot(F.col("embedding"), F.col("centroid"))).alias("mean_cos_to_centroid"))
-    other = centre.select("video_id", F.col("group").alias("nearest_group"), F.col("centroid").alias("c2"))
-    near = centre.join(other, "video_id").where("group <> nearest_group").withColumn("cos", dot(F.col("centroid"), F.col("c2")))
-    near = near.groupBy("video_id", "group").agg(F.max(F.struct("cos", -F.col("nearest_group"))).alias("m"))
-    near = near.select("video_id", "group", (-F.col("m.col2")).alias("nearest_group"), F.col("m.cos").alias("nearest_cos"))
+    near = centre.groupBy("video_id").applyInArrow(_nearest_groups, "video_id long, group int, nearest_group int, nearest_cos double")
     return counts.join(own, ["video_id", "group"]).join(near, ["video_id", "group"], "left").fillna(0.0, ["nearest_cos"])
 
 
@@ -357,11 +374,29 @@ def grouping_signature(faces: DataFrame) -> DataFrame:
     return faces.groupBy("video_id").agg(F.left(F.sha2(text, 256), F.lit(16)).alias("signature"))
 
 
-def identity_agreement(crops: DataFrame, centroids: DataFrame) -> DataFrame:
-    """(video_id, group, total, agreeing): crops whose nearest centroid is their own group's; ties to the smaller group."""
-    near = crops.where("embedding is not null").join(centroids.withColumnRenamed("group", "other"), "video_id")
-    best = near.groupBy("video_id", "group", "crop_id").agg(F.max(F.struct(dot(F.col("embedding"), F.col("centroid")).alias("cos"), (-F.col("other")).alias("o"))).alias("m"))
-    return best.groupBy("video_id", "group").agg(F.count("*").alias("total"), F.count_if(-F.col("m.o") == F.col("group")).alias("agreeing"))
+def identity_agreement(crops: DataFrame, centroids: DataFrame, block: int = 1024) -> DataFrame:
+    """(video_id, group, total, agreeing): crops whose nearest centroid is their own group's; ties to the smaller group.
+
+    Crops are dealt into blocks of some ``block`` rows, each of which meets its video's centroids as one matrix and gives a row a group.
+    """
+    crops = crops.where("embedding IS NOT NULL").select("video_id", "crop_id", F.col("group").cast("int").alias("group"), "embedding")
+    sizes = crops.groupBy("video_id").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    dealt = crops.join(sizes, "video_id").select("video_id", F.pmod(F.xxhash64("crop_id"), F.col("blocks")).cast("int").alias("block"), "group", "embedding")
+    known = centroids.join(sizes, "video_id").select(F.col("video_id").alias("of_video"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("of_block"), F.col("group").cast("int").alias("other"), "centroid")
+
+    def score(rows: pa.Table, middles: pa.Table) -> pa.Table:
+        names = ["video_id", "group", "total", "agreeing"]
+        if not len(rows) or not len(middles):
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64())], names)
+        middles = middles.sort_by("other")
+        best = middles.column("other").to_numpy()[(_matrix(rows.column("embedding")) @ _matrix(middles.column("centroid")).T).argmax(axis=1)]
+        own = rows.column("group").to_numpy()
+        groups, at = np.unique(own, return_inverse=True)
+        counts = [np.bincount(at, minlength=len(groups)), np.bincount(at[best == own], minlength=len(groups))]
+        return pa.table([pa.array([rows.column("video_id")[0].as_py()] * len(groups), pa.int64()), pa.array(groups, pa.int32()), *(pa.array(c, pa.int64()) for c in counts)], names)
+
+    found = dealt.groupBy("video_id", "block").cogroup(known.groupBy("of_video", "of_block")).applyInArrow(score, "video_id long, group int, total long, agreeing long")
+    return found.groupBy("video_id", "group").agg(F.sum("total").alias("total"), F.sum("agreeing").alias("agreeing"))
 
 
 def agreement_summary(agreement: DataFrame, lowest: int = 3) -> DataFrame:

@@ -63,9 +63,11 @@ def same_frame_pairs(tracks: DataFrame) -> DataFrame:
     return left.join(right, ["video_id", "ts"]).where("a < b").select("video_id", "a", "b").distinct()
 
 
-def neighbour_pairs(shots: DataFrame, window: int = 6) -> DataFrame:
-    """Pairs i < j with j - i <= 2 * window - 1 in one video, by an equi-join on each of the few distances."""
-    left = shots.select("video_id", F.col("shot_id").alias("i"), F.col("embedding").alias("left_vec"))
-    left = left.withColumn("j", F.explode(F.sequence(F.col("i") + 1, F.col("i") + 2 * window - 1)))
-    right = shots.select("video_id", F.col("shot_id").alias("j"), F.col("embedding").alias("right_vec"))
-    return left.join(right, ["video_id", "j"])
+def neighbour_blocks(shots: DataFrame, window: int = 6, block: int = 256) -> DataFrame:
+    """(video_id, block, shot_id, embedding): runs of ``block`` shots, each with the ``window`` shots on either side.
+
+    A shot is in its own block and, near an end, in the next one as well, so 1 + 2 * window / block copies are shuffled; all pairs around a
+    boundary of a block are then in that block, to be compared as one matrix.
+    """
+    first, last = F.floor((F.col("shot_id") - window) / block), F.floor((F.col("shot_id") + window) / block)
+    return shots.select("video_id", F.explode(F.sequence(first, last)).alias("block"), F.col("shot_id").cast("long").alias("shot_id"), F.col("embedding").cast("array<double>").alias("embedding"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from . import fixtures
 from .functions import expr
 from .operators import checks, evidence, export, faces, identities, joins, segments, timeline
 from .plans import jobs
-from .sources import io
+from .sources import crops, io
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
@@ -304,6 +305,18 @@ def text_similarity(t):
     return segments.text_similarity(texts, _text_vectors(t, texts))
 
 
+@query(
+    TEXTS + """, en AS (SELECT *, list_transform(['a', 'e', 'i', 'o', 'u'], lambda c: CAST(length(left_text) - length(replace(left_text, c, '')) + 1 AS DOUBLE)) AS l,
+      list_transform(['a', 'e', 'i', 'o', 'u'], lambda c: CAST(length(right_text) - length(replace(right_text, c, '')) + 1 AS DOUBLE)) AS r FROM bt)
+    SELECT video_id, shot_id, CASE WHEN left_text <> '' AND right_text <> '' THEN round(list_cosine_similarity(l, r), 6) END AS sim_t FROM en""",
+    ("bounds", "segments"),
+)
+def encode_texts(t):
+    """Texts are encoded as counts of vowels."""
+    texts = segments.boundary_text(t.segments, t.bounds)
+    return segments.text_similarity(texts, segments.encode_texts(texts, lambda some: [[x.count(c) + 1 for c in "aeiou"] for x in some]))
+
+
 @query(
     """, v AS (SELECT video_id, shot_id, CASE WHEN shot_id % 7 = 0 THEN NULL ELSE sim END AS sim FROM boundaries)
     SELECT video_id, shot_id, CASE WHEN sim IS NULL THEN NULL WHEN count(sim) OVER w < 2 OR stddev_pop(sim) OVER w = 0 THEN 0.0 ELSE round((sim - avg(sim) OVER w) / stddev_pop(sim) OVER w, 6) END AS z
@@ -895,6 +908,19 @@ def write_output_json(t):
     return _opened(t.spark.read.schema(docs.schema).json(path))
 
 
+@query(
+    """, n AS (SELECT video_id, count(*) AS detections, max(ts) AS last_ts FROM faces GROUP BY video_id), c AS (SELECT video_id, count(*) AS scenes FROM scenes GROUP BY video_id)
+    SELECT video_id, detections, round(last_ts, 6) AS last_ts, scenes FROM n JOIN c USING (video_id)""",
+    ("faces", "scenes"),
+)
+def write_bucketed(t):
+    """Two tables in buckets by video, joined without an exchange."""
+    name = f"cinetab_{uuid.uuid4().hex}"
+    found = io.write_bucketed(t.faces, f"{name}_faces", 8, ("ts",)).groupBy("video_id").agg(F.count("*").alias("detections"), F.max("ts").alias("last_ts"))
+    tiles = io.write_bucketed(t.scenes, f"{name}_scenes", 8, ("id",)).groupBy("video_id").agg(F.count("*").alias("scenes"))
+    return found.join(tiles, "video_id")
+
+
 @query("SELECT video_id, det_id, ts, grp FROM faces", ("faces",))
 def read_table(t):
     """Faces written by video to the shared folder, four columns of them read back."""
@@ -977,6 +1003,19 @@ def check_files(t):
     return checks.check_files(files, made)
 
 
+@query(
+    MANIFEST + """SELECT video_id, path, CAST(scene_id AS INT) AS scene_id, CASE WHEN det_id IS NOT NULL THEN CAST(regexp_extract(path, 'group([0-9]+)', 1) AS INT) END AS grp,
+    CASE WHEN det_id IS NOT NULL THEN round(CAST(regexp_extract(path, 't([0-9.]+)[.]jpg', 1) AS DOUBLE), 6) END AS ts, CAST(coalesce(length('crop ' || CAST(det_id AS VARCHAR)), 0) AS BIGINT) AS length FROM man""",
+    ("appearances", "scenes"),
+)
+def crop_listing(t):
+    """The manifest's files, written by tasks and listed again; what stands for a crop is its detection's number."""
+    made = export.crop_manifest(export.scene_appearances(t.faces, t.scenes), t.scenes)
+    root = io.scratch_path(t.spark, "crops")
+    crops.write_crops(made.select("video_id", "path", F.concat(F.lit("crop "), "det_id").alias("content")), root)
+    return crops.list_crops(t.spark, root)
+
+
 @query(
     """SELECT video_id, 'folders' AS "check", 'error' AS severity, '999/orphan.jpg' AS entity, 'unexpected folder' AS detail FROM videos""",
     ("videos",),
