@@ -43,8 +43,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (SELECT conv_id, turn, text, length(text) - length(replace(text, ' ', '')) + 1 AS n FROM conversations) a) b"""),
     "chapters": (("ev",), "SELECT video_id, 'chapter' AS title, t AS start_s, t + 60 AS end_s FROM ev WHERE event_type = 'signup' AND event_id % 50 = 0"),
     "n_vecs": ((), "SELECT count(*) AS n FROM embeddings"),
-    "shot_vecs": (("shots", "n_vecs"), """SELECT s.video_id, s.id AS shot_id, e.embedding FROM shots s JOIN n_vecs c ON true
-        JOIN embeddings e ON e.vec_id = (s.video_id * 97 + s.id) % c.n"""),
+    "shot_vecs": (("shots", "n_vecs"), """SELECT s.video_id, s.shot_id, e.embedding FROM (SELECT video_id, id AS shot_id, (video_id * 97 + id) % (SELECT n FROM n_vecs) AS vec_id FROM shots) s
+        JOIN embeddings e ON e.vec_id = s.vec_id"""),
     "bounds": (("shots",), "SELECT video_id, id AS shot_id, start_s AS time FROM shots WHERE id >= 1"),
     "boundaries": (("ev", "shots"), """SELECT s.video_id, s.id AS shot_id, s.start_s AS time, CAST(floor(min(e.value)) AS BIGINT) % 10 / CAST(10 AS DOUBLE) AS sim
         FROM shots s JOIN ev e ON e.video_id = s.video_id AND e.t = s.start_s WHERE s.id >= 1 GROUP BY s.video_id, s.id, s.start_s"""),

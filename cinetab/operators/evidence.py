@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import clip_text, hms, normalise_group
+from ..sources.io import checkpointed
 from .joins import band_join, interval_join
 
 
@@ -101,6 +103,22 @@ def cache_lookup(keys: DataFrame, cache: DataFrame, models: list[str]) -> DataFr
     return hit.where("_r = 1").select("request_id", "model", "text")
 
 
+def append_answers(answers: DataFrame, path: str) -> None:
+    """Add ``answers(key, text)`` to the cache at ``path``, but for keys that it has: what is there stays, and adding again adds nothing.
+
+    Of several answers to one key the smallest text is taken. The cache is written once, at the end, so a failed run leaves it as it was.
+    """
+    fresh = answers.groupBy("key").agg(F.min("text").alias("text"))
+    try:
+        known = answers.sparkSession.read.parquet(path).select("key")
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    else:
+        fresh = checkpointed(fresh.join(known, "key", "left_anti"))
+    fresh.write.mode("append").parquet(path)
+
+
 def pending_requests(keys: DataFrame, cache: DataFrame) -> DataFrame:
     """(request_id) of requests without a cached answer of any model."""
     done = keys.join(cache.select("key"), "key", "left_semi").select("request_id").distinct()

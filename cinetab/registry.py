@@ -13,6 +13,7 @@ from .functions import expr
 from .operators import checks, evidence, export, faces, identities, joins, segments, timeline
 from .plans import jobs
 from .sources import crops, io
+from .sources.session import prepared
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
@@ -22,7 +23,7 @@ class Tables:
     """Derived tables by name, as attributes."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = prepared(spark), sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in fixtures.VIEWS:
@@ -36,8 +37,7 @@ class Tables:
 
     def detections(self) -> DataFrame:
         """Kept detections with vectors."""
-        n = self.n_vecs
-        f = self.faces.join(n, F.lit(True)).withColumn("vec_id", F.col("det_id") % F.col("n")).drop("n")
+        f = self.faces.withColumn("vec_id", F.col("det_id") % self.n_vecs.scalar())
         return f.join(self.read("embeddings").select("vec_id", "embedding"), "vec_id").drop("vec_id")
 
 
@@ -120,7 +120,34 @@ def scenes_from_cuts(t):
     return timeline.scenes_from_cuts(t.shots, t.cuts, titles)
 
 
-@query()
+def _middle(start: str, end: str) -> str:
+    """The place in a video's list of frames of the one in the middle of a tile."""
+    return f"CAST(1 + least(fr.n - 1, floor((floor({start} * 25) + greatest(floor({start} * 25) + 1, floor({end} * 25))) / 2)) AS BIGINT)"
+
+
+def _apart(a: str, b: str) -> str:
+    """The distance of two histograms of four bins."""
+    return f"CASE WHEN list_sum({a}) * list_sum({b}) > 0 THEN sqrt(greatest(0, 1 - list_sum(list_transform(range(1, 5), lambda k: sqrt({a}[k] * {b}[k]))) / sqrt(list_sum({a}) * list_sum({b})))) ELSE 1 END"
+
+
+#: Edges and looks of each video's tiles, and the distances of neighbours; a step takes away the edge between the first tiny tile and the neighbour that it looks like.
+@query(
+    """, /* RECURSIVE */ hot AS (SELECT video_id, frame_idx, frame_idx - row_number() OVER (PARTITION BY video_id ORDER BY frame_idx) AS i FROM frame_probs WHERE prob > 0.5),
+    r AS (SELECT video_id, (round_even((min(frame_idx) + max(frame_idx)) / 2.0, 0) + 1) / 25.0 AS b FROM hot GROUP BY video_id, i),
+    st AS (SELECT r.video_id, CAST(round(b, 4) AS DOUBLE) AS e FROM r JOIN fvideos v ON r.video_id = v.video_id WHERE b > 0 AND b < duration UNION SELECT video_id, CAST(0 AS DOUBLE) FROM fvideos UNION SELECT video_id, duration FROM fvideos),
+    fr AS (SELECT video_id, list([h0, h1, h2, h3] ORDER BY frame_idx) AS h, count(*) AS n FROM frame_looks GROUP BY video_id),
+    s0 AS (SELECT video_id, list(e ORDER BY e) AS edges FROM st GROUP BY video_id),
+    s1 AS (SELECT s0.video_id, edges, list_transform(range(1, len(edges)), lambda i: fr.h[{at}]) AS looks FROM s0 JOIN fr ON fr.video_id = s0.video_id),
+    tl AS (SELECT video_id, CAST(0 AS BIGINT) AS step, edges, looks, list_transform(range(1, len(looks)), lambda i: {d_all}) AS d FROM s1
+      UNION ALL SELECT video_id, step + 1, list_concat(edges[:b - 1], edges[b + 1:]), list_concat(list_append(CASE WHEN b > 2 THEN looks[:b - 2] ELSE [] END, look), looks[b + 1:]),
+        list_concat(CASE WHEN b > 3 THEN d[:b - 3] ELSE [] END, list_concat(CASE WHEN b > 2 THEN [{d_left}] ELSE [] END, list_concat(CASE WHEN b < len(looks) THEN [{d_right}] ELSE [] END, d[b + 1:]))) FROM (
+        SELECT z.*, list_transform([b - 1], lambda i: fr.h[{at_merged}])[1] AS look FROM (
+          SELECT video_id, step, edges, looks, d, list_filter(list_transform(range(1, len(edges)), lambda i: CASE WHEN edges[i + 1] - edges[i] >= 0.2 THEN NULL
+            WHEN coalesce(d[i - 1], 9) <= coalesce(d[i], 9) THEN CASE WHEN d[i - 1] < 0.3 THEN i END WHEN d[i] < 0.3 THEN i + 1 END), lambda x: x IS NOT NULL)[1] AS b FROM tl) z JOIN fr ON fr.video_id = z.video_id WHERE b IS NOT NULL) y),
+    fe AS (SELECT video_id, arg_max(edges, step) AS edges FROM tl GROUP BY video_id)
+    SELECT video_id, unnest(range(0, len(edges) - 1)) AS id, round(unnest(edges[:-2]), 6) AS start_s, round(unnest(edges[2:]), 6) AS end_s FROM fe""".format(at=_middle("edges[i]", "edges[i + 1]"), at_merged=_middle("edges[i]", "edges[i + 2]"), d_all=_apart("looks[i]", "looks[i + 1]"), d_left=_apart("looks[b - 2]", "look"), d_right=_apart("look", "looks[b + 1]")),
+    ("frame_probs", "frame_looks", "fvideos"),
+)
 def merge_tiny_shots(t):
     looks = t.frame_looks.select("video_id", "frame_idx", F.array(*[f"h{k}" for k in range(4)]).alias("hist"))
     shots = timeline.shots_from_boundaries(timeline.transition_boundaries(t.frame_probs, t.fvideos), t.fvideos)
@@ -464,16 +491,23 @@ def apply_refinement(t):
     return segments.apply_refinement(candidates, answers, t.videos, t.shots, t.faces, t.shot_vecs)
 
 
-@query("SELECT video_id, id AS cid FROM shots WHERE id % 5 = 0", ("shots",))
+@query("SELECT video_id, id AS cid FROM shots WHERE EXISTS (SELECT 1 FROM ev WHERE ev.video_id = shots.video_id AND ev.event_id % 300 = id AND ev.value > 100)", ("ev", "shots"))
 def kept_candidates(t):
-    answers = t.shots.where("id % 5 = 0").groupBy("video_id").agg(F.concat(F.collect_list(F.col("id").cast("int")), F.array(F.lit(5), F.lit(999999))).alias("keep"))
+    """Events name the ids to keep: some twice, some of no shot."""
+    answers = t.ev.where("value > 100").groupBy("video_id").agg(F.collect_list((F.col("event_id") % 300).cast("int")).alias("keep"))
     return segments.kept_candidates(t.shots.select("video_id", F.col("id").cast("int").alias("cid")), answers)
 
 
-@query("SELECT video_id, CASE WHEN video_id % 2 = 0 AND max(id) >= 1 THEN 'refined' ELSE 'local' END AS method FROM scenes GROUP BY video_id", ("scenes",))
+@query(
+    """, q AS (SELECT shots.video_id, shots.id, count(b.time) OVER (PARTITION BY shots.video_id ORDER BY shots.id) AS scene FROM shots LEFT JOIN boundaries b ON b.video_id = shots.video_id AND b.shot_id = shots.id AND shots.id % 30 = 0 AND b.sim < 0.7),
+    x AS (SELECT video_id, min(id) AS first_shot, max(id) AS last_shot FROM q GROUP BY video_id, scene), y AS (SELECT video_id, first_shot, last_shot FROM scenes),
+    z AS ((SELECT * FROM x EXCEPT SELECT * FROM y) UNION ALL (SELECT * FROM y EXCEPT SELECT * FROM x))
+    SELECT DISTINCT video_id, CASE WHEN video_id IN (SELECT video_id FROM z) THEN 'refined' ELSE 'local' END AS method FROM scenes""",
+    ("shots", "boundaries", "scenes"),
+)
 def scene_method(t):
-    refined = t.scenes.where("video_id % 2 = 1 or id <> 1")
-    return segments.scene_method(t.scenes, refined)
+    """Refined scenes lack the cuts between shots that are alike."""
+    return segments.scene_method(t.scenes, timeline.scenes_from_cuts(t.shots, t.boundaries.where("shot_id % 30 = 0 AND sim < 0.7").select("video_id", "time")))
 
 
 def _unit(raw: str) -> str:
@@ -736,10 +770,15 @@ def _keys(t):
     return evidence.request_key(rows)
 
 
-def _cache(keys):
-    """Main answers for requests divisible by 3, spare ones for those divisible by 2."""
-    hit = ((F.col("model") == "main") & (F.col("request_id") % 3 == 0)) | ((F.col("model") == "spare") & (F.col("request_id") % 2 == 0))
-    return keys.where(hit).select("key", F.concat("model", F.lit("-"), "request_id").alias("text"))
+def _cache(t, keys):
+    """Main answers for conversations that open with a system turn, spare ones for those with five turns or more."""
+    turns = t.read("conversations").groupBy(F.col("conv_id").alias("request_id")).agg(F.count_if(F.col("role") == "system").alias("system"), F.count("*").alias("n"))
+    hit = ((F.col("model") == "main") & (F.col("system") > 0)) | ((F.col("model") == "spare") & (F.col("n") >= 5))
+    return keys.join(turns, "request_id").where(hit).select("key", F.concat("model", F.lit("-"), "request_id").alias("text"))
+
+
+CACHED = """WITH tn AS (SELECT conv_id, count(*) FILTER (WHERE role = 'system') AS system, count(*) AS n FROM conversations GROUP BY conv_id),
+    hi AS (SELECT conv_id, CASE WHEN system > 0 THEN 'main' WHEN n >= 5 THEN 'spare' END AS model FROM tn) """
 
 
 @query(
@@ -750,27 +789,42 @@ def request_key(t):
     return _keys(t)
 
 
-@query("SELECT DISTINCT conv_id AS request_id, CASE WHEN conv_id % 3 = 0 THEN 'main' ELSE 'spare' END AS model, CASE WHEN conv_id % 3 = 0 THEN 'main-' ELSE 'spare-' END || CAST(conv_id AS VARCHAR) AS text FROM conversations WHERE conv_id % 3 = 0 OR conv_id % 2 = 0")
+@query(CACHED + "SELECT conv_id AS request_id, model, model || '-' || CAST(conv_id AS VARCHAR) AS text FROM hi WHERE model IS NOT NULL")
 def cache_lookup(t):
     keys = _keys(t)
-    return evidence.cache_lookup(keys, _cache(keys), ["main", "spare"])
+    return evidence.cache_lookup(keys, _cache(t, keys), ["main", "spare"])
 
 
-@query("SELECT DISTINCT conv_id AS request_id FROM conversations WHERE conv_id % 3 <> 0 AND conv_id % 2 <> 0")
+@query(CACHED + "SELECT conv_id AS request_id FROM hi WHERE model IS NULL")
 def pending_requests(t):
     keys = _keys(t)
-    return evidence.pending_requests(keys, _cache(keys))
+    return evidence.pending_requests(keys, _cache(t, keys))
+
+
+@query(CACHED + "SELECT CASE WHEN model IS NULL THEN 'later-' ELSE model || '-' END || CAST(conv_id AS VARCHAR) AS text FROM hi UNION ALL SELECT 'spare-' || CAST(conv_id AS VARCHAR) FROM tn WHERE system > 0 AND n >= 5")
+def append_answers(t):
+    """A cache on disk, to which the answers of what is pending are added, twice, along with answers that are there."""
+    keys, path = _keys(t), io.scratch_path(t.spark, "answers")
+    known = _cache(t, keys)
+    evidence.append_answers(known, path)
+    pending = evidence.pending_requests(keys, known).join(keys.where("model = 'main'"), "request_id")
+    fresh = pending.select("key", F.concat(F.lit("later-"), "request_id").alias("text"))
+    for _ in range(2):
+        evidence.append_answers(fresh.union(known.select("key", F.lit("too late"))), path)
+    return t.spark.read.parquet(path).select("text")
 
 
 @query(
-    """SELECT video_id, id AS scene_id, CASE WHEN id % 3 = 0 THEN 'answered' WHEN id % 2 = 0 THEN 'fallback' ELSE 'failed' END AS outcome, CASE WHEN id % 3 = 0 THEN 'main' WHEN id % 2 = 0 THEN 'spare' END AS model FROM scenes""",
-    ("scenes",),
+    """, fi AS (SELECT DISTINCT video_id, CAST(floor(event_id % 3000 / 10.0) AS BIGINT) AS scene_id, event_id % 10 AS kind FROM ev)
+    SELECT s.video_id, s.id AS scene_id, CASE WHEN a.kind IS NOT NULL THEN 'answered' WHEN b.kind IS NOT NULL THEN 'fallback' ELSE 'failed' END AS outcome, CASE WHEN a.kind IS NOT NULL THEN 'main' WHEN b.kind IS NOT NULL THEN 'spare' END AS model
+    FROM scenes s LEFT JOIN fi a ON a.video_id = s.video_id AND a.scene_id = s.id AND a.kind = 1 LEFT JOIN fi b ON b.video_id = s.video_id AND b.scene_id = s.id AND b.kind = 2""",
+    ("ev", "scenes"),
 )
 def reconcile_answers(t):
-    s = t.scenes.select("video_id", F.col("id").alias("scene_id"))
-    extra = s.withColumn("scene_id", F.col("scene_id") + 10_000)
-    main = s.where("scene_id % 3 = 0").union(extra).withColumn("model", F.lit("main"))
-    return evidence.reconcile_answers(s, main, s.where("scene_id % 2 = 0").union(extra).withColumn("model", F.lit("spare")))
+    """Events answer: by their last digit for one model or the other, for scenes that are there or not."""
+    said = t.ev.select("video_id", F.floor(F.col("event_id") % 3000 / 10).cast("long").alias("scene_id"), (F.col("event_id") % 10).alias("kind"))
+    of = lambda kind, model: said.where(F.col("kind") == kind).select("video_id", "scene_id", F.lit(model).alias("model"))
+    return evidence.reconcile_answers(t.scenes.select("video_id", F.col("id").alias("scene_id")), of(1, "main"), of(2, "spare"))
 
 
 ANSWERS = """, ans AS (SELECT video_id, id AS scene_id FROM scenes), con AS (

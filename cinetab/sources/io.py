@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .session import prepared
+
 INFO = "id string, title string, channel string, uploader string, duration double, chapters array<struct<title: string, start_time: double, end_time: double>>"
 PROBE = "streams array<struct<duration: string, r_frame_rate: string, avg_frame_rate: string, nb_read_packets: string, width: int, height: int>>, format struct<duration: string>"
 CAPTIONS = "events array<struct<tStartMs: double, dDurationMs: double, segs: array<struct<utf8: string>>>>"
@@ -80,7 +82,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df``, written once to the shared folder: its lineage ends there, and lost executors cost nothing before it."""
-    context = df.sparkSession.sparkContext
+    context = prepared(df.sparkSession).sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(f"{shared_folder(df.sparkSession)}/checkpoints")
     return df.checkpoint()

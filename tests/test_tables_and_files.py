@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cinetab.operators import checks, export, faces, segments
+from cinetab.operators import checks, evidence, export, faces, segments, timeline
 from cinetab.sources import crops, io
 
 
@@ -110,3 +110,31 @@ def test_centroids_in_blocks(spark):
         others = {g: float(m @ centre[r.video_id, r.group]) for (v, g), m in centre.items() if v == r.video_id and g != r.group}
         near = max(others, key=others.get) if others else None
         assert r.nearest_group == near and r.nearest_cos == pytest.approx(others[near] if others else 0.0)
+
+
+def test_answers_are_added_once(spark, tmp_path):
+    """What is cached stays; adding again, or adding another answer to a known key, adds nothing."""
+    path, kind = str(tmp_path / "answers"), "key string, text string"
+    evidence.append_answers(spark.createDataFrame([("a", "1"), ("b", "9"), ("b", "2")], kind), path)
+    for _ in range(2):
+        evidence.append_answers(spark.createDataFrame([("a", "other"), ("c", "3"), ("c", "3")], kind), path)
+    evidence.append_answers(spark.createDataFrame([], kind), path)
+    assert rows(spark.read.parquet(path), "key", "text") == [("a", "1"), ("b", "2"), ("c", "3")]
+
+
+def test_tiny_shots_of_many_videos_under_the_settings(spark):
+    """Every video's runs meet their frames, whatever the number of partitions."""
+    rng = np.random.default_rng(9)
+    shots, hists = [], []
+    for video in range(30):
+        edges = np.cumsum(rng.choice([0.1, 0.3], 30)).round(4)
+        shots += [(video, k, float(a), float(b)) for k, (a, b) in enumerate(zip([0.0, *edges[:-1]], edges, strict=True))]
+        hists += [(video, k, [1.0, 2.0]) for k in range(int(edges[-1] * 10) + 1)]
+    tables = spark.createDataFrame(shots, "video_id long, id int, start double, end double"), spark.createDataFrame(hists, "video_id long, frame_idx long, hist array<double>")
+    for parts in ("3", "16"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        found = timeline.merge_tiny_shots(*tables, spark.createDataFrame([(v, 10.0) for v in range(30)], "video_id long, fps double"), 0.2)
+        left = {r.video_id: r["count"] for r in found.groupBy("video_id").count().collect()}
+        tiny = {v: sum(b - a < 0.2 for w, _, a, b in shots if w == v) for v in range(30)}
+        assert all(left[v] <= 30 - tiny[v] // 2 for v in range(30))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
