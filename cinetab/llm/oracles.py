@@ -13,17 +13,31 @@ def _crc32(text: str) -> str:
     return f"xor(list_reduce({some}, lambda c, b: xor(c >> 8, t.t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
 
 
-def _shard(n: int) -> str:
-    """The shard of ``id``: the least exponential of equal weights is the largest uniform number."""
-    return f"list_reverse(list_sort(list_transform(range(0, {n}), lambda s: {{'u': ('0x' || substr(md5(id || ':' || s), 1, 15))::BIGINT, 's': -s}})))[1].s * -1"
+def _digits(digest: str, first: int, n: int) -> str:
+    return f"('0x' || substr({digest}, {first}, {n}))::BIGINT"
 
 
+def _time(digest: str) -> str:
+    return f"-ln(({_digits(digest, 1, 15)} + 0.5) / 1152921504606846976.0) / 12"
+
+
+def _leaf(digest: str, region: str) -> str:
+    """The place of an attempt: 12 a region, in 3 racks of 4."""
+    return f"({region} * 12 + CAST(floor({_digits(digest, 16, 6)} * 3 / 16777216) AS INT) * 4 + CAST(floor({_digits(digest, 22, 6)} * 4 / 16777216) AS INT))"
+
+
+#: Two full regions of 12 shards have one attempt each; the 25th shard stands at the first attempt in its region that ends at its place.
+_PLACED = f"""h AS (SELECT *, md5(id || ':0:1') AS h0, md5(id || ':1:1') AS h1, list_transform(range(1, 65), lambda j: md5(id || ':2:' || j)) AS h2 FROM c),
+    e AS (SELECT *, {_time('h0')} AS t0, {_time('h1')} AS t1, list_position(list_transform(h2, lambda x: {_leaf('x', '2')}), 24) AS hit FROM h),
+    s AS (SELECT *, CASE WHEN t0 < t1 THEN {_leaf('h0', '0')} ELSE {_leaf('h1', '1')} END AS shard, hit > 0 AND list_sum(list_transform(h2[:hit], lambda x: {_time('x')})) < least(t0, t1) AS moves FROM e)"""
+
 _SHARDING = f"""WITH t AS (SELECT list_transform(range(0, 256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
     d AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS id, coalesce(text, '') AS text FROM documents),
     c AS (SELECT doc_id, id, octet_length(encode(text)) + 8 AS size, {_crc32('text')} AS crc FROM d, t),
-    s AS (SELECT *, CAST({_shard(24)} AS INT) AS shard, CAST({_shard(25)} AS INT) AS grown, {_crc32("(id || ':' || crc)")} % 1024 AS bucket FROM c, t)
+    {_PLACED},
+    p AS (SELECT *, {_crc32("(id || ':' || crc)")} % 1024 AS bucket FROM s, t)
     SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'key' AS law, shard,
-      row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id NULLS FIRST, crc, size) - 1 AS slot, grown AS grown_shard FROM s"""
+      row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id NULLS FIRST, crc, size) - 1 AS slot, CASE WHEN moves THEN 24 ELSE shard END AS grown_shard FROM p"""
 
 #: The water level: the first number of capped sources, by cap per weight, whose level caps no further one.
 _MIXING = f"""WITH {_DOCS},

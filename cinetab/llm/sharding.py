@@ -1,27 +1,41 @@
 """Sharding by a hierarchical weighted hash tree, with gapless slots.
 
-Every shard draws an exponential from the key's hash, at the rate of its weight. A rack's draw is the least of its shards',
-a region's the least of its racks', so that an inner node's draw is exponential at the rate of the weights below it. A key
-descends from region to rack to shard, at each level to the least draw. A shard whose weight changes, or one more
-shard, changes no draw but its own and those of the nodes above it: keys move only between it and the rest, whatever
-the number of shards.
+Regions hold racks, racks hold shards, and every place of a region's racks is in the tree, whether its shard exists or not. For a key each
+region has a row of attempts: one hash gives the attempt's time (times are sums of exponential steps at the rate of all places), and
+the draws by which it descends to a rack and to a place in it. An attempt stands if a last draw is within the place's weight; a
+place without a shard weighs nothing. The key's shard is the one of the earliest attempt that stands. A new shard, or a heavier one, turns
+attempts at its own place into ones that stand and changes nothing else: keys move only into it, whatever the number of
+shards; a lighter one only gives keys away. A region that is full of equal shards takes one hash a key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import free_name, materialize
 
+#: Attempts that a region has at most: of equal shards beside a full region (a later attempt would matter with probability 2 ** -64), and
+#: otherwise (one shard in twelve places stands by then but for 10 ** -38). A key without any goes to the first shard that has weight.
+ATTEMPTS, ATTEMPTS_ALONE = 64, 1024
+
+
+def _bits(digest: str, first: int, digits: int) -> str:
+    """SQL: hexadecimal digits of ``digest`` as a number."""
+    return f"cast(conv(substr({digest}, {first}, {digits}), 16, 10) as double)"
+
 
-def _draw(key: str, weights: tuple[float, ...]) -> str:
-    """SQL for the draw of shard ``s``: 60 bits of the MD5 of "key:shard" as a uniform number, null without weight."""
-    uniform = f"(cast(conv(substr(md5(concat(coalesce(cast({key} as string), ''), ':', s)), 1, 15), 16, 10) as double) + 0.5D) / 1152921504606846976.0D"
-    if set(weights) == {1.0}:
-        return f"-ln({uniform})"
-    table = "array(" + ", ".join(f"{w!r}D" for w in weights) + ")"
-    return f"if({table}[s] > 0, -ln({uniform}) / {table}[s], null)"
+def _step(digest: str, rate: str) -> str:
+    """SQL: an exponential step at ``rate``, from 60 bits."""
+    return f"(-ln(({_bits(digest, 1, 15)} + 0.5D) / 1152921504606846976.0D) / {rate})"
+
+
+def _place(digest: str, region: str, rack_size: int, racks: int) -> str:
+    """SQL: the shard at the end of the descent: a rack, then a place in it, by 24 bits each."""
+    draw = lambda first, n: f"cast(floor({_bits(digest, first, 6)} * {n} / 16777216) as int)"
+    return f"({region} * {rack_size * racks} + {draw(16, racks)} * {rack_size} + {draw(22, rack_size)})"
 
 
 def assign_shard(
@@ -29,25 +43,43 @@ def assign_shard(
 ) -> DataFrame:
     """Add ``out``: the shard of ``key`` among ``shards``, by key, shard count and weights alone (null is a key like others).
 
-    ``weights``: one a shard, 1 by default; a shard of weight 0 gets nothing, and one at least must be above 0. Draws are
-    written for every shard, so a row costs as many hashes as there are shards.
+    ``weights``: one a shard, 1 by default; a shard of weight 0 gets nothing, and the largest must be 1 at least. Weights are cut into
+    layers, up to 1, 2, 4 and so on, of which a region has attempts of its own, so that a change of weights moves keys between the changed
+    shards and the rest alone. A key costs a hash a full region and layer, and some more where places are missing or in part
+    of a layer; with many shards, larger racks keep the regions few.
     """
     weights = tuple(float(w) for w in weights or (1.0,) * shards)
-    if len(weights) != shards or not any(w > 0 for w in weights):
-        raise ValueError("one weight a shard, and one above 0")
-    region_size = rack_size * racks
-    # Column names that the table does not have; (draw, shard) of all shards is worked out once a row.
-    draws = free_name(df, "draws")
-    region, rack = free_name(df, "region"), free_name(df, "rack")
-    quoted = f"`{key}`"
-    df = df.withColumn(draws, F.expr(f"transform(sequence(0, {shards - 1}), s -> struct({_draw(quoted, weights)} as draw, s as shard))"))
-    least = lambda groups, size, first: F.expr(
-        f"array_min(filter(transform(sequence({first}, {groups}), g -> struct(array_min(filter(slice({draws}, g * {size} + 1, {size}), x -> x.draw is not null)).draw as draw, g as node)), x -> x.draw is not null)).node"
-    )
-    df = df.withColumn(region, least(-(-shards // region_size) - 1, region_size, 0))
-    df = df.withColumn(rack, least(f"least({region} * {racks} + {racks - 1}, {-(-shards // rack_size) - 1})", rack_size, f"{region} * {racks}"))
-    leaf = F.expr(f"array_min(filter(slice({draws}, {rack} * {rack_size} + 1, {rack_size}), x -> x.draw is not null)).shard")
-    return df.withColumn(out, leaf).drop(draws, region, rack)
+    if len(weights) != shards or max(weights) < 1 or min(weights) < 0:
+        raise ValueError("one weight a shard, none below 0 and one at least 1")
+    size = rack_size * racks
+    layers = [(0.0, 1.0), *((2.0**k, 2.0 ** (k + 1)) for k in range(math.ceil(math.log2(max(weights)))))]
+    full, rest = [], []
+    for region in range(-(-shards // size)):
+        held = weights[region * size : (region + 1) * size]
+        for layer, (low, high) in enumerate(layers):
+            unit = f"struct('{region}{f'+{layer}' * (layer > 0)}' as tag, {region} as g, {low!r}D as low, {high - low!r}D as width, {size * (high - low)!r}D as rate)"
+            if len(held) == size and min(held) >= high:
+                full.append(unit)
+            elif any(w > low for w in held):
+                rest.append(unit)
+    digest = lambda unit, attempt: f"md5(concat(coalesce(cast(`{key}` as string), ''), ':', {unit}.tag, ':', {attempt}))"
+    place = lambda x: _place(f"{x}.h", f"{x}.u.g", rack_size, racks)
+    hashed = lambda unit, attempt: f"struct({unit} as u, {digest(unit, attempt)} as h)"
+    # A column name that the table does not have; best: (time, shard).
+    best = free_name(df, "best")
+    first = f"array_min(transform(transform(array({', '.join(full)}), u -> {hashed('u', 1)}), x -> struct({_step('x.h', 'x.u.rate')} as at, {place('x')} as shard)))"
+    none = f"struct(double('infinity') as at, {next(s for s, w in enumerate(weights) if w > 0)} as shard)"
+    df = df.withColumn(best, F.expr(first if full else none))
+    if rest:
+        table = "array(" + ", ".join(f"{w!r}D" for w in weights) + ")"
+        stands = f"{_bits('x.h', 28, 5)} / 1048576D * x.u.width < coalesce(get({table}, {place('x')}), 0D) - x.u.low"
+        # Attempts until one stands or is later than the best so far; a shard of -1 is none yet.
+        tried = f"struct(t.at + {_step('x.h', 'x.u.rate')} as at, if({stands}, {place('x')}, -1) as shard)"
+        later = f"if(t.shard >= 0 or t.at >= b.at, t, element_at(transform(array({hashed('u', 'j')}), x -> {tried}), 1))"
+        attempts = f"aggregate(sequence(1, {ATTEMPTS if full and max(weights) == min(weights) == 1 else ATTEMPTS_ALONE}), struct(0D as at, -1 as shard), (t, j) -> {later})"
+        nearer = f"element_at(transform(array({attempts}), r -> if(r.shard >= 0 and r.at < b.at, r, b)), 1)"
+        df = df.withColumn(best, F.expr(f"aggregate(array({', '.join(rest)}), `{best}`, (b, u) -> {nearer})"))
+    return df.withColumn(out, F.col(best)["shard"]).drop(best)
 
 
 def shard(

@@ -331,16 +331,23 @@ def test_secrets_many_in_one_text(spark):
 
 
 def plain_shard(key, weights):
-    """The shard at the end of a plain descent, with draws of inner nodes summed up from below."""
-    draw = {}
-    for s, w in enumerate(weights):
-        u = (int(hashlib.md5(f"{key}:{s}".encode()).hexdigest()[:15], 16) + 0.5) / 2**60
-        if w > 0:
-            draw[s] = -math.log(u) / w
-    least = lambda size, inside: min((min(draw[s] for s in draw if s // size == g), g) for g in {s // size for s in draw if inside(s)})[1]
-    region = least(12, lambda s: True)
-    rack = least(4, lambda s: s // 12 == region)
-    return min((draw[s], s) for s in draw if s // 4 == rack)[1]
+    """The shard of the earliest attempt that stands, region by region, layer by layer, attempt by attempt, without any bound."""
+    best = (math.inf, None)
+    for region in range(-(-len(weights) // 12)):
+        for layer in range(8):
+            low, high = (2.0 ** (layer - 1) if layer else 0.0), 2.0**layer
+            at, attempt = 0.0, 1
+            while any(w > low for w in weights[region * 12 : region * 12 + 12]):
+                h = hashlib.md5(f"{key}:{region}{f'+{layer}' if layer else ''}:{attempt}".encode()).hexdigest()
+                at -= math.log((int(h[:15], 16) + 0.5) / 2**60) / (12 * (high - low))
+                leaf = region * 12 + int(h[15:21], 16) * 3 // 2**24 * 4 + int(h[21:27], 16) * 4 // 2**24
+                if at >= best[0]:
+                    break
+                if leaf < len(weights) and int(h[27:], 16) / 2**20 * (high - low) < weights[leaf] - low:
+                    best = (at, leaf)
+                    break
+                attempt += 1
+    return best[1]
 
 
 def test_shards_by_plain_descent(spark):
@@ -368,7 +375,7 @@ def test_sharding(docs):
 
 def test_one_more_shard_takes_rows_only_into_itself(spark):
     df = spark.range(20_000)
-    counts = (1, 2, 5, 6, 12, 13, 24, 25, 26, 35, 36, 37)
+    counts = (1, 2, 3, 5, 6, 12, 13, 24, 25, 26, 35, 36, 37, 59, 60)
     for n in counts:
         df = sharding.assign_shard(df, "id", n, f"n{n}")
     rows = df.collect()
