@@ -48,7 +48,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    try:
+        df.write.parquet(path)
+    except BaseException:
+        delete(spark, [path])
+        raise
     out = spark.read.schema(df.schema).parquet(path)
     if _OPEN.tables:
         _OPEN.tables[-1].append((path, out))
@@ -56,7 +60,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def _run(f: Callable[..., DataFrame], *args, **kwargs) -> tuple[str, DataFrame]:
-    """The folder and table of what ``f`` returns; all that it wrote on the way is deleted."""
+    """The folder and table of what ``f`` returns; all else that it wrote is deleted, and everything if it fails."""
     _OPEN.tables.append([])
     try:
         found = f(*args, **kwargs)
@@ -65,8 +69,8 @@ def _run(f: Callable[..., DataFrame], *args, **kwargs) -> tuple[str, DataFrame]:
             materialize(found, f.__name__)
         result = wrote.pop()
     finally:
-        wrote = _OPEN.tables.pop()
-    delete(result[1].sparkSession, [path for path, _ in wrote])
+        for path, table in _OPEN.tables.pop():
+            delete(table.sparkSession, [path])
     return result
 
 

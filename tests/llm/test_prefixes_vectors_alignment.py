@@ -12,7 +12,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cinetab.llm import alignment, balltree, queries, tries
+from cinetab.llm import alignment, balltree, queries, shared, tries
 
 TURNS = "conv_id long, turn long, role string, text string, depth string, m1 int"
 
@@ -243,3 +243,25 @@ def test_tables_of_the_tokenizers():
     for text in ("Hello, wörld 日本 🙂", "  a\n b"):
         a, a_bytes, b, b_bytes = plain.sides(text)
         assert both.a.joined(np.array(a)) == b"".join(a_bytes) and both.b.joined(np.array(b)) == b"".join(b_bytes)
+
+
+def test_failed_operators_leave_nothing(spark, tmp_path, monkeypatch):
+    """Tables of an operator go when it ends, well or not; one that is half written goes too."""
+    monkeypatch.setattr(shared, "scratch_folder", lambda spark: str(tmp_path))
+
+    @shared.operator
+    def works(df):
+        shared.materialize(df, "on-the-way")
+        return df.selectExpr("id + 1 AS id")
+
+    @shared.operator
+    def fails(df):
+        works(shared.materialize(df, "before"))
+        return df.selectExpr("raise_error('broken') AS id")
+
+    assert works(spark.range(3)).count() == 3
+    kept = sorted(p.name.split("-")[0] for p in tmp_path.iterdir())
+    assert kept == ["works"]
+    with pytest.raises(Exception, match="broken"):
+        fails(spark.range(3))
+    assert sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == kept
