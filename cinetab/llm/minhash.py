@@ -338,7 +338,8 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     Words are ``[^\\x20\\x09-\\x0D]+`` of whole texts with A-Z lower-cased. Two sets are linked at
     100 * intersection >= ``percent`` * union. Texts with the same set share one signature, so groups of
     copies cost one row each in the forest. ``text_key`` is a hash of the text; ``first`` is true for the
-    rows with the set that stands for its component: of the smallest id, one set.
+    rows with the set that stands for its component: of the smallest id, one set. A very long text is one set of all its
+    shingles, which the task that compares it holds.
 
     Null or blank texts: no shingles, a component of their own. Null ids: component null, kept.
     Rows that repeat an id: each is judged by its own text, under that id. Empty table: empty result.

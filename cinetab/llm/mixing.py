@@ -63,7 +63,8 @@ def mix(
 
     A source's rows are spread over ``buckets`` ranges of the hash; running sums over (source, bucket) rows
     find the bucket where the fraction ends, and only there rows are summed one by one. Null ids and
-    repeated rows are rows like others; sources of size 0 have target 0. Empty table: empty result.
+    repeated rows are rows like others; sources of size 0 have target 0. Empty table: empty result. Rows with one draw go
+    by id, then size. A very long text is counted whole, and taken in part if the fraction ends in it.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = documents.select(

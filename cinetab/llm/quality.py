@@ -178,6 +178,8 @@ def classify(
     Scores depend on the text alone. Null or blank texts have the ordinary statistics, of no words, and are scored like others.
     An id with several labels counts with each label once; null or other labels are ignored. Without any
     label every score is 0.5. Null and repeated ids stay row by row. Empty table: empty result.
+    Rows of equal texts have equal scores, and a score of ``threshold`` is predicted as 1. A text is described whole in
+    passes over its bytes, however long; it is held once. Other columns are not read.
     """
     described = materialize(describe(documents, id_col, text_col).withColumn("held_out", held_out("doc_id")), "statistics")
     model = _fitted(described, labels, id_col, label_col)

@@ -76,6 +76,8 @@ def find_secrets(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     range of a candidate string's windows whose entropy reaches the bits of its character class, unless
     an ``allowed`` pattern matches the candidate. Positions are code points, ends exclusive.
     Null or empty texts: nothing found. Null and repeated ids stay row by row. Empty table: empty result.
+    Spans that start together go by kind; overlapping ones of different kinds are all given. Whole texts are searched; of a
+    very long one the positions of its matches are summed up in blocks.
     """
     df = documents.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")

@@ -91,7 +91,8 @@ def shard(
     ``grown_shard``: with one more shard, of weight 1. A shard's rows are numbered by hash bucket and, in a bucket, by id:
     ``buckets`` spread a shard over many tasks, and only (shard, bucket) counts, bounded by shards * buckets, are
     summed up and broadcast. Null texts have size 8 and the checksum of nothing. Rows with a null or repeated id share a
-    shard and have slots of their own. Empty table: empty result. Other columns are not read.
+    shard and have slots of their own; in a bucket they go by checksum, then size. Empty table: empty result. Other columns are not
+    read. A very long text is read once, for its size and checksum.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = documents.select(

@@ -165,7 +165,8 @@ def write_tokens(
     """Write all ids of ``documents`` to ``path``, in ascending document order (null ids first, repeated ids by content).
 
     Documents are sorted by range; a task codes its range in blocks of about BLOCK_TOKENS ids, cut
-    between documents. An empty table writes a dataset without blocks. Other columns are not read.
+    between documents. An empty table writes a dataset without blocks. Other columns are not read. A null text has the
+    end id alone. A text longer than a block is a block of its own, which a task holds whole.
     """
     spark = documents.sparkSession
     coder = _coder(tokenizer)

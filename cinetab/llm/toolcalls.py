@@ -138,6 +138,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     Calls and ``results(conv_id, call_id, result)`` meet in a hash join on both ids. Of calls or results
     that repeat an id, the smallest by value counts. Null ids are dropped: nothing can refer to them. Null
     arguments are not JSON; nor are NaN, numbers beyond a double, half surrogates and nesting beyond Python's depth. Empty tables: empty result. Other columns are not read.
+    Arguments and results of any length are read whole, one at a time.
     """
     key = ["conv_id", "call_id"]
     ids = [F.col("conv_id").cast("long").alias("conv_id"), F.col("call_id").cast("string").alias("call_id")]
