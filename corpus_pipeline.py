@@ -14,27 +14,40 @@ from cinetab.llm.tokens import token_output
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier predicts as good."""
+    """Documents that the classifier predicts as good, with all their columns.
+
+    Null, blank and very long texts are scored like others; repeated rows have one score and stay or go together.
+    """
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates: five words, similarity of 0.8 or more."""
+    """The document with the smallest id of each group of near duplicates: five words, similarity of 0.8 or more.
+
+    Rows without an id or without words stay; of rows that repeat id and text one stays. Texts are compared whole.
+    """
     return drop_near_duplicates(docs, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any benchmark window; a contaminated document goes as a whole."""
+    """Documents without any benchmark window; a contaminated document goes as a whole.
+
+    Null and blank texts have no window and stay, repeated rows stay or go together, and whole texts are searched.
+    """
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them.
+
+    A document that is taken in part comes once more if half of it or more is. Documents without words come as often as whole ones of their
+    source; a null source is a source, and rows that repeat id and text come equally often.
+    """
     return repeat_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the mix, read back: doc_id, start, n_tokens, ids_crc32 of each copy."""
+    """Token files of the mix, read back: doc_id, start, n_tokens, ids_crc32 of each copy, null ids first, equal ids by content."""
     return token_output(docs, queries.TOKENIZER)
 
 
