@@ -162,7 +162,7 @@ def _symbol_counts(tokens: DataFrame, kind: type, size: int) -> np.ndarray:
 def write_tokens(
     documents: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2
 ) -> None:
-    """Write all ids of ``documents`` to ``path``, in ascending document order (null ids first, repeated ids by content).
+    """Write all ids of ``documents`` to ``path``, in ascending document order (null ids first, repeated ids by a hash of their ids).
 
     Documents are sorted by range; a task codes its range in blocks of about BLOCK_TOKENS ids, cut
     between documents. An empty table writes a dataset without blocks. Other columns are not read. A null text has the
@@ -205,7 +205,10 @@ def write_tokens(
             yield flush()
 
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = tokens.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "ids")
+    # Rows of one id (or none) go on by a hash of their ids and then by place, so that they too are cut into ranges.
+    order = ["doc_id", "spread", "row"]
+    placed = tokens.withColumns({"spread": F.xxhash64("ids"), "row": F.monotonically_increasing_id()})
+    ordered = placed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "ids")
     ordered.mapInArrow(code, _BLOCKS_SQL).write.option("compression", "none").parquet(f"{path}/blocks")
     delete(spark, [staged])
 

@@ -12,7 +12,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cinetab.llm import alignment, balltree, queries, shared, tries
+from cinetab.llm import alignment, balltree, queries, shared, tokens, tries
 
 TURNS = "conv_id long, turn long, role string, text string, depth string, m1 int"
 
@@ -265,3 +265,19 @@ def test_failed_operators_leave_nothing(spark, tmp_path, monkeypatch):
     with pytest.raises(Exception, match="broken"):
         fails(spark.range(3))
     assert sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == kept
+
+
+def test_tokens_of_one_id_are_spread(spark, tmp_path):
+    """Rows that repeat an id, or id and text, are cut into ranges like others, and read back in one order."""
+    rows = [(7, "the same words")] * 900 + [(7, f"other words {i}") for i in range(900)] + [(None, None)] * 300 + [(i, "one") for i in range(20)]
+    data = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    path = str(tmp_path / "tokens")
+    tokens.write_tokens(data, path, queries.TOKENIZER)
+    parts = spark.read.parquet(f"{path}/blocks").groupBy("part").agg(F.sum(F.size("doc_ids")).alias("n")).collect()
+    assert len(parts) == 4 and max(r.n for r in parts) < 0.5 * len(rows)
+    found = sorted(tokens.read_tokens(spark, path).collect(), key=lambda r: r.start)
+    assert [-1 if r.doc_id is None else r.doc_id for r in found] == sorted(-1 if d is None else d for d, _ in rows)
+    assert all(b.start == a.start + a.n_tokens for a, b in zip(found, found[1:], strict=False)) and found[0].start == 0
+    encoder = Tokenizer.from_file(queries.TOKENIZER)
+    expected = collections.Counter((d, tuple([*encoder.encode(t or "", add_special_tokens=False).ids, 2])) for d, t in rows)
+    assert collections.Counter((r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in found) == expected
