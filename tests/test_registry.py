@@ -92,4 +92,4 @@ def test_entry_without_the_training_data_queries(tmp_path):
     code = "import __spark_entry__ as e; print(len(e.queries()), sorted(x for x in e.queries() if x.startswith('op') and x[2].isdigit()))"
     env = os.environ | {"PYTHONPATH": f"{tmp_path}:{os.path.dirname(entry.__file__)}"}
     said = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, cwd=tmp_path, check=True)
-    assert said.stdout.split()[-1] == "[]" and int(said.stdout.split()[-2]) > 90 and "no files here" in said.stderr
+    assert said.stdout.split()[-1] == "[]" and int(said.stdout.split()[-2]) > 90 and "training-data queries are left out" in said.stderr
