@@ -180,8 +180,8 @@ class Words:
         return np.diff(self.first)
 
 
-def passes(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Cut a column of whole texts (null: empty) into runs of about PASS_BYTES: first row, end row, bytes, bounds."""
+def passes(texts: pa.Array, size: int = PASS_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Cut a column of whole texts (null: empty) into runs of about ``size`` bytes: first row, end row, bytes, bounds."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if texts.null_count:
@@ -194,7 +194,7 @@ def passes(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
     data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     row = 0
     while row < len(texts):
-        end = max(row + 1, int(np.searchsorted(bounds, bounds[row] + PASS_BYTES, "right")) - 1)
+        end = max(row + 1, int(np.searchsorted(bounds, bounds[row] + size, "right")) - 1)
         yield row, end, data[bounds[row] : bounds[end]], bounds[row : end + 1] - bounds[row]
         row = end
 

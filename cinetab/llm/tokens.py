@@ -6,11 +6,13 @@ block with part (range of ids), block, start (ids of the part before it), doc_id
 
 from __future__ import annotations
 
+import codecs
+import itertools
 import json
-import re
 import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,35 +22,58 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import rans
-from .shared import delete, scratch_folder
+from .shared import delete, passes, scratch_folder
 
 #: Pieces whose ids a worker keeps at most (some 200 bytes each); beyond that it starts anew. Results do not depend on it.
 CACHE = 1_500_000
+#: Bytes of text that are cut and looked up at once; a longer text stands alone.
+PASS_BYTES = 4_000_000
 BLOCK_TOKENS = 1 << 18
 #: Ranges of characters that have been in one class of letters, digits, blanks or others for long; texts with further ones go whole.
 STEADY = (
     (0x09, 0x0A), (0x0D, 0x0D), (0x20, 0x7E), (0xA0, 0x2FF), (0x391, 0x3A1), (0x3A3, 0x3C9), (0x400, 0x481), (0x2010, 0x2027), (0x3041, 0x3096),
     (0x30A1, 0x30FA), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3),
 )
+#: Classes of characters.
+LETTER, DIGIT, BLANK, OTHER = 1, 2, 3, 4
 
 
-def _ranges(kind: str) -> str:
-    """The steady characters whose Unicode category begins with ``kind``, as the inside of a character class."""
-    found: list[list[int]] = []
+def _kinds() -> np.ndarray:
+    """The class of each character below 65,536; 0 outside STEADY."""
+    found = np.zeros(1 << 16, np.uint8)
     for lo, hi in STEADY:
         for c in range(lo, hi + 1):
-            if unicodedata.category(chr(c)).startswith(kind):
-                if found and found[-1][1] == c - 1:
-                    found[-1][1] = c
-                else:
-                    found.append([c, c])
-    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in found)
+            category = unicodedata.category(chr(c))[0]
+            found[c] = BLANK if chr(c).isspace() else {"L": LETTER, "N": DIGIT}.get(category, OTHER)
+    return found
 
 
-def _piece_pattern() -> str:
-    """How byte-level BPE cuts a text into pieces (the published pattern of such tokenizers), for steady characters."""
-    letters, digits = _ranges("L"), _ranges("N")
-    return rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{digits}]+| ?[^\s{letters}{digits}]+|\s+(?!\S)|\s+"
+def _begins(chars: np.ndarray, kinds: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Whether a piece begins at each character of joined texts, and True at their end; ``bounds`` are the texts' places.
+
+    The cut of byte-level BPE, ``'s|'t|'re|'ve|'m|'ll|'d| ?L+| ?N+| ?[^\\sLN]+|\\s+(?!\\S)|\\s+`` with L letters and N digits:
+    runs of one class, but the last blank before something else stands alone, or goes with it if it is a space.
+    """
+    n = len(chars)
+    first = np.ones(n + 3, bool)
+    first[:n] = False
+    first[bounds] = True
+    begins = first[: n + 1].copy()
+    begins[1:n] |= kinds[1:] != kinds[:-1]
+    last = np.flatnonzero((kinds[:-1] == BLANK) & (kinds[1:] != BLANK) & ~first[1:n])
+    begins[last] = True
+    begins[last[chars[last] == ord(" ")] + 1] = False
+    # A contraction: an apostrophe that begins a piece, and one or two letters of the same text.
+    at = np.flatnonzero(chars == ord("'"))
+    at = at[begins[at] & ~first[at + 1]]
+    one = chars[at + 1]
+    two = np.where(first[at + 2], 0, chars[np.minimum(at + 2, n - 1)])
+    short = np.isin(one, [ord(c) for c in "stmd"])
+    long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    begins[at[short | long] + 1] = False
+    begins[at[short] + 2] = True
+    begins[at[long] + 3] = True
+    return begins
 
 
 #: A text in which the cut into pieces is tried before it is relied on.
@@ -62,23 +87,31 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in prints} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
+def _buffers(values: pa.BinaryArray) -> tuple[np.ndarray, bytes]:
+    """The ends of values, from 0 on, and their bytes one after another: slices of these are much faster than Arrow's own Python values."""
+    _, ends, flat = values.buffers()
+    return np.frombuffer(ends, np.int32)[values.offset : values.offset + len(values) + 1], flat.to_pybytes() if flat else b""
+
+
 class _Pieces(dict):
-    """Piece -> its ids as bytes; a new piece is encoded by the tokenizer's model once."""
+    """Piece in UTF-8 -> its ids as bytes; a new piece is encoded by the tokenizer's model once."""
 
-    def __init__(self, model, kind: type):
-        self.model, self.kind, self.letters = model, kind, byte_letters()
+    def __init__(self, model, code: str):
+        self.model, self.code = model, code
+        self.letters = "".join(letter for _, letter in sorted(byte_letters().items()))
 
-    def __missing__(self, piece: str) -> bytes:
-        letters = piece.encode().decode("latin-1").translate(self.letters)
-        found = self[piece] = np.array([t.id for t in self.model.tokenize(letters)], self.kind).tobytes()
+    def __missing__(self, piece: bytes) -> bytes:
+        letters = codecs.charmap_decode(piece, "strict", self.letters)[0]
+        found = self[piece] = array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
         return found
 
 
 class PieceTokenizer:
     """Encodes whole texts with a tokenizers file, looking the pieces of a byte-level BPE up once per worker.
 
-    A text is cut into pieces as the file's pre-tokenizer cuts it, and the library's model gives the ids of
-    each distinct piece. Whole texts go through the library's encode where that might differ: files of another
+    Texts are cut into pieces as the file's pre-tokenizer cuts them, and the library's model gives the ids of
+    each distinct piece. Arrow numbers the distinct pieces of the texts of one call, so that each is looked up once a
+    call. Whole texts go through the library's encode where that might differ: files of another
     kind, texts that hold one of the file's added tokens, and characters outside STEADY. With ``plain``,
     the strings of special tokens are plain text.
     """
@@ -91,25 +124,52 @@ class PieceTokenizer:
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         file = json.loads(self.tokenizer.to_str())
         self.added = [t["content"] for t in file.get("added_tokens") or []]
-        self.find, self.odd = re.compile(_piece_pattern()).findall, re.compile(f"[^{_ranges('')}]").search
-        self.pieces = _Pieces(self.tokenizer.model, self.kind)
+        self.kinds = _kinds()
+        self.pieces = _Pieces(self.tokenizer.model, np.dtype(self.kind).char)
         cut = file.get("pre_tokenizer") or {}
         plain = not any(file.get(x) for x in ("normalizer", "truncation", "padding"))
         byte_level = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
-        self.by_piece = bool(plain and byte_level and file["model"]["type"] == "BPE") and self._joined(PROBE) == self.whole(PROBE)
+        self.by_piece = bool(plain and byte_level and file["model"]["type"] == "BPE") and self._joined([PROBE]) == [self.whole(PROBE)]
 
     def whole(self, text: str) -> bytes:
         # The fast form leaves out offsets, which nothing here reads.
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind).tobytes()
 
-    def _joined(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.find(text)))
+    def _joined(self, texts: list[str]) -> list[bytes | None]:
+        """The ids of each text from its pieces; None for a text with a character outside STEADY."""
+        joined = "".join(texts)
+        if not joined:
+            return [b""] * len(texts)
+        data, bounds = joined.encode(), np.cumsum([0, *map(len, texts)])
+        one_byte = len(data) == len(joined)
+        chars = np.frombuffer(data, np.uint8) if one_byte else np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        kinds = np.empty(len(chars), np.uint8)
+        for at in range(0, len(chars), 1 << 20):  # numpy widens the places to eight bytes
+            self.kinds.take(chars[at : at + (1 << 20)], mode="clip", out=kinds[at : at + (1 << 20)])
+        if not kinds.all():
+            odd = set((np.searchsorted(bounds, np.flatnonzero(kinds == 0), "right") - 1).tolist())
+            found = iter(self._joined([t for i, t in enumerate(texts) if i not in odd]))
+            return [None if i in odd else next(found) for i in range(len(texts))]
+        begins = _begins(chars, kinds, bounds)
+        first = np.searchsorted(np.flatnonzero(begins), bounds)  # each text's first piece
+        if not one_byte:
+            heads = np.ones(len(data) + 1, bool)
+            heads[:-1] = np.frombuffer(data, np.uint8) & 0xC0 != 0x80
+            heads[heads] = begins
+            begins = heads
+        starts = np.flatnonzero(begins).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(data)]).dictionary_encode()
+        ends, flat = _buffers(pieces.dictionary)
+        distinct = [self.pieces[flat[a:b]] for a, b in itertools.pairwise(ends.tolist())]
+        ends, flat = _buffers(pa.array(distinct, pa.binary()).take(pieces.indices))
+        return [flat[a:b] for a, b in itertools.pairwise(ends[first].tolist())]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of ``kind``."""
         if len(self.pieces) > CACHE:
             self.pieces.clear()
-        return [self._joined(t) if self.by_piece and not self.odd(t) and not any(x in t for x in self.added) else self.whole(t) for t in texts]
+        found = self._joined(texts) if self.by_piece else [None] * len(texts)
+        return [self.whole(t) if x is None or any(a in t for a in self.added) else x for t, x in zip(texts, found, strict=True)]
 
 
 _CODERS: dict[str, PieceTokenizer] = {}
@@ -132,8 +192,8 @@ def tokenize(documents: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
         coder = _coder(tokenizer)
         end = np.array([end_id], coder.kind).tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for row, stop, _, _ in passes(batch.column(1), PASS_BYTES):
+                part = batch.slice(row, stop - row)
                 texts = [x or "" for x in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x + end for x in coder.encode(texts)], pa.binary())], ["doc_id", "ids"])
 

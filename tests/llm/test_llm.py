@@ -459,6 +459,34 @@ def test_tokenizer_pieces():
     assert not other.by_piece and other.encode(["An <|endoftext|> It"])[0] == np.array(whole.encode("An <|endoftext|> It", add_special_tokens=False).ids, other.kind).tobytes()
 
 
+def test_tokenizer_pieces_of_many_texts():
+    """Texts of one call, cut together, have the ids that the library gives each of them alone."""
+    coder, whole, rng = tokens.PieceTokenizer(queries.TOKENIZER), Tokenizer.from_file(queries.TOKENIZER), random.Random(6)
+    marks = ["'", " ", "  ", "\n", "\t", "\xa0", "s", "S", "t", "d", "m", "r", "v", "e", "l", "1", "\u00b2", "\u0663", ".", "\u2014", "\u00ad", "\u00e9", "\u65e5", "\ud55c", "\U0001f600", "<|endoftext|>"]
+    for few in (marks, marks[:-2], marks[:2] + marks[6:15], marks[:6] + ["e"]):
+        for _ in range(150):
+            group = ["".join(rng.choices(few, k=rng.randrange(12))) for _ in range(rng.randrange(1, 12))]
+            assert coder.encode(group) == [np.array(whole.encode(t, add_special_tokens=False).ids, coder.kind).tobytes() for t in group], group
+    assert coder.encode([]) == []
+
+
+def test_tokenizer_looks_distinct_pieces_up():
+    """A call looks each distinct piece up once, however often its texts hold it."""
+    coder = tokens.PieceTokenizer(queries.TOKENIZER)
+    assert coder.by_piece
+    looked_up = []
+
+    class Counted(type(coder.pieces)):
+        def __getitem__(self, piece):
+            looked_up.append(piece)
+            return super().__getitem__(piece)
+
+    coder.pieces = Counted(coder.tokenizer.model, coder.pieces.code)
+    found = coder.encode([" one two one"] * 500 + ["", " two \u00e9t\u00e9"])
+    assert sorted(looked_up) == sorted(x.encode() for x in (" one", " two", " \u00e9t\u00e9"))
+    assert found[0] == np.array(coder.tokenizer.encode(" one two one", add_special_tokens=False).ids, coder.kind).tobytes() == found[499] and found[500] == b""
+
+
 def test_quality_held_out(spark):
     sf = "/root/testdata/sf0.1"
     found = queries.op2_quality(spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").select("predicted", "quality").collect()
