@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from .joins import interval_join
 
+#: Runs of tiny shots in a group: a run is a few shots, so that a group of one would cost more than its work.
+RUNS = 256
+
 
 def transition_boundaries(frame_probs: DataFrame, videos: DataFrame, threshold: float = 0.5) -> DataFrame:
     """(video_id, frame, boundary): one per maximal run of frames with prob above the threshold.
@@ -66,8 +69,8 @@ def merge_tiny_shots(shots: DataFrame, frame_hists: DataFrame, videos: DataFrame
 
     ``frame_hists(video_id, frame_idx, hist)``; a shot looks like its middle frame, or the video's last frame where that
     is missing. Only a tiny shot starts a merge, so shots that neither are tiny nor have a tiny neighbour stay as they are,
-    and of two others side by side neither joins the other: they part a video into runs, each a group with the
-    frames between its first and last shot. Ties go to the left.
+    and of two others side by side neither joins the other: they part a video into runs, which are taken by RUNS, each
+    with the frames between its first and last shot. Ties go to the left.
     """
     order = Window.partitionBy("video_id").orderBy("start")
     tiny = (F.col("end") - F.col("start") < min_len).cast("int")
@@ -92,19 +95,25 @@ def merge_tiny_shots(shots: DataFrame, frame_hists: DataFrame, videos: DataFrame
         if not len(tiles):
             return pd.DataFrame({"video_id": [], "start": [], "end": []})
         tiles = tiles.sort_values("start")
-        hist = {int(k): np.asarray(h, float) for k, h in zip(frames["frame_idx"], frames["hist"], strict=True)}
+        place, hists = {k: i for i, k in enumerate(frames["frame_idx"].tolist())}, frames["hist"].to_numpy()
         fps, end = float(tiles.fps.iloc[0]), tiles["last"].iloc[0]
 
         def look(a: float, b: float) -> np.ndarray:
             first = int(a * fps)
             middle = (first + max(first + 1, int(b * fps))) // 2
-            return hist.get(middle if pd.isna(end) else min(middle, int(end)), np.zeros(1))
+            at = place.get(middle if pd.isna(end) else min(middle, int(end)))
+            return np.zeros(1) if at is None else np.asarray(hists[at], float)
 
-        found = merged_tiles(tiles.start.tolist(), tiles.end.tolist(), look, min_len, max_dist)
+        start, stop, run, found = tiles.start.tolist(), tiles.end.tolist(), tiles.run.to_numpy(), []
+        edges = [0, *(np.flatnonzero(run[1:] != run[:-1]) + 1).tolist(), len(run)]
+        for low, high in zip(edges[:-1], edges[1:], strict=True):
+            found += merged_tiles(start[low:high], stop[low:high], look, min_len, max_dist)
         return pd.DataFrame({"video_id": tiles.video_id.iloc[0], "start": [a for a, _ in found], "end": [b for _, b in found]})
 
-    key = ["video_id", "run"]
-    merged = runs.groupBy(*key).cogroup(frames.groupBy(*key)).applyInPandas(merge, "video_id long, start double, end double")
+    block = F.floor(F.col("run") / RUNS).alias("block")
+    tiles = runs.select("video_id", block, "run", "start", "end", "fps", "last").groupBy("video_id", "block")
+    frames = frames.select("video_id", block, "frame_idx", "hist").groupBy("video_id", "block")
+    merged = tiles.cogroup(frames).applyInPandas(merge, "video_id long, start double, end double")
     number = F.row_number().over(Window.partitionBy("video_id").orderBy("start")) - 1
     return alone.union(merged).select("video_id", number.alias("id"), "start", "end")
 
