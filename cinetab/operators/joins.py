@@ -66,8 +66,8 @@ def same_frame_pairs(tracks: DataFrame) -> DataFrame:
 def neighbour_blocks(shots: DataFrame, window: int = 6, block: int = 256) -> DataFrame:
     """(video_id, block, shot_id, embedding): runs of ``block`` shots, each with the ``window`` shots on either side.
 
-    A shot is in its own block and, near an end, in the next one as well, so 1 + 2 * window / block copies are shuffled; all pairs around a
+    Vectors keep their type, so that floats are shuffled as such. A shot is in its own block and, near an end, in the next one as well, so 1 + 2 * window / block copies are shuffled; all pairs around a
     boundary of a block are then in that block, to be compared as one matrix.
     """
     first, last = F.floor((F.col("shot_id") - window) / block), F.floor((F.col("shot_id") + window) / block)
-    return shots.select("video_id", F.explode(F.sequence(first, last)).alias("block"), F.col("shot_id").cast("long").alias("shot_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    return shots.select("video_id", F.explode(F.sequence(first, last)).alias("block"), F.col("shot_id").cast("long").alias("shot_id"), "embedding")
